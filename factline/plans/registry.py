@@ -1,0 +1,7 @@
+"""All registered queries outside the training-data subpackage."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+FLAGSHIP = None
