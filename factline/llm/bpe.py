@@ -34,8 +34,8 @@ from pyspark.sql.functions import pandas_udf
 
 #: The published pattern that cuts texts into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Units that a worker keeps, characters of texts that are cut at once, and bytes of a fragment that is merged with others.
-CACHE, _PIECE, _SHORT = 1 << 19, 1 << 21, 64
+#: Units in each half of a worker's cache, characters of texts that are cut at once, and most bytes of a fragment that is merged with others.
+CACHE, _PIECE, _LONG = 5 << 16, 1 << 21, 64
 #: White space other than single spaces and line feeds, or the sign that cuts are marked with.
 _ODD = re.compile(r"[^\S \n]|[ \n][ \n]|\x01|\x85")
 
@@ -65,6 +65,8 @@ class ByteBpe:
         self.pairs, self.pair_rank, self.pair_id = keys[order], *(np.array([v[i] for v in self.ranks.values()], np.int64)[order] for i in (0, 1))
         #: Pairs of bytes that some token holds; between any others a cut is certain.
         self.inner = {t[i : i + 2] for t in self.ids for i in range(len(t) - 1)}
+        self.holds = np.zeros(1 << 16, bool)
+        self.holds[[p[0] << 8 | p[1] for p in self.inner]] = True
         if any(pair[1] in b" \n" and 0x20 < pair[0] < 0x80 for pair in self.inner):
             raise ValueError("a token goes on with white space")
         self.single = np.array([self.ids[bytes([b])] for b in range(256)], np.int64)
@@ -76,18 +78,16 @@ class ByteBpe:
         self.split = regex.compile("|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True))) if added else None
         self.words = regex.compile(PATTERN)
         self.units = regex.compile(r"\s*\S+|\s+")
+        #: Ids of units, packed, and in decimal; the older half of the cache has those that may go.
         self.known: dict[str, tuple[bytes, str]] = {}
+        self.older: dict[str, tuple[bytes, str]] = {}
+        self.decimal = [str(i) for i in range(max(self.bytes) + 1)]
         lengths = np.zeros(max(self.bytes) + 1, np.int64)
         for i, token in self.bytes.items():
             lengths[i] = len(token)
         self.lengths, self.starts = lengths, np.cumsum(lengths) - lengths
         self.letters = np.frombuffer(b"".join(self.bytes.get(i, b"") for i in range(len(lengths))), np.uint8)
 
-    def cut(self, word: bytes) -> list[bytes]:
-        """Fragments between certain cuts."""
-        at = [0, *(i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.inner), len(word)]
-        return [word[a:b] for a, b in zip(at, at[1:], strict=False)]
-
     def merge(self, fragment: bytes) -> list[int]:
         """Ids of a fragment: the pair of lowest rank merges first, the leftmost of equals."""
         ids = self.single[list(fragment)].tolist()
@@ -109,41 +109,69 @@ class ByteBpe:
                     heapq.heappush(heap, (found[0], left, found[1], p))
         return [i for i in ids if i >= 0]
 
-    def merge_many(self, fragments: list[bytes]) -> list[list[int]]:
-        """As :meth:`merge`, one merge at a time in every fragment."""
-        out: list = [None] * len(fragments)
-        ids = self.single[np.frombuffer(b"".join(fragments), np.uint8)]
-        owner = np.repeat(np.arange(len(fragments)), [len(x) for x in fragments])
+    def merge_many(self, ids: np.ndarray, fragment: np.ndarray) -> np.ndarray:
+        """Bytes' ids after all merges, -1 where a symbol has gone into the one before it. ``fragment`` numbers each symbol's fragment.
+
+        As :meth:`merge`, with one merge at a time in every fragment.
+        """
+        out = np.full(len(ids), -1, np.int64)
+        place = np.arange(len(ids))
         none = len(self.pairs) + 1
         while len(ids):
             key = (ids[:-1] << 20) + ids[1:]
             at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-            rank = np.append(np.where((self.pairs[at] == key) & (owner[1:] == owner[:-1]), self.pair_rank[at], none), none)
-            begins = np.flatnonzero(np.diff(owner, prepend=-1))
+            rank = np.append(np.where((self.pairs[at] == key) & (fragment[1:] == fragment[:-1]), self.pair_rank[at], none), none)
+            begins = np.flatnonzero(np.diff(fragment, prepend=-1))
             sizes = np.diff(np.append(begins, len(ids)))
-            best = np.minimum.reduceat(rank, begins)
-            done = np.flatnonzero(best == none)
-            for i in done.tolist():
-                out[owner[begins[i]]] = ids[begins[i] : begins[i] + sizes[i]].tolist()
-            hit = np.flatnonzero((rank == np.repeat(best, sizes)) & (rank < none))
-            hit = hit[np.diff(owner[hit], prepend=-1) != 0]
+            best = np.repeat(np.minimum.reduceat(rank, begins), sizes)
+            keep = best < none
+            out[place[~keep]] = ids[~keep]
+            hit = np.flatnonzero((rank == best) & keep)
+            hit = hit[np.diff(fragment[hit], prepend=-1) != 0]
             ids[hit] = self.pair_id[at[hit]]
-            keep = np.repeat(best < none, sizes)
             keep[hit + 1] = False
-            ids, owner = ids[keep], owner[keep]
+            ids, fragment, place = ids[keep], fragment[keep], place[keep]
         return out
 
     def learn(self, units: set[str]) -> None:
-        """Put units into the cache."""
+        """Put units into the cache; when it is full, what is there becomes the older half."""
         if len(self.known) + len(units) > CACHE:
-            self.known.clear()
-        units = list(units)
-        cut = [[f for w in self.words.findall(u) for f in self.cut(w.encode())] for u in units]
-        short = list({f for fs in cut for f in fs if len(f) <= _SHORT})
-        found = dict(zip(short, self.merge_many(short), strict=True))
-        for unit, fragments in zip(units, cut, strict=True):
-            ids = [i for f in fragments for i in (found[f] if len(f) <= _SHORT else self.merge(f))]
-            self.known[unit] = np.array(ids, np.int32).tobytes(), ",".join(map(str, ids))
+            self.older, self.known = self.known, {}
+        fresh = []
+        for unit in units:
+            if (found := self.older.get(unit)) is not None:
+                self.known[unit] = found
+            else:
+                fresh.append(unit)
+        if not fresh:
+            return
+        words, owner = [], []
+        for i, unit in enumerate(fresh):
+            own = [unit] if (unit[1:] if unit[0] == " " else unit).isalpha() else self.words.findall(unit)
+            words += [w.encode() for w in own]
+            owner += [i] * len(own)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        data = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        cut = np.ones(len(data), bool)
+        cut[1:] = ~self.holds[(data[:-1] << 8) + data[1:]]
+        cut[np.cumsum(sizes) - sizes] = True
+        fragment = np.cumsum(cut) - 1
+        long = np.bincount(fragment) > _LONG
+        short = ~long[fragment]
+        ids = np.full(len(data), -1, np.int64)
+        ids[short] = self.merge_many(self.single[data[short]], fragment[short])
+        for f in np.flatnonzero(long).tolist():
+            begin, end = np.searchsorted(fragment, [f, f + 1])
+            found = self.merge(data[begin:end].astype(np.uint8).tobytes())
+            ids[begin : begin + len(found)] = found
+        kept = ids >= 0
+        of = np.repeat(np.array(owner), sizes)[kept]
+        ends = np.cumsum(np.bincount(of, minlength=len(fresh))).tolist()
+        packed, names = ids[kept].astype(np.int32).tobytes(), [self.decimal[i] for i in ids[kept].tolist()]
+        begin = 0
+        for unit, end in zip(fresh, ends, strict=True):
+            self.known[unit] = packed[4 * begin : 4 * end], ",".join(names[begin:end])
+            begin = end
 
     def into_units(self, text: str) -> list[str]:
         if not text:
@@ -169,17 +197,14 @@ class ByteBpe:
         size = 0
         for text in chain(texts, [None]):
             if text is not None:
-                held.append(self.parts(text))
+                parts = self.parts(text)
+                held.append((parts, list(map(self.known.get, parts))))
                 size += len(text)
             if text is None or size > _PIECE:
-                unknown = {u for parts in held for u in parts}.difference(self.known)
-                added = {u: (np.int32(u).tobytes(), str(u)) for u in unknown if isinstance(u, int)}
-                self.learn(unknown.difference(added))
-                for parts in held:
-                    missing = [u for u in set(parts) if u not in self.known and u not in added]
-                    if missing:  # the cache was emptied
-                        self.learn(set(missing))
-                    found = [self.known[u] for u in parts] if not added else [added.get(u) or self.known[u] for u in parts]
+                self.learn({u for parts, found in held if None in found for u, f in zip(parts, found, strict=True) if f is None and type(u) is str})
+                for parts, found in held:
+                    if None in found:
+                        found = [f or self.known.get(u) or (np.int32(u).tobytes(), str(u)) for u, f in zip(parts, found, strict=True)]
                     yield np.frombuffer(b"".join([f[0] for f in found]), np.int32), ",".join([f[1] for f in found])
                 held, size = [], 0
 
