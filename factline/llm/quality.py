@@ -29,6 +29,7 @@ from pyspark.sql.functions import pandas_udf
 
 LABELLED, POOL, ROUNDS, SHARE, CERTAIN, KEEP = 8000, 8000, 4, 0.05, 0.95, 0.5
 HASHED, META = 256, 512
+_PIECE = 1024
 _CLASSES = [range(0x41, 0x5B), range(0x61, 0x7B), range(0x30, 0x3A), range(0x80, 0x100), [0x20], [0x0A], *([c] for c in range(0x21, 0x7F) if not chr(c).isalnum())]
 _WHICH = np.full(256, len(_CLASSES))
 for _i, _c in enumerate(_CLASSES):
@@ -187,7 +188,8 @@ def classify(df: DataFrame, model: Model, id_col="doc_id", text_col="text", sour
     held = df.sparkSession.sparkContext.broadcast(model)  # of fixed size
 
     def run(text: pd.Series, source: pd.Series, lang: pd.Series, size: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(held.value.scores(text, source, lang, size), columns=["score", "text_score", "metadata_score"])
+        pieces = [held.value.scores(*(x.iloc[i : i + _PIECE] for x in (text, source, lang, size))) for i in range(0, len(text), _PIECE)]
+        return pd.DataFrame(np.concatenate([np.zeros((0, 3)), *pieces]), columns=["score", "text_score", "metadata_score"])
 
     rows = _inputs(df, id_col, text_col, source_col, lang_col, size_col)
     scored = rows.select("id", pandas_udf(run, "score double, text_score double, metadata_score double")(*_FIELDS).alias("s"))
