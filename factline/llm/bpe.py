@@ -35,7 +35,7 @@ from pyspark.sql.functions import pandas_udf
 #: The published pattern that cuts texts into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Units in each half of a worker's cache, characters of texts that are cut at once, and most bytes of a fragment that is merged with others.
-CACHE, _PIECE, _LONG = 5 << 16, 1 << 21, 64
+CACHE, _PIECE, _LONG = 1 << 17, 1 << 20, 64
 #: White space other than single spaces and line feeds, or the sign that cuts are marked with.
 _ODD = re.compile(r"[^\S \n]|[ \n][ \n]|\x01|\x85")
 

@@ -34,7 +34,7 @@ N = 4
 POSITIONS, HASHES, MOST = 1 << 19, 3, 63
 MIN_SHARE, RELATIVE = 2e-5, 0.3
 _TABLE = bytes(c if chr(c).isalpha() or c >= 0x80 else 0x20 for c in range(256))
-_PAD, _HELD, _PIECE = b" " * N, 1 << 22, 1 << 22
+_PAD, _HELD, _PIECE = b" " * N, 1 << 21, 1 << 20
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
