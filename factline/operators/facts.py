@@ -18,20 +18,21 @@ def bounded(title: Column, most: int = MOST_CHARACTERS) -> Column:
     return F.when((F.length(trimmed) > 0) & (F.length(trimmed) <= most), trimmed)
 
 
-def resolve_title(pages: DataFrame, links: DataFrame, priority: list[str], subject: str = "subject") -> DataFrame:
+def resolve_title(pages: DataFrame, links: DataFrame, priority: list[str], subject: str = "subject", order: str | None = None) -> DataFrame:
     """One (subject, title, title_source) per subject of either table.
 
-    ``pages`` has ``titles``, an array of (source, value): the first bounded title of the first source in
+    ``pages`` has ``titles``, arrays of (source, value), in rows by ``order`` if a subject has several: the first bounded title of the first source in
     ``priority`` wins. Else it is the first bounded one of ``links``' (source, value) arrays ``titles``, in their
     order. The best is kept by an aggregate, so that no window sorts the titles.
     """
     ranks = F.create_map(*(F.lit(x) for i, s in enumerate(priority) for x in (s, i)))
-    each = pages.select(subject, F.posexplode("titles").alias("place", "t"))
-    typed = each.select(subject, "place", bounded(F.col("t.value")).alias("title"), F.upper(F.trim("t.source")).alias("title_source"))
+    at = F.col(order) if order else F.lit(0)
+    each = pages.select(subject, at.alias("row"), F.posexplode("titles").alias("place", "t"))
+    typed = each.select(subject, "row", "place", bounded(F.col("t.value")).alias("title"), F.upper(F.trim("t.source")).alias("title_source"))
     ranked = typed.withColumn("rank", ranks[F.col("title_source")]).where("rank IS NOT NULL AND title IS NOT NULL")
-    linked = links.select(subject, F.posexplode("titles").alias("place", "t")).select(subject, "place", bounded(F.col("t.value")).alias("title"), F.col("t.source").alias("title_source"))
+    linked = links.select(subject, at.alias("row"), F.posexplode("titles").alias("place", "t")).select(subject, "row", "place", bounded(F.col("t.value")).alias("title"), F.col("t.source").alias("title_source"))
     linked = linked.where("title IS NOT NULL").withColumn("rank", F.lit(len(priority)))
-    best = ranked.unionByName(linked).groupBy(subject).agg(F.min_by(F.struct("title", "title_source"), F.struct("rank", "place", "title")).alias("best"))
+    best = ranked.unionByName(linked).groupBy(subject).agg(F.min_by(F.struct("title", "title_source"), F.struct("rank", "row", "place", "title")).alias("best"))
     subjects = pages.select(subject).union(links.select(subject)).distinct()
     return subjects.join(best, subject, "left").select(subject, "best.title", "best.title_source")
 

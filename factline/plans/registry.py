@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factline.functions import text, typed
-from factline.operators import checks, incremental, publication, relational
+from factline.operators import checks, evidence, facts, incremental, publication, relational
 from factline.plans import ledger, usage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -419,3 +419,59 @@ def run_summary(t):
 
 
 FLAGSHIP = QUERIES["daily_balances"]
+
+
+# Evidence and facts: nations are codes, regions are groups, customers and suppliers bear evidence
+
+_EVIDENCE = """WITH e AS (
+    SELECT c_custkey::VARCHAR AS subject, CASE WHEN c_acctbal > 0 THEN 'INCLUDED' ELSE 'EXCLUDED' END AS direction, n_name AS code, NULL AS group_code FROM customer JOIN nation ON c_nationkey = n_nationkey
+    UNION ALL SELECT s_suppkey::VARCHAR, CASE WHEN s_acctbal > 5000 THEN 'INCLUDED' WHEN s_acctbal > 0 THEN 'GLOBAL' ELSE 'UNKNOWN' END, NULL, CASE WHEN s_acctbal > 5000 THEN r_name END FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+m AS (SELECT r_name AS group_code, n_name AS code FROM nation JOIN region ON n_regionkey = r_regionkey),
+c AS (SELECT subject, direction, code FROM e WHERE code IS NOT NULL UNION SELECT subject, direction, m.code FROM e JOIN m USING (group_code)),
+s AS (SELECT subject, count(*) AS n_evidence, bool_or(direction = 'GLOBAL') AS has_global FROM e GROUP BY 1),
+k AS (SELECT subject, list_sort(list(DISTINCT code) FILTER (direction = 'INCLUDED')) AS a, list_sort(list(DISTINCT code) FILTER (direction = 'EXCLUDED')) AS b FROM c GROUP BY 1),
+r AS (SELECT subject, n_evidence, CASE WHEN len(a) > 0 THEN 'SPECIFIC' WHEN has_global AND len(b) > 0 THEN 'GLOBAL_EXCEPT' WHEN has_global THEN 'GLOBAL' ELSE 'UNKNOWN' END AS scope, list_filter(coalesce(a, []), lambda x: NOT list_contains(coalesce(b, []), x)) AS eligible, coalesce(b, []) AS excluded FROM s LEFT JOIN k USING (subject))"""
+
+
+def _rollup(t):
+    nations = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    cust = t("customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    direct = cust.selectExpr("CAST(c_custkey AS STRING) AS subject", "IF(c_acctbal > 0, 'INCLUDED', 'EXCLUDED') AS direction", "n_name AS code", "CAST(NULL AS STRING) AS group_code")
+    supp = t("supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+    grouped = supp.selectExpr("CAST(s_suppkey AS STRING) AS subject", "CASE WHEN s_acctbal > 5000 THEN 'INCLUDED' WHEN s_acctbal > 0 THEN 'GLOBAL' ELSE 'UNKNOWN' END AS direction", "CAST(NULL AS STRING) AS code", "CASE WHEN s_acctbal > 5000 THEN r_name END AS group_code")
+    return evidence.rollup_eligibility(direct.unionByName(grouped), nations.selectExpr("r_name AS group_code", "n_name AS code"))
+
+
+@query(f"{_EVIDENCE} SELECT subject, n_evidence, scope, eligible, excluded FROM r")
+def rollup_sets(t):
+    return _rollup(t).select("subject", "n_evidence", "scope", "eligible", "excluded")
+
+
+@query(f"{_EVIDENCE} SELECT subject, unnest(eligible) AS code, 'ELIGIBLE' AS relation FROM r UNION ALL SELECT subject, unnest(excluded), 'EXCLUDED' FROM r")
+def bridge_rows(t):
+    return evidence.eligibility_bridge(_rollup(t))
+
+
+@query("WITH o AS (SELECT DISTINCT l_orderkey AS subject, l_returnflag AS code, l_suppkey AS alias FROM lineitem), c AS (SELECT DISTINCT l_orderkey AS subject, l_returnflag AS ctx FROM lineitem WHERE l_linenumber = 1) SELECT code, alias FROM o JOIN c USING (subject) GROUP BY 1, 2 HAVING count(DISTINCT CASE WHEN code <> ctx THEN subject END) > count(DISTINCT CASE WHEN code = ctx THEN subject END)")
+def distrusted_aliases(t):
+    lines = t("lineitem").select(F.col("l_orderkey").alias("subject"), F.lit("line").alias("role"), F.lit("o").alias("object"), F.col("l_returnflag").alias("code"), F.col("l_suppkey").alias("alias"), "l_linenumber")
+    context = lines.where("l_linenumber = 1").select("subject", "role", "object", "code").distinct()
+    return evidence.distrusted_aliases(lines.drop("l_linenumber"), context)
+
+
+@query("SELECT c.conv_id, t.title, t.title_source FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN (SELECT conv_id, trim(text, ' ') AS title, upper(role) AS title_source, row_number() OVER (PARTITION BY conv_id ORDER BY CASE role WHEN 'assistant' THEN 0 ELSE 1 END, turn, text) AS r FROM conversations WHERE role IN ('assistant', 'user') AND length(trim(text, ' ')) BETWEEN 1 AND 500) t ON c.conv_id = t.conv_id AND r = 1")
+def title_priority(t):
+    pages = t("conversations").select(F.col("conv_id").alias("subject"), "turn", F.array(F.struct(F.col("role").alias("source"), F.col("text").alias("value"))).alias("titles"))
+    return facts.resolve_title(pages, pages.limit(0), ["ASSISTANT", "USER"], order="turn").withColumnRenamed("subject", "conv_id")
+
+
+@query("SELECT o_custkey, arg_max(o_orderpriority, struct_pack(a := o_orderdate, b := o_orderkey)) FILTER (o_orderstatus <> 'F') AS priority, count(*) FILTER (o_orderstatus <> 'F') AS n_active, max(o_orderdate)::DATE AS watermark FROM orders GROUP BY 1 HAVING n_active > 0")
+def active_customers(t):
+    rows = t("orders").withColumns({"is_deleted": F.col("o_orderstatus") == "F", "priority": F.col("o_orderpriority")})
+    return facts.active_groups(rows, "o_custkey", ["o_orderdate", "o_orderkey"], ["priority"], "o_orderdate").select("o_custkey", "priority", "n_active", F.col("watermark").cast("date").alias("watermark"))
+
+
+@query("SELECT coalesce(a, b) AS nation, a IS NOT NULL AS has_customers, b IS NOT NULL AS has_suppliers, greatest(x, y) AS latest_observed_at FROM (SELECT c_nationkey AS a, max(c_custkey) AS x FROM customer GROUP BY 1) FULL JOIN (SELECT s_nationkey AS b, max(s_suppkey) AS y FROM supplier GROUP BY 1) ON a = b")
+def current_nation_facts(t):
+    part = lambda name, key, at: t(name).groupBy(F.col(key).alias("nation")).agg(F.max(at).alias("observed_at"))
+    return facts.current_facts({"customers": part("customer", "c_nationkey", "c_custkey"), "suppliers": part("supplier", "s_nationkey", "s_suppkey")}, "nation").select("nation", "has_customers", "has_suppliers", "latest_observed_at")
