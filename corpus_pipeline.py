@@ -34,8 +34,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document, and whether they decode to its text."""
-    encoded = bpe.decode_ids(bpe.encode_texts(docs.select("doc_id", "lang", "source", "text"), TOKENIZER), TOKENIZER)
-    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    encoded = bpe.encode_checked(docs, TOKENIZER, ["doc_id", "lang", "source"])
+    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
 STAGES = [("language", identify), ("exact_dedup", dedup_exact), ("near_dedup", dedup_near), ("mixing", mix_sources), ("bpe", encode)]

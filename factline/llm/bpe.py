@@ -27,10 +27,13 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructType
 
 #: The published pattern that cuts texts into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -243,6 +246,35 @@ def decode_ids(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "
     return df.withColumn(text_col, pandas_udf(run, "string")(F.col(ids_col)))
 
 
+def encode_checked(df: DataFrame, path: str, keep: list[str], text_col: str = "text", ids_col: str = "ids", ok_col: str = "round_trip") -> DataFrame:
+    """Columns ``keep`` of ``df``, the ids of each text, and whether they decode to it, from one encoding.
+
+    A task holds the ids of about ``_PIECE`` characters at once, however many rows a batch has.
+    """
+    schema = StructType(df.select(*keep).schema.fields).add(ids_col, ArrayType(IntegerType(), False), False).add(ok_col, BooleanType(), False)
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = tokenizer(path)
+        for batch in batches:
+            *kept, column = batch.columns
+            ends = np.cumsum(pc.utf8_length(column).to_numpy(zero_copy_only=False))
+            begin = 0
+            while begin < len(batch):
+                end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + _PIECE, "right")))
+                texts = column.slice(begin, end - begin).to_pylist()
+                ids, ok = [], []
+                for text, (found, _) in zip(texts, own.encode_all(texts), strict=True):
+                    ids.append(found)
+                    ok.append(own.decode(found) == text)
+                offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
+                yield pa.RecordBatch.from_arrays([*(c.slice(begin, end - begin) for c in kept), lists, pa.array(ok)], names=names)
+                begin = end
+
+    return df.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("__text")).mapInArrow(run, schema)
+
+
 def digests(path: str, text_col: str = "text"):
     """Struct (n_tokens, ids_sha256, decoded_sha256) of a text's encoding and of what that decodes to."""
 

@@ -255,6 +255,10 @@ def test_bpe_equals_the_library(docs, empty):
         assert (r_.d.n_tokens, r_.d.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
         assert r_.d.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
     assert bpe.decode_ids(bpe.encode_texts(empty, TOKENIZER), TOKENIZER).count() == 0
+    separate = bpe.decode_ids(bpe.encode_texts(docs.select("doc_id", "text"), TOKENIZER), TOKENIZER)
+    want = sorted(repr((r.doc_id, r.ids, r.decoded == (r.text or ""))) for r in separate.collect())
+    assert sorted(repr(tuple(r)) for r in bpe.encode_checked(docs, TOKENIZER, ["doc_id"]).collect()) == want
+    assert bpe.encode_checked(empty, TOKENIZER, ["doc_id", "row"]).count() == 0
 
 
 def test_bpe_with_a_small_cache(monkeypatch):
