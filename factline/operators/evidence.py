@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from factline.functions.text import occurrences
+from factline.functions.text import fold_text, occurrences
 from factline.operators.relational import drop_contained, phrase_match, pick_first
 
 ID = "evidence_id"
 #: A code such as AB-12 between characters that aren't letters or digits; overlapping ones are all found.
 _CODE = r"(?<![A-Za-z0-9])(?=([A-Za-z0-9]+-[A-Za-z0-9]+))"
 
+#: Fields at the end of a path that belong to the object before them.
+_FIELD = r"(\.address)?\.(addresscountry|addressregion|addresslocality|name)$"
+
 
 @pandas_udf(StringType())
 def _decomposed(text: pd.Series) -> pd.Series:
@@ -38,6 +41,39 @@ def _within(longer: Column, shorter: Column) -> Column:
     return (F.length(longer) > F.length(shorter)) & F.contains(_padded(longer), _padded(shorter))
 
 
+def cased_text(col: Column) -> Column:
+    """Words as written: decomposed, with runs of other than ASCII letters and digits as one space. Apply it to distinct values."""
+    return F.trim(F.regexp_replace(_decomposed(col), "[^A-Za-z0-9]+", " "))
+
+
+def current_evidence(raw: DataFrame, latest: DataFrame, key: list[str]) -> DataFrame:
+    """Evidence of each subject's latest run: ``latest`` is unique by ``key``, the subject and its run's ids; null keys match nothing."""
+    return raw.join(latest.select(*key), key, "left_semi")
+
+
+def alias_table(entities: DataFrame, reviewed: DataFrame | None = None, code: str = "code", name: str = "name", codes: tuple[str, ...] = ()) -> DataFrame:
+    """Aliases (code, alias, cased_alias, kind) that mean one code: names, what precedes a comma in them, codes, and reviewed ones.
+
+    ``codes`` are further columns of ``entities`` that hold codes; ``reviewed`` has code, alias and kind. An alias that
+    means several codes in its kind is left out; of several spellings that fold alike, the first stays. Null and blank aliases are none.
+    """
+    texts = [(F.col(name), "phrase"), (F.when(F.contains(F.col(name), F.lit(",")), F.substring_index(name, ",", 1)), "phrase"), *((F.col(c), "exact_code") for c in (code, *codes))]
+    each = F.inline(F.array(*(F.struct(text.cast("string").alias("text"), F.lit(kind).alias("kind")) for text, kind in texts)))
+    rows = entities.select(F.col(code).alias("code"), each)
+    if reviewed is not None:
+        rows = rows.unionByName(reviewed.select("code", F.col("alias").alias("text"), "kind"))
+    folded = rows.where("text IS NOT NULL AND code IS NOT NULL").distinct().select("code", "kind", fold_text(F.col("text")).alias("alias"), cased_text(F.col("text")).alias("cased_alias"))
+    found = folded.where("alias <> ''").groupBy("alias", "kind").agg(F.min("code").alias("code"), F.max("code").alias("__last"), F.min("cased_alias").alias("cased_alias"))
+    return found.where("code = __last").select("code", "alias", "cased_alias", "kind")
+
+
+def prepare_texts(evidence: DataFrame, raw: str = "raw_value", path: str = "path") -> DataFrame:
+    """``evidence`` with ``folded`` and ``cased`` text (null as empty) and ``object``, the path without the field of an address or a name at its end."""
+    text = F.coalesce(F.col(raw), F.lit(""))
+    parent = F.regexp_replace(F.lower(F.coalesce(F.col(path), F.lit(""))), _FIELD, "")
+    return evidence.withColumns({"folded": fold_text(text), "cased": cased_text(text), "object": parent})
+
+
 def subdivision_match(evidence: DataFrame, subdivisions: DataFrame, raw: str = "raw_value") -> DataFrame:
     """Regions (code, alias, cased_alias, kind) named in ``cased``: a phrase as written, or a code such as AB-12 in ``raw``.
 

@@ -475,3 +475,11 @@ def active_customers(t):
 def current_nation_facts(t):
     part = lambda name, key, at: t(name).groupBy(F.col(key).alias("nation")).agg(F.max(at).alias("observed_at"))
     return facts.current_facts({"customers": part("customer", "c_nationkey", "c_custkey"), "suppliers": part("supplier", "s_nationkey", "s_suppkey")}, "nation").select("nation", "has_customers", "has_suppliers", "latest_observed_at")
+
+
+@query("""
+    WITH a AS (SELECT DISTINCT p_brand AS code, p_name AS text, 'phrase' AS kind FROM part UNION SELECT DISTINCT p_brand, p_brand, 'exact_code' FROM part),
+    n AS (SELECT code, kind, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) AS alias, trim(regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g')) AS cased_alias FROM a)
+    SELECT min(code) AS code, alias, min(cased_alias) AS cased_alias, kind FROM n GROUP BY alias, kind HAVING count(DISTINCT code) = 1""")
+def alias_rows(t):
+    return evidence.alias_table(t("part").select("p_brand", "p_name"), code="p_brand", name="p_name")

@@ -73,3 +73,17 @@ def test_titles_facts_and_marts(spark):
     assert [(r.company, r.name, r.n_active, r.watermark) for r in facts.active_groups(served, "company", ["at", "subject"], ["name"], "at").collect()] == [("k", "new", 2, 9)]
     bridge = spark.createDataFrame([("a", "FR"), ("c", "FR")], "subject string, code string")
     assert [r.subject for r in facts.bridge_mart(bridge, served).collect()] == ["a"]
+
+
+def test_alias_table_and_prepared_texts(spark):
+    countries = spark.createDataFrame([("KR", "Korea, Republic of", "KOR"), ("KP", "Korea, Democratic Republic of", "PRK"), ("CI", "Côte d'Ivoire", "CIV"), (None, None, None)], "code string, name string, alpha_3 string")
+    reviewed = spark.createDataFrame([("CI", "Ivory Coast", "phrase"), ("KR", " ", "phrase"), ("KR", None, "phrase")], "code string, alias string, kind string")
+    found = {(r.code, r.alias, r.cased_alias, r.kind) for r in evidence.alias_table(countries, reviewed, codes=("alpha_3",)).collect()}
+    assert ("KR", "korea republic of", "Korea Republic of", "phrase") in found and ("CI", "ivory coast", "Ivory Coast", "phrase") in found
+    assert ("KP", "prk", "PRK", "exact_code") in found and not any(alias in ("korea", "") for _, alias, _, _ in found)
+    assert len(found) == 10
+    raw = spark.createDataFrame([("e1", "Québec, Canada", "$.jobLocation[0].address.addressRegion", 1), ("e2", None, None, None)], "evidence_id string, raw_value string, path string, run int")
+    first, none = evidence.prepare_texts(raw).orderBy("evidence_id").collect()
+    assert first.object == "$.joblocation[0]" and first.cased.endswith("bec Canada") and (none.folded, none.cased, none.object) == ("", "", "")
+    latest = spark.createDataFrame([(1,), (None,)], "run int")
+    assert [r.evidence_id for r in evidence.current_evidence(raw, latest, ["run"]).collect()] == ["e1"]
