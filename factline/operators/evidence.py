@@ -74,6 +74,39 @@ def prepare_texts(evidence: DataFrame, raw: str = "raw_value", path: str = "path
     return evidence.withColumns({"folded": fold_text(text), "cased": cased_text(text), "object": parent})
 
 
+#: What each role says of places (direction, how codes and groups are matched), and whether a global scope and ``can_restrict`` bear on it.
+ROLES = {
+    "APPLICANT_LOCATION_REQUIREMENTS": ("INCLUDED", "ATOMIC", "ATOMIC", True, True),
+    "LLM_EXCLUDED_COUNTRY": ("EXCLUDED", "ATOMIC", "NONE", False, False),
+    "LLM_EXCLUDED_GROUP": ("EXCLUDED", "NONE", "ATOMIC", False, False),
+    "LLM_GLOBAL_SCOPE": ("UNKNOWN", "NONE", "NONE", True, False),
+    "LLM_INCLUDED_COUNTRY": ("INCLUDED", "ATOMIC", "NONE", False, False),
+    "LLM_INCLUDED_GROUP": ("INCLUDED", "NONE", "ATOMIC", False, False),
+    "NORMALIZED_TEXT": ("INCLUDED", "TEXT", "TEXT", True, True),
+    "SOURCE_DEFAULT_COUNTRY_ELIGIBILITY": ("INCLUDED", "ATOMIC", "ATOMIC", True, True),
+}
+
+
+def direct(evidence: DataFrame, roles: dict[str, tuple] = ROLES) -> DataFrame:
+    """``evidence`` with its ``direction`` and the modes ``mode`` and ``group_mode`` (ATOMIC, TEXT or NONE) in which codes and groups are looked for.
+
+    Needs role, path, scope, can_restrict, and the flags global_place, restricting and location_role. The flags go
+    before the role, in this order. Roles that aren't listed, or null, are UNKNOWN and match nothing; a null flag is
+    false, a null ``can_restrict`` true. The roles are literals of the plan, not a join.
+    """
+    policy = F.create_map(*(x for role, (way, codes, groups, scoped, limited) in roles.items() for x in (F.lit(role), F.struct(F.lit(way).alias("way"), F.lit(codes).alias("codes"), F.lit(groups).alias("groups"), F.lit(scoped).alias("scoped"), F.lit(limited).alias("limited")))))
+    own = policy[F.col("role")]
+    flag = lambda c: F.coalesce(F.col(c), F.lit(False))
+    worldwide = own["scoped"] & F.col("scope").isin("GLOBAL", "GLOBAL_EXCEPT")
+    silent = own["limited"] & ~F.coalesce(F.col("can_restrict"), F.lit(True))
+    said = F.when(worldwide, "GLOBAL").when(silent, "UNKNOWN").otherwise(F.coalesce(own["way"], F.lit("UNKNOWN")))
+    direction = F.when(flag("global_place"), "GLOBAL").when(flag("restricting"), "INCLUDED").when(flag("location_role"), "UNKNOWN").otherwise(said)
+    stated = (F.col("role") == "JOB_LOCATION") & F.endswith(F.lower("path"), F.lit(".addresscountry"))
+    placed = F.when(F.coalesce(stated, F.lit(False)), "ATOMIC").otherwise("TEXT")
+    mode = lambda c: F.when(flag("restricting"), placed).otherwise(F.coalesce(own[c], F.lit("NONE")))
+    return evidence.withColumns({"direction": direction, "mode": mode("codes"), "group_mode": mode("groups")})
+
+
 def subdivision_match(evidence: DataFrame, subdivisions: DataFrame, raw: str = "raw_value") -> DataFrame:
     """Regions (code, alias, cased_alias, kind) named in ``cased``: a phrase as written, or a code such as AB-12 in ``raw``.
 

@@ -87,3 +87,23 @@ def test_alias_table_and_prepared_texts(spark):
     assert first.object == "$.joblocation[0]" and first.cased.endswith("bec Canada") and (none.folded, none.cased, none.object) == ("", "", "")
     latest = spark.createDataFrame([(1,), (None,)], "run int")
     assert [r.evidence_id for r in evidence.current_evidence(raw, latest, ["run"]).collect()] == ["e1"]
+
+
+def test_direction_and_modes(spark):
+    cases = [
+        # role, path, scope, can_restrict, global_place, restricting, location_role -> direction, mode, group_mode
+        ("JOB_LOCATION", "$.x.addressCountry", "SPECIFIC", None, False, True, True, "INCLUDED", "ATOMIC", "ATOMIC"),
+        ("JOB_LOCATION", None, None, None, None, True, True, "INCLUDED", "TEXT", "TEXT"),
+        ("JOB_LOCATION", None, None, True, False, False, True, "UNKNOWN", "NONE", "NONE"),
+        ("JOB_LOCATION", None, None, True, True, True, True, "GLOBAL", "TEXT", "TEXT"),
+        ("NORMALIZED_TEXT", None, "GLOBAL_EXCEPT", True, None, None, None, "GLOBAL", "TEXT", "TEXT"),
+        ("NORMALIZED_TEXT", None, None, False, None, None, None, "UNKNOWN", "TEXT", "TEXT"),
+        ("APPLICANT_LOCATION_REQUIREMENTS", None, "UNKNOWN", None, None, None, None, "INCLUDED", "ATOMIC", "ATOMIC"),
+        ("LLM_EXCLUDED_GROUP", None, "GLOBAL_EXCEPT", False, None, None, None, "EXCLUDED", "NONE", "ATOMIC"),
+        ("LLM_GLOBAL_SCOPE", None, None, None, None, None, None, "UNKNOWN", "NONE", "NONE"),
+        ("other", None, "GLOBAL", True, None, None, None, "UNKNOWN", "NONE", "NONE"),
+        (None, None, None, None, None, None, None, "UNKNOWN", "NONE", "NONE"),
+    ]
+    schema = "role string, path string, scope string, can_restrict boolean, global_place boolean, restricting boolean, location_role boolean, a string, b string, c string"
+    rows = evidence.direct(spark.createDataFrame(cases, schema)).collect()
+    assert [(r.direction, r.mode, r.group_mode) for r in rows] == [x[7:] for x in cases]
