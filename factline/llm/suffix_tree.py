@@ -1,16 +1,19 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-Tokens are white-space words, ASCII lower-cased, and an end of text. Words that make up at least ``min_word`` of
-the training tokens are symbols of the tree, at most 1 / min_word; all rarer ones are one symbol, OTHER, whose
-probability a word shares by its own count. Contexts of one word, two, and so on to ``depth`` are candidates if
-they make up at least ``min_context`` of the tokens, and their next symbols are counted over all training texts,
-one pass for each length. A candidate stays if the divergence of its next-symbol distribution from that of its
-longest retained suffix, times its count, exceeds a penalty for its parameters. Distributions are smoothed
-towards the suffix's, down to the unigram with half a count for each word, so probabilities sum to one. A text's
-state at each place is its longest suffix in the tree.
-
-The tree is bounded by these parameters and is broadcast. What grows with the corpus is shuffled: counts of all
-words, counts of pairs, and each text's rare words, which meet their counts in a join (no rare word is hot).
+Tokens are white-space words, ASCII lower-cased, and an end of text. Contexts of one word, two, and so on are
+candidates if they occur ``LEAST_CONTEXT`` times, whatever the corpus's size, and next symbols count if they follow
+``LEAST_PAIR`` times. A candidate stays if the divergence of its next-symbol distribution from that of its longest
+retained suffix, times its count, exceeds a penalty for its parameters. The tree has contexts of up to ``depth``
+words; with None it gets deeper until no context of a length stays. Distributions are smoothed towards the suffix's, down to the unigram with half a count for each word,
+so probabilities sum to one. A text's state at each place is its longest suffix in the tree.
+
+The tree is a table in the shared folder, keyed by 64-bit hashes of word sequences, and is never in one place. A
+sequence of words has one weight: of its words but the last as a state, of what the last one gains over the next
+shorter state, and of itself as a state that its next symbol may not be known in. A text's score is the sum of the
+weights of all its sequences, so it is scored by a join. Sequences that make up at least ``min_word`` of the tokens,
+at most 1 / min_word of each length, are broadcast, so that no key of the join is hot; this has no effect on results.
+A bit filter of a fixed size keeps most sequences that the table lacks out of shuffles; what passes it wrongly finds
+nothing in the joins.
 
 Defined results: a null text is empty, with one token, the end; null ids are learned from; without training
 texts every token has probability one; repeated rows are scored each; an empty table gives an empty result.
@@ -18,21 +21,25 @@ texts every token has probability one; repeated rows are scored each; an empty t
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factline.sources.storage import write_shared
 
-MIN_WORD, MIN_CONTEXT, MIN_PAIR, DEPTH = 1e-6, 2e-5, 5e-7, 2
+LEAST_CONTEXT, LEAST_PAIR, DEPTH = 8, 2, 2
+#: Share of the tokens from which a sequence is broadcast for scoring, and 64-bit words of a filter.
+MIN_WORD, FILTER = 1e-6, 1 << 20
+#: Lengths of contexts that are counted in one pass at most; a pass from length d on counts d lengths otherwise.
+SPAN = 8
 END = b""
-_HELD, _TOKENS = 1 << 20, 1 << 19
+_HELD, _TOKENS = 1 << 21, 1 << 19
 
 
 def tokens(data: bytes) -> list[bytes]:
@@ -49,36 +56,13 @@ def held_out(id_col: str = "doc_id"):
 
 @dataclass
 class Tree:
-    """``symbols``: number of each frequent word. State 0 is the root; states are numbered on by depth."""
-
-    symbols: dict[bytes, int]
-    root: np.ndarray  # log10 probability of each symbol; the last is OTHER
-    contexts: list[np.ndarray] = field(default_factory=list)  # by depth: sorted keys (code of the context before) * width + symbol
-    states: list[np.ndarray] = field(default_factory=list)  # by depth: state of each context, 0 if it isn't retained
-    parent: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
-    back: np.ndarray = field(default_factory=lambda: np.zeros(1))  # log10 weight of the parent's distribution
-    pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # sorted: state * width + symbol
-    values: np.ndarray = field(default_factory=lambda: np.zeros(0))  # log10 probability of each pair
-
-    @property
-    def width(self) -> int:
-        return len(self.root) + 1  # a further symbol stands before each text
-
-    def codes(self, ids: np.ndarray) -> list[np.ndarray]:
-        """For each depth: which candidate context ends at each place, or -1."""
-        out: list = []
-        for depth, keys in enumerate(self.contexts):
-            before = np.zeros(len(ids), np.int64) if not depth else np.concatenate(([-1], out[-1][:-1]))
-            out.append(find(keys, np.where(before >= 0, before * self.width + ids, -1)))
-        return out
+    """A model in memory, of a corpus that is small. State 0 is the root; states are numbered on by depth."""
 
-    def state(self, codes: list[np.ndarray]) -> np.ndarray:
-        """State at each place: that of the longest retained context."""
-        out = np.zeros(len(codes[0]) if codes else 0, np.int64)
-        for found, states in zip(codes, self.states, strict=False):
-            own = np.where(found >= 0, states[found] if len(states) else 0, 0)
-            out = np.where(own > 0, own, out)
-        return out
+    root: np.ndarray  # log10 probability of each word; the last is that of an unknown one
+    parent: np.ndarray
+    back: np.ndarray  # log10 weight of the parent's distribution
+    pairs: np.ndarray  # sorted: state * number of symbols + symbol
+    values: np.ndarray  # log10 probability of each pair
 
     def log10(self, state: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """log10 probability of a symbol in each state."""
@@ -86,7 +70,7 @@ class Tree:
         open_ = np.arange(len(ids))
         while len(open_):
             s, w = state[open_], ids[open_]
-            at = find(self.pairs, np.where(s > 0, s * self.width + w, -1))
+            at = find(self.pairs, np.where(s > 0, s * len(self.root) + w, -1))
             hit, root = at >= 0, s == 0
             out[open_[hit]] += self.values[at[hit]]
             out[open_[root]] += self.root[w[root]]
@@ -105,9 +89,33 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-def _sequences(batches: Iterator[pa.RecordBatch], column: int, symbols: dict, other: int) -> Iterator[tuple]:
-    """(batch rows, their token lists, symbols with a separator before each text), some texts at a time."""
-    number = symbols.get
+def _longer(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Hashes of the sequences, longer by a word, that end at each place."""
+    x = np.zeros_like(words)
+    x[1:] = hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:]
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x ^= x >> np.uint64(shift)
+        x *= np.uint64(factor)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """Bits of the longs ``h``, at most ``FILTER`` words of 64; all zero without keys."""
+    word = F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(FILTER - 1))
+    found = keys.groupBy(word.alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(h & 63)))").alias("bits")).toArrow()
+    bits = np.zeros(FILTER, np.uint64)
+    bits[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return bits
+
+
+def _passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    return bits[hashes >> np.uint64(6) & np.uint64(FILTER - 1)] >> (hashes & np.uint64(63)) & np.uint64(1) > 0
+
+
+def _sequences(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple]:
+    """(batch, rows, numbers of tokens, hashes of all words, their places in the texts), some texts at a time."""
+    digest = xxhash.xxh3_64_intdigest
     for batch in batches:
         rows: list = []
         held: list = []
@@ -117,161 +125,249 @@ def _sequences(batches: Iterator[pa.RecordBatch], column: int, symbols: dict, ot
             if i < len(batch):
                 words = tokens(texts[i].as_py())
                 rows.append(i)
-                held.append(words)
+                held.append(np.fromiter(map(digest, words), np.uint64, len(words)))
                 size += len(words)
             if held and (i == len(batch) or size >= _TOKENS):
-                ids = np.array([x for words in held for x in (other + 1, *(number(w, other) for w in words))], np.int64)
-                yield batch, rows, held, ids
+                lengths = np.array([len(x) for x in held])
+                place = np.arange(size) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+                yield batch, rows, lengths, np.concatenate(held), place
                 rows, held, size = [], [], 0
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
-    flush = lambda: pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
-    for batch in batches:
-        for text in batch.column(0):
-            held.update(tokens(text.as_py()))
-            if len(held) >= _HELD:
-                yield flush()
-                held = Counter()
-    yield flush()
+    for _, _, _, words, _ in _sequences(batches, 0):
+        h, n = np.unique(words, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
 
 
-def _count_next(shared, depth: int):
-    """Counts of the symbol after each candidate context of ``depth``."""
+def _count(depth: int, end: int, shared):
+    """Counts of sequences with contexts of ``depth`` words and more, below ``end``.
+
+    ``shared``: filters of the contexts of ``depth`` words that count, and of the sequences of as many words that occur
+    often enough for a pair; a sequence counts only if all those in it pass. With one word, ``h`` is left out for now.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree: Tree = shared.value
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        flush = lambda: pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["pair", "n"])
-        for _, _, _, ids in _sequences(batches, 0, tree.symbols, len(tree.root) - 1):
-            code = tree.codes(ids)[depth - 1][:-1]
-            use = (code >= 0) & (ids[1:] < len(tree.root))
-            new, n = np.unique(code[use] * tree.width + ids[1:][use], return_counts=True)
-            both, place = np.unique(np.concatenate([keys, new]), return_inverse=True)
-            keys, counts = both, np.bincount(place, np.concatenate([counts, n]), len(both)).astype(np.int64)
-            if len(keys) >= 4 * _HELD:
-                yield flush()
-                keys, counts = keys[:0], counts[:0]
-        yield flush()
+        held: list = []
+        size = 0
+
+        def flush():
+            nonlocal held, size
+            key, ctx, suf, level = (np.concatenate(x) for x in zip(*held, strict=True))
+            held, size = [], 0
+            order = np.argsort(key)
+            h = key[order]
+            first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+            n = np.diff(np.append(first, len(h)))
+            one = order[first]
+            arrays = [pa.array(c.view(np.int64)) for c in (h[first] if depth > 1 else np.zeros(len(first), np.uint64), ctx[one], suf[one])]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(level[one]), pa.array(n)], names=["h", "ctx", "suf", "level", "n"])
+
+        for _, _, _, words, place in _sequences(batches, 0):
+            before = words
+            for _ in range(depth - 1):
+                before = _longer(before, words)
+            context, often = (_passes(bits, before) for bits in shared.value)
+            good = np.concatenate(([False], context[:-1])) & often
+            for level in range(depth, end):
+                if level > depth:
+                    good[1:] &= good[:-1].copy()
+                use = np.flatnonzero(good & (place >= level))
+                if not len(use):
+                    break
+                h = _longer(before, words)
+                held.append((h[use], before[use - 1], before[use], np.full(len(use), level, np.int32)))
+                before = h
+                size += len(use)
+            if size >= _HELD:
+                yield from flush()
+        if size:
+            yield from flush()
 
     return run
 
 
-def grow(tree: Tree, total: int, pairs: np.ndarray, counts: np.ndarray, sums: np.ndarray) -> None:
-    """Add the states of one more depth: from counts of (context, next) pairs and of contexts, keep what diverges."""
-    depth, width = len(tree.contexts), tree.width
-    keys = tree.contexts[-1]
-    # The longest retained proper suffix of a context: where its symbols but the first lead.
-    trail = np.zeros((len(keys), depth), np.int64)
-    at = keys
-    for level in range(depth - 1, -1, -1):
-        trail[:, level] = at % width
-        if level:
-            at = tree.contexts[level - 1][at // width]
-    parent = np.zeros(len(keys), np.int64)
-    for length in range(1, depth):
-        code = np.zeros(len(keys), np.int64)
-        for i, keys_at in enumerate(tree.contexts[:length]):
-            code = find(keys_at, np.where(code >= 0, code * width + trail[:, depth - length + i], -1))
-        state = np.where(code >= 0, tree.states[length - 1][code], 0)
-        parent = np.where(state > 0, state, parent)
-    context, symbol = pairs // width, pairs % width
-    kept = np.bincount(context, counts, len(keys))
-    types = np.bincount(context, minlength=len(keys)) + 1.0
-    above = 10 ** tree.log10(parent[context], symbol)
-    share = counts / sums[context]
-    divergence = np.bincount(context, share * np.log(share / above), len(keys))
-    rest, rest_above = np.maximum(sums - kept, 0) / np.maximum(sums, 1), np.maximum(1 - np.bincount(context, above, len(keys)), 1e-12)
-    divergence += np.where(rest > 0, rest * np.log(np.maximum(rest, 1e-300) / rest_above), 0)
-    retained = sums * divergence > 0.5 * types * np.log(np.maximum(sums, 2))
-    states = np.where(retained, len(tree.parent) - 1 + np.cumsum(retained), 0)
-    weight = (sums - kept + types) / (sums + types)
-    use = retained[context]
-    value = counts[use] / (sums + types)[context[use]] + weight[context[use]] * above[use]
-    new, values = np.concatenate([tree.pairs, states[context[use]] * width + symbol[use]]), np.concatenate([tree.values, np.log10(value)])
-    order = np.argsort(new)
-    tree.pairs, tree.values = new[order], values[order]
-    tree.states.append(states)
-    tree.parent, tree.back = np.concatenate([tree.parent, parent[retained]]), np.concatenate([tree.back, np.log10(weight[retained])])
-
-
-def train(texts: DataFrame, depth: int = DEPTH, min_word: float = MIN_WORD, min_context: float = MIN_CONTEXT, min_pair: float = MIN_PAIR) -> tuple[Tree, DataFrame, int, int]:
-    """The tree, (word, n) of all training words, their total and their number. ``texts``: one binary column."""
-    spark = texts.sparkSession
-    counts = write_shared(texts.mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    frequent = counts.where(F.col("n") >= max(min_word * total, 1)).toArrow()  # at most 1 / min_word rows
-    words = sorted(zip(frequent["n"].to_pylist(), frequent["word"].to_pylist(), strict=True), key=lambda x: (-x[0], x[1]))
-    n = np.array([x for x, _ in words], np.float64)
-    scale = total + 0.5 * (distinct + 1)
-    root = np.log10(np.append(n + 0.5, total - n.sum() + 0.5 * (distinct + 1 - len(n))) / scale)
-    tree = Tree({w: i for i, (_, w) in enumerate(words)}, root)
-    tree.contexts = [np.flatnonzero(n >= min_context * total)]
-    end = tree.symbols.get(END, -1)
-    tree.contexts[0] = tree.contexts[0][tree.contexts[0] != end]
-    for level in range(1, depth + 1):
-        if not len(tree.contexts[-1]):
-            tree.contexts.pop()
-            break
-        counted = write_shared(texts.mapInArrow(_count_next(spark.sparkContext.broadcast(tree), level), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
-        width = tree.width
-        of = counted.groupBy(F.floor(F.col("pair") / width).alias("context")).agg(F.sum("n").alias("n")).toArrow()  # at most 1 / min_context rows
-        sums = np.zeros(len(tree.contexts[-1]))
-        sums[of["context"].to_numpy()] = of["n"].to_numpy()
-        held = counted.where(F.col("n") >= max(min_pair * total, 2)).toArrow()  # at most 1 / min_pair rows
-        pairs, n = held["pair"].to_numpy().astype(np.int64), held["n"].to_numpy().astype(np.float64)
-        grow(tree, total, pairs, n, sums)
-        if level < depth:
-            symbol = pairs % width
-            longer = (n >= min_context * total) & (symbol < len(root) - 1) & (symbol != end)
-            tree.contexts.append(np.sort(pairs[longer]))
-    return tree, counts, total, distinct
+def _pair_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fills ``h`` of sequences of two words."""
+    for batch in batches:
+        if len(batch):
+            ctx, suf = (np.array(batch.column(c)).view(np.uint64) for c in ("ctx", "suf"))
+            h = _longer(np.append(ctx, np.uint64(0)), np.append(np.uint64(0), suf))[1:]
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *batch.columns[1:]], names=batch.schema.names)
 
 
-_SCORED = "uid long, id long, held_out boolean, n_tokens long, known long, base double, score double, rare array<struct<word: binary, n: long>>"
+@dataclass
+class Model:
+    words: DataFrame  # h, n, s: log10 probability
+    levels: list[DataFrame]  # by depth: h, ctx, suf, n, s, above, back: null if the context isn't retained
+    counted: list[DataFrame]
+    weights: DataFrame  # h, n, weight, base, known
+    total: int
+    distinct: int
+
 
+def learn(texts: DataFrame, depth: int | None = DEPTH, min_context: float = 0.0, min_pair: float = 0.0) -> Model:
+    """The tree of ``texts``, one binary column. The shares of the tokens are further thresholds of counts."""
+    spark = texts.sparkSession
+    counts = write_shared(texts.mapInArrow(_count_words, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "words")
+    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    below = words = counts.select("h", "n", F.log10((F.col("n") + 0.5) / F.lit(total + 0.5 * (distinct + 1))).alias("s"))
+    weights = words.select("h", "n", F.col("s").alias("weight"), F.col("s").alias("base"), F.lit(1).alias("known"))
+    zero = [F.lit(0.0).alias("base"), F.lit(0).alias("known")]
+    levels: list = []
+    written: list = []
+    end = 1
+    while depth is None or len(levels) < depth:
+        at = len(levels) + 1
+        contexts = below.where(F.col("n") >= max(min_context * total, LEAST_CONTEXT)).select("h", "n")
+        enough = F.col("n") >= max(min_pair * total, LEAST_PAIR)
+        if at == end:
+            bits = _filter(contexts), _filter(below.where(enough))
+            if not bits[0].any():
+                break
+            end = min(2 * at, at + SPAN, at + SPAN if depth is None else depth + 1)
+            counted = texts.mapInArrow(_count(at, end, spark.sparkContext.broadcast(bits)), "h long, ctx long, suf long, level int, n long")
+            counted = counted.groupBy("h", "ctx", "suf", "level").agg(F.sum("n").alias("n")).where(enough)
+            counted = write_shared(counted.mapInArrow(_pair_hashes, counted.schema) if at == 1 else counted, "counted")
+            written.append(counted)
+            spark.sparkContext._jvm.System.gc()  # else files of shuffles that are over stay on disk
+        pairs = counted.where(F.col("level") == at).drop("level").join(below.select(F.col("h").alias("suf"), F.col("s").alias("above")), "suf")
+        retained = write_shared(_retained(pairs, contexts), "contexts")
+        if not retained.take(1):
+            break
+        if at == 1:
+            spark.sparkContext._jvm.System.gc()
+        value = F.log10(F.col("n") / (F.col("sum") + F.col("types")) + F.pow(F.lit(10.0), F.col("back") + F.col("above")))
+        level = pairs.join(retained, "ctx", "left").select("h", "ctx", "suf", "n", F.coalesce(value, "above").alias("s"), "above", "back")
+        below = write_shared(level, "level")
+        levels.append(below)
+        gains = below.where("back IS NOT NULL").select("h", "n", (F.col("s") - F.col("above") - F.col("back")).alias("weight"), *zero)
+        states = retained.select(F.col("ctx").alias("h"), F.col("sum").alias("n"), F.col("back").alias("weight"), *zero)
+        weights = weights.unionByName(gains).unionByName(states)
+    summed = weights.groupBy("h").agg(F.max("n").alias("n"), *(F.sum(c).alias(c) for c in ("weight", "base", "known")))
+    return Model(words, levels, written, write_shared(summed, "weights"), total, distinct)
+
+
+def _drop(tables: list[DataFrame]) -> None:
+    """Deletes what was written of ``tables`` that nothing reads any more, and files of shuffles that are over."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        for folder in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        jvm.System.gc()
+
+
+def _retained(pairs: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(ctx, sum, types, back) of the contexts whose next symbols diverge from those of the longest retained suffix."""
+    n, above = F.col("n"), F.col("above")
+    # Of the divergence, the sum over symbols of n * ln(n / sum / above) but for the sum, which is joined later.
+    own = F.sum(n * (F.ln(n) - above * F.ln(F.lit(10.0))))
+    stats = pairs.groupBy("ctx").agg(F.sum("n").alias("kept"), (F.count(F.lit(1)) + 1.0).alias("types"), own.alias("own"), F.sum(F.pow(F.lit(10.0), above)).alias("mass"))
+    stats = stats.join(contexts.select(F.col("h").alias("ctx"), F.col("n").alias("sum")), "ctx")
+    total, kept, types = F.col("sum"), F.col("kept"), F.col("types")
+    rest = total - kept
+    others = F.when(rest > 0, rest * F.ln(rest / total / F.greatest(1 - F.col("mass"), F.lit(1e-12)))).otherwise(0.0)
+    stays = F.col("own") - kept * F.ln(total) + others > 0.5 * types * F.ln(F.greatest(total, F.lit(2)))
+    return stats.where(stays).select("ctx", "sum", "types", F.log10((rest + types) / (total + types)).alias("back"))
+
+
+def train(texts: DataFrame, min_word: float = MIN_WORD, **options) -> tuple[Tree, DataFrame, int, int]:
+    """The tree in memory, (h, n) of all training words, their total and their number; for a corpus that is small."""
+    model = learn(texts, **options)
+    words = model.words.orderBy(F.desc("n"), "h").collect()
+    last = {r.h: i for i, r in enumerate(words)}
+    unknown = np.log10(0.5 / (model.total + 0.5 * (model.distinct + 1)))
+    suffix: dict = {}
+    state: dict = {}
+    parent, back, values = [0], [0.0], {}
+    for level in model.levels:
+        rows = level.collect()
+        for r in rows:
+            if r.back is not None:
+                if r.ctx not in state:
+                    at = suffix.get(r.ctx)
+                    while at is not None and at not in state:
+                        at = suffix.get(at)
+                    parent.append(state.get(at, 0))
+                    back.append(r.back)
+                    state[r.ctx] = len(parent) - 1
+                values[state[r.ctx] * (len(words) + 1) + last[r.suf]] = r.s
+        suffix |= {r.h: r.suf for r in rows}
+        last |= {r.h: last[r.suf] for r in rows}
+    pairs = np.array(sorted(values), np.int64)
+    tree = Tree(np.array([r.s for r in words] + [unknown]), np.array(parent), np.array(back), pairs, np.array([values[x] for x in pairs.tolist()]))
+    return tree, model.words.select("h", "n"), model.total, model.distinct
+
+
+_SCORED = "uid long, id long, held_out boolean, n_tokens long, known long, base double, score double, rest array<struct<h: long, times: long, word: boolean>>"
+
+
+def _score(shared, longest: int, unseen: float):
+    """Sums over what the broadcast has, and the other sequences of each text that the table may have."""
 
-def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree: Tree = shared.value
-        other = len(tree.root) - 1
+        keys, weight, base, known, bits = shared.value
         row = TaskContext.get().partitionId() << 40
-        for batch, rows, held, ids in _sequences(batches, 2, tree.symbols, other):
-            begins = np.flatnonzero(ids == other + 1)
-            before = np.concatenate(([0], tree.state(tree.codes(ids))[:-1])) if tree.contexts else np.zeros(len(ids), np.int64)
-            real = ids != other + 1
-            scored, base = np.zeros(len(ids)), np.zeros(len(ids))
-            scored[real] = tree.log10(before[real], ids[real])
-            base[real] = tree.root[ids[real]]
-            rare = ids == other
-            scored[rare] -= tree.root[other]
-            base[rare] = 0
-            sums = [np.add.reduceat(x, begins) for x in (base, scored, real & ~rare)]
-            words = []
-            for begin, text in zip(begins.tolist(), held, strict=True):
-                found = Counter(text[i] for i in np.flatnonzero(rare[begin + 1 : begin + 1 + len(text)]).tolist())
-                words.append([{"word": w, "n": n} for w, n in found.items()])
-            columns = [pa.array(np.arange(row, row + len(rows))), batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows)), pa.array([len(x) for x in held], pa.int64())]
-            columns += [pa.array(sums[2].astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), pa.array(words, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))]
+        for batch, rows, lengths, words, place in _sequences(batches, 2):
+            sums = np.zeros((3, len(words)))
+            rest: list = []
+            h = words
+            for length in range(1, longest + 1):
+                if length > 1:
+                    h = _longer(h, words)
+                at = np.flatnonzero(place >= length - 1)
+                may = _passes(bits, h[at])
+                if length == 1:
+                    sums[:2, at[~may]] += unseen
+                at = at[may]
+                found = find(keys, h[at])
+                hit = found >= 0
+                sums[0, at[hit]] += weight[found[hit]]
+                if length == 1:
+                    sums[1, at[hit]] += base[found[hit]]
+                    sums[2, at[hit]] += known[found[hit]]
+                at = at[~hit]
+                rest.append((at, h[at], np.full(len(at), length == 1)))
+            begins = np.cumsum(lengths) - lengths
+            sums = np.add.reduceat(sums, begins, axis=1)
+            at, h, word = (np.concatenate(x) for x in zip(*rest, strict=True))
+            text = np.repeat(np.arange(len(lengths)), lengths)[at]
+            order = np.lexsort((h, text))
+            text, h, word = text[order], h[order], word[order]
+            first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])))) if len(h) else np.zeros(0, np.int64)
+            times = np.diff(np.append(first, len(h))) if len(h) else first
+            offsets = np.concatenate(([0], np.cumsum(np.bincount(text[first], minlength=len(lengths))))).astype(np.int32)
+            items = pa.StructArray.from_arrays([pa.array(h[first].view(np.int64)), pa.array(times), pa.array(word[first])], names=["h", "times", "word"])
+            columns = [pa.array(np.arange(row, row + len(rows))), batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows)), pa.array(lengths)]
+            columns += [pa.array(sums[2].astype(np.int64)), pa.array(sums[1]), pa.array(sums[0]), pa.ListArray.from_arrays(pa.array(offsets), items)]
             row += len(rows)
-            yield pa.RecordBatch.from_arrays(columns, names=["uid", "id", "held_out", "n_tokens", "known", "base", "score", "rare"])
+            yield pa.RecordBatch.from_arrays(columns, names=["uid", "id", "held_out", "n_tokens", "known", "base", "score", "rest"])
 
     return run
 
 
-def score(df: DataFrame, train_on, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def score(df: DataFrame, train_on, id_col: str = "doc_id", text_col: str = "text", min_word: float = MIN_WORD, **options) -> DataFrame:
     """One row per row of ``df``: ``id_col``, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     ``train_on``: a condition; rows for which it holds are learned from.
     """
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    tree, counts, total, distinct = train(df.where(train_on).select(text.alias("text")), **options)
+    model = learn(df.where(train_on).select(text.alias("text")), **options)
+    _drop(model.counted + model.levels)
+    unseen = float(np.log10(0.5 / (model.total + 0.5 * (model.distinct + 1))))
+    broadcast = F.col("n") >= max(min_word * model.total, 1)
+    hot = model.weights.where(broadcast).toArrow().sort_by("h")  # at most 1 / min_word rows a length
+    keys = hot["h"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    shared = (keys[order], *(hot[c].to_numpy()[order] for c in ("weight", "base", "known")), _filter(model.weights))
     rows = df.select(F.col(id_col).cast("long").alias("id"), (~train_on).alias("held_out"), text.alias("text"))
-    scored = write_shared(rows.mapInArrow(_score(df.sparkSession.sparkContext.broadcast(tree)), _SCORED), "scored")
-    rare = scored.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", F.col("r.n").alias("times"))
-    met = rare.join(counts, "word", "left")
-    sums = met.groupBy("uid").agg(F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(total + 0.5 * (distinct + 1)))).alias("log10"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known_too"))
-    whole = scored.drop("rare").join(sums, "uid", "left")
-    some = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return whole.select(F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("known") + some("known_too")).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + some("log10")).alias("base_score"), (F.col("score") + some("log10")).alias("score"))
+    scored = write_shared(rows.mapInArrow(_score(df.sparkSession.sparkContext.broadcast(shared), len(model.levels) + 1, unseen), _SCORED), "scored")
+    df.sparkSession._jvm.System.gc()
+    rest = scored.select("uid", F.explode("rest").alias("r")).select("uid", "r.*")
+    met = rest.join(model.weights, "h", "left")
+    some = lambda c, otherwise=0: F.coalesce(F.col(c), F.lit(otherwise))
+    of = lambda c: F.sum(F.col("times") * F.coalesce(c, F.when(F.col("word"), F.lit(unseen)).otherwise(0.0)))
+    sums = met.groupBy("uid").agg(of("weight").alias("more"), of("base").alias("base_more"), F.sum(F.col("times") * some("known")).alias("known_more"))
+    whole = scored.drop("rest").join(sums, "uid", "left")
+    return whole.select(F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("known") + some("known_more")).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"), (F.col("base") + some("base_more", 0.0)).alias("base_score"), (F.col("score") + some("more", 0.0)).alias("score"))

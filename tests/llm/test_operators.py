@@ -297,6 +297,62 @@ def test_probabilities_of_every_state_sum_to_one(docs):
         assert abs((10 ** tree.log10(np.full(len(every), state), every)).sum() - 1) < 1e-9
 
 
+def brute_suffix_tree(texts):
+    """log10 probability of a word after all words before it in its text: contexts as tuples, no hashes and no table."""
+    grams = Counter(tuple(t[i:j]) for t in texts for i in range(len(t)) for j in range(i + 1, min(i + 12, len(t) + 1)))
+    total, distinct = sum(map(len, texts)), sum(len(g) == 1 for g in grams)
+    back, value = {}, {}
+
+    def prob(before, w, longest):
+        for d in range(min(len(before), longest), 0, -1):
+            context = before[-d:]
+            if context in back:
+                return value[context, w] if (context, w) in value else 10 ** back[context] * prob(before, w, d - 1)
+        return (grams[(w,)] + 0.5) / (total + 0.5 * (distinct + 1))
+
+    for d in range(1, 11):
+        nexts = {}
+        for g, n in grams.items():
+            if len(g) == d + 1 and n >= 2 and grams[g[:-1]] >= 8:
+                nexts.setdefault(g[:-1], {})[g[-1]] = n
+        new_back, new_value = {}, {}
+        for context, found in nexts.items():
+            n, kept, types = grams[context], sum(found.values()), len(found) + 1
+            above = {w: prob(context, w, d - 1) for w in found}
+            gain = sum(k * math.log(k / n / above[w]) for w, k in found.items())
+            gain += (n - kept) * math.log((n - kept) / n / max(1 - sum(above.values()), 1e-12)) if n > kept else 0
+            if gain > 0.5 * types * math.log(n):
+                new_back[context] = math.log10((n - kept + types) / (n + types))
+                new_value |= {(context, w): k / (n + types) + 10 ** new_back[context] * above[w] for w, k in found.items()}
+        if not new_back:
+            break
+        back |= new_back
+        value |= new_value
+    return lambda words: sum(math.log10(prob(tuple(words[:i]), w, 11)) for i, w in enumerate(words)), d
+
+
+@pytest.mark.parametrize("min_word", [1e-6, 0.02])
+def test_scores_equal_a_whole_tree_in_memory(spark, min_word):
+    """Contexts and pairs count from 8 and 2 on at any size, and as deep as they tell apart; a broadcast part changes nothing."""
+    r = random.Random(9)
+    rows = []
+    for i in range(400):
+        words = [r.choice(WORDS)]
+        for _ in range(r.randrange(70)):
+            words.append(r.choice(WORDS + [f"w{r.randrange(4000)}"] * 6) if len(words) < 4 or r.random() < 0.6 else "next" + str(hash((WORDS.index(words[-3]) if words[-3] in WORDS else 0, len(words[-2]), len(words[-1]))) % 5))
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, f"rare{i} passage number{i} stands here three times over") for i in range(30) for _ in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    learned = [t.encode().split() + [b""] for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    brute, depth = brute_suffix_tree(learned)
+    assert depth > 3
+    got = suffix_tree.score(df, ~suffix_tree.held_out(), min_word=min_word, depth=None).collect()
+    want = dict(rows)
+    assert len(got) == len(rows)
+    for x in got:
+        assert math.isclose(x.score, brute(want[x.doc_id].encode().split() + [b""]), rel_tol=1e-9, abs_tol=1e-9)
+
+
 def test_warc(spark):
     rows = [(1, "http://a/", "x" * 30000), (2, None, "x" * 30000), (3, "http://b/\r\nWARC-Type: fake", None), (4, "u", ""), (None, "u", "no id"), (5, "é", "WARC/1.1\r\n\r\nContent-Length: 5\r\n\r\né"), (6, "u", "once"), (6, "u", "once")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, sha string").repartition(3)
