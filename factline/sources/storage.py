@@ -25,15 +25,28 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/factline-{spark.sparkContext.applicationId}"
 
 
-def write_shared(df: DataFrame, label: str) -> DataFrame:
+def write_shared(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as parquet into the shared folder and read it back: a cut in the lineage that outlives executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release_table(df: DataFrame) -> None:
+    """Delete a table that :func:`write_shared` returned and that nothing reads any more."""
+    own = shared_dir(df.sparkSession)
+    for folder in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+        if own.rsplit("/", 1)[-1] not in folder:
+            raise ValueError(f"{folder} isn't a table of this application")
+        _delete(df.sparkSession, folder)
+
+
 def release_shared(spark: SparkSession) -> None:
     """Delete all that this application wrote with :func:`write_shared`; frames that read it are void afterwards."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, shared_dir(spark))
