@@ -1,52 +1,56 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-Tokens are white-space words, ASCII lower-cased, and an end of text. Contexts of one word, two, and so on are
-candidates if they occur ``LEAST_CONTEXT`` times, whatever the corpus's size, and next symbols count if they follow
-``LEAST_PAIR`` times. A candidate stays if the divergence of its next-symbol distribution from that of its longest
-retained suffix, times its count, exceeds a penalty for its parameters. The tree has contexts of up to ``depth``
-words; with None it gets deeper until no context of a length stays. Distributions are smoothed towards the suffix's, down to the unigram with half a count for each word,
-so probabilities sum to one. A text's state at each place is its longest suffix in the tree.
+Tokens are white-space words, ASCII lower-cased, and an end of text. A context of one word is a candidate if it
+occurs ``LEAST_CONTEXT`` times, whatever the corpus's size; a longer one if also its suffix (all but its first word)
+is in the tree and all but its last word was a candidate. Next symbols count if they follow ``LEAST_PAIR`` times. A
+candidate stays if the divergence of its next-symbol distribution from its suffix's, times its count, exceeds a
+penalty for its parameters. The tree grows by a word until no candidate of a length stays; no depth is set.
+Distributions are smoothed towards the suffix's, down to the unigram with half a count for each word, so
+probabilities sum to one. A text's state at each place is its longest suffix in the tree.
 
 The tree is a table in the shared folder, keyed by 64-bit hashes of word sequences, and is never in one place. A
 sequence of words has one weight: of its words but the last as a state, of what the last one gains over the next
 shorter state, and of itself as a state that its next symbol may not be known in. A text's score is the sum of the
-weights of all its sequences, so it is scored by a join. Sequences that make up at least ``min_word`` of the tokens,
-at most 1 / min_word of each length, are broadcast, so that no key of the join is hot; this has no effect on results.
-A bit filter of a fixed size keeps most sequences that the table lacks out of shuffles; what passes it wrongly finds
-nothing in the joins.
+weights of all its sequences, so it is scored by a join.
+
+Texts are tokenised once, to a table of their words' hashes. What tasks count or look up then goes to buckets by
+hash, as one block of packed numbers per task and bucket instead of rows; the number of buckets follows the corpus, so
+a bucket fits a worker. Sequences that make up at least ``min_word`` of the tokens, at most 1 / min_word of each
+length, are broadcast for scoring, so that no bucket is hot. Bit filters, of a size that follows their keys up to a
+bound, keep most sequences that a table lacks out of shuffles. Neither has an effect on results.
 
 Defined results: a null text is empty, with one token, the end; null ids are learned from; without training
-texts every token has probability one; repeated rows are scored each; an empty table gives an empty result.
+texts every token has probability one; repeated rows are scored each; an empty table gives an empty result; ids keep
+their type; texts of any length are read in pieces; other columns aren't looked at.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, BooleanType, LongType, StructType
 
-from factline.sources.storage import write_shared
-
-LEAST_CONTEXT, LEAST_PAIR, DEPTH = 8, 2, 2
-#: Share of the tokens from which a sequence is broadcast for scoring, and 64-bit words of a filter.
-MIN_WORD, FILTER = 1e-6, 1 << 20
-#: Lengths of contexts that are counted in one pass at most; a pass from length d on counts d lengths otherwise.
-SPAN = 8
-END = b""
-_HELD, _TOKENS = 1 << 21, 1 << 19
-
+from factline.sources.storage import release_table, write_shared
 
-def tokens(data: bytes) -> list[bytes]:
-    """Words of a text in UTF-8, and the end."""
-    words = data.lower().split()
-    words.append(END)
-    return words
+LEAST_CONTEXT, LEAST_PAIR = 2, 2
+#: Share of the tokens from which a sequence is broadcast for scoring.
+MIN_WORD = 1e-6
+#: Least and most bits of a filter, as powers of two.
+_BITS = 16, 27
+#: Tokens for each bucket, tokens that are read at once, sequences that a task holds, and bytes that are split at once.
+_BUCKET, _TOKENS, _HELD, _PIECE = 1 << 20, 1 << 19, 1 << 21, 1 << 22
+_GAP = re.compile(rb"[\x20\t-\r]")
+_END = xxhash.xxh3_64_intdigest(b"")
+_BLOCK = "bucket int, kind int, data binary"
 
 
 def held_out(id_col: str = "doc_id"):
@@ -54,97 +58,166 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
-@dataclass
-class Tree:
-    """A model in memory, of a corpus that is small. State 0 is the root; states are numbered on by depth."""
-
-    root: np.ndarray  # log10 probability of each word; the last is that of an unknown one
-    parent: np.ndarray
-    back: np.ndarray  # log10 weight of the parent's distribution
-    pairs: np.ndarray  # sorted: state * number of symbols + symbol
-    values: np.ndarray  # log10 probability of each pair
-
-    def log10(self, state: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """log10 probability of a symbol in each state."""
-        out, state = np.zeros(len(ids)), state.copy()
-        open_ = np.arange(len(ids))
-        while len(open_):
-            s, w = state[open_], ids[open_]
-            at = find(self.pairs, np.where(s > 0, s * len(self.root) + w, -1))
-            hit, root = at >= 0, s == 0
-            out[open_[hit]] += self.values[at[hit]]
-            out[open_[root]] += self.root[w[root]]
-            rest = ~hit & ~root
-            open_ = open_[rest]
-            out[open_] += self.back[s[rest]]
-            state[open_] = self.parent[s[rest]]
-        return out
+def token_hashes(data: bytes) -> np.ndarray:
+    """Hashes of the words of a text in UTF-8, and of the end."""
+    parts, at = [], 0
+    while at < len(data):
+        gap = _GAP.search(data, min(at + _PIECE, len(data)))
+        end = gap.start() if gap else len(data)
+        words = data[at:end].lower().split()
+        parts.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
+        at = end
+    return np.concatenate([*parts, np.array([_END], np.uint64)])
 
 
-def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Places of ``wanted`` in sorted ``keys``, or -1."""
-    if not len(keys):
-        return np.full(len(wanted), -1)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
+def _tokenise(names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uid = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            at = 0
+            while at < len(batch):
+                begin, held, size = at, [], 0
+                while at < len(batch) and size < _TOKENS:
+                    held.append(token_hashes(batch.column(2)[at].as_py()))
+                    size += len(held[-1])
+                    at += 1
+                own = [batch.column(c).slice(begin, len(held)) for c in (0, 1)]
+                sizes, data = pa.array([len(x) for x in held]), pa.array([x.tobytes() for x in held], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(uid, uid + len(held))), *own, sizes, data], names=names)
+                uid += len(held)
+
+    return run
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[tuple]:
+    """(uids, tokens of each, all words, their places in the texts, how many of them only lead in), some texts at a time.
+
+    A long text comes in parts, each after the ``reach`` words before it.
+    """
+    for batch in batches:
+        uids, data = batch.column(0).to_numpy(), batch.column(1)
+        sizes = pc.binary_length(data).to_numpy(zero_copy_only=False).astype(np.int64) // 8
+        ends, at = np.cumsum(sizes), 0
+        while at < len(batch):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _TOKENS, "right")))
+            words = np.frombuffer(b"".join(data.slice(at, to - at).to_pylist()), np.uint64)
+            if to == at + 1:
+                for begin in range(0, len(words), _TOKENS):
+                    lead = min(begin, reach)
+                    part = words[begin - lead : begin + _TOKENS]
+                    yield uids[at:to], np.array([len(part)]), part, np.arange(begin - lead, begin - lead + len(part)), lead
+            else:
+                place = np.arange(len(words)) - np.repeat(ends[at:to] - sizes[at:to] - (ends[at - 1] if at else 0), sizes[at:to])
+                yield uids[at:to], sizes[at:to], words, place, 0
+            at = to
 
 
 def _longer(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Hashes of the sequences, longer by a word, that end at each place."""
     x = np.zeros_like(words)
-    x[1:] = hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:]
+    x[1:] = hashes[:-1]
+    return _mixed(x, words)
+
+
+def _mixed(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    x = before * np.uint64(0x9E3779B97F4A7C15) + words
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         x ^= x >> np.uint64(shift)
         x *= np.uint64(factor)
-    x ^= x >> np.uint64(31)
-    return x
+    return x ^ x >> np.uint64(31)
 
 
-def _filter(keys: DataFrame) -> np.ndarray:
-    """Bits of the longs ``h``, at most ``FILTER`` words of 64; all zero without keys."""
-    word = F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(FILTER - 1))
-    found = keys.groupBy(word.alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(h & 63)))").alias("bits")).toArrow()
-    bits = np.zeros(FILTER, np.uint64)
-    bits[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return bits
+def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
 
 
-def _passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    return bits[hashes >> np.uint64(6) & np.uint64(FILTER - 1)] >> (hashes & np.uint64(63)) & np.uint64(1) > 0
+def _blocks(bucket: np.ndarray, columns: list[np.ndarray], kind: int) -> pa.RecordBatch:
+    """A row for each run of equal ``bucket`` numbers, with its part of all columns as bytes."""
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    ends = np.append(first, len(bucket))[1:]
+    data = [b"".join(c[a:b].tobytes() for c in columns) for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int32)), pa.array(np.full(len(first), kind, np.int32)), pa.array(data, pa.binary())], names=["bucket", "kind", "data"])
 
 
-def _sequences(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple]:
-    """(batch, rows, numbers of tokens, hashes of all words, their places in the texts), some texts at a time."""
-    digest = xxhash.xxh3_64_intdigest
-    for batch in batches:
-        rows: list = []
-        held: list = []
-        size = 0
-        texts = batch.column(column)
-        for i in range(len(batch) + 1):
-            if i < len(batch):
-                words = tokens(texts[i].as_py())
-                rows.append(i)
-                held.append(np.fromiter(map(digest, words), np.uint64, len(words)))
-                size += len(words)
-            if held and (i == len(batch) or size >= _TOKENS):
-                lengths = np.array([len(x) for x in held])
-                place = np.arange(size) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-                yield batch, rows, lengths, np.concatenate(held), place
-                rows, held, size = [], [], 0
+def _unpacked(data: bytes, types: tuple[str, ...]) -> list[np.ndarray]:
+    kinds = [np.dtype(t) for t in types]
+    n = len(data) // sum(t.itemsize for t in kinds)
+    at = np.cumsum([0] + [n * t.itemsize for t in kinds]).tolist()
+    return [np.frombuffer(data, t, n, a) for t, a in zip(kinds, at, strict=False)]
+
+
+def _by_bucket(blocks: DataFrame) -> DataFrame:
+    return blocks.repartition("bucket").sortWithinPartitions("bucket", "kind")
+
+
+def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of ``wanted`` in sorted ``keys``, or -1."""
+    if not len(keys):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, at, -1)
+
+
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, np.int64)
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """64-bit words of a filter of the longs ``h``: a key sets the bit that its lowest bits name."""
+    bits = min(max((16 * keys.count()).bit_length(), _BITS[0]), _BITS[1])
+    part = max(bits - 20, 0)
+
+    def positions(batches):
+        for batch in batches:
+            at = np.unique(batch.column(0).to_numpy().view(np.uint64) & np.uint64((1 << bits) - 1))
+            if len(at):
+                yield _blocks((at >> np.uint64(bits - part)).astype(np.int32), [at.astype(np.uint32)], 0)
+
+    def words(batches):
+        held: dict = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = held.setdefault(row["bucket"], np.zeros(1 << bits - part - 6, np.uint64))
+                at = np.frombuffer(row["data"], np.uint32).astype(np.uint64) & np.uint64((1 << bits - part) - 1)
+                np.bitwise_or.at(own, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+        yield pa.RecordBatch.from_arrays([pa.array([*held], pa.int32()), pa.array([x.tobytes() for x in held.values()], pa.binary())], names=["bucket", "data"])
+
+    found = keys.select("h").mapInArrow(positions, _BLOCK).repartition("bucket").mapInArrow(words, "bucket int, data binary").collect()
+    out = np.zeros(1 << bits - 6, np.uint64)
+    for r in found:
+        size = 1 << bits - part - 6
+        out[r.bucket * size : (r.bucket + 1) * size] = np.frombuffer(r.data, np.uint64)
+    return out
+
+
+def _passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes & np.uint64(len(bits) * 64 - 1)
+    return bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1) > 0
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, _, _, words, _ in _sequences(batches, 0):
-        h, n = np.unique(words, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+    held: list = []
+    size = 0
+
+    def flush():
+        h, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+
+    for _, _, words, _, _ in _chunks(batches, 0):
+        held.append(words)
+        size += len(words)
+        if size >= _HELD:
+            yield flush()
+            held, size = [], 0
+    if size:
+        yield flush()
 
 
-def _count(depth: int, end: int, shared):
-    """Counts of sequences with contexts of ``depth`` words and more, below ``end``.
+def _count(length: int, buckets: int, shared):
+    """Blocks (kind 0) of how often words follow contexts of ``length`` words: context, suffix, number, and the sequence itself if the first two don't say it.
 
-    ``shared``: filters of the contexts of ``depth`` words that count, and of the sequences of as many words that occur
-    often enough for a pair; a sequence counts only if all those in it pass. With one word, ``h`` is left out for now.
+    ``shared``: filters of the candidates of this length, and of the sequences as long whose suffix the tree may give a word.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,114 +225,122 @@ def _count(depth: int, end: int, shared):
         size = 0
 
         def flush():
-            nonlocal held, size
-            key, ctx, suf, level = (np.concatenate(x) for x in zip(*held, strict=True))
-            held, size = [], 0
-            order = np.argsort(key)
-            h = key[order]
-            first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-            n = np.diff(np.append(first, len(h)))
-            one = order[first]
-            arrays = [pa.array(c.view(np.int64)) for c in (h[first] if depth > 1 else np.zeros(len(first), np.uint64), ctx[one], suf[one])]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(level[one]), pa.array(n)], names=["h", "ctx", "suf", "level", "n"])
-
-        for _, _, _, words, place in _sequences(batches, 0):
+            h, ctx, suf = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(h)
+            first = _runs(h[order])
+            n = np.diff(np.append(first, len(h))).astype(np.uint32)
+            h, ctx, suf = (x[order[first]] for x in (h, ctx, suf))
+            bucket = _bucket(h, buckets)
+            order = np.lexsort((ctx, bucket))
+            return _blocks(bucket[order], [x[order] for x in (ctx, suf, n, h)[: 4 if length > 1 else 3]], 0)
+
+        contexts, often = shared.value
+        for _, _, words, place, lead in _chunks(batches, length):
             before = words
-            for _ in range(depth - 1):
+            for _ in range(length - 1):
                 before = _longer(before, words)
-            context, often = (_passes(bits, before) for bits in shared.value)
-            good = np.concatenate(([False], context[:-1])) & often
-            for level in range(depth, end):
-                if level > depth:
-                    good[1:] &= good[:-1].copy()
-                use = np.flatnonzero(good & (place >= level))
-                if not len(use):
-                    break
-                h = _longer(before, words)
-                held.append((h[use], before[use - 1], before[use], np.full(len(use), level, np.int32)))
-                before = h
-                size += len(use)
+            at = lead + np.flatnonzero(place[lead:] >= length)
+            at = at[_passes(often, before[at])]
+            at = at[_passes(contexts, before[at - 1])]
+            held.append((_mixed(before[at - 1], words[at]), before[at - 1], before[at]))
+            size += len(at)
             if size >= _HELD:
-                yield from flush()
+                yield flush()
+                held, size = [], 0
         if size:
-            yield from flush()
+            yield flush()
 
     return run
 
 
-def _pair_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fills ``h`` of sequences of two words."""
+def _buckets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+    """The blocks of each bucket; rows come in the order of buckets."""
+    own, blocks = None, []
     for batch in batches:
-        if len(batch):
-            ctx, suf = (np.array(batch.column(c)).view(np.uint64) for c in ("ctx", "suf"))
-            h = _longer(np.append(ctx, np.uint64(0)), np.append(np.uint64(0), suf))[1:]
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *batch.columns[1:]], names=batch.schema.names)
+        for bucket, data in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+            if bucket != own and blocks:
+                yield blocks
+                blocks = []
+            own = bucket
+            blocks.append(data.as_py())
+    if blocks:
+        yield blocks
+
+
+def _counted(length: int, least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = ("u8", "u8", "u4", "u8")[: 4 if length > 1 else 3]
+        for blocks in _buckets_of(batches):
+            ctx, suf, n, *h = (np.concatenate(x) for x in zip(*(_unpacked(b, types) for b in blocks), strict=True))
+            h = h[0] if h else _mixed(ctx, suf)
+            order = np.argsort(h)
+            first = _runs(h[order])
+            n = np.add.reduceat(n[order].astype(np.int64), first)
+            keep = n >= least
+            at = order[first[keep]]
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[at].view(np.int64)) for x in (h, ctx, suf)), pa.array(n[keep])], names=["h", "ctx", "suf", "n"])
+
+    return run
 
 
 @dataclass
 class Model:
-    words: DataFrame  # h, n, s: log10 probability
-    levels: list[DataFrame]  # by depth: h, ctx, suf, n, s, above, back: null if the context isn't retained
-    counted: list[DataFrame]
-    weights: DataFrame  # h, n, weight, base, known
+    weights: DataFrame  # h, n, weight, base: log10 probability of a word, 0 for other sequences; in several rows
+    longest: int  # words of the longest sequences with a weight
     total: int
     distinct: int
+    buckets: int
 
 
-def learn(texts: DataFrame, depth: int | None = DEPTH, min_context: float = 0.0, min_pair: float = 0.0) -> Model:
-    """The tree of ``texts``, one binary column. The shares of the tokens are further thresholds of counts."""
+def _clean(spark) -> None:
+    """Files of shuffles that are over stay on disk until the driver forgets them."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def learn(texts: DataFrame, depth: int | None = None, least_context: int = LEAST_CONTEXT, least_pair: int = LEAST_PAIR) -> Model:
+    """The tree of ``texts``: uid, and words as a binary column of hashes. ``depth``: most words of a context, if any."""
     spark = texts.sparkSession
+    texts = texts.select("uid", "words")
     counts = write_shared(texts.mapInArrow(_count_words, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "words")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    below = words = counts.select("h", "n", F.log10((F.col("n") + 0.5) / F.lit(total + 0.5 * (distinct + 1))).alias("s"))
-    weights = words.select("h", "n", F.col("s").alias("weight"), F.col("s").alias("base"), F.lit(1).alias("known"))
-    zero = [F.lit(0.0).alias("base"), F.lit(0).alias("known")]
-    levels: list = []
-    written: list = []
-    end = 1
-    while depth is None or len(levels) < depth:
-        at = len(levels) + 1
-        contexts = below.where(F.col("n") >= max(min_context * total, LEAST_CONTEXT)).select("h", "n")
-        enough = F.col("n") >= max(min_pair * total, LEAST_PAIR)
-        if at == end:
-            bits = _filter(contexts), _filter(below.where(enough))
-            if not bits[0].any():
-                break
-            end = min(2 * at, at + SPAN, at + SPAN if depth is None else depth + 1)
-            counted = texts.mapInArrow(_count(at, end, spark.sparkContext.broadcast(bits)), "h long, ctx long, suf long, level int, n long")
-            counted = counted.groupBy("h", "ctx", "suf", "level").agg(F.sum("n").alias("n")).where(enough)
-            counted = write_shared(counted.mapInArrow(_pair_hashes, counted.schema) if at == 1 else counted, "counted")
-            written.append(counted)
-            spark.sparkContext._jvm.System.gc()  # else files of shuffles that are over stay on disk
-        pairs = counted.where(F.col("level") == at).drop("level").join(below.select(F.col("h").alias("suf"), F.col("s").alias("above")), "suf")
+    buckets = max(64, -(-total // _BUCKET))
+    words = counts.select("h", "n", F.log10((F.col("n") + 0.5) / F.lit(total + 0.5 * (distinct + 1))).alias("s"))
+    weights = words.select("h", "n", F.col("s").alias("weight"), F.col("s").alias("base"))
+    zero = F.lit(0.0).alias("base")
+    contexts, known = counts.where(F.col("n") >= least_context), words.where(F.col("n") >= least_pair)
+    length = 0
+    while depth is None or length < depth:
+        bits = _filter(contexts), _filter(known)
+        if not bits[0].any():
+            break
+        shared = spark.sparkContext.broadcast(bits)
+        blocks = texts.mapInArrow(_count(length + 1, buckets, shared), _BLOCK)
+        counted = write_shared(_by_bucket(blocks).mapInArrow(_counted(length + 1, least_pair), "h long, ctx long, suf long, n long"), "counted")
+        _clean(spark)
+        pairs = write_shared(counted.join(known.select(F.col("h").alias("suf"), F.col("s").alias("above")), "suf"), "pairs")
+        release_table(counted)
+        shared.destroy()
         retained = write_shared(_retained(pairs, contexts), "contexts")
         if not retained.take(1):
+            release_table(pairs)
             break
-        if at == 1:
-            spark.sparkContext._jvm.System.gc()
+        _clean(spark)
+        length += 1
         value = F.log10(F.col("n") / (F.col("sum") + F.col("types")) + F.pow(F.lit(10.0), F.col("back") + F.col("above")))
-        level = pairs.join(retained, "ctx", "left").select("h", "ctx", "suf", "n", F.coalesce(value, "above").alias("s"), "above", "back")
-        below = write_shared(level, "level")
-        levels.append(below)
-        gains = below.where("back IS NOT NULL").select("h", "n", (F.col("s") - F.col("above") - F.col("back")).alias("weight"), *zero)
-        states = retained.select(F.col("ctx").alias("h"), F.col("sum").alias("n"), F.col("back").alias("weight"), *zero)
+        level = pairs.join(retained.select("ctx", "sum", "types", "back"), "ctx", "left").select("h", "suf", "n", value.alias("s"), (value - F.col("above") - F.col("back")).alias("gain"))
+        level = write_shared(level, "level")
+        release_table(pairs)
+        _clean(spark)
+        known = level.where("gain IS NOT NULL")
+        gains = known.select("h", "n", F.col("gain").alias("weight"), zero)
+        states = retained.select(F.col("ctx").alias("h"), F.col("sum").alias("n"), F.col("back").alias("weight"), zero)
         weights = weights.unionByName(gains).unionByName(states)
-    summed = weights.groupBy("h").agg(F.max("n").alias("n"), *(F.sum(c).alias(c) for c in ("weight", "base", "known")))
-    return Model(words, levels, written, write_shared(summed, "weights"), total, distinct)
-
-
-def _drop(tables: list[DataFrame]) -> None:
-    """Deletes what was written of ``tables`` that nothing reads any more, and files of shuffles that are over."""
-    for df in tables:
-        jvm = df.sparkSession._jvm
-        for folder in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-        jvm.System.gc()
+        contexts = write_shared(level.where(F.col("n") >= least_context).join(retained.select(F.col("ctx").alias("suf")), "suf", "left_semi").select("h", "n"), "candidates")
+    return Model(weights, length + 1, total, distinct, buckets)
 
 
 def _retained(pairs: DataFrame, contexts: DataFrame) -> DataFrame:
-    """(ctx, sum, types, back) of the contexts whose next symbols diverge from those of the longest retained suffix."""
+    """(ctx, sum, types, back) of the contexts whose next symbols diverge from those of their suffix."""
     n, above = F.col("n"), F.col("above")
     # Of the divergence, the sum over symbols of n * ln(n / sum / above) but for the sum, which is joined later.
     own = F.sum(n * (F.ln(n) - above * F.ln(F.lit(10.0))))
@@ -272,77 +353,104 @@ def _retained(pairs: DataFrame, contexts: DataFrame) -> DataFrame:
     return stats.where(stays).select("ctx", "sum", "types", F.log10((rest + types) / (total + types)).alias("back"))
 
 
-def train(texts: DataFrame, min_word: float = MIN_WORD, **options) -> tuple[Tree, DataFrame, int, int]:
-    """The tree in memory, (h, n) of all training words, their total and their number; for a corpus that is small."""
-    model = learn(texts, **options)
-    words = model.words.orderBy(F.desc("n"), "h").collect()
-    last = {r.h: i for i, r in enumerate(words)}
-    unknown = np.log10(0.5 / (model.total + 0.5 * (model.distinct + 1)))
-    suffix: dict = {}
-    state: dict = {}
-    parent, back, values = [0], [0.0], {}
-    for level in model.levels:
-        rows = level.collect()
-        for r in rows:
-            if r.back is not None:
-                if r.ctx not in state:
-                    at = suffix.get(r.ctx)
-                    while at is not None and at not in state:
-                        at = suffix.get(at)
-                    parent.append(state.get(at, 0))
-                    back.append(r.back)
-                    state[r.ctx] = len(parent) - 1
-                values[state[r.ctx] * (len(words) + 1) + last[r.suf]] = r.s
-        suffix |= {r.h: r.suf for r in rows}
-        last |= {r.h: last[r.suf] for r in rows}
-    pairs = np.array(sorted(values), np.int64)
-    tree = Tree(np.array([r.s for r in words] + [unknown]), np.array(parent), np.array(back), pairs, np.array([values[x] for x in pairs.tolist()]))
-    return tree, model.words.select("h", "n"), model.total, model.distinct
-
-
-_SCORED = "uid long, id long, held_out boolean, n_tokens long, known long, base double, score double, rest array<struct<h: long, times: long, word: boolean>>"
-
-
-def _score(shared, longest: int, unseen: float):
-    """Sums over what the broadcast has, and the other sequences of each text that the table may have."""
+def _pack_weights(buckets: int):
+    """Blocks (kind 0) of weights: sequence, weight, base."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, weight, base, known, bits = shared.value
-        row = TaskContext.get().partitionId() << 40
-        for batch, rows, lengths, words, place in _sequences(batches, 2):
+        for batch in batches:
+            h, *values = (batch.column(c).to_numpy() for c in range(3))
+            bucket = _bucket(h.view(np.uint64), buckets)
+            order = np.argsort(bucket, kind="stable")
+            yield _blocks(bucket[order], [h[order].view(np.uint64), *(x[order] for x in values)], 0)
+
+    return run
+
+
+def _asked(longest: int, unseen: float, buckets: int, shared):
+    """Blocks of what texts need: words (kind 1) and longer sequences (2) to look up, as steps of uids and hashes, and sums of what the broadcast has (3)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, weight, base, bits = shared.value
+        for number, (uids, sizes, words, place, lead) in enumerate(_chunks(batches, longest - 1)):
             sums = np.zeros((3, len(words)))
-            rest: list = []
-            h = words
+            text = np.repeat(np.arange(len(sizes)), sizes)
+            at, h = np.arange(lead, len(words)), words
+            rest: dict = {1: [], 2: []}
             for length in range(1, longest + 1):
                 if length > 1:
                     h = _longer(h, words)
-                at = np.flatnonzero(place >= length - 1)
+                    at = at[place[at] >= length - 1]
                 may = _passes(bits, h[at])
                 if length == 1:
-                    sums[:2, at[~may]] += unseen
-                at = at[may]
+                    sums[:2, at[~may]] = unseen
+                at = at[may]  # a sequence with a weight has a suffix with one
                 found = find(keys, h[at])
-                hit = found >= 0
-                sums[0, at[hit]] += weight[found[hit]]
+                hit, has = at[found >= 0], found[found >= 0]
+                sums[0, hit] += weight[has]
                 if length == 1:
-                    sums[1, at[hit]] += base[found[hit]]
-                    sums[2, at[hit]] += known[found[hit]]
-                at = at[~hit]
-                rest.append((at, h[at], np.full(len(at), length == 1)))
-            begins = np.cumsum(lengths) - lengths
-            sums = np.add.reduceat(sums, begins, axis=1)
-            at, h, word = (np.concatenate(x) for x in zip(*rest, strict=True))
-            text = np.repeat(np.arange(len(lengths)), lengths)[at]
-            order = np.lexsort((h, text))
-            text, h, word = text[order], h[order], word[order]
-            first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])))) if len(h) else np.zeros(0, np.int64)
-            times = np.diff(np.append(first, len(h))) if len(h) else first
-            offsets = np.concatenate(([0], np.cumsum(np.bincount(text[first], minlength=len(lengths))))).astype(np.int32)
-            items = pa.StructArray.from_arrays([pa.array(h[first].view(np.int64)), pa.array(times), pa.array(word[first])], names=["h", "times", "word"])
-            columns = [pa.array(np.arange(row, row + len(rows))), batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows)), pa.array(lengths)]
-            columns += [pa.array(sums[2].astype(np.int64)), pa.array(sums[1]), pa.array(sums[0]), pa.ListArray.from_arrays(pa.array(offsets), items)]
-            row += len(rows)
-            yield pa.RecordBatch.from_arrays(columns, names=["uid", "id", "held_out", "n_tokens", "known", "base", "score", "rest"])
+                    sums[1, hit], sums[2, hit] = base[has], 1
+                rest[min(length, 2)].append((text[at[found < 0]], h[at[found < 0]]))
+            for kind, parts in rest.items():
+                own, h = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (text[:0], words[:0])
+                bucket = _bucket(h, buckets)
+                order = np.lexsort((own, bucket))
+                bucket, own, h = bucket[order], uids[own[order]], h[order]
+                steps = np.diff(own, prepend=0)
+                steps[_runs(bucket)] = own[_runs(bucket)]
+                yield _blocks(bucket, [steps, h], kind)
+            direct = np.add.reduceat(sums, np.cumsum(sizes) - sizes, axis=1)
+            bucket = np.full(len(uids), (int(uids[0]) + number) % buckets, np.int32)
+            yield _blocks(bucket, [uids, *direct], 3)
+
+    return run
+
+
+def _summed(keys: np.ndarray, values: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Sorted distinct keys, and the sums of their values."""
+    order = np.argsort(keys, kind="stable")
+    first = _runs(keys[order])
+    return keys[order[first]], [np.add.reduceat(v[order], first) if len(first) else v for v in values]
+
+
+def _answered(unseen: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []
+        size, own, table, parts = 0, None, None, []
+
+        def flush():
+            uid, *values = (np.concatenate(x) for x in zip(*held, strict=True))
+            uid, values = _summed(uid, values)
+            return pa.RecordBatch.from_arrays([pa.array(uid), *map(pa.array, values)], names=["uid", "weight", "base", "known"])
+
+        for batch in batches:
+            for bucket, kind, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if bucket != own:
+                    own, table, parts = bucket, None, []
+                data = block.as_py()
+                if kind == 0:
+                    parts.append(_unpacked(data, ("u8", "f8", "f8")))
+                    continue
+                if kind == 3:
+                    held.append(_unpacked(data, ("i8", "f8", "f8", "f8")))
+                else:
+                    if table is None:
+                        keys, *values = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
+                        table, parts = _summed(keys, values), []
+                    keys, (weight, base) = table
+                    steps, h = _unpacked(data, ("i8", "u8"))
+                    uid, at = np.cumsum(steps), find(keys, h)
+                    hit, missed = at >= 0, unseen if kind == 1 else 0.0
+                    values = [np.full(len(h), missed), np.full(len(h), missed), np.zeros(len(h))]
+                    values[0][hit], values[1][hit] = weight[at[hit]], base[at[hit]]
+                    values[2][hit] = base[at[hit]] < 0
+                    first = _runs(uid)
+                    held.append([uid[first], *(np.add.reduceat(v, first) for v in values)])
+                size += len(held[-1][0])
+                if size >= _HELD // 2:
+                    yield flush()
+                    held, size = [], 0
+        if size:
+            yield flush()
 
     return run
 
@@ -352,22 +460,22 @@ def score(df: DataFrame, train_on, id_col: str = "doc_id", text_col: str = "text
 
     ``train_on``: a condition; rows for which it holds are learned from.
     """
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    model = learn(df.where(train_on).select(text.alias("text")), **options)
-    _drop(model.counted + model.levels)
+    spark = df.sparkSession
+    rows = df.select(F.col(id_col).alias("id"), (~train_on).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    kinds = StructType().add("uid", LongType()).add("id", rows.schema["id"].dataType).add("held_out", BooleanType()).add("n_tokens", LongType()).add("words", BinaryType())
+    texts = write_shared(rows.mapInArrow(_tokenise(kinds.names), kinds), "tokens", compression="zstd")
+    model = learn(texts.where("NOT held_out"), **options)
     unseen = float(np.log10(0.5 / (model.total + 0.5 * (model.distinct + 1))))
-    broadcast = F.col("n") >= max(min_word * model.total, 1)
-    hot = model.weights.where(broadcast).toArrow().sort_by("h")  # at most 1 / min_word rows a length
+    hot = model.weights.where(F.col("n") >= max(min_word * model.total, 1)).groupBy("h").agg(F.sum("weight").alias("weight"), F.sum("base").alias("base")).toArrow().sort_by("h")
     keys = hot["h"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    shared = (keys[order], *(hot[c].to_numpy()[order] for c in ("weight", "base", "known")), _filter(model.weights))
-    rows = df.select(F.col(id_col).cast("long").alias("id"), (~train_on).alias("held_out"), text.alias("text"))
-    scored = write_shared(rows.mapInArrow(_score(df.sparkSession.sparkContext.broadcast(shared), len(model.levels) + 1, unseen), _SCORED), "scored")
-    df.sparkSession._jvm.System.gc()
-    rest = scored.select("uid", F.explode("rest").alias("r")).select("uid", "r.*")
-    met = rest.join(model.weights, "h", "left")
-    some = lambda c, otherwise=0: F.coalesce(F.col(c), F.lit(otherwise))
-    of = lambda c: F.sum(F.col("times") * F.coalesce(c, F.when(F.col("word"), F.lit(unseen)).otherwise(0.0)))
-    sums = met.groupBy("uid").agg(of("weight").alias("more"), of("base").alias("base_more"), F.sum(F.col("times") * some("known")).alias("known_more"))
-    whole = scored.drop("rest").join(sums, "uid", "left")
-    return whole.select(F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("known") + some("known_more")).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"), (F.col("base") + some("base_more", 0.0)).alias("base_score"), (F.col("score") + some("more", 0.0)).alias("score"))
+    bits = _filter(model.weights)
+    shared = spark.sparkContext.broadcast((keys[order], hot["weight"].to_numpy()[order], hot["base"].to_numpy()[order], bits))
+    _clean(spark)
+    asked = texts.select("uid", "words").mapInArrow(_asked(model.longest, unseen, model.buckets, shared), _BLOCK)
+    table = model.weights.select("h", "weight", "base").mapInArrow(_pack_weights(model.buckets), _BLOCK)
+    answered = _by_bucket(table.unionByName(asked)).mapInArrow(_answered(unseen), "uid long, weight double, base double, known double")
+    sums = answered.groupBy("uid").agg(*(F.sum(c).alias(c) for c in ("weight", "base", "known")))
+    whole = texts.select("uid", "id", "held_out", "n_tokens").join(sums, "uid")
+    known, trained = F.round("known").cast("long"), F.lit(model.total).cast("long")
+    return whole.select(F.col("id").alias(id_col), "held_out", "n_tokens", known.alias("n_known"), trained.alias("train_tokens"), F.col("base").alias("base_score"), F.col("weight").alias("score"))

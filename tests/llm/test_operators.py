@@ -270,7 +270,7 @@ def test_bpe_with_a_small_cache(monkeypatch):
 
 
 def test_scores(docs, empty):
-    rows = suffix_tree.score(docs, ~suffix_tree.held_out(), min_word=0.005, min_context=0.005, min_pair=0.0).collect()
+    rows = suffix_tree.score(docs, ~suffix_tree.held_out(), min_word=0.005).collect()
     texts, counts = {}, Counter()
     for i, t, *_ in sample():
         words = (t or "").encode().lower().split() + [b""]
@@ -286,20 +286,19 @@ def test_scores(docs, empty):
         assert math.isclose(r.base_score, base, rel_tol=1e-9, abs_tol=1e-9) and r.score <= 1e-9
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
     assert suffix_tree.score(empty, ~suffix_tree.held_out()).count() == 0
+    unlearned = suffix_tree.score(docs, F.lit(False)).collect()
+    assert len(unlearned) == len(sample()) and {(r.score, r.base_score, r.n_known, r.train_tokens) for r in unlearned} == {(0.0, 0.0, 0, 0)}
 
 
-def test_probabilities_of_every_state_sum_to_one(docs):
-    texts = docs.select(F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    tree, counts, total, distinct = suffix_tree.train(texts, min_word=0.002, min_context=0.002, min_pair=0.001)
-    assert len(tree.parent) > 1
-    every = np.arange(len(tree.root))
-    for state in range(len(tree.parent)):
-        assert abs((10 ** tree.log10(np.full(len(every), state), every)).sum() - 1) < 1e-9
+def test_scores_keep_the_type_of_ids_and_ignore_clashing_columns(spark):
+    df = spark.createDataFrame([("a", "one two", 1, 2), ("b", None, 1, 2)], "key string, text string, uid int, words int")
+    got = {r.key: r for r in suffix_tree.score(df, F.lit(True), id_col="key").collect()}
+    assert got["a"].n_tokens == 3 and got["b"].n_tokens == 1 and got["a"].train_tokens == 4
 
 
-def brute_suffix_tree(texts):
-    """log10 probability of a word after all words before it in its text: contexts as tuples, no hashes and no table."""
-    grams = Counter(tuple(t[i:j]) for t in texts for i in range(len(t)) for j in range(i + 1, min(i + 12, len(t) + 1)))
+def brute_suffix_tree(texts, least=2):
+    """Probabilities of a text's words after all words before them, and the tree's depth: contexts as tuples, no hashes and no table."""
+    grams = Counter(tuple(t[i:j]) for t in texts for i in range(len(t)) for j in range(i + 1, min(i + 14, len(t) + 1)))
     total, distinct = sum(map(len, texts)), sum(len(g) == 1 for g in grams)
     back, value = {}, {}
 
@@ -310,10 +309,11 @@ def brute_suffix_tree(texts):
                 return value[context, w] if (context, w) in value else 10 ** back[context] * prob(before, w, d - 1)
         return (grams[(w,)] + 0.5) / (total + 0.5 * (distinct + 1))
 
-    for d in range(1, 11):
+    candidates = {g for g, n in grams.items() if len(g) == 1 and n >= least}
+    for d in range(1, 13):
         nexts = {}
         for g, n in grams.items():
-            if len(g) == d + 1 and n >= 2 and grams[g[:-1]] >= 8:
+            if len(g) == d + 1 and n >= 2 and g[:-1] in candidates:
                 nexts.setdefault(g[:-1], {})[g[-1]] = n
         new_back, new_value = {}, {}
         for context, found in nexts.items():
@@ -328,29 +328,46 @@ def brute_suffix_tree(texts):
             break
         back |= new_back
         value |= new_value
-    return lambda words: sum(math.log10(prob(tuple(words[:i]), w, 11)) for i, w in enumerate(words)), d
+        candidates = {(*g, w) for g, found in nexts.items() for w, n in found.items() if n >= least and (*g[1:], w) in new_back}
+    return lambda words: [prob(tuple(words[:i]), w, 13) for i, w in enumerate(words)], d
 
 
-@pytest.mark.parametrize("min_word", [1e-6, 0.02])
-def test_scores_equal_a_whole_tree_in_memory(spark, min_word):
-    """Contexts and pairs count from 8 and 2 on at any size, and as deep as they tell apart; a broadcast part changes nothing."""
+def chain_texts():
     r = random.Random(9)
     rows = []
     for i in range(400):
         words = [r.choice(WORDS)]
         for _ in range(r.randrange(70)):
-            words.append(r.choice(WORDS + [f"w{r.randrange(4000)}"] * 6) if len(words) < 4 or r.random() < 0.6 else "next" + str(hash((WORDS.index(words[-3]) if words[-3] in WORDS else 0, len(words[-2]), len(words[-1]))) % 5))
+            code = (WORDS.index(words[-3]) if words[-3] in WORDS else 0) * 7 + len(words[-2]) * 3 + len(words[-1]) if len(words) >= 4 else 0
+            words.append(r.choice(WORDS + [f"w{r.randrange(4000)}"] * 6) if len(words) < 4 or r.random() < 0.6 else f"next{code % 5}")
         rows.append((i, " ".join(words)))
-    rows += [(1000 + i, f"rare{i} passage number{i} stands here three times over") for i in range(30) for _ in range(9)]
+    return rows + [(1000 + i, f"rare{i} passage number{i} stands here three times over") for i in range(30) for _ in range(9)]
+
+
+@pytest.mark.parametrize(("min_word", "tokens"), [(1e-6, 1 << 19), (0.02, 1 << 19), (0.02, 16)])
+def test_scores_equal_a_whole_tree_in_memory(spark, monkeypatch, min_word, tokens):
+    """Contexts and pairs count from 2 on at any size, and as deep as they tell apart; a broadcast part and cut texts change nothing."""
+    monkeypatch.setattr(suffix_tree, "_TOKENS", tokens)
+    rows = chain_texts()
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     learned = [t.encode().split() + [b""] for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
     brute, depth = brute_suffix_tree(learned)
-    assert depth > 3
-    got = suffix_tree.score(df, ~suffix_tree.held_out(), min_word=min_word, depth=None).collect()
+    assert depth >= 3
+    got = suffix_tree.score(df, ~suffix_tree.held_out(), min_word=min_word).collect()
     want = dict(rows)
     assert len(got) == len(rows)
     for x in got:
-        assert math.isclose(x.score, brute(want[x.doc_id].encode().split() + [b""]), rel_tol=1e-9, abs_tol=1e-9)
+        assert math.isclose(x.score, sum(math.log10(p) for p in brute(want[x.doc_id].encode().split() + [b""])), rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_probabilities_of_next_words_sum_to_one():
+    rows = chain_texts()
+    learned = [t.encode().split() + [b""] for _, t in rows]
+    brute, _ = brute_suffix_tree(learned)
+    words = sorted({w for t in learned for w in t} | {b"never seen"})
+    for text in random.Random(1).sample(learned, 15):
+        before = text[: len(text) // 2]
+        assert math.isclose(sum(brute([*before, w])[-1] for w in words), 1, rel_tol=1e-9)
 
 
 def test_warc(spark):
