@@ -5,8 +5,10 @@ occurs ``LEAST_CONTEXT`` times, whatever the corpus's size; a longer one if also
 is in the tree and all but its last word was a candidate. Next symbols count if they follow ``LEAST_PAIR`` times. A
 candidate stays if the divergence of its next-symbol distribution from its suffix's, times its count, exceeds a
 penalty for its parameters. The tree grows by a word until no candidate of a length stays; no depth is set.
-Distributions are smoothed towards the suffix's, down to the unigram with half a count for each word, so
-probabilities sum to one. A text's state at each place is its longest suffix in the tree.
+Counts are smoothed by the suffix's distribution, which weighs as much as there are symbols; symbols that don't count
+share what is left in the suffix's proportions, down to the unigram with half a count for each word. So probabilities
+sum to one, and a context that behaves as its suffix gets the suffix's distribution. A text's state at each place is
+its longest suffix in the tree.
 
 The tree is a table in the shared folder, keyed by 64-bit hashes of word sequences, and is never in one place. A
 sequence of words has one weight: of its words but the last as a state, of what the last one gains over the next
@@ -315,10 +317,8 @@ def learn(texts: DataFrame, depth: int | None = None, least_context: int = LEAST
             break
         shared = spark.sparkContext.broadcast(bits)
         blocks = texts.mapInArrow(_count(length + 1, buckets, shared), _BLOCK)
-        counted = write_shared(_by_bucket(blocks).mapInArrow(_counted(length + 1, least_pair), "h long, ctx long, suf long, n long"), "counted")
-        _clean(spark)
+        counted = _by_bucket(blocks).mapInArrow(_counted(length + 1, least_pair), "h long, ctx long, suf long, n long")
         pairs = write_shared(counted.join(known.select(F.col("h").alias("suf"), F.col("s").alias("above")), "suf"), "pairs")
-        release_table(counted)
         shared.destroy()
         retained = write_shared(_retained(pairs, contexts), "contexts")
         if not retained.take(1):
@@ -326,7 +326,7 @@ def learn(texts: DataFrame, depth: int | None = None, least_context: int = LEAST
             break
         _clean(spark)
         length += 1
-        value = F.log10(F.col("n") / (F.col("sum") + F.col("types")) + F.pow(F.lit(10.0), F.col("back") + F.col("above")))
+        value = F.log10((F.col("n") + F.col("types") * F.pow(F.lit(10.0), F.col("above"))) / (F.col("sum") + F.col("types")))
         level = pairs.join(retained.select("ctx", "sum", "types", "back"), "ctx", "left").select("h", "suf", "n", value.alias("s"), (value - F.col("above") - F.col("back")).alias("gain"))
         level = write_shared(level, "level")
         release_table(pairs)
@@ -347,10 +347,10 @@ def _retained(pairs: DataFrame, contexts: DataFrame) -> DataFrame:
     stats = pairs.groupBy("ctx").agg(F.sum("n").alias("kept"), (F.count(F.lit(1)) + 1.0).alias("types"), own.alias("own"), F.sum(F.pow(F.lit(10.0), above)).alias("mass"))
     stats = stats.join(contexts.select(F.col("h").alias("ctx"), F.col("n").alias("sum")), "ctx")
     total, kept, types = F.col("sum"), F.col("kept"), F.col("types")
-    rest = total - kept
-    others = F.when(rest > 0, rest * F.ln(rest / total / F.greatest(1 - F.col("mass"), F.lit(1e-12)))).otherwise(0.0)
-    stays = F.col("own") - kept * F.ln(total) + others > 0.5 * types * F.ln(F.greatest(total, F.lit(2)))
-    return stats.where(stays).select("ctx", "sum", "types", F.log10((rest + types) / (total + types)).alias("back"))
+    rest, free = total - kept, F.greatest(1 - F.col("mass"), F.lit(1e-12))
+    others = F.when(rest > 0, rest * F.ln(rest / total / free)).otherwise(0.0)
+    stays = F.col("own") - kept * F.ln(total) + others > types * F.ln(F.greatest(total, F.lit(2)))
+    return stats.where(stays).select("ctx", "sum", "types", F.log10((rest / free + types) / (total + types)).alias("back"))
 
 
 def _pack_weights(buckets: int):

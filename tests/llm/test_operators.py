@@ -321,9 +321,9 @@ def brute_suffix_tree(texts, least=2):
             above = {w: prob(context, w, d - 1) for w in found}
             gain = sum(k * math.log(k / n / above[w]) for w, k in found.items())
             gain += (n - kept) * math.log((n - kept) / n / max(1 - sum(above.values()), 1e-12)) if n > kept else 0
-            if gain > 0.5 * types * math.log(n):
-                new_back[context] = math.log10((n - kept + types) / (n + types))
-                new_value |= {(context, w): k / (n + types) + 10 ** new_back[context] * above[w] for w, k in found.items()}
+            if gain > types * math.log(n):
+                new_back[context] = math.log10(((n - kept) / max(1 - sum(above.values()), 1e-12) + types) / (n + types))
+                new_value |= {(context, w): (k + types * above[w]) / (n + types) for w, k in found.items()}
         if not new_back:
             break
         back |= new_back
