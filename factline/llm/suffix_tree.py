@@ -1,8 +1,9 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 Tokens are white-space words, ASCII lower-cased, and an end of text. A context of one word is a candidate if it
-occurs ``LEAST_CONTEXT`` times, whatever the corpus's size; a longer one if also its suffix (all but its first word)
-is in the tree and all but its last word was a candidate. Next symbols count if they follow ``LEAST_PAIR`` times. A
+occurs ``LEAST_CONTEXT`` times, whatever the corpus's size; a longer one if it occurs ``LEAST_LONGER`` times, its suffix
+(all but its first word) is in the tree and all but its last word was a candidate. Next symbols count if they follow
+``LEAST_PAIR`` times. A
 candidate stays if the divergence of its next-symbol distribution from its suffix's, times its count, exceeds a
 penalty for its parameters. The tree grows by a word until no candidate of a length stays; no depth is set.
 Counts are smoothed by the suffix's distribution, which weighs as much as there are symbols; symbols that don't count
@@ -43,7 +44,8 @@ from pyspark.sql.types import BinaryType, BooleanType, LongType, StructType
 
 from factline.sources.storage import release_table, write_shared
 
-LEAST_CONTEXT, LEAST_PAIR = 2, 2
+#: Occurrences from which a context of one word, one of more words, and a next symbol count, whatever the corpus's size.
+LEAST_CONTEXT, LEAST_LONGER, LEAST_PAIR = 2, 8, 2
 #: Share of the tokens from which a sequence is broadcast for scoring.
 MIN_WORD = 1e-6
 #: Least and most bits of a filter, as powers of two.
@@ -299,7 +301,7 @@ def _clean(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def learn(texts: DataFrame, depth: int | None = None, least_context: int = LEAST_CONTEXT, least_pair: int = LEAST_PAIR) -> Model:
+def learn(texts: DataFrame, depth: int | None = None, least_context: int = LEAST_CONTEXT, least_longer: int = LEAST_LONGER, least_pair: int = LEAST_PAIR) -> Model:
     """The tree of ``texts``: uid, and words as a binary column of hashes. ``depth``: most words of a context, if any."""
     spark = texts.sparkSession
     texts = texts.select("uid", "words")
@@ -321,21 +323,20 @@ def learn(texts: DataFrame, depth: int | None = None, least_context: int = LEAST
         pairs = write_shared(counted.join(known.select(F.col("h").alias("suf"), F.col("s").alias("above")), "suf"), "pairs")
         shared.destroy()
         retained = write_shared(_retained(pairs, contexts), "contexts")
-        if not retained.take(1):
-            release_table(pairs)
-            break
+        if length:
+            release_table(contexts)
         _clean(spark)
         length += 1
         value = F.log10((F.col("n") + F.col("types") * F.pow(F.lit(10.0), F.col("above"))) / (F.col("sum") + F.col("types")))
-        level = pairs.join(retained.select("ctx", "sum", "types", "back"), "ctx", "left").select("h", "suf", "n", value.alias("s"), (value - F.col("above") - F.col("back")).alias("gain"))
-        level = write_shared(level, "level")
+        known = pairs.join(retained, "ctx").select("h", "n", value.alias("s"), (value - F.col("above") - F.col("back")).alias("gain"))
+        known = write_shared(known, "level")
+        longer = pairs.where(F.col("n") >= least_longer).join(retained.select(F.col("ctx").alias("suf")), "suf", "left_semi")
+        contexts = write_shared(longer.select("h", "n"), "candidates")
         release_table(pairs)
         _clean(spark)
-        known = level.where("gain IS NOT NULL")
         gains = known.select("h", "n", F.col("gain").alias("weight"), zero)
         states = retained.select(F.col("ctx").alias("h"), F.col("sum").alias("n"), F.col("back").alias("weight"), zero)
         weights = weights.unionByName(gains).unionByName(states)
-        contexts = write_shared(level.where(F.col("n") >= least_context).join(retained.select(F.col("ctx").alias("suf")), "suf", "left_semi").select("h", "n"), "candidates")
     return Model(weights, length + 1, total, distinct, buckets)
 
 

@@ -296,7 +296,7 @@ def test_scores_keep_the_type_of_ids_and_ignore_clashing_columns(spark):
     assert got["a"].n_tokens == 3 and got["b"].n_tokens == 1 and got["a"].train_tokens == 4
 
 
-def brute_suffix_tree(texts, least=2):
+def brute_suffix_tree(texts, least=2, longer=8):
     """Probabilities of a text's words after all words before them, and the tree's depth: contexts as tuples, no hashes and no table."""
     grams = Counter(tuple(t[i:j]) for t in texts for i in range(len(t)) for j in range(i + 1, min(i + 14, len(t) + 1)))
     total, distinct = sum(map(len, texts)), sum(len(g) == 1 for g in grams)
@@ -328,7 +328,7 @@ def brute_suffix_tree(texts, least=2):
             break
         back |= new_back
         value |= new_value
-        candidates = {(*g, w) for g, found in nexts.items() for w, n in found.items() if n >= least and (*g[1:], w) in new_back}
+        candidates = {(*g, w) for g, found in nexts.items() for w, n in found.items() if n >= longer and (*g[1:], w) in new_back}
     return lambda words: [prob(tuple(words[:i]), w, 13) for i, w in enumerate(words)], d
 
 
@@ -346,7 +346,7 @@ def chain_texts():
 
 @pytest.mark.parametrize(("min_word", "tokens"), [(1e-6, 1 << 19), (0.02, 1 << 19), (0.02, 16)])
 def test_scores_equal_a_whole_tree_in_memory(spark, monkeypatch, min_word, tokens):
-    """Contexts and pairs count from 2 on at any size, and as deep as they tell apart; a broadcast part and cut texts change nothing."""
+    """Contexts of one word and pairs count from 2 on at any size, longer ones from 8, and as deep as they tell apart; a broadcast part and cut texts change nothing."""
     monkeypatch.setattr(suffix_tree, "_TOKENS", tokens)
     rows = chain_texts()
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
