@@ -135,9 +135,9 @@ def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
 
 
-def _blocks(bucket: np.ndarray, columns: list[np.ndarray], kind: int) -> pa.RecordBatch:
-    """A row for each run of equal ``bucket`` numbers, with its part of all columns as bytes."""
-    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+def _blocks(bucket: np.ndarray, columns: list[np.ndarray], kind: int, first: np.ndarray | None = None) -> pa.RecordBatch:
+    """A row for each run of equal ``bucket`` numbers (they begin at ``first``), with its part of all columns as bytes."""
+    first = _runs(bucket) if first is None else first
     ends = np.append(first, len(bucket))[1:]
     data = [b"".join(c[a:b].tobytes() for c in columns) for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
     return pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int32)), pa.array(np.full(len(first), kind, np.int32)), pa.array(data, pa.binary())], names=["bucket", "kind", "data"])
@@ -396,9 +396,11 @@ def _asked(longest: int, unseen: float, buckets: int, shared):
                 bucket = _bucket(h, buckets)
                 order = np.lexsort((own, bucket))
                 bucket, own, h = bucket[order], uids[own[order]], h[order]
+                # Steps between the uids of a task's rows are small: most have one byte that isn't zero.
+                first = _runs(bucket.astype(np.int64) << 24 | own >> 40)
                 steps = np.diff(own, prepend=0)
-                steps[_runs(bucket)] = own[_runs(bucket)]
-                yield _blocks(bucket, [steps, h], kind)
+                steps[first] = own[first]
+                yield _blocks(bucket, [h, steps.astype(np.uint8), (steps >> 8 & 255).astype(np.uint8), steps >> 16], kind, first)
             direct = np.add.reduceat(sums, np.cumsum(sizes) - sizes, axis=1)
             bucket = np.full(len(uids), (int(uids[0]) + number) % buckets, np.int32)
             yield _blocks(bucket, [uids, *direct], 3)
@@ -438,8 +440,8 @@ def _answered(unseen: float):
                         keys, *values = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
                         table, parts = _summed(keys, values), []
                     keys, (weight, base) = table
-                    steps, h = _unpacked(data, ("i8", "u8"))
-                    uid, at = np.cumsum(steps), find(keys, h)
+                    h, low, middle, high = _unpacked(data, ("u8", "u1", "u1", "i8"))
+                    uid, at = np.cumsum(high << 16 | middle.astype(np.int64) << 8 | low), find(keys, h)
                     hit, missed = at >= 0, unseen if kind == 1 else 0.0
                     values = [np.full(len(h), missed), np.full(len(h), missed), np.zeros(len(h))]
                     values[0][hit], values[1][hit] = weight[at[hit]], base[at[hit]]
