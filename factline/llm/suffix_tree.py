@@ -2,8 +2,9 @@
 
 Tokens are white-space words, ASCII lower-cased, and an end of text. A context of one word is a candidate if it
 occurs ``LEAST_CONTEXT`` times, whatever the corpus's size; a longer one if it occurs ``LEAST_LONGER`` times, its suffix
-(all but its first word) is in the tree and all but its last word was a candidate. Next symbols count if they follow
-``LEAST_PAIR`` times. A
+(all but its first word) is in the tree and all but its last word was a candidate. A next symbol counts if it
+follows ``LEAST_PAIR`` times, counts after the suffix too, and does so by ``LEAST_SURPRISE`` more or less often than the
+suffix makes expected (the deviance of a Poisson count). A
 candidate stays if the divergence of its next-symbol distribution from its suffix's, times its count, exceeds a
 penalty for its parameters. The tree grows by a word until no candidate of a length stays; no depth is set.
 Counts are smoothed by the suffix's distribution, which weighs as much as there are symbols; symbols that don't count
@@ -46,8 +47,10 @@ from factline.sources.storage import release_table, write_shared
 
 #: Occurrences from which a context of one word, one of more words, and a next symbol count, whatever the corpus's size.
 LEAST_CONTEXT, LEAST_LONGER, LEAST_PAIR = 2, 8, 2
+#: Nats by which a next symbol's number differs, at least, from what the suffix makes expected.
+LEAST_SURPRISE = 3.0
 #: Share of the tokens from which a sequence is broadcast for scoring.
-MIN_WORD = 1e-6
+MIN_WORD = 5e-7
 #: Least and most bits of a filter, as powers of two.
 _BITS = 16, 27
 #: Tokens for each bucket, tokens that are read at once, sequences that a task holds, and bytes that are split at once.
@@ -320,15 +323,17 @@ def learn(texts: DataFrame, depth: int | None = None, least_context: int = LEAST
         shared = spark.sparkContext.broadcast(bits)
         blocks = texts.mapInArrow(_count(length + 1, buckets, shared), _BLOCK)
         counted = _by_bucket(blocks).mapInArrow(_counted(length + 1, least_pair), "h long, ctx long, suf long, n long")
-        pairs = write_shared(counted.join(known.select(F.col("h").alias("suf"), F.col("s").alias("above")), "suf"), "pairs")
+        pairs = counted.join(known.select(F.col("h").alias("suf"), F.col("s").alias("above")), "suf").join(contexts.select(F.col("h").alias("ctx"), F.col("n").alias("sum")), "ctx")
+        expected = F.col("sum") * F.pow(F.lit(10.0), F.col("above"))
+        pairs = write_shared(pairs.where(F.col("n") * (F.ln(F.col("n") / expected) - 1) + expected >= LEAST_SURPRISE), "pairs")
         shared.destroy()
-        retained = write_shared(_retained(pairs, contexts), "contexts")
+        retained = write_shared(_retained(pairs), "contexts")
         if length:
             release_table(contexts)
         _clean(spark)
         length += 1
         value = F.log10((F.col("n") + F.col("types") * F.pow(F.lit(10.0), F.col("above"))) / (F.col("sum") + F.col("types")))
-        known = pairs.join(retained, "ctx").select("h", "n", value.alias("s"), (value - F.col("above") - F.col("back")).alias("gain"))
+        known = pairs.join(retained.drop("sum"), "ctx").select("h", "n", value.alias("s"), (value - F.col("above") - F.col("back")).alias("gain"))
         known = write_shared(known, "level")
         longer = pairs.where(F.col("n") >= least_longer).join(retained.select(F.col("ctx").alias("suf")), "suf", "left_semi")
         contexts = write_shared(longer.select("h", "n"), "candidates")
@@ -340,17 +345,15 @@ def learn(texts: DataFrame, depth: int | None = None, least_context: int = LEAST
     return Model(weights, length + 1, total, distinct, buckets)
 
 
-def _retained(pairs: DataFrame, contexts: DataFrame) -> DataFrame:
+def _retained(pairs: DataFrame) -> DataFrame:
     """(ctx, sum, types, back) of the contexts whose next symbols diverge from those of their suffix."""
     n, above = F.col("n"), F.col("above")
-    # Of the divergence, the sum over symbols of n * ln(n / sum / above) but for the sum, which is joined later.
-    own = F.sum(n * (F.ln(n) - above * F.ln(F.lit(10.0))))
-    stats = pairs.groupBy("ctx").agg(F.sum("n").alias("kept"), (F.count(F.lit(1)) + 1.0).alias("types"), own.alias("own"), F.sum(F.pow(F.lit(10.0), above)).alias("mass"))
-    stats = stats.join(contexts.select(F.col("h").alias("ctx"), F.col("n").alias("sum")), "ctx")
+    own = F.sum(n * (F.ln(n / F.col("sum")) - above * F.ln(F.lit(10.0))))
+    stats = pairs.groupBy("ctx").agg(F.first("sum").alias("sum"), F.sum("n").alias("kept"), (F.count(F.lit(1)) + 1.0).alias("types"), own.alias("own"), F.sum(F.pow(F.lit(10.0), above)).alias("mass"))
     total, kept, types = F.col("sum"), F.col("kept"), F.col("types")
     rest, free = total - kept, F.greatest(1 - F.col("mass"), F.lit(1e-12))
     others = F.when(rest > 0, rest * F.ln(rest / total / free)).otherwise(0.0)
-    stays = F.col("own") - kept * F.ln(total) + others > types * F.ln(F.greatest(total, F.lit(2)))
+    stays = F.col("own") + others > types * F.ln(F.greatest(total, F.lit(2)))
     return stats.where(stays).select("ctx", "sum", "types", F.log10((rest / free + types) / (total + types)).alias("back"))
 
 
