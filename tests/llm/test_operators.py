@@ -133,6 +133,101 @@ def test_html_text(spark):
     assert got[5] == want and got[6] == ("long text " * 50000).strip()
 
 
+LONG = "Words that go on for a while, as an article has them, with much to say and few tags between one word and the next."
+#: (html, main text) of pages that say nothing by names: ratio, smoothing and clusters have to find the article.
+UNNAMED = [
+    # Heading and lead beside the body's element; menu before, links and a copyright line after.
+    (
+        f"<body><div><a href=/>Home</a> <a href=/n>News</a> <a href=/a>About us</a></div><div><div><h1>A title</h1><p>{LONG} Lead.</p></div><div><p>{LONG}</p><p>Short.</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div></div>"
+        "<div><span><b><i>(c) Someone</i></b></span><ul><li><a href=1>One</a><li><a href=2>Two</a><li><a href=3>Three</a></ul></div></body>",
+        "\n".join(["A title", f"{LONG} Lead.", LONG, "Short.", *[LONG] * 9]),
+    ),
+    # No element at all around the text.
+    (f"<body><p><a href=/>Home</a><p><a href=/a>A</a><p><a href=/b>B</a><p><a href=/c>C</a><h2>Head</h2><p>{LONG}<p>Short.<p>{LONG}<p>{LONG}<p><a href=1>Next</a><p><a href=2>Last</a><p><a>Imprint</a><p><i>(c)</i></body>", "\n".join(["Head", LONG, "Short.", LONG, LONG])),
+]
+
+
+@pytest.mark.parametrize(("html", "want"), UNNAMED)
+def test_html_text_without_names_comes_from_the_ratio(html, want, monkeypatch):
+    assert html_text.main_text(html) == want
+    # Without the ratio, the smoothing or the clusters another text comes out.
+    with monkeypatch.context() as m:
+        m.setattr(html_text, "content_lines", lambda lines, other, sigma=2.0: ~other)
+        assert html_text.main_text(html) != want
+    with monkeypatch.context() as m:
+        m.setattr(html_text, "threshold", lambda values: float(values.min()))
+        assert html_text.main_text(html) != want
+
+
+def test_html_text_smoothing_decides():
+    """A dense line alone among menus is below the threshold only by its neighbours, a short one within the text above it."""
+    menu = "".join(f"<div><a href={i}>Item {i}</a></div>" for i in range(9))
+    html = f"<body>{menu}<div>{LONG[:70]}</div>{menu}<p>{LONG * 3}<p>{LONG * 3}<p>Short.<p>{LONG * 3}<p>{LONG * 3}{menu}</body>"
+    assert html_text.main_text(html) == "\n".join([LONG * 3, LONG * 3, "Short.", LONG * 3, LONG * 3])
+    assert html_text.main_text(html, sigma=0.01) != html_text.main_text(html) or html_text.content_lines(*_lines_of(html), 0.01).sum() != html_text.content_lines(*_lines_of(html)).sum()
+
+
+def _lines_of(html):
+    parser = html_text.Lines()
+    parser.feed(html)
+    parser.close()
+    parser.end_line()
+    return parser.lines, html_text.marked(parser.lines)
+
+
+@pytest.mark.parametrize("skipped", sorted(html_text.SKIP - {"head"}))
+def test_html_text_after_self_closing_elements(skipped):
+    html = f'<body><article><p>{LONG}</p><p><{skipped} class="i"/> words after it</p><p>{LONG}</p></article></body>'
+    assert html_text.main_text(html) == f"{LONG}\nwords after it\n{LONG}"
+
+
+def test_html_text_drops_no_article_text():
+    html = f"""<head><title>T</title><body><form id=aspnet><div class="layout has-sidebar"><article><h1>T</h1><p>{LONG} <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>
+    <section class="social-history"><p>{LONG}</p></section><section id="related-work"><p>{LONG}</p></section><div class="alert-level">{LONG}</div>
+    <h2>Sources</h2><ul><li><a href=1>A source that is one link</a></li><li><a href=2>Another one</a></li></ul><p><a href=3>A paragraph that is a link</a></p>
+    <div class="comment-list"><p>{LONG}</p></div><div class="site-footer">{LONG}</div><div class="cookie-banner">{LONG}</div></article></div></form>"""
+    assert html_text.main_text(html) == "\n".join(["T", f"{LONG} x=2 holds.", LONG, LONG, LONG, "Sources", "A source that is one link", "Another one", "A paragraph that is a link"])
+
+
+def test_html_text_of_empty_tables_and_clashing_columns(spark):
+    df = spark.createDataFrame([(1, f"<p>{LONG}", "x", "y")], "page_id long, html string, text string, lines string")
+    got = html_text.main_texts(df, out_col="text").first()
+    assert (got.text, got.lines) == (LONG, "y") and html_text.main_texts(df.limit(0), out_col="text").count() == 0
+
+
+def brute_smoothed(values, sigma):
+    out = []
+    for i in range(len(values)):
+        pairs = [(math.exp(-0.5 * ((i - j) / sigma) ** 2), v) for j, v in enumerate(values) if abs(i - j) <= math.ceil(3 * sigma)]
+        out.append(sum(w * v for w, v in pairs) / sum(w for w, _ in pairs))
+    return out
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_html_text_of_all_pages_equals_a_plain_version(spark):
+    """Of the given pages: smoothed ratios above the middle of two clusters, and all lines of the article around them that no name takes away."""
+    import pyarrow.parquet as pq
+
+    for html in pq.read_table("/root/testdata/sf0.01/pages.parquet").column("html").to_pylist():
+        lines, other = _lines_of(html or "")
+        if not lines:
+            assert html_text.main_text(html or "") == ""
+            continue
+        ratio = brute_smoothed([0.0 if o else x.own / x.tags for x, o in zip(lines, other, strict=True)], 2.0)
+        low, high = min(ratio), max(ratio)
+        while True:
+            cut = (low + high) / 2
+            parts = [[r for r in ratio if (r > cut) == side] for side in (False, True)]
+            means = tuple(sum(p) / len(p) if p else old for p, old in zip(parts, (low, high), strict=True))
+            if all(math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12) for a, b in zip(means, (low, high), strict=True)):
+                break
+            low, high = means
+        seeds = [x for x, r, o in zip(lines, ratio, other, strict=True) if r >= (low + high) / 2 and not o]
+        articles = {e for x in seeds for e in x.path if e[1]}
+        best = max(articles, key=lambda e: (sum(x.own for x in seeds if e in x.path), e))
+        assert html_text.main_text(html) == "\n".join(x.text for x, o in zip(lines, other, strict=True) if best in x.path and not o)
+
+
 def test_media_round_trip(docs, empty):
     read = media.store_texts(docs.select("doc_id", "text")).select("doc_id", "text", media.media_features("media").alias("f")).collect()
     assert len(read) == len(sample())
