@@ -512,3 +512,54 @@ def test_quality(spark, docs, empty):
     model = quality.train(df, labels)
     assert quality.classify(docs, model).count() == len(sample()) and quality.classify(empty, model).count() == 0
     assert {x.score for x in quality.classify(df, quality.train(df, labels.limit(0))).collect()} == {0.5}
+
+
+def two_views(seed, n=900, weak=0.55):
+    """Documents whose text shows their quality and whose source hardly does."""
+    r = random.Random(seed)
+    rows = []
+    for i in range(n):
+        bad = r.random() < 0.3
+        text = " ".join(r.choice(WORDS) + ("###" if bad and r.random() < 0.5 else "") for _ in range(r.randrange(5, 40)))
+        rows.append((i, text, "en", "spam" if r.random() < (weak if bad else 1 - weak) else "web", len(text), int(not bad)))
+    return rows
+
+
+def area(scores, y):
+    good, bad = [s for s, v in zip(scores, y, strict=True) if v], [s for s, v in zip(scores, y, strict=True) if not v]
+    return sum((a > b) + 0.5 * (a == b) for a in good for b in bad) / (len(good) * len(bad))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_co_training_does_no_harm(spark, seed):
+    rows = two_views(seed)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, quality int")
+    labels = df.where("doc_id < 300").select("doc_id", "quality")
+    held = {r[0]: r[5] for r in rows if r[0] >= 300}
+
+    def of(rounds):
+        model = quality.train(df, labels, rounds=rounds)
+        got = {r.doc_id: r.score for r in quality.classify(df, model).collect()}
+        return area([got[i] for i in held], list(held.values())), model
+
+    before, (after, model) = of(0)[0], of(4)
+    assert after >= before - 1e-3 and all(right > pupils for *_, right, pupils, _ in model.exchanged)
+
+
+def test_a_round_picks_what_brute_force_picks(spark):
+    """The most certain of all rows by each teacher, in steps, and the pupil's features of them."""
+    rows = two_views(3)
+    df = spark.createDataFrame([x[:5] for x in rows], "id long, text string, lang string, source string, n_chars long").repartition(3)
+    table = quality._features(df.withColumn("place", F.xxhash64("id", F.lit(7)))).cache()
+    got = table.orderBy("place").toPandas()
+    x = quality._unpack(got["content"].map(bytes), got["codes"].map(bytes))
+    y = np.array([dict((r[0], r[5]) for r in rows)[i] for i in got["id"]], float)
+    views = [quality.View.fit(x[v][::2], y[::2], x[v][1::2], y[1::2]) for v in (0, 1)]
+    pairs = [(0, 1), (0, 0), (1, 1)]
+    found = quality.picker(table.drop("id"), share=0.2, certain=0.6, pseudo=40)(views, pairs)
+    for teacher, good in pairs:
+        step = np.minimum(views[teacher].certainty(x[teacher], good) * 1000, 999).astype(int)
+        least = next((s for s in range(600, 1000) if (step >= s).sum() <= 0.2 * len(y)), None)
+        want = x[1 - teacher][step >= least][:40] if least is not None and (step >= least).any() else np.zeros((0, 1))
+        assert found[teacher, good].shape[0] == want.shape[0] and np.array_equal(found[teacher, good], want)
+    assert any(len(f) for f in found.values())
