@@ -36,8 +36,8 @@ from pyspark.sql.functions import pandas_udf
 from factline.sources.storage import write_shared
 
 LABELLED, PSEUDO, ROUNDS, SHARE, CERTAIN, KEEP = 8000, 2000, 4, 0.05, 0.95, 0.5
-#: Labelled rows that a teacher must have picked before it is judged, and steps of the certainty.
-LEAST, STEPS = 10, 1000
+#: Labelled rows that a teacher must have picked before it is judged; steps of the log odds, and how many make one of them.
+LEAST, STEPS, FINE = 10, 4000, 20
 HASHED, META = 256, 512
 _PIECE = 1024
 _CLASSES = [range(0x41, 0x5B), range(0x61, 0x7B), range(0x30, 0x3A), range(0x80, 0x100), [0x20], [0x0A], *([c] for c in range(0x21, 0x7F) if not chr(c).isalnum())]
@@ -132,8 +132,9 @@ class View:
     def odds(self, x: np.ndarray) -> np.ndarray:
         return self.slope * self.model.odds(x) + self.intercept
 
-    def certainty(self, x: np.ndarray, good: int) -> np.ndarray:
-        return sigmoid(self.odds(x) if good else -self.odds(x))
+    def steps(self, x: np.ndarray, good: int) -> np.ndarray:
+        """How certain it is of a class: log odds in steps, from 0 to ``STEPS`` - 1."""
+        return np.clip(np.floor((self.odds(x) if good else -self.odds(x)) * FINE), 0, STEPS - 1).astype(np.int64)
 
     def loss(self, x: np.ndarray, y: np.ndarray) -> float:
         return float(-np.log(np.clip(sigmoid(np.where(y == 1, 1, -1) * self.odds(x)), 1e-9, 1)).mean()) if len(y) else 0.0
@@ -161,6 +162,10 @@ class Model:
         return sigmoid(np.column_stack([self.both.odds(odds), odds]))
 
 
+def least_step(certain: float) -> int:
+    return int(np.ceil(np.log(certain / (1 - certain)) * FINE))
+
+
 def co_train(views: list[np.ndarray], y: np.ndarray, pick: Callable, rounds: int = ROUNDS, certain: float = CERTAIN) -> Model:
     """Fit on labelled rows (features by view, labels 0 or 1), in the order of a hash.
 
@@ -180,7 +185,7 @@ def co_train(views: list[np.ndarray], y: np.ndarray, pick: Callable, rounds: int
     for number in range(rounds):
         teachers = {}
         for teacher, good in ((0, 1), (0, 0), (1, 1), (1, 0)):
-            rows = found[teacher].certainty(views[teacher][judge], good) >= certain
+            rows = found[teacher].steps(views[teacher][judge], good) >= least_step(certain)
             right = float((y[judge][rows] == good).mean()) if rows.sum() >= LEAST else 0.0
             pupils = float(((found[1 - teacher].odds(views[1 - teacher][judge][rows]) > 0) == y[judge][rows]).mean()) if rows.any() else 1.0
             if right > pupils:
@@ -233,13 +238,14 @@ def _some(rows: DataFrame, n: int, most: int) -> pd.DataFrame:
 def picker(free: DataFrame, share: float = SHARE, certain: float = CERTAIN, pseudo: int = PSEUDO) -> Callable:
     """``pick`` of :func:`co_train` over a table (place, content, codes) of unlabelled rows.
 
-    Of all rows, a teacher picks the ``share`` that it is most certain to be of a class (in steps), if at least ``certain``.
+    Of all rows, a teacher picks the ``share`` that it is most certain to be of a class, in whole steps and one at least,
+    if it is at least ``certain``.
     """
     spark = free.sparkSession
 
     def certainties(batch: pa.RecordBatch, views: list[View], pairs: list) -> list[np.ndarray]:
         x = _unpack(batch.column("content").to_pylist(), batch.column("codes").to_pylist())
-        return [np.minimum(views[t].certainty(x[t], good) * STEPS, STEPS - 1).astype(np.int64) for t, good in pairs]
+        return [views[t].steps(x[t], good) for t, good in pairs]
 
     def pick(views: list[View], pairs: list) -> dict:
         held = spark.sparkContext.broadcast((views, pairs))
@@ -262,11 +268,11 @@ def picker(free: DataFrame, share: float = SHARE, certain: float = CERTAIN, pseu
                 if r.pair == i:
                     n[r.step] = r.n
             above = np.cumsum(n[::-1])[::-1]
-            fits = np.flatnonzero((above <= max(share * total, 1)) & (np.arange(STEPS) >= np.ceil(certain * STEPS)))
-            if not len(fits) or not above[fits[0]]:
+            sure = np.flatnonzero(n[least_step(certain) :]) + least_step(certain)
+            if not len(sure):
                 found[teacher, good] = np.zeros((0, 1))
                 continue
-            least = int(fits[0])
+            least = int(next((k for k in sure if above[k] <= share * total), sure[-1]))
 
             def chosen(batches: Iterator[pa.RecordBatch], i=i, least=least) -> Iterator[pa.RecordBatch]:
                 own, pairs = held.value

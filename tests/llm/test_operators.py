@@ -558,8 +558,9 @@ def test_a_round_picks_what_brute_force_picks(spark):
     pairs = [(0, 1), (0, 0), (1, 1)]
     found = quality.picker(table.drop("id"), share=0.2, certain=0.6, pseudo=40)(views, pairs)
     for teacher, good in pairs:
-        step = np.minimum(views[teacher].certainty(x[teacher], good) * 1000, 999).astype(int)
-        least = next((s for s in range(600, 1000) if (step >= s).sum() <= 0.2 * len(y)), None)
-        want = x[1 - teacher][step >= least][:40] if least is not None and (step >= least).any() else np.zeros((0, 1))
+        odds = views[teacher].odds(x[teacher]) * (1 if good else -1)
+        sure = sorted({math.floor(o * 20) for o in odds if math.floor(o * 20) >= math.log(0.6 / 0.4) * 20}, reverse=True)
+        fits = [k for k in sure if (np.floor(odds * 20) >= k).sum() <= 0.2 * len(y)] or sure[:1]
+        want = x[1 - teacher][np.floor(odds * 20) >= fits[-1]][:40] if fits else np.zeros((0, 1))
         assert found[teacher, good].shape[0] == want.shape[0] and np.array_equal(found[teacher, good], want)
     assert any(len(f) for f in found.values())
