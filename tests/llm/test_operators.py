@@ -324,15 +324,48 @@ def test_mixing(docs, empty):
     assert Counter(map(repr, again)) == Counter(repr(x) for x in mixing.place(docs, carry=False).select("row.doc_id", "size", "copies").collect())
     mixed = mixing.mix(docs)
     assert mixed.select("row.*").columns == docs.columns and mixed.count() == sum(len(r.copies) for r in rows)
+    # A shard is in one task, in the order of the key; a block is in one shard; a shard's words are its copies'.
+    found = mixed.select("row.doc_id", "shard", "key", F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("at")).collect()
+    assert len({(r.shard, r.task) for r in found}) == len({r.shard for r in found}) > 8
+    for shard in {r.shard for r in found}:
+        keys = [r.key for r in sorted(found, key=lambda r: r["at"]) if r.shard == shard]
+        assert keys == sorted(keys)
+    blocks = {(r.source, c.block): set() for r in rows for c in r.copies}
+    for r in rows:
+        for c in r.copies:
+            blocks[r.source, c.block].add(c.shard)
+    assert all(len(x) == 1 for x in blocks.values())
+    assert Counter((r.doc_id, r.shard) for r in found) == Counter((r.doc_id, c.shard) for r in rows for c in r.copies)
     assert mixing.place(empty).count() == 0 and mixing.mix(empty).count() == 0
 
 
+def test_mix_is_written_by_shard(spark, docs, tmp_path):
+    mixing.write_mix(docs.drop("row"), f"file://{tmp_path}/mix", shards=4)
+    back = spark.read.parquet(f"file://{tmp_path}/mix")
+    assert {r.shard for r in back.select("shard").distinct().collect()} == {0, 1, 2, 3}
+    assert back.count() == mixing.mix(docs, shards=4).count() and all(len(list((tmp_path / "mix" / f"shard={i}").glob("*.parquet"))) == 1 for i in range(4))
+
+
+def test_shards_follow_the_words():
+    assert [mixing.shards_for(n, 16, 1000) for n in (0, 1, 16000, 16001, 100000)] == [16, 16, 16, 32, 128]
+
+
+def test_targets_of_many_sources(spark):
+    """Sources that are spread over tasks get the weights and levels that one list gives."""
+    r = random.Random(8)
+    sizes = {f"host{i}": r.randrange(1, 10 ** r.randrange(1, 6)) for i in range(700)} | {None: 50}
+    got = mixing.source_targets(spark.createDataFrame([(str(s), s, n) for s, n in sizes.items()], "skey string, source string, source_size long").repartition(7))
+    want = brute_targets(sizes)
+    assert all(math.isclose(x.target, want[None if x.skey == "None" else x.skey], rel_tol=1e-9) for x in got.collect()) and got.count() == 701
+
+
 def test_splitting_tree_deals_each_block_once(spark):
     quotas = spark.createDataFrame([("a", 37), ("b", 5), ("c", 1), ("d", 0)], "skey string, quota long")
     got = mixing.splitting_tree(quotas, 3, 1).collect()
     assert Counter((r.skey, r.block) for r in got) == Counter({("a", i): 1 for i in range(37)} | {("b", i): 1 for i in range(5)} | {("c", 0): 1})
     per_shard = Counter(r.shard for r in got)
     assert max(per_shard.values()) - min(per_shard.values()) <= 1 and len(per_shard) == 8
+    assert all(len({r.shard for r in got if r.skey == s}) > 1 for s in "ab")
 
 
 def test_bpe_equals_the_library(docs, empty):
