@@ -10,9 +10,15 @@ sticky overflow), and a word is abandoned as soon as all its distances exceed th
 forest of the links found leaves a task, so a group of copies gives as many edges as members, not pairs.
 Keys with over ``chunk`` fingerprints are cut into chunks, and each pair of chunks is a unit of its own.
 
+:func:`drop_near_duplicates` is for a similarity: texts whose sets of five-word shingles have a Jaccard index of 0.8 or
+more. Such texts differ in about a seventh of their bits, too many for runs of 64 bits as keys. So fingerprints have
+256 bits there, texts are compared if they share one of ``KEYS`` pairs of least shingle hashes (0.998 of texts at 0.8 do),
+and they link within ``WIDE_RADIUS`` bits, an estimate of the index with a deviation of about 0.04. Comparison is the
+same, over more planes.
+
 Defined results: null texts are empty; a text without words has fingerprint zero and links like any other;
-null ids count as no id for the smallest id of a component; repeated rows give repeated results; an empty
-table gives an empty result.
+null ids count as no id for the smallest id of a component; repeated rows give repeated results, and one of them
+stays; an empty table gives an empty result; other columns of the input may have any name.
 """
 
 from __future__ import annotations
@@ -33,29 +39,65 @@ from factline.llm.components import connected_components
 from factline.sources.storage import write_shared
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
+#: For a similarity of 0.8: words of a shingle, words of a fingerprint, bits within which texts link, and keys.
+WIDE_SHINGLE, WIDE_WORDS, WIDE_RADIUS, KEYS = 5, 4, 42, 6
 #: Fingerprints of a unit of comparison, and expected fingerprints of a key beyond which keys get longer.
 CHUNK, PER_KEY = 4096, 512
 #: Shingles whose bits are counted, words of planes that are compared, and rows that are gathered at once.
 _PIECE, _WORDS, _ROWS = 1 << 15, 1 << 16, 1 << 17
 
 
-def fingerprint_of(data: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """Unsigned fingerprint of a text in UTF-8: a bit is 1 if over half the shingles' XXH64 have it."""
+def shingle_hashes(data: bytes, shingle: int, seed: int = SEED) -> Iterator[np.ndarray]:
+    """XXH64 of the shingles of a text in UTF-8, in pieces; of all words if there are fewer, none without words."""
     words = data.lower().split()
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
+    digest = xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(joined, seed)
+        yield np.array([digest(joined, seed)], np.uint64)
+        return
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))[: len(words) - shingle + 1].tolist()
     ends = ends[shingle - 1 :].tolist()
-    digest = xxhash.xxh64_intdigest
-    ones = np.zeros(64, np.int64)
     for at in range(0, len(starts), _PIECE):
-        hashes = np.array([digest(joined[a:b], seed) for a, b in zip(starts[at : at + _PIECE], ends[at : at + _PIECE], strict=True)], np.uint64)
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(starts), bitorder="little").view(np.uint64)[0])
+        yield np.array([digest(joined[a:b], seed) for a, b in zip(starts[at : at + _PIECE], ends[at : at + _PIECE], strict=True)], np.uint64)
+
+
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def fingerprint_of(data: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """Unsigned fingerprint of a text in UTF-8: a bit is 1 if over half the shingles' XXH64 have it."""
+    ones, n = np.zeros(64, np.int64), 0
+    for hashes in shingle_hashes(data, shingle, seed):
+        ones += _ones(hashes)
+        n += len(hashes)
+    return int(np.packbits(ones * 2 > n, bitorder="little").view(np.uint64)[0])
+
+
+def _remixed(hashes: np.ndarray, number: int) -> np.ndarray:
+    """Another hash of each."""
+    x = hashes + np.uint64((number + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def wide_sketch(data: bytes, shingle: int = WIDE_SHINGLE, words: int = WIDE_WORDS, keys: int = KEYS) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprint words of the set of a text's shingles, and its keys: hashes of pairs of least hashes."""
+    ones, least, n = np.zeros((words, 64), np.int64), np.full(2 * keys, ~np.uint64(0)), 0
+    pieces = [np.unique(h) for h in shingle_hashes(data, shingle)]
+    for hashes in pieces if len(pieces) < 2 else [np.unique(np.concatenate(pieces))]:
+        n = len(hashes)
+        mixed = [_remixed(hashes, i) for i in range(max(words, 2 * keys))]
+        for i in range(words):
+            for at in range(0, n, _PIECE):
+                ones[i] += _ones(mixed[i][at : at + _PIECE])
+        least = np.array([mixed[i].min() for i in range(2 * keys)])
+    fingerprint = np.packbits(ones * 2 > n, axis=1, bitorder="little").view(np.uint64).ravel()
+    return fingerprint, _remixed(least[::2] ^ _remixed(least[1::2], 1), 2)
 
 
 @pandas_udf(LongType())
@@ -65,9 +107,9 @@ def simhash(text: pd.Series) -> pd.Series:
 
 
 def _exceeds(counts: list, over: np.ndarray, radius: int) -> np.ndarray:
-    """Lanes whose count, in three bit planes and the overflow, is above the radius."""
+    """Lanes whose count, in bit planes and the overflow, is above the radius."""
     above, equal = over.copy(), np.full_like(over, ~np.uint64(0))
-    for bit in (2, 1, 0):
+    for bit in range(len(counts) - 1, -1, -1):
         if radius >> bit & 1:
             equal &= counts[bit]
         else:
@@ -77,24 +119,24 @@ def _exceeds(counts: list, over: np.ndarray, radius: int) -> np.ndarray:
 
 
 def _planes(lanes: np.ndarray) -> np.ndarray:
-    """(64, words) bit planes of fingerprints given as (words, 64)."""
-    bits = np.unpackbits(lanes.view(np.uint8).reshape(len(lanes), 64, 8), axis=2, bitorder="little")
-    return np.packbits(bits.transpose(2, 0, 1), axis=2, bitorder="little").view(np.uint64).reshape(64, -1)
+    """(bits, words) bit planes of fingerprints given as (words, 64, words of a fingerprint)."""
+    bits = np.unpackbits(lanes.view(np.uint8).reshape(len(lanes), 64, -1), axis=2, bitorder="little")
+    return np.packbits(bits.transpose(2, 0, 1), axis=2, bitorder="little").view(np.uint64).reshape(bits.shape[2], -1)
 
 
 def _links(planes, valid, fps, query, word, radius):
     """Positions in ``query`` and lanes (64 * word + bit) of fingerprints within the radius."""
-    counts = [np.zeros(len(query), np.uint64) for _ in range(3)]
+    counts = [np.zeros(len(query), np.uint64) for _ in range(radius.bit_length())]
     over = np.zeros(len(query), np.uint64)
     values, alive, at = fps[query], np.arange(len(query)), word
-    for plane in range(64):
-        rest = planes[plane][at] ^ (np.uint64(0) - (values >> np.uint64(plane) & np.uint64(1)))
+    for plane in range(len(planes)):
+        rest = planes[plane][at] ^ (np.uint64(0) - (values[:, plane // 64] >> np.uint64(plane % 64) & np.uint64(1)))
         for count in counts:
             carry = count & rest
             count ^= rest
             rest = carry
         over |= rest
-        if plane % 6 == 5 or plane == 63:
+        if plane % 6 == 5 or plane == len(planes) - 1:
             near = ~_exceeds(counts, over, radius) & valid[at]
             keep = np.flatnonzero(near)
             if len(keep) < len(at):
@@ -120,9 +162,9 @@ def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def spanning_edges(group: np.ndarray, fps: np.ndarray, side: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning forest of the links within each group.
+    """Edges (pairs of rows) of a spanning forest of the links within each group.
 
-    ``group`` is sorted. A row of side 0 is compared with rows of side 1 of its group, one of side 2 with all of side 2.
+    ``group`` is sorted, ``fps`` has a column for each word of a fingerprint. A row of side 0 is compared with rows of side 1 of its group, one of side 2 with all of side 2.
     """
     label = np.arange(len(fps))
     starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
@@ -132,10 +174,11 @@ def spanning_edges(group: np.ndarray, fps: np.ndarray, side: np.ndarray, radius:
     words = -(-sizes // 64)
     first = np.cumsum(words) - words
     slot = first[number[stored]] * 64 + np.arange(len(stored)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    lanes, owner = np.zeros(words.sum() * 64, np.uint64), np.zeros(words.sum() * 64, np.int64)
+    lanes, owner = np.zeros((words.sum() * 64, fps.shape[1]), np.uint64), np.zeros(words.sum() * 64, np.int64)
     used = np.zeros(len(lanes), bool)
     lanes[slot], owner[slot], used[slot] = fps[stored], stored, True
-    planes = np.concatenate([_planes(lanes.reshape(-1, 64)[at : at + 4096]) for at in range(0, len(lanes) // 64, 4096)], axis=1) if len(lanes) else np.zeros((64, 0), np.uint64)
+    blocks = lanes.reshape(-1, 64, fps.shape[1])
+    planes = np.concatenate([_planes(blocks[at : at + 4096]) for at in range(0, len(blocks), 4096)] or [np.zeros((64 * fps.shape[1], 0), np.uint64)], axis=1)
     valid = np.packbits(used.reshape(-1, 64), axis=1, bitorder="little").view(np.uint64).ravel()
     asked = np.flatnonzero((side != 1) & (words[number] > 0))
     each = words[number[asked]]
@@ -150,7 +193,7 @@ def spanning_edges(group: np.ndarray, fps: np.ndarray, side: np.ndarray, radius:
         label = _unite(label, q, owner[lane])
         at = to
     child = np.flatnonzero(label != np.arange(len(label)))
-    return fps[child], fps[label[child]]
+    return child, label[child]
 
 
 def _compare(radius: int):
@@ -161,14 +204,14 @@ def _compare(radius: int):
         def flush(last: bool):
             nonlocal held, rows
             table = [np.concatenate(x) for x in zip(*held, strict=True)]
-            combo, key, i, j, fp, side = table
+            combo, key, i, j, side, node, *fp = table
             change = (combo[1:] != combo[:-1]) | (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
             group = np.concatenate(([0], np.cumsum(change)))
             end = len(group) if last else int(np.searchsorted(group, group[-1]))
             held, rows = [[x[end:] for x in table]], len(group) - end
             if end:
-                a, b = spanning_edges(group[:end], fp[:end].view(np.uint64), side[:end], radius)
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+                a, b = spanning_edges(group[:end], np.stack([f[:end].view(np.uint64) for f in fp], axis=1), side[:end], radius)
+                yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
         for batch in batches:
             held.append([np.array(c) for c in batch.columns])
@@ -199,15 +242,20 @@ def blocks_for(n: int, radius: int = RADIUS, per_key: int = PER_KEY) -> int:
 def link_fingerprints(fps: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
     """Edges (a, b) that connect exactly what links within ``radius`` connect. ``fps``: distinct longs ``fp``."""
     signed = [m - (1 << 64) if m >> 63 else m for m in masks(blocks_for(fps.count(), radius), radius)]
-    keyed = fps.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in signed))).alias("combo", "key"))
+    keys = F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in signed))).alias("combo", "key")
+    return link_under_keys(fps.select(keys, F.col("fp").alias("node"), "fp"), ["fp"], radius, chunk)
+
+
+def link_under_keys(keyed: DataFrame, words: list[str], radius: int, chunk: int = CHUNK) -> DataFrame:
+    """Edges (a, b) that connect what links within ``radius`` under a key connect. ``keyed``: combo, key, node, and the columns ``words`` of fingerprints."""
     large = keyed.groupBy("combo", "key").count().where(F.col("count") > chunk)
     large = write_shared(large.select("combo", "key", F.ceil(F.col("count") / chunk).cast("int").alias("chunks")), "large-keys")
-    own = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     other = F.explode(F.expr("sequence(0, coalesce(chunks, 1) - 1)"))
     units = keyed.join(large, ["combo", "key"], "left").withColumn("own", F.coalesce(own, F.lit(0))).withColumn("other", other)
     side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
-    units = units.select("combo", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp", side.alias("side"))
     unit = ["combo", "key", "i", "j"]
+    units = units.select("combo", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "node", *words)
     return units.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(_compare(radius), "a long, b long").distinct()
 
 
@@ -227,14 +275,50 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return found.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
-    """The row with the smallest id of each component, with the columns of ``df``."""
-    rows = write_shared(df.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), _of(text_col).alias("fp")), "fingerprinted")
-    found = component_of_fingerprints(rows.select("id", "fp"), radius, chunk)
-    # Of a component's fingerprints, those that have its smallest id; ids may repeat, so there may be several.
-    stays = rows.join(found, "fp").where(F.col("id").eqNullSafe(F.col("component_id")))
-    order = Window.partitionBy("root").orderBy("fp", F.xxhash64("row"))
-    return stays.withColumn("rank", F.row_number().over(order)).where("rank = 1").select("row.*")
+def _sketches(df: DataFrame, id_col: str, text_col: str, shingle: int, words: int, keys: int) -> DataFrame:
+    """(id, k1, k2, keys, f0, f1, ...): hashes of a row's id and text, keys, and words of the fingerprint."""
+
+    def run(text: pd.Series) -> pd.DataFrame:
+        found = [wide_sketch(x, shingle, words, keys) for x in text]
+        columns = {f"f{i}": np.array([f[i] for f, _ in found], np.uint64).view(np.int64) for i in range(words)}
+        return pd.DataFrame(columns | {"keys": [k.view(np.int64) for _, k in found]})
+
+    kinds = ", ".join([*(f"f{i} long" for i in range(words)), "keys array<long>"])
+    sketch = pandas_udf(run, kinds)(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    return df.select(F.col(id_col).alias("id"), *_row_keys(id_col, text_col), sketch.alias("s")).select("id", "k1", "k2", "s.*")
+
+
+def _row_keys(id_col: str, text_col: str) -> list:
+    return [F.xxhash64(F.lit(i), F.col(id_col), F.col(text_col).isNull(), F.col(text_col)).alias(f"k{i}") for i in (1, 2)]
+
+
+def similar_components(sketches: DataFrame, words: int = WIDE_WORDS, radius: int = WIDE_RADIUS, chunk: int = CHUNK) -> DataFrame:
+    """(node, root) of the fingerprints that link with another; ``node`` is a hash of the fingerprint."""
+    columns = [f"f{i}" for i in range(words)]
+    # Equal fingerprints have equal nodes; they meet under a key only if they share one, so all keys of one row stand for them.
+    nodes = sketches.groupBy("node", *columns).agg(F.min_by("keys", F.struct("k1", "k2")).alias("keys"))
+    keyed = nodes.select("node", *columns, F.posexplode("keys").alias("combo", "key"))
+    return connected_components(link_under_keys(keyed, columns, radius, chunk))
+
+
+def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = WIDE_SHINGLE, words: int = WIDE_WORDS, radius: int = WIDE_RADIUS, keys: int = KEYS, chunk: int = CHUNK) -> DataFrame:
+    """The row with the smallest id of each group of similar texts, with the columns of ``df``.
+
+    What goes is decided on hashes of rows; texts are read again and meet only the hashes of rows that go.
+    """
+    node = F.xxhash64(*(f"f{i}" for i in range(words))).alias("node")
+    rows = write_shared(_sketches(df, id_col, text_col, shingle, words, keys).select("*", node), "sketches")
+    roots = write_shared(similar_components(rows, words, radius, chunk), "roots")
+    grouped = rows.select("id", "k1", "k2", "node").join(roots, "node", "left").select("id", "k1", "k2", F.coalesce("root", "node").alias("root"))
+    best = grouped.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")).alias("best"))
+    marked = grouped.join(best, "root").withColumn("stays", (F.col("k1") == F.col("best.k1")) & (F.col("k2") == F.col("best.k2")))
+    gone = write_shared(marked.where("NOT stays").select("k1", "k2").distinct(), "gone")
+    keyed = df.select(F.struct("*").alias("row"), *_row_keys(id_col, text_col))
+    left = keyed.join(gone, ["k1", "k2"], "left_anti")
+    if not marked.where("stays").groupBy("k1", "k2").count().where("count > 1").isEmpty():  # rows that repeat id and text
+        order = Window.partitionBy("k1", "k2").orderBy("k1")
+        left = left.withColumn("rank", F.row_number().over(order)).where("rank = 1")
+    return left.select("row.*")
 
 
 def _of(text_col: str):

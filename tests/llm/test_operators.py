@@ -93,11 +93,57 @@ def test_simhash(docs, empty):
     want = Counter((r[0], f"{fp:016x}", least[x]) for r, fp, x in zip(rows, fps, label, strict=True))
     assert Counter(map(tuple, simhash.near_duplicates(docs).collect())) == want
     assert Counter(map(tuple, simhash.near_duplicates(docs, chunk=3).collect())) == want
-    kept = simhash.drop_near_duplicates(docs)
-    assert kept.columns == docs.columns and kept.count() == len(set(label))
     assert simhash.near_duplicates(empty).count() == 0 and simhash.drop_near_duplicates(empty).count() == 0
 
 
+def jaccard(a, b, n=5):
+    sets = []
+    for text in (a, b):
+        words = (text or "").lower().split()
+        sets.append({tuple(words[i : i + n]) for i in range(len(words) - n + 1)} or {tuple(words)})
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def edited(r, words, changes):
+    words = list(words)
+    for _ in range(changes):
+        words[r.randrange(len(words))] = f"new{r.randrange(10**6)}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("chunk", [4096, 8])
+def test_similar_texts_are_dropped(spark, docs, chunk):
+    """Against the Jaccard index of all pairs: near copies go, texts that share less stay, one of each group stays."""
+    r = random.Random(12)
+    texts, groups = [], []
+    for g in range(40):
+        base = [f"w{r.randrange(3000)}" for _ in range(r.randrange(80, 300))]
+        for _ in range(r.randrange(1, 7)):
+            texts.append(edited(r, base, r.randrange(3)))
+            groups.append(g)
+        texts.append(" ".join(base[: len(base) // 2]) + " " + " ".join(f"w{r.randrange(3000)}" for _ in range(len(base) // 2)))
+        groups.append(None)  # shares a half
+    df = spark.createDataFrame([(i, t, "a", "b", 1, "c", "c", "c", "c", "c") for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    kept = {x.doc_id for x in simhash.drop_near_duplicates(df, chunk=chunk).collect()}
+    near = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if jaccard(texts[i], texts[j]) >= 0.8]
+    assert len(near) > 100 and sum(i in kept and j in kept for i, j in near) <= 0.03 * len(near)
+    assert all(i in kept for i in range(len(texts)) if groups[i] is None)
+    assert all(any(i in kept for i in range(len(texts)) if groups[i] == g) for g in range(40))
+    some = simhash.drop_near_duplicates(docs)
+    assert some.columns == docs.columns
+    assert Counter(x.text or "" for x in some.collect()).most_common(1)[0][1] == 1
+
+
+def test_sketches_in_pieces(monkeypatch):
+    data = " ".join(f"w{i % 700}" for i in range(2000)).encode()
+    whole = simhash.wide_sketch(data)
+    monkeypatch.setattr(simhash, "_PIECE", 100)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, simhash.wide_sketch(data), strict=True))
+    h = {xxhash.xxh64_intdigest(" ".join(f"w{(i + k) % 700}" for k in range(5)), seed=42) for i in range(700)}
+    bits = [simhash._remixed(np.array([x], np.uint64), 0)[0] for x in sorted(h)]
+    assert int(whole[0][0]) == sum(1 << b for b in range(64) if sum(int(x) >> b & 1 for x in bits) * 2 > len(bits))
+
+
 @pytest.mark.parametrize("blocks", [5, 6, 7])
 def test_links_of_close_fingerprints(spark, blocks, monkeypatch):
     r = random.Random(blocks)
