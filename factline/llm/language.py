@@ -6,13 +6,14 @@ and language, then a shuffle on the n-gram). An n-gram belongs to a language if
 ``min_share`` of that language's n-grams, which bounds the number of n-grams by languages / min_share, and if
 its share there is at least ``relative`` of its share in any other language.
 
-The filter has one bit plane per language; position p of all planes is one word, so that a lookup ANDs the words
-of an n-gram's positions and returns every language that may hold it. Each language's popcount over a text is
+The filter has one bit plane per language; position p of all planes is one word (of 64 languages; more words with more
+languages), so that a lookup ANDs the words of an n-gram's positions and returns every language that may hold it. Each language's popcount over a text is
 corrected for the false positives that its plane's fill predicts; the largest corrected share decides.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; training rows with null text or
 language don't count; ties go to the language that sorts first; without training data everything is ``und``;
-texts of any length are read whole; empty tables give empty results.
+texts of any length are read whole; empty tables give empty results; other columns keep their values whatever their
+names, only those of the results are replaced.
 """
 
 from __future__ import annotations
@@ -30,9 +31,10 @@ from pyspark.sql.functions import pandas_udf
 from factline.sources.storage import write_shared
 
 N = 4
-#: Positions of a plane (a power of two), hashes per n-gram, and most languages (bits of a word).
-POSITIONS, HASHES, MOST = 1 << 19, 3, 63
-MIN_SHARE, RELATIVE = 2e-5, 0.3
+#: Positions of a plane (a power of two), and hashes per n-gram.
+POSITIONS, HASHES = 1 << 19, 3
+#: Part of a language's median score below which a text isn't taken to be in it.
+MIN_SHARE, RELATIVE, DOUBTFUL = 2e-5, 0.3, 0.3
 _TABLE = bytes(c if chr(c).isalpha() or c >= 0x80 else 0x20 for c in range(256))
 _PAD, _HELD, _PIECE = b" " * N, 1 << 21, 1 << 20
 
@@ -61,7 +63,7 @@ def positions(codes: np.ndarray, size: int = POSITIONS, hashes: int = HASHES) ->
 
 @dataclass
 class Filter:
-    """Words of the planes, languages by bit, and each plane's false positive rate."""
+    """Words of the planes (positions, languages / 64), languages by bit, and each plane's false positive rate."""
 
     words: np.ndarray
     languages: list[str]
@@ -77,13 +79,13 @@ class Filter:
                 size += len(texts[to])
                 to += 1
             codes, counts = grams(texts[at:to])
-            found = np.full(len(codes), ~np.uint64(0))
+            found = np.full((len(codes), self.words.shape[1]), ~np.uint64(0))
             for place in positions(codes, len(self.words)):
                 found &= self.words[place]
             some = np.flatnonzero(counts)
             begins = (np.cumsum(counts) - counts)[some]
             for i in range(len(self.languages)) if len(some) else ():
-                hits = np.add.reduceat(found >> np.uint64(i) & np.uint64(1), begins).astype(float) / counts[some]
+                hits = np.add.reduceat(found[:, i // 64] >> np.uint64(i % 64) & np.uint64(1), begins).astype(float) / counts[some]
                 rate = self.false_positive[i]
                 out[at + some, i] = np.clip((hits - rate) / (1 - rate) if rate < 1 else 0.0, 0, 1)
             at = to
@@ -137,28 +139,26 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", min_sha
     rows = df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     counted = rows.mapInArrow(count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counted = write_shared(counted, "grams")
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("total")).orderBy("lang").limit(MOST + 1).collect()
-    if len(totals) > MOST:
-        raise ValueError(f"over {MOST} languages")
-    languages, total = [r.lang for r in totals], {r.lang: r.total for r in totals}
+    totals = counted.groupBy("lang").agg(F.sum("n").alias("total")).orderBy("lang").collect()  # a row for each language
+    languages = [r.lang for r in totals]
+    words = np.zeros((size, max(-(-len(languages) // 64), 1)), np.uint64)
     if not languages:
-        return Filter(np.zeros(size, np.uint64), [], np.zeros(0))
-    of = F.create_map(*(F.lit(x) for lang in languages for x in (lang, float(total[lang]))))
-    bit = F.create_map(*(F.lit(x) for i, lang in enumerate(languages) for x in (lang, 1 << i)))
-    shares = counted.select("gram", (F.col("n") / of[F.col("lang")]).alias("share"), bit[F.col("lang")].alias("bit")).where(F.col("share") >= min_share)
+        return Filter(words, [], np.zeros(0))
+    known = df.sparkSession.createDataFrame([(r.lang, i, float(r.total)) for i, r in enumerate(totals)], "lang string, number int, total double")
+    shares = counted.join(F.broadcast(known), "lang").select("gram", "number", (F.col("n") / F.col("total")).alias("share")).where(F.col("share") >= min_share)
     best = F.max("share").over(Window.partitionBy("gram"))
     member = shares.withColumn("best", best).where(F.col("share") >= relative * F.col("best"))
-    masks = member.groupBy("gram").agg(F.bit_or("bit").alias("mask")).toPandas()  # at most languages / min_share rows
-    words = np.zeros(size, np.uint64)
-    for place in positions(masks["gram"].to_numpy(np.int64).astype(np.uint32), size):
-        np.bitwise_or.at(words, place, masks["mask"].to_numpy(np.int64).astype(np.uint64))
-    fill = np.array([(words >> np.uint64(i) & np.uint64(1)).mean() for i in range(len(languages))])
+    held = member.select("gram", "number").toArrow()  # at most languages / min_share rows
+    number = held["number"].to_numpy().astype(np.int64)
+    for place in positions(held["gram"].to_numpy().astype(np.uint32), size):
+        np.bitwise_or.at(words, (place, number // 64), np.uint64(1) << (number % 64).astype(np.uint64))
+    fill = np.array([(words[:, i // 64] >> np.uint64(i % 64) & np.uint64(1)).mean() for i in range(len(languages))])
     return Filter(words, languages, fill**HASHES)
 
 
-def predict(df: DataFrame, model: Filter, text_col: str = "text", lang_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
-    """``df`` with the predicted language and its score, the corrected share of the text's n-grams."""
-    held = df.sparkSession.sparkContext.broadcast(model)  # of fixed size
+def _predicted(model: Filter, df: DataFrame, text_col: str):
+    """Struct (lang, score) of a text column."""
+    held = df.sparkSession.sparkContext.broadcast(model)  # of fixed size for each 64 languages
 
     def run(text: pd.Series, letters: pd.Series) -> pd.DataFrame:
         own = held.value
@@ -170,10 +170,14 @@ def predict(df: DataFrame, model: Filter, text_col: str = "text", lang_col: str
         return pd.DataFrame({"lang": lang, "score": np.where(letters, shares[np.arange(len(best)), best], 0.0)})
 
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    found = pandas_udf(run, "lang string, score double")(F.coalesce(F.col(text_col), F.lit("")), letters)
-    whole = df.select(F.struct("*").alias("row"), found.alias("found"))
-    named = whole.select("row.*", F.col("found.lang").alias("__lang"), F.col("found.score").alias("__score"))
-    return named.drop(lang_col, score_col).withColumnsRenamed({"__lang": lang_col, "__score": score_col})
+    return pandas_udf(run, "lang string, score double")(F.coalesce(F.col(text_col), F.lit("")), letters)
+
+
+def predict(df: DataFrame, model: Filter, text_col: str = "text", lang_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
+    """``df`` with the predicted language and its score, the corrected share of the text's n-grams; they replace columns of these names."""
+    whole = df.select(F.struct("*").alias("row"), _predicted(model, df, text_col).alias("found"))
+    own = [F.col("row")[c].alias(c) for c in df.columns if c not in (lang_col, score_col)]
+    return whole.select(*own, F.col("found.lang").alias(lang_col), F.col("found.score").alias(score_col))
 
 
 def held_out(id_col: str = "doc_id"):
@@ -181,7 +185,10 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def keep_identified(df: DataFrame, model: Filter, text_col: str = "text", min_score: float = 0.0) -> DataFrame:
-    """The rows of ``df`` whose text has a language, with a score above ``min_score``."""
-    scored = predict(df.select(F.struct("*").alias("row"), F.col(text_col).alias("text")), model)
-    return scored.where((F.col("lang_pred") != "und") & (F.col("score") > min_score)).select("row.*")
+def keep_identified(df: DataFrame, model: Filter, text_col: str = "text", doubtful: float = DOUBTFUL) -> DataFrame:
+    """The rows of ``df`` whose text has a language: not those without a letter, nor those with a score below ``doubtful`` times the median score, over all rows, of the language that fits best."""
+    found = _predicted(model, df, text_col).alias("found")
+    middle = df.select(found).select("found.*").where("lang <> 'und'").groupBy("lang").agg(F.percentile_approx("score", 0.5, 10000).alias("middle")).collect()  # a row for each language
+    least = F.create_map(*(F.lit(x) for r in middle for x in (r.lang, doubtful * r.middle))) if middle else F.create_map(F.lit("und"), F.lit(2.0))
+    scored = df.select(F.struct("*").alias("row"), found)
+    return scored.where((F.col("found.lang") != "und") & (F.col("found.score") > 0) & (F.col("found.score") >= least[F.col("found.lang")])).select("row.*")

@@ -340,6 +340,49 @@ def test_language_of_awkward_rows(spark, docs, empty):
     assert language.predict(empty, model).count() == 0
 
 
+def test_language_beyond_a_word_of_languages(spark):
+    """Seventy languages, each with letters of its own."""
+    r = random.Random(6)
+    alphabets = {f"l{i:02}": [chr(0x4E00 + 40 * i + k) for k in range(30)] for i in range(70)}
+    rows = [(i * 20 + k, " ".join("".join(r.choice(letters) for _ in range(3)) for _ in range(40)), lang) for i, (lang, letters) in enumerate(alphabets.items()) for k in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(df)
+    assert len(model.languages) == 70 and model.words.shape[1] == 2
+    assert all(x.lang == x.lang_pred and x.score > 0.9 for x in language.predict(df, model).collect())
+
+
+def test_language_against_plain_sets(spark):
+    """With a large filter: shares of a text's 4-grams that are in the languages' sets, counted without bits."""
+    r = random.Random(7)
+    rows = [(i, " ".join("".join(r.choice("abcdeé" if i % 2 else "defghß") for _ in range(r.randrange(2, 7))) for _ in range(r.randrange(1, 30))), "xy"[i % 2]) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    grams = lambda t: (lambda d: [g for g in (d[i : i + 4] for i in range(len(d) - 3)) if g != b"    "])(b"    " + bytes(c if chr(c).isalpha() or c >= 0x80 else 32 for c in t.lower().encode()) + b"    ")
+    counts = {la: Counter(g for _, t, x in rows if x == la for g in grams(t)) for la in "xy"}
+    share = {la: {g: n / c.total() for g, n in c.items()} for la, c in counts.items()}
+    sets = {la: {g for g, s in own.items() if s >= language.MIN_SHARE and s >= 0.3 * max(o.get(g, 0) for o in share.values())} for la, own in share.items()}
+    for x in language.predict(df, language.train(df, size=1 << 22)).collect():
+        own = grams(x.text)
+        found = {la: sum(g in s for g in own) / len(own) for la, s in sets.items()}
+        best = max("xy", key=lambda la: (found[la], la == "x"))
+        assert abs(found[best] - x.score) < 1e-3 and (x.lang_pred == best or abs(found["x"] - found["y"]) < 1e-3)
+
+
+def test_texts_of_no_learned_language_go(spark):
+    r = random.Random(3)
+    words = "the of and to in is that for it was on are with they be at one have this from".split()
+    rows = [(i, " ".join(r.choice(words) for _ in range(r.randrange(1, 60))), "en") for i in range(300)]
+    noise = [(1000 + i, "".join(r.choice("bcdfghjklmnpqrstvwxzBCDFG") for _ in range(200)), None) for i in range(20)] + [(1100, "Это другой язык, которого никто не учил", None), (1101, "123 -- 456", None), (1102, None, None)]
+    df = spark.createDataFrame(rows + noise, "doc_id long, text string, lang string")
+    kept = {x.doc_id for x in language.keep_identified(df, language.train(df)).collect()}
+    assert kept == set(range(300))
+
+
+def test_language_ties_and_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "same words here", "b", 7, 8, 9), (2, "same words here", "a", 7, 8, 9)], "doc_id long, text string, lang string, __lang int, found int, row int")
+    got = language.predict(df, language.train(df)).collect()
+    assert {x.lang_pred for x in got} == {"a"} and all((x["__lang"], x.found, x.row) == (7, 8, 9) for x in got)
+
+
 def brute_targets(sizes, weights=(5, 2, 1)):
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
     weight = {s: weights[i % 3] for i, s in enumerate(names)}
