@@ -247,10 +247,11 @@ def decode_ids(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "
 
 
 def encode_checked(df: DataFrame, path: str, keep: list[str], text_col: str = "text", ids_col: str = "ids", ok_col: str = "round_trip") -> DataFrame:
-    """Columns ``keep`` of ``df``, the ids of each text, and whether they decode to it, from one encoding.
+    """Columns ``keep`` of ``df``, the ids of each text, and whether they decode to it, from one encoding; these replace kept ones of their names.
 
     A task holds the ids of about ``_PIECE`` characters at once, however many rows a batch has.
     """
+    keep = [c for c in keep if c not in (ids_col, ok_col)]
     schema = StructType(df.select(*keep).schema.fields).add(ids_col, ArrayType(IntegerType(), False), False).add(ok_col, BooleanType(), False)
     names = schema.names
 

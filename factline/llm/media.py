@@ -45,19 +45,23 @@ def encode_jpeg(payload: bytes) -> bytes:
     high = -(-blocks // wide)
     data = np.zeros((wide * high, BLOCK), np.uint8)
     data.ravel()[: len(payload)] = np.frombuffer(payload, np.uint8)
-    bits = np.zeros((len(data), BLOCK, 9), np.uint8)  # the code 0, then the eight raw bits
-    bits[:, :, 1:] = np.unpackbits(data, axis=1).reshape(-1, BLOCK, 8)
-    scan = np.packbits(bits.reshape(len(data), -1), axis=1)
-    body = np.zeros((len(data), scan.shape[1] + 2), np.uint8)
-    body[:, :-2], body[:, -2], body[:, -1] = scan, 0xFF, 0xD0 + np.arange(len(data)) % 8
-    full = body == 0xFF
-    full[:, -2] = False
-    stuffed = np.insert(body.ravel(), np.flatnonzero(full) + 1, 0)
+    scan = []
+    for at in range(0, len(data), _LANES):  # bounds memory beside the payload and the image
+        part = data[at : at + _LANES]
+        bits = np.zeros((len(part), BLOCK, 9), np.uint8)  # the code 0, then the eight raw bits
+        bits[:, :, 1:] = np.unpackbits(part, axis=1).reshape(-1, BLOCK, 8)
+        raw = np.packbits(bits.reshape(len(part), -1), axis=1)
+        body = np.zeros((len(part), raw.shape[1] + 2), np.uint8)
+        body[:, :-2], body[:, -2], body[:, -1] = raw, 0xFF, 0xD0 + np.arange(at, at + len(part)) % 8
+        full = body == 0xFF
+        full[:, -2] = False
+        scan.append(np.insert(body.ravel(), np.flatnonzero(full) + 1, 0).tobytes())
+    scan[-1] = scan[-1][:-2]
     one_code = bytes([1] + [0] * 15 + [8])
     head = _segment(0xE0, b"JFIF\0\x01\x01\0\0\x01\0\x01\0\0") + _segment(0xFE, b"payload %d" % len(payload)) + _segment(0xDB, b"\0" + b"\x01" * 64)
     head += _segment(0xC0, struct.pack(">BHHBBBB", 8, high * 8, wide * 8, 1, 1, 0x11, 0)) + _segment(0xC4, b"\x00" + one_code + b"\x10" + one_code)
     head += _segment(0xDD, b"\0\x01") + _segment(0xDA, b"\x01\x01\0\0\x3f\0")
-    return b"\xff\xd8" + head + stuffed[:-2].tobytes() + b"\xff\xd9"
+    return b"".join([b"\xff\xd8", head, *scan, b"\xff\xd9"])
 
 
 class Image:

@@ -282,6 +282,25 @@ def test_media_round_trip(docs, empty):
         data += b"\0" * (-len(data) % 64 or (0 if data else 64))
         assert (r.f.payload_bytes, r.f.payload_sha256, r.f.tail_crc32) == (len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-64:]))
     assert media.store_texts(empty).select(media.media_features("media")).count() == 0
+    clash = docs.select(F.lit("kept").alias("payload"), F.lit("old").alias("media"), "text")
+    assert {r.payload for r in media.store_texts(clash).select("payload", media.media_features("media").alias("f")).collect()} == {"kept"}
+
+
+def test_media_of_a_long_payload_in_parts(monkeypatch):
+    payload = random.Random(1).randbytes(64 * 50)
+    whole = media.encode_jpeg(payload)
+    monkeypatch.setattr(media, "_LANES", 7)
+    assert media.encode_jpeg(payload) == whole
+
+
+def test_thumbnail_hash_against_plain_sums():
+    r = random.Random(4)
+    for high, wide in ((1, 1), (3, 20), (9, 9), (40, 33)):
+        grey = np.array([[r.randrange(256) for _ in range(wide)] for _ in range(high)], np.uint8)
+        cell = lambda i, j: [int(grey[y, x]) for y in range(i * high // 8, max(-(-(i + 1) * high // 8), i * high // 8 + 1)) for x in range(j * wide // 9, max(-(-(j + 1) * wide // 9), j * wide // 9 + 1))]
+        mean = lambda i, j: sum(cell(i, j)) / len(cell(i, j))
+        want = sum((mean(i, j + 1) > mean(i, j)) << (63 - 8 * i - j) for i in range(8) for j in range(8))
+        assert media.thumbnail_hash(grey) == want
 
 
 def test_media_decodes_other_tables_and_intervals():
@@ -476,6 +495,7 @@ def test_bpe_equals_the_library(docs, empty):
     want = sorted(repr((r.doc_id, r.ids, r.decoded == (r.text or ""))) for r in separate.collect())
     assert sorted(repr(tuple(r)) for r in bpe.encode_checked(docs, TOKENIZER, ["doc_id"]).collect()) == want
     assert bpe.encode_checked(empty, TOKENIZER, ["doc_id", "row"]).count() == 0
+    assert bpe.encode_checked(docs.withColumn("ids", F.lit(1)).limit(2), TOKENIZER, ["doc_id", "ids"]).columns == ["doc_id", "ids", "round_trip"]
 
 
 def test_bpe_with_a_small_cache(monkeypatch):
@@ -605,6 +625,32 @@ def test_warc(spark):
     kinds = {page: {(r.record_type, r.refers_to) for r in x} for page, x in by.items()}
     assert kinds == {1: {("revisit", 2)}, 2: {("response", None)}, 3: {("revisit", 4)}, 4: {("response", None)}, None: {("response", None)}, 5: {("response", None)}, 6: {("response", None)}}
     assert warc.archive_round_trip(df.limit(0)).count() == 0
+    joined = warc.archive_round_trip(df, segment=700, chunk=300, broadcast=0).collect()
+    key = lambda r: (str(r.page_id), r.record_type, str(r.refers_to), r.payload_digest)
+    assert sorted(map(key, joined)) == sorted(map(key, got))
+
+
+def test_warc_with_text_ids_and_standard_references(spark, tmp_path):
+    df = spark.createDataFrame([("a", "http://a/", "same"), ("b", "http://b/", "same"), ("c", "http://c/", "other" * 9000)], "page_id string, url string, html string")
+    path = f"file://{tmp_path}/warc"
+    warc.write_warc(df, path)
+    back = {r.page_id: r for r in warc.read_warc(spark, path).collect()}
+    assert back["a"].refers_to == "b" and back["c"].payload_bytes == 45000 and all(r.valid for r in back.values())
+    import gzip
+
+    fields = [f for x in (tmp_path / "warc").glob("*.gz") for f, _ in warc.parse(gzip.decompress(x.read_bytes()))]
+    revisit = next(f for f in fields if f["warc-type"] == "revisit")
+    response = next(f for f in fields if f.get("page-id") == "b")
+    assert (revisit["warc-refers-to"], revisit["warc-refers-to-target-uri"], revisit["warc-refers-to-date"]) == (response["warc-record-id"], "http://b/", response["warc-date"])
+    assert sum(f["warc-type"] == "continuation" for f in fields) == 5
+    plan = warc.read_warc(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and plan.lower().count("scan binaryfile") == 1
+
+
+def test_warc_that_is_broken_raises(spark, monkeypatch):
+    monkeypatch.setattr(warc, "_record_id", lambda *parts: "<urn:same>")  # records that claim to be one
+    with pytest.raises(Exception, match="fails its checks"):
+        warc.archive_round_trip(spark.createDataFrame([(1, "u", "x" * 9000), (2, "u", "y" * 9000)], "page_id long, url string, html string").coalesce(1)).collect()
 
 
 def test_warc_segments_that_miss_a_part_are_not_valid(spark):
@@ -615,7 +661,7 @@ def test_warc_segments_that_miss_a_part_are_not_valid(spark):
     batch = pa.RecordBatch.from_arrays([pa.array([b"".join(p + b"\r\n\r\n" for p in parts[:2])], pa.binary())], names=["content"])
     records = next(warc._records(iter([batch]))).to_pylist()
     row = {"record_id": "<urn:x>", "first": {k: records[0][k] for k in ("record_type", "page_id", "url", "refers_to", "payload_digest", "segment")}, "total_length": None, "parts": [{"segment": r["segment"], "block": r["block"]} for r in records]}
-    kind = pa.struct([("record_type", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("refers_to", pa.int64()), ("payload_digest", pa.string()), ("segment", pa.int32())])
+    kind = pa.struct([("record_type", pa.string()), ("page_id", pa.string()), ("url", pa.string()), ("refers_to", pa.string()), ("payload_digest", pa.string()), ("segment", pa.int32())])
     whole = pa.RecordBatch.from_arrays([pa.array([row["record_id"]]), pa.array([row["first"]], kind), pa.array([None], pa.int64()), pa.array([row["parts"]], pa.list_(pa.struct([("segment", pa.int32()), ("block", pa.binary())])))], names=["record_id", "first", "total_length", "parts"])
     assert next(warc._payloads(iter([whole]))).to_pylist()[0]["valid"] is False
 
