@@ -13,7 +13,7 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language, as learned from all documents that state one."""
+    """Documents whose text is in a language that documents state, as learned from all that do."""
     return language.keep_identified(docs, language.train(docs))
 
 
@@ -23,12 +23,12 @@ def dedup_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicates, the document with the smallest id."""
+    """Of texts with a similarity of 0.8 or more by five-word shingles, the document with the smallest id."""
     return simhash.drop_near_duplicates(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them; a shard of the mix is in one file, in its shuffled order."""
     return mixing.mix(docs).select("row.*")
 
 
