@@ -128,6 +128,8 @@ def _links(planes, valid, fps, query, word, radius):
     """Positions in ``query`` and lanes (64 * word + bit) of fingerprints within the radius."""
     counts = [np.zeros(len(query), np.uint64) for _ in range(radius.bit_length())]
     over = np.zeros(len(query), np.uint64)
+    if not len(query):
+        return query, query
     values, alive, at = fps[query], np.arange(len(query)), word
     for plane in range(len(planes)):
         rest = planes[plane][at] ^ (np.uint64(0) - (values[:, plane // 64] >> np.uint64(plane % 64) & np.uint64(1)))
@@ -173,25 +175,33 @@ def spanning_edges(group: np.ndarray, fps: np.ndarray, side: np.ndarray, radius:
     sizes = np.bincount(number[stored], minlength=len(starts))
     words = -(-sizes // 64)
     first = np.cumsum(words) - words
-    slot = first[number[stored]] * 64 + np.arange(len(stored)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    lanes, owner = np.zeros((words.sum() * 64, fps.shape[1]), np.uint64), np.zeros(words.sum() * 64, np.int64)
-    used = np.zeros(len(lanes), bool)
-    lanes[slot], owner[slot], used[slot] = fps[stored], stored, True
-    blocks = lanes.reshape(-1, 64, fps.shape[1])
-    planes = np.concatenate([_planes(blocks[at : at + 4096]) for at in range(0, len(blocks), 4096)] or [np.zeros((64 * fps.shape[1], 0), np.uint64)], axis=1)
-    valid = np.packbits(used.reshape(-1, 64), axis=1, bitorder="little").view(np.uint64).ravel()
     asked = np.flatnonzero((side != 1) & (words[number] > 0))
-    each = words[number[asked]]
-    ends = np.cumsum(each)
-    at = 0
-    while at < len(asked):
-        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _WORDS, "right")))
-        n = each[at:to]
-        query = np.repeat(asked[at:to], n)
-        word = np.repeat(first[number[asked[at:to]]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        q, lane = _links(planes, valid, fps, query, word, radius)
-        label = _unite(label, q, owner[lane])
-        at = to
+    # All rows meet the first word of their group. In what is left, words are filled by component, and a row skips a
+    # word that its own component fills: a group of near copies takes one pass, not one for each word.
+    for rest in (False, True):
+        stored = stored[np.lexsort((label[stored], number[stored]))]
+        slot = first[number[stored]] * 64 + np.arange(len(stored)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        lanes, owner = np.zeros((words.sum() * 64, fps.shape[1]), np.uint64), np.full(words.sum() * 64, -1)
+        lanes[slot], owner[slot] = fps[stored], stored
+        blocks = lanes.reshape(-1, 64, fps.shape[1])
+        planes = np.concatenate([_planes(blocks[at : at + 4096]) for at in range(0, len(blocks), 4096)] or [np.zeros((64 * fps.shape[1], 0), np.uint64)], axis=1)
+        valid = np.packbits((owner >= 0).reshape(-1, 64), axis=1, bitorder="little").view(np.uint64).ravel()
+        of = np.where(owner >= 0, label[owner], label[np.maximum(owner.reshape(-1, 64)[:, :1], 0)].repeat(64)).reshape(-1, 64)
+        filled = np.where((of == of[:, :1]).all(axis=1), of[:, 0], -1)
+        if rest:
+            asked = asked[words[number[asked]] > 1]
+        each = words[number[asked]] if rest else np.ones(len(asked), np.int64)
+        ends = np.cumsum(each)
+        at = 0
+        while at < len(asked):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _WORDS, "right")))
+            n = each[at:to]
+            query = np.repeat(asked[at:to], n)
+            word = np.repeat(first[number[asked[at:to]]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            apart = filled[word] != label[query]
+            q, lane = _links(planes, valid, fps, query[apart], word[apart], radius)
+            label = _unite(label, q, owner[lane])
+            at = to
     child = np.flatnonzero(label != np.arange(len(label)))
     return child, label[child]
 
