@@ -88,7 +88,7 @@ class Lines(HTMLParser):
         self.path: tuple = ()
         self.marks: tuple = ()
         self.text: list = []
-        self.tags = self.linked = self.number = self.skipped = self.links = self.headings = 0
+        self.tags = self.linked = self.number = self.skipped = self.links = self.headings = self.head = 0
 
     def end_line(self):
         text = _SPACE.sub(" ", "".join(self.text)).strip()
@@ -98,7 +98,7 @@ class Lines(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
-        if tag not in _IN_HEAD:
+        if self.head and tag not in _IN_HEAD:
             self.close_until("head", ())
         if tag in BLOCKS:
             self.end_line()
@@ -127,6 +127,7 @@ class Lines(HTMLParser):
         self.skipped += skipped
         self.links += tag == "a"
         self.headings += tag in HEADINGS
+        self.head += tag == "head"
         if other:
             self.marks = (*self.marks, (self.number, always))
         if tag in CONTAINERS:
@@ -143,6 +144,7 @@ class Lines(HTMLParser):
         self.skipped -= skipped
         self.links -= tag == "a"
         self.headings -= tag in HEADINGS
+        self.head -= tag == "head"
         if other:
             self.marks = self.marks[:-1]
         if tag in CONTAINERS:
