@@ -132,7 +132,7 @@ def write_warc(df: DataFrame, path: str, id_col="page_id", url_col="url", payloa
     rows = joined.withColumn("winner", F.when(older, F.col("winner").cast("string"))).withColumn("payload", F.when(F.col("winner").isNull(), F.col("payload")))
     rows = rows.select(F.col("page").cast("string").alias("page"), "url", "payload", "size", "sha", "winner", "winner_url", F.coalesce("alone", F.lit(False)).alias("alone"))
     records = rows.mapInArrow(_writer(segment, chunk, date), "record binary").select(F.col("record").cast("string"))
-    records.write.option("lineSep", _END.decode()).option("compression", "gzip").option("maxRecordsPerFile", max(FILE_BYTES // segment, 1)).text(path)
+    records.write.option("lineSep", _END.decode()).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", max(FILE_BYTES // segment, 1)).text(path)
 
 
 def parse(data: bytes) -> Iterator[tuple[dict, bytes]]:
