@@ -51,21 +51,22 @@ def tag_text(col: Column, taxonomy: dict[str, str]) -> Column:
     return F.array_compact(F.array(*tags)) if tags else F.array().cast("array<string>")
 
 
-#: Employment types and the patterns that show them in lower-cased text.
+#: Employment types, and the patterns that show them in upper-cased words with single spaces.
 EMPLOYMENT = {
-    "FULL_TIME": r"full[\s_-]*time",
-    "PART_TIME": r"part[\s_-]*time",
-    "CONTRACT": r"contract|freelance",
-    "TEMPORARY": r"temp|seasonal",
-    "INTERN": r"intern",
-    "VOLUNTEER": r"volunteer",
-    "PER_DIEM": r"per[\s_-]*diem",
+    "FULL_TIME": "(^| )FULL ?TIME($| )",
+    "PART_TIME": "(^| )PART ?TIME($| )",
+    "CONTRACTOR": "(^| )(CONTRACT|CONTRACTOR|FREELANCE)($| )",
+    "TEMPORARY": "(^| )(TEMP|TEMPORARY|SEASONAL)($| )",
+    "INTERN": "(^| )(INTERN|INTERNSHIP)($| )",
+    "VOLUNTEER": "(^| )VOLUNTEER($| )",
+    "PER_DIEM": "(^| )PER ?DIEM($| )",
 }
 
 
 def normalize_employment(values: Column) -> Column:
-    """Sorted set of the employment types in an array of texts."""
-    tags = F.flatten(F.transform(values, lambda x: tag_text(F.lower(x), EMPLOYMENT)))
+    """Sorted set of the employment types that whole words in an array of texts name; nulls name none."""
+    words = lambda x: F.regexp_replace(F.upper(F.trim(x)), "[^A-Z0-9]+", " ")
+    tags = F.flatten(F.transform(F.filter(values, lambda x: x.isNotNull()), lambda x: tag_text(words(x), EMPLOYMENT)))
     return F.array_sort(F.array_distinct(F.coalesce(tags, F.array().cast("array<string>"))))
 
 

@@ -26,8 +26,23 @@ def check_fk(df: DataFrame, col: str, parent: DataFrame, parent_col: str) -> Dat
     return df.where(F.col(col).isNotNull()).join(parent.select(F.col(parent_col).alias(col)), col, "left_anti")
 
 
-def check_no_suffix(df: DataFrame, col: str, name: str, separators=(" - ", " | ")) -> DataFrame:
-    return df.where(reduce(lambda a, b: a | b, [F.lower(F.col(col)).endswith(F.lower(F.concat(F.lit(s), F.col(name)))) for s in separators]))
+def check_no_suffix(df: DataFrame, col: str, name: str, separators=(" - ", " – ", " — ", " | ")) -> DataFrame:
+    """Rows whose trimmed text ends in a separator and the trimmed name, whatever the case; blank ones have none."""
+    text, suffix = F.trim(F.col(col)), F.trim(F.col(name))
+    ends = [F.endswith(F.lower(text), F.lower(F.concat(F.lit(s), suffix))) for s in separators]
+    return df.where((F.length(text) > 0) & (F.length(suffix) > 0) & reduce(lambda a, b: a | b, ends))
+
+
+def check_join(df: DataFrame, other: DataFrame, key: list[str], violation: Column, optional: bool = False) -> DataFrame:
+    """Rows of ``df`` for which ``violation`` holds beside their row of ``other`` (unique by key), or that have none there unless that is ``optional``."""
+    joined = df.join(other.withColumn("__found", F.lit(True)), key, "left")
+    absent = F.lit(False) if optional else F.col("__found").isNull()
+    return joined.where(absent | F.coalesce(violation & F.col("__found"), F.lit(False))).drop("__found")
+
+
+def check_covered(df: DataFrame, other: DataFrame, key: list[str]) -> DataFrame:
+    """Rows of ``df`` without any row of ``other``."""
+    return df.join(other.select(*key), key, "left_anti")
 
 
 def check_expr(df: DataFrame, violation: Column) -> DataFrame:

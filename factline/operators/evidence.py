@@ -112,7 +112,7 @@ def subdivision_match(evidence: DataFrame, subdivisions: DataFrame, raw: str = "
 
     Codes are taken out of the text first and meet the regions in an equality join.
     """
-    phrases = phrase_match(evidence, "cased", subdivisions.where("kind = 'phrase'"), "cased_alias")
+    phrases = phrase_match(evidence, "cased", subdivisions.where("kind = 'phrase'"), "cased_alias", ID)
     coded = subdivisions.where("kind = 'exact_code'").withColumn("__found", F.replace("cased_alias", F.lit(" "), F.lit("-")))
     named = evidence.withColumn("__found", F.explode(F.array_distinct(F.regexp_extract_all(_decomposed(F.col(raw)), F.lit(_CODE), F.lit(1)))))
     codes = named.join(coded, "__found").drop("__found")
@@ -179,8 +179,8 @@ def context_conflicts(candidates: DataFrame, conflicting: DataFrame, context: Da
 def group_text_match(evidence: DataFrame, groups: DataFrame) -> DataFrame:
     """Groups named in a text: phrases folded, codes as written. Groups have group_code, alias, cased_alias, is_code."""
     cols = [*evidence.columns, "group_code"]
-    phrases = phrase_match(evidence, "folded", groups.where("NOT is_code"), "alias").select(*cols)
-    return phrases.unionByName(phrase_match(evidence, "cased", groups.where("is_code"), "cased_alias").select(*cols)).distinct()
+    phrases = phrase_match(evidence, "folded", groups.where("NOT is_code"), "alias", ID).select(*cols)
+    return phrases.unionByName(phrase_match(evidence, "cased", groups.where("is_code"), "cased_alias", ID).select(*cols)).distinct()
 
 
 def unmatched(evidence: DataFrame, matched: DataFrame, conflicts: DataFrame) -> DataFrame:

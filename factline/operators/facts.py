@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factline.functions.text import row_hash
+from factline.functions.text import normalize_employment, row_hash, tag_text
+from factline.operators.incremental import changed_rows, suppress
 
 MOST_CHARACTERS = 500
 
@@ -40,10 +41,12 @@ def resolve_title(pages: DataFrame, links: DataFrame, priority: list[str], subje
 def current_facts(parts: dict[str, DataFrame], subject: str = "subject", observed: str = "observed_at") -> DataFrame:
     """One row per subject of any part: each part's columns as ``<part>_<column>``, ``has_<part>``, and ``latest_observed_at``.
 
-    Parts are unique by subject. All joins are on it, so that each part is shuffled once.
+    Parts are unique by subject. The subjects are the union of the parts' keys, already dealt by the subject when the
+    parts join, so that every join shuffles its own part once and never the wide side. Null subjects are none.
     """
+    keys = reduce(lambda a, b: a.union(b), [df.select(subject) for df in parts.values()]).dropna().distinct()
     named = [df.select(subject, F.lit(True).alias(f"has_{name}"), *(F.col(c).alias(f"{name}_{c}") for c in df.columns if c != subject)) for name, df in parts.items()]
-    wide = reduce(lambda a, b: a.join(b, subject, "full_outer"), named)
+    wide = reduce(lambda a, b: a.join(b, subject, "left"), named, keys)
     times = [F.col(f"{name}_{observed}") for name in parts]
     flags = {f"has_{name}": F.coalesce(f"has_{name}", F.lit(False)) for name in parts}
     return wide.withColumns(flags | {"latest_observed_at": F.greatest(*times) if len(times) > 1 else times[0]})
@@ -62,3 +65,38 @@ def bridge_mart(bridge: DataFrame, served: DataFrame, subject: str = "subject",
     """Rows of a bridge whose subject is served, with their hash."""
     active = served.where(~F.coalesce(F.col(deleted), F.lit(False))).select(subject)
     return bridge.join(active, subject, "left_semi").withColumn("row_hash", row_hash(*bridge.columns))
+
+
+def facets(subjects: DataFrame, employment: list[str], texts: list[str], taxonomy: dict[str, str], subject: str = "subject") -> DataFrame:
+    """(subject, employment_types, search_tags): sorted sets, empty where nothing is found.
+
+    ``employment`` are columns of texts or of arrays of them, ``texts`` those that tags are looked for in: lower-cased words with single spaces.
+    """
+    arrays = [F.col(c) if subjects.schema[c].dataType.typeName() == "array" else F.array(c) for c in employment]
+    values = F.flatten(F.array(*(F.coalesce(a, F.array().cast("array<string>")) for a in arrays)))
+    words = F.regexp_replace(F.lower(F.concat_ws(" ", *(F.coalesce(F.col(t), F.lit("")) for t in texts))), "[^a-z0-9]+", " ")
+    return subjects.select(subject, normalize_employment(values).alias("employment_types"), F.array_sort(F.array_distinct(tag_text(words, taxonomy))).alias("search_tags"))
+
+
+def publishable(rows: DataFrame, url: str = "url", identity: str = "identity_url", snippet: str = "snippet", most: int = 1000, status: str = "publication_status") -> DataFrame:
+    """Rows that are published or closed: ``canonical_url`` (the url where there is no identity), ``source_url``, ``is_deleted`` for closed ones, and ``public_snippet``, its first ``most`` characters."""
+    kept = rows.where(F.col(status).isin("PUBLISHABLE", "CLOSED"))
+    canonical = F.coalesce(F.nullif(F.trim(F.col(identity)), F.lit("")), F.col(url))
+    return kept.withColumns({"canonical_url": canonical, "source_url": F.col(url), "is_deleted": F.col(status) == "CLOSED", "public_snippet": F.left(snippet, F.lit(most))}).drop(url, identity, snippet, status)
+
+
+def serving_rows(candidates: DataFrame, previous: DataFrame | None, status: DataFrame, key: list[str], held: list[str], content: list[str], run_at: Column) -> DataFrame:
+    """Rows to write to a serving table: candidates that are new or whose content differs, and tombstones of what is no longer published.
+
+    ``held`` and ``content`` are the columns of the two content hashes, ``publication_content_hash`` and ``content_hash``;
+    ``row_hash`` covers the whole row. ``previous`` is the table (None before the first run), ``status`` has the key,
+    publication_status and status_updated_at. Candidates have is_deleted and source_updated_at.
+    """
+    rows = candidates
+    if previous is not None:
+        gone = suppress(previous.drop("publication_content_hash", "content_hash", "row_hash", "written_at"), status, key)
+        rows = rows.join(gone.select(*key), key, "left_anti").unionByName(gone, allowMissingColumns=True)
+    hashed = rows.withColumns({"publication_content_hash": row_hash(*held), "content_hash": row_hash(*content)})
+    changed = hashed if previous is None else changed_rows(hashed, previous, key, ["content_hash"])
+    stamped = changed.withColumn("written_at", run_at)
+    return stamped.withColumn("row_hash", row_hash(*(F.col(c).cast("string").alias(c) if stamped.schema[c].dataType.typeName() in ("timestamp", "timestamp_ntz", "decimal") else F.col(c) for c in stamped.columns)))

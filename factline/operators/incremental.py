@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from factline.sources.storage import delete_folder, list_files
+
 
 def _recent_first(order: list[str]) -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in order]
@@ -109,16 +111,61 @@ def reconcile_schema(existing: StructType, desired: StructType) -> StructType:
     return result
 
 
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Committed versions of a table's pointer, oldest first."""
+    return [v for v in sorted(x for x in list_files(spark, f"{path}/_versions") if x.startswith("v=")) if "_SUCCESS" in list_files(spark, f"{path}/_versions/{v}")]
+
+
+def current_parts(spark: SparkSession, path: str) -> list[tuple[int | None, str]]:
+    """(bucket, snapshot) of what a table is made of; the bucket is null for a whole one, nothing is there before the first."""
+    known = _versions(spark, path)
+    return [(r.bucket, r.name) for r in spark.read.parquet(f"{path}/_versions/{known[-1]}").collect()] if known else []
+
+
+def commit_parts(spark: SparkSession, path: str, parts: list[tuple[int | None, str]]) -> None:
+    """Point a table to other parts: a new version next to the old ones, which readers find once it is complete. Of two writers at once the second fails."""
+    known = _versions(spark, path)
+    number = int(known[-1][2:]) + 1 if known else 0
+    spark.createDataFrame(parts, "bucket int, name string").coalesce(1).write.parquet(f"{path}/_versions/v={number:012d}")
+
+
 def save_snapshot(df: DataFrame, path: str, protected: bool = False, full_refresh: bool = False) -> str:
-    """Write a new snapshot of a table and swap the pointer to it. Protected tables refuse a full refresh."""
+    """Write a new snapshot of a table and point to it. Protected tables refuse a full refresh."""
     if protected and full_refresh:
         raise ValueError("this table holds state and can't be rebuilt")
-    spark = df.sparkSession
     name = uuid.uuid4().hex
     df.write.parquet(f"{path}/snapshot={name}")
-    spark.createDataFrame([(name,)], "name string").coalesce(1).write.mode("overwrite").parquet(f"{path}/_current")
+    commit_parts(df.sparkSession, path, [(None, name)])
     return name
 
 
+def read_parts(spark: SparkSession, path: str, parts: list[tuple[int | None, str]]) -> DataFrame:
+    return spark.read.parquet(*(f"{path}/snapshot={name}" + ("" if bucket is None else f"/bucket={bucket}") for bucket, name in parts))
+
+
 def load_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/snapshot={spark.read.parquet(f'{path}/_current').first().name}")
+    return read_parts(spark, path, current_parts(spark, path))
+
+
+def expire_snapshots(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Delete what the last ``keep`` versions don't point to."""
+    known = _versions(spark, path)
+    names = {r.name for v in known[-keep:] for r in spark.read.parquet(f"{path}/_versions/{v}").collect()}
+    for x in list_files(spark, path):
+        if x.startswith("snapshot=") and x.removeprefix("snapshot=") not in names:
+            delete_folder(spark, f"{path}/{x}")
+    for v in known[:-keep]:
+        delete_folder(spark, f"{path}/_versions/{v}")
+
+
+def materialize(df: DataFrame, mode: str, name: str, key: list[str] | None = None) -> DataFrame:
+    """As a view of that name, a table (a snapshot below that path), or an incremental table: rows of new keys are added to it, those of known keys replaced."""
+    spark = df.sparkSession
+    if mode == "view":
+        df.createOrReplaceTempView(name)
+        return spark.table(name)
+    if mode not in ("table", "incremental"):
+        raise ValueError(f"no such mode: {mode}")
+    before = current_parts(spark, name)
+    save_snapshot(upsert(read_parts(spark, name, before), df, key) if mode == "incremental" and before else df, name)
+    return load_snapshot(spark, name)

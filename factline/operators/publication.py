@@ -6,17 +6,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def snapshot_hash(df: DataFrame, key: str, value: str, out: str = "snapshot_hash", digits: int = 3) -> DataFrame:
-    """One row: a hash of all (key, hash) rows in two levels.
+#: Digits of a level of the snapshot's buckets, and rows of a bucket at most, on average.
+_DIGITS, _ROWS = 3, 4096
 
-    Rows fall into 16 ** digits buckets by a hash of their key; each bucket's sorted row hashes are hashed, and
-    then the buckets' hashes in order. No task holds more than its buckets.
+
+def snapshot_hash(df: DataFrame, key: str, value: str, out: str = "snapshot_hash", rows: int = _ROWS) -> DataFrame:
+    """One row: a hash of all (key, hash) rows, by a tree of buckets.
+
+    Rows fall into buckets by the first digits of a hash of their key: three digits, or three more at a time until a bucket
+    has at most ``rows`` of them. A bucket's sorted row hashes are hashed; then, level by level, the hashes of all buckets
+    that share all digits but the last three, in order. No task holds more than its buckets, at any size of the table.
     """
+    n, digits = df.count(), _DIGITS
+    while n > rows * 16**digits:
+        digits += _DIGITS
+    joined = lambda: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "h"))), lambda r: r["h"]), ",")
     bucket = F.left(F.md5(F.col(key).cast("string")), F.lit(digits))
-    rows = df.select(bucket.alias("bucket"), F.struct(F.col(key).cast("string").alias("k"), F.col(value).alias("v")).alias("r"))
-    leaves = rows.groupBy("bucket").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: F.concat(r["k"], F.lit(":"), r["v"])), ","), 256).alias("h"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", "h"))), lambda r: r["h"]), ",")
-    return leaves.agg(F.sha2(joined, 256).alias(out))
+    leaves = df.select(bucket.alias("bucket"), F.struct(F.col(key).cast("string").alias("k"), F.col(value).alias("v")).alias("r"))
+    level = leaves.groupBy("bucket").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: F.concat(r["k"], F.lit(":"), r["v"])), ","), 256).alias("h"))
+    for left in range(digits - _DIGITS, 0, -_DIGITS):
+        level = level.groupBy(F.left("bucket", F.lit(left)).alias("parent")).agg(F.sha2(joined(), 256).alias("h")).withColumnRenamed("parent", "bucket")
+    return level.agg(F.sha2(joined(), 256).alias(out))
 
 
 def manifest(tables: dict[str, tuple[DataFrame, str, str]], watermark: DataFrame, prefix: str = "pub_") -> DataFrame:
@@ -65,3 +75,48 @@ def verify_receipts(control: DataFrame, receipts: DataFrame, accepted=("APPLIED"
     """The latest ready publication if its latest receipt isn't an accepted one."""
     last = receipts.groupBy("publication_id").agg(F.max_by("status", "received_at").alias("receipt_status"))
     return latest_ready(control).join(last, "publication_id", "left").where(~F.coalesce(F.col("receipt_status").isin(*accepted), F.lit(False)))
+
+
+def verify_manifest(actual: DataFrame, tables: dict[str, tuple[DataFrame, str, str]], watermark: DataFrame, prefix: str = "pub_") -> DataFrame:
+    """A row (column, actual, expected) for each column of the one-row ``actual`` that differs from the manifest made anew, and for its number of rows unless that is one."""
+    expected = manifest(tables, watermark, prefix)
+    columns = [c for c in actual.columns if c in expected.columns]
+    both = actual.select(F.struct(*columns).alias("a")).crossJoin(F.broadcast(expected.select(F.struct(*columns).alias("e"))))  # one row
+    text = lambda side, c: F.col(side)[c].cast("string")
+    each = both.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column"), text("a", c).alias("actual"), text("e", c).alias("expected")) for c in columns))))
+    rows = actual.agg(F.count(F.lit(1)).cast("string").alias("actual")).select(F.lit("rows").alias("column"), "actual", F.lit("1").alias("expected"))
+    return each.unionByName(rows).where(~F.col("actual").eqNullSafe(F.col("expected")))
+
+
+def latest_reviews(reviews: DataFrame, key: str, updated: str) -> DataFrame:
+    """The last decision on each key, as a whole row; of equal times the one that sorts last."""
+    rest = [c for c in reviews.columns if c != key]
+    return reviews.dropna(subset=[key]).groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(updated, *(c for c in rest if c != updated))).alias("r")).select(key, "r.*")
+
+
+def confirmed_closure(status: Column, previous: Column) -> Column:
+    """Whether a lifecycle is over: closed, or terminal twice in a row."""
+    return F.coalesce((status == "CLOSED") | ((status == "TERMINAL") & (previous == "TERMINAL")), F.lit(False))
+
+
+def apply_reviews(rows: DataFrame, reviews: DataFrame, key: str, content: list[tuple[str, Column]], closed: Column, expired: Column, updated: str = "review_updated_at", holds=("pending", "held")) -> DataFrame:
+    """``rows`` with review_status, publication_status and the reason of the first rule that decides.
+
+    In order: a rule of ``content`` that fails or is null makes a row NOT_PUBLISHABLE, a confirmed closure CLOSED, then an
+    ended validity and a review that holds NOT_PUBLISHABLE; all others are PUBLISHABLE.
+    """
+    joined = rows.join(latest_reviews(reviews, key, updated).select(key, "review_status"), key, "left")
+    steps = [(name, ~F.coalesce(holds_, F.lit(False)), "NOT_PUBLISHABLE") for name, holds_ in content]
+    steps += [("LIFECYCLE_CLOSED", closed, "CLOSED"), ("EXPIRED_VALID_THROUGH", expired, "NOT_PUBLISHABLE"), ("PUBLICATION_REVIEW_HELD", F.col("review_status").isin(*holds), "NOT_PUBLISHABLE")]
+    reason, status = F.lit("PUBLICATION_READY"), F.lit("PUBLISHABLE")
+    for name, hit, outcome in reversed(steps):
+        reason, status = F.when(F.coalesce(hit, F.lit(False)), name).otherwise(reason), F.when(F.coalesce(hit, F.lit(False)), outcome).otherwise(status)
+    return joined.withColumns({"publication_status": status, "reason": reason})
+
+
+def recheck_eligible(serving: DataFrame, key: str, sources: list[str], published: str, as_of: Column, min_age_days: int = 21, deleted: str = "is_deleted") -> DataFrame:
+    """(key, source_key) of active rows published at least ``min_age_days`` ago, or at an unknown time. ``source_key``: the first of ``sources`` that isn't blank, else the key."""
+    first = F.coalesce(*(F.nullif(F.col(c).cast("string"), F.lit("")) for c in sources), F.col(key).cast("string"))
+    old = F.col(published).isNull() | (F.col(published) <= as_of - F.make_dt_interval(F.lit(min_age_days)))
+    active = ~F.coalesce(F.col(deleted), F.lit(False)) & (F.length(F.coalesce(F.col(key).cast("string"), F.lit(""))) > 0)
+    return serving.where(active & old).select(key, first.alias("source_key"))

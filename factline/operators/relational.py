@@ -11,14 +11,17 @@ from factline.functions.text import occurrences
 
 
 def conditional_left_join(left: DataFrame, right: DataFrame, key: list[str], when: Column) -> DataFrame:
-    """Left join in which rows of ``left`` that fail ``when`` are kept and match nothing."""
-    matched = left.where(when).join(right, key, "left")
-    return matched.unionByName(left.where(~F.coalesce(when, F.lit(False))), allowMissingColumns=True)
+    """Left join in which rows of ``left`` that fail ``when`` are kept and match nothing. ``when`` is part of the join's condition, so the left side is read once."""
+    renamed = right.withColumnsRenamed({k: f"__{k}" for k in key})
+    condition = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in key]) & when
+    return left.join(renamed, condition, "left").drop(*(f"__{k}" for k in key))
 
 
-def any_left_join(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
-    """Left join with at most one match."""
-    return left.join(right.dropDuplicates(key), key, "left")
+def any_left_join(left: DataFrame, right: DataFrame, key: list[str], order: list[Column] | None = None) -> DataFrame:
+    """Left join with at most one match: the first in ``order``, without it the least of the right side's rows."""
+    rest = [c for c in right.columns if c not in key]
+    first = F.min_by(F.struct(*rest), F.struct(*order)) if order else F.min(F.struct(*rest))
+    return left.join(right.groupBy(*key).agg(first.alias("__one")), key, "left").select(*left.columns, *(F.col("__one")[c].alias(c) for c in rest))
 
 
 def assemble(keys: DataFrame, parts: list[DataFrame], key: list[str]) -> DataFrame:
@@ -55,16 +58,25 @@ def unambiguous(aliases: DataFrame, text: list[str], code: str) -> DataFrame:
     return aliases.groupBy(*text).agg(F.min(code).alias(code), F.max(code).alias("__most")).where(F.col(code) == F.col("__most")).drop("__most")
 
 
-def phrase_match(texts: DataFrame, text_col: str, phrases: DataFrame, phrase_col: str) -> DataFrame:
+def phrase_match(texts: DataFrame, text_col: str, phrases: DataFrame, phrase_col: str, key: str) -> DataFrame:
     """Rows of ``texts`` with each phrase they contain as whole words, and how often (``n_matches``).
 
-    Both are space-separated. A text is exploded into its distinct words, which meet phrases in a hash join on
-    their first word; containment is then checked. No pair without a word in common is ever made.
+    Both are space-separated; ``key`` is unique in ``texts``. Of a text, only (key, word) rows of words that phrases have
+    are made. They meet phrases on each phrase's rarest word, so that a word that is in many texts decides
+    nothing unless a phrase has no other; the pairs that are left fetch their text, and containment is checked.
     """
-    words = texts.withColumn("__word", F.explode(F.array_distinct(F.split(text_col, " "))))
-    keyed = phrases.where(F.length(phrase_col) > 0).withColumn("__word", F.substring_index(phrase_col, " ", 1))
     pad = lambda c: F.concat(F.lit(" "), F.replace(F.col(c), F.lit(" "), F.lit("  ")), F.lit(" "))
-    return words.join(keyed, "__word").drop("__word").withColumn("n_matches", occurrences(pad(text_col), pad(phrase_col))).where("n_matches > 0")
+    known = phrases.where(F.length(phrase_col) > 0)
+    distinct = known.select(F.col(phrase_col).alias("__phrase")).distinct()
+    parts = distinct.select("__phrase", F.explode(F.array_distinct(F.split("__phrase", " "))).alias("__word"))
+    words = texts.select(F.col(key).alias("__key"), F.explode(F.array_distinct(F.split(text_col, " "))).alias("__word"))
+    used = words.join(parts.select("__word").distinct(), "__word", "left_semi")
+    counts = used.groupBy("__word").agg(F.count(F.lit(1)).alias("__n"))
+    rarest = parts.join(counts, "__word", "left").groupBy("__phrase").agg(F.min_by("__word", F.struct(F.coalesce("__n", F.lit(0)), "__word")).alias("__word"))
+    pairs = words.join(rarest, "__word").select("__key", "__phrase")
+    met = texts.join(pairs, F.col(key) == F.col("__key")).drop("__key")
+    found = met.withColumn("n_matches", occurrences(pad(text_col), pad("__phrase"))).where("n_matches > 0")
+    return found.join(known.withColumn("__phrase", F.col(phrase_col)), "__phrase").select(*texts.columns, *(c for c in phrases.columns), "n_matches")
 
 
 def drop_contained(matches: DataFrame, key: list[str], phrase: str, code: str) -> DataFrame:

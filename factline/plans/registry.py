@@ -168,7 +168,7 @@ _PAD = "(' ' || replace({}, ' ', '  ') || ' ')"
 @query(f"SELECT doc_id, item_id, ((length({_PAD.format('d.text')}) - length(replace({_PAD.format('d.text')}, {_PAD.format('b.text')}, ''))) / length({_PAD.format('b.text')}))::BIGINT AS n_matches FROM documents d JOIN benchmark b ON contains({_PAD.format('d.text')}, {_PAD.format('b.text')})")
 def phrase_match(t):
     phrases = t("benchmark").select("item_id", F.col("text").alias("phrase"))
-    return relational.phrase_match(t("documents").select("doc_id", "text"), "text", phrases, "phrase").select("doc_id", "item_id", "n_matches")
+    return relational.phrase_match(t("documents").select("doc_id", "text"), "text", phrases, "phrase", "doc_id").select("doc_id", "item_id", "n_matches")
 
 
 @query("SELECT DISTINCT word, brand FROM (SELECT unnest(string_split(p_name, ' ')) AS word, p_type AS brand FROM part) GROUP BY ALL HAVING word IN (SELECT word FROM (SELECT unnest(string_split(p_name, ' ')) AS word, p_type AS brand FROM part) GROUP BY word HAVING count(DISTINCT brand) = 1)")

@@ -6,11 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-
-def _files(spark: SparkSession, path: str) -> list[str]:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+from factline.sources.storage import list_files
 
 
 def run_path(path: str, run_id: str) -> str:
@@ -22,9 +18,28 @@ def write_landing(df: DataFrame, path: str, run_id: str, chunk_rows: int = 5000)
     df.write.option("maxRecordsPerFile", chunk_rows).option("ignoreNullFields", "false").json(run_path(path, run_id))
 
 
+def write_keys(df: DataFrame, path: str, run_id: str, key: str, chunk_rows: int = 5000) -> None:
+    """The list of a run's keys, beside its rows: what tells a row that is gone from one that wasn't extracted."""
+    df.select(key).write.option("maxRecordsPerFile", chunk_rows).json(f"{path}/keys/run={run_id}")
+
+
+def read_keys(spark: SparkSession, path: str, run_id: str, schema: StructType | str) -> DataFrame:
+    return read_landing(spark, f"{path}/keys", run_id, schema)
+
+
+#: The columns of an envelope besides its payload, with their types.
+LINEAGE = "contract_version string, stage_run_id string, source_step string, source_run_id string, source_artifact string, source_artifact_sha256 string, source_record_index long"
+
+
+def read_envelopes(spark: SparkSession, path: str, payload: StructType | str | None = None, more: str = "") -> DataFrame:
+    """Envelopes of a folder of JSON lines: lineage, ``payload`` as JSON text, and ``more`` optional columns. With a type of the payload its fields follow, null where they can't be read."""
+    rows = spark.read.schema(f"{LINEAGE}, payload string" + (f", {more}" if more else "")).option("mode", "FAILFAST").json(path)
+    return rows if payload is None else rows.withColumn("__p", F.from_json("payload", payload)).select(*rows.columns, "__p.*")
+
+
 def is_complete(spark: SparkSession, path: str, run_id: str) -> bool:
     """Whether a run has its marker and data; a partial one is refused."""
-    names = _files(spark, run_path(path, run_id))
+    names = list_files(spark, run_path(path, run_id))
     data = any(n.startswith("part-") for n in names)
     if names and not ("_SUCCESS" in names and data):
         raise ValueError(f"run {run_id} is partial")

@@ -33,7 +33,14 @@ def write_shared(df: DataFrame, label: str, compression: str | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder of any file system; none if there is no such folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -44,9 +51,9 @@ def release_table(df: DataFrame) -> None:
     for folder in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
         if own.rsplit("/", 1)[-1] not in folder:
             raise ValueError(f"{folder} isn't a table of this application")
-        _delete(df.sparkSession, folder)
+        delete_folder(df.sparkSession, folder)
 
 
 def release_shared(spark: SparkSession) -> None:
     """Delete all that this application wrote with :func:`write_shared`; frames that read it are void afterwards."""
-    _delete(spark, shared_dir(spark))
+    delete_folder(spark, shared_dir(spark))

@@ -2,23 +2,37 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from factline.operators.incremental import latest_per_key, load_snapshot, save_snapshot
+from factline.operators.incremental import commit_parts, current_parts, expire_snapshots, latest_per_key, read_parts
+
+BUCKETS = 64
+
 
+def stream_upsert(source: DataFrame, target: str, checkpoint: str, key: list[str], order: list[str], buckets: int = BUCKETS, keep: int = 2) -> StreamingQuery:
+    """Merge each micro-batch into the table at ``target``: the newest row of a key by ``order`` stays, so late rows don't undo newer ones and replays change nothing.
 
-def stream_upsert(source: DataFrame, target: str, checkpoint: str, key: list[str], order: list[str]) -> StreamingQuery:
-    """Merge each micro-batch into the snapshot table at ``target``: the newest row of a key by ``order`` stays, so late rows don't undo newer ones and replays change nothing."""
+    The table has ``buckets`` parts by a hash of the key. A batch rewrites the parts that its keys fall into and no other,
+    and the last ``keep`` versions stay readable. Rows with a null in their key are left out.
+    """
 
     def merge(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        try:
-            known = load_snapshot(spark, target).unionByName(batch, allowMissingColumns=True)
-        except Exception as e:  # the first batch
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            known = batch
-        save_snapshot(latest_per_key(known, key, order), target)
+        bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int").alias("bucket")
+        rows = batch.dropna(subset=key)
+        touched = {r.bucket for r in rows.select(bucket).distinct().collect()}  # at most ``buckets``
+        if not touched:
+            return
+        parts = current_parts(spark, target)
+        known = [p for p in parts if p[0] in touched]
+        merged = read_parts(spark, target, known).unionByName(rows, allowMissingColumns=True) if known else rows
+        name = uuid.uuid4().hex
+        latest_per_key(merged, key, order).select("*", bucket).repartition("bucket").write.partitionBy("bucket").parquet(f"{target}/snapshot={name}")
+        commit_parts(spark, target, [p for p in parts if p[0] not in touched] + [(b, name) for b in sorted(touched)])
+        expire_snapshots(spark, target, keep)
 
     return source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

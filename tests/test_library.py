@@ -35,7 +35,8 @@ def test_strip_suffix(spark):
 
 def test_employment(spark):
     got = values(spark, text.normalize_employment(F.col("x")), "array<string>", [["Full-time", "Contract or full time"], ["other"], None])
-    assert got == [["CONTRACT", "FULL_TIME"], [], []]
+    assert got == [["CONTRACTOR", "FULL_TIME"], [], []]
+    assert values(spark, text.normalize_employment(F.col("x")), "array<string>", [["International staff", "Contemporary art", "Contractor", None]]) == [["CONTRACTOR"]]
 
 
 def test_json_fields(spark):
@@ -47,7 +48,7 @@ def test_json_fields(spark):
 def test_phrase_match_counts_whole_words(spark):
     texts = spark.createDataFrame([(1, "new jersey or jersey jersey"), (2, "jerseys"), (3, None), (4, "")], "id int, t string")
     phrases = spark.createDataFrame([("jersey",), ("new jersey",), ("",), (None,)], "p string")
-    got = {(r.id, r.p): r.n_matches for r in relational.phrase_match(texts, "t", phrases, "p").collect()}
+    got = {(r.id, r.p): r.n_matches for r in relational.phrase_match(texts, "t", phrases, "p", "id").collect()}
     assert got == {(1, "jersey"): 3, (1, "new jersey"): 1}
 
 

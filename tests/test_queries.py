@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from factline.plans import registry
+from factline.plans import scenarios as registry
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
