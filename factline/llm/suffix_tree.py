@@ -264,7 +264,7 @@ def _buckets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
     """The blocks of each bucket; rows come in the order of buckets."""
     own, blocks = None, []
     for batch in batches:
-        for bucket, data in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+        for bucket, data in zip(batch.column(0).to_pylist(), batch.column("data"), strict=True):
             if bucket != own and blocks:
                 yield blocks
                 blocks = []
@@ -418,7 +418,9 @@ def _summed(keys: np.ndarray, values: list[np.ndarray]) -> tuple[np.ndarray, lis
     return keys[order[first]], [np.add.reduceat(v[order], first) if len(first) else v for v in values]
 
 
-def _answered(unseen: float):
+def _answered(unseen: float, buckets: int):
+    """Blocks of sums by text: weight, base, known words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
         size, own, table, parts = 0, None, None, []
@@ -426,7 +428,9 @@ def _answered(unseen: float):
         def flush():
             uid, *values = (np.concatenate(x) for x in zip(*held, strict=True))
             uid, values = _summed(uid, values)
-            return pa.RecordBatch.from_arrays([pa.array(uid), *map(pa.array, values)], names=["uid", "weight", "base", "known"])
+            home = (uid % buckets).astype(np.int32)
+            order = np.argsort(home, kind="stable")
+            return _blocks(home[order], [x[order] for x in (uid, *values)], 0)
 
         for batch in batches:
             for bucket, kind, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
@@ -461,6 +465,14 @@ def _answered(unseen: float):
     return run
 
 
+def _totalled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each text, of all its sums."""
+    for blocks in _buckets_of(batches):
+        uid, *values = (np.concatenate(x) for x in zip(*(_unpacked(b, ("i8", "f8", "f8", "f8")) for b in blocks), strict=True))
+        uid, values = _summed(uid, values)
+        yield pa.RecordBatch.from_arrays([pa.array(uid), *map(pa.array, values)], names=["uid", "weight", "base", "known"])
+
+
 def score(df: DataFrame, train_on, id_col: str = "doc_id", text_col: str = "text", min_word: float = MIN_WORD, **options) -> DataFrame:
     """One row per row of ``df``: ``id_col``, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -480,8 +492,8 @@ def score(df: DataFrame, train_on, id_col: str = "doc_id", text_col: str = "text
     _clean(spark)
     asked = texts.select("uid", "words").mapInArrow(_asked(model.longest, unseen, model.buckets, shared), _BLOCK)
     table = model.weights.select("h", "weight", "base").mapInArrow(_pack_weights(model.buckets), _BLOCK)
-    answered = _by_bucket(table.unionByName(asked)).mapInArrow(_answered(unseen), "uid long, weight double, base double, known double")
-    sums = answered.groupBy("uid").agg(*(F.sum(c).alias(c) for c in ("weight", "base", "known")))
+    answered = _by_bucket(table.unionByName(asked)).mapInArrow(_answered(unseen, model.buckets), _BLOCK)
+    sums = _by_bucket(answered).mapInArrow(_totalled, "uid long, weight double, base double, known double")
     whole = texts.select("uid", "id", "held_out", "n_tokens").join(sums, "uid")
     known, trained = F.round("known").cast("long"), F.lit(model.total).cast("long")
     return whole.select(F.col("id").alias(id_col), "held_out", "n_tokens", known.alias("n_known"), trained.alias("train_tokens"), F.col("base").alias("base_score"), F.col("weight").alias("score"))
