@@ -195,7 +195,7 @@ _STATUS = f"""WITH f AS ({_FACTS}), r AS (SELECT id, arg_max(review_status, stru
 
 def _status(t):
     rows = t("orders").selectExpr("o_orderkey AS id", "CONCAT(' ', o_orderpriority, ' ') AS url", "CASE o_orderkey % 3 WHEN 0 THEN CONCAT(' id', o_orderkey) WHEN 1 THEN '  ' END AS identity_url", "CASE o_orderkey % 5 WHEN 0 THEN 'CLOSED' WHEN 1 THEN 'TERMINAL' WHEN 2 THEN 'REACHABLE' END AS lifecycle", "IF(o_orderkey % 2 = 0, 'TERMINAL', 'UNKNOWN') AS previous", "o_totalprice AS price", "o_orderdate AS until", "REPEAT(o_orderpriority, 200) AS snippet")
-    reviews = t("lineitem").where("l_linenumber < 4").selectExpr("l_orderkey AS id", "l_linenumber AS at", "CASE WHEN l_quantity < 10 THEN 'held' WHEN l_quantity < 20 THEN 'pending' ELSE 'approved' END AS review_status")
+    reviews = t("lineitem").where("l_linenumber < 4").selectExpr("l_orderkey AS id", "l_linenumber AS seen", "CASE WHEN l_quantity < 10 THEN 'held' WHEN l_quantity < 20 THEN 'pending' ELSE 'approved' END AS review_status")
     closed = publication.confirmed_closure(F.col("lifecycle"), F.col("previous"))
     return publication.apply_reviews(rows, reviews, "id", [("TOO_SMALL", F.col("price") > 50000)], closed, F.col("until") < F.lit("1994-01-01").cast("timestamp_ntz"), updated="seen")
 
@@ -293,10 +293,10 @@ def scoped_alias(t):
     return relational.scoped_match(docs, aliases, "word", "source").select("doc_id", "code")
 
 
-@query("SELECT p_partkey FROM part WHERE p_brand IN (SELECT p_brand FROM part GROUP BY 1 HAVING count(DISTINCT p_size) = 1) ORDER BY 1")
-def single_sized_parts(t):
-    wide = checks.check_distinct_at_most(t("part"), ["p_brand"], "p_size")
-    return t("part").join(wide.select("p_brand"), "p_brand", "left_anti").select("p_partkey")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderpriority) > 3)")
+def customers_of_few_priorities(t):
+    wide = checks.check_distinct_at_most(t("orders"), ["o_custkey"], "o_orderpriority", 3)
+    return t("customer").join(wide.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey")
 
 
 @query("SELECT lower(p_name) AS folded, count(DISTINCT p_brand) AS n_values FROM part GROUP BY 1 HAVING count(DISTINCT p_brand) > 1")
@@ -363,7 +363,7 @@ def message_totals(t):
     return usage.message_totals(t("lineitem").withColumn("mean", F.col("l_quantity").cast("decimal(10,2)")), "l_linenumber", "mean")
 
 
-@query("SELECT o_custkey AS run, max(o_orderdate) FILTER (o_orderstatus = 'F') AS completed_at, count(*) AS objects FROM orders GROUP BY 1 HAVING completed_at < TIMESTAMP '1995-01-01'")
+@query("SELECT o_custkey AS run, max(o_orderdate) FILTER (o_orderstatus = 'F') AS completed_at, count(*) AS objects FROM orders GROUP BY 1 HAVING completed_at < TIMESTAMP '1998-01-01'")
 def expired_runs(t):
     rows = t("orders").withColumn("name", F.when(F.col("o_orderstatus") == "F", "a/_SUCCESS").otherwise("a/part")).withColumn("run", F.col("o_custkey"))
-    return usage.expired_runs(rows, "run", "name", "o_orderdate", F.lit("1995-01-01").cast("timestamp_ntz"))
+    return usage.expired_runs(rows, "run", "name", "o_orderdate", F.lit("1998-01-01").cast("timestamp_ntz"))
