@@ -48,7 +48,7 @@ from factline.sources.storage import release_table, write_shared
 #: Occurrences from which a context of one word, one of more words, and a next symbol count, whatever the corpus's size.
 LEAST_CONTEXT, LEAST_LONGER, LEAST_PAIR = 2, 8, 2
 #: Nats by which a next symbol's number differs, at least, from what the suffix makes expected.
-LEAST_SURPRISE = 3.0
+LEAST_SURPRISE = 4.0
 #: Share of the tokens from which a sequence is broadcast for scoring.
 MIN_WORD = 5e-7
 #: Least and most bits of a filter, as powers of two.

@@ -552,7 +552,7 @@ def brute_suffix_tree(texts, least=2, longer=8):
         for g, n in grams.items():
             if len(g) == d + 1 and n >= 2 and g[:-1] in candidates and (d == 1 or (g[1:-1], g[-1]) in value):
                 expected = grams[g[:-1]] * prob(g[:-1], g[-1], d - 1)
-                if n * (math.log(n / expected) - 1) + expected >= 3:
+                if n * (math.log(n / expected) - 1) + expected >= 4:
                     nexts.setdefault(g[:-1], {})[g[-1]] = n
         new_back, new_value = {}, {}
         for context, found in nexts.items():
