@@ -322,10 +322,12 @@ def learn(texts: DataFrame, depth: int | None = None, least_context: int = LEAST
             break
         shared = spark.sparkContext.broadcast(bits)
         blocks = texts.mapInArrow(_count(length + 1, buckets, shared), _BLOCK)
-        counted = _by_bucket(blocks).mapInArrow(_counted(length + 1, least_pair), "h long, ctx long, suf long, n long")
+        counted = write_shared(_by_bucket(blocks).mapInArrow(_counted(length + 1, least_pair), "h long, ctx long, suf long, n long"), "counted")
+        _clean(spark)  # the blocks go before the joins begin
         pairs = counted.join(known.select(F.col("h").alias("suf"), F.col("s").alias("above")), "suf").join(contexts.select(F.col("h").alias("ctx"), F.col("n").alias("sum")), "ctx")
         expected = F.col("sum") * F.pow(F.lit(10.0), F.col("above"))
         pairs = write_shared(pairs.where(F.col("n") * (F.ln(F.col("n") / expected) - 1) + expected >= LEAST_SURPRISE), "pairs")
+        release_table(counted)
         shared.destroy()
         retained = write_shared(_retained(pairs), "contexts")
         if length:
