@@ -41,7 +41,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, BooleanType, LongType, StructType
+from pyspark.sql.types import BinaryType, BooleanType, LongType, StructField, StructType
 
 from factline.sources.storage import release_table, write_shared
 
@@ -285,11 +285,27 @@ def _counted(length: int, least: int):
             n = np.add.reduceat(n[order].astype(np.int64), first)
             keep = n >= least
             at = order[first[keep]]
-            yield pa.RecordBatch.from_arrays([*(pa.array(x[at].view(np.int64)) for x in (h, ctx, suf)), pa.array(n[keep])], names=["h", "ctx", "suf", "n"])
+            columns = {"ctx": ctx, "suf": suf} | ({"h": h} if length > 1 else {})
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[at].view(np.int64)) for x in columns.values()), pa.array(n[keep])], names=[*columns, "n"])
 
     return run
 
 
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ctx, suf, *rest = batch.columns
+        h = _mixed(ctx.to_numpy().view(np.uint64), suf.to_numpy().view(np.uint64)).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(h), *rest], names=["h", *batch.schema.names[2:]])
+
+
+def _keyed(pairs: DataFrame, *columns: str) -> DataFrame:
+    """The sequences' hashes, and ``columns``. Two words say the hash, so that their rows are joined without it."""
+    if "h" in pairs.columns:
+        return pairs.select("h", *columns)
+    schema = StructType([StructField("h", LongType()), *pairs.select(*columns).schema])
+    return pairs.select("ctx", "suf", *columns).mapInArrow(_named, schema)
+
+
 @dataclass
 class Model:
     weights: DataFrame  # h, n, weight, base: log10 probability of a word, 0 for other sequences; in several rows
@@ -322,7 +338,7 @@ def learn(texts: DataFrame, depth: int | None = None, least_context: int = LEAST
             break
         shared = spark.sparkContext.broadcast(bits)
         blocks = texts.mapInArrow(_count(length + 1, buckets, shared), _BLOCK)
-        counted = _by_bucket(blocks).mapInArrow(_counted(length + 1, least_pair), "h long, ctx long, suf long, n long")
+        counted = _by_bucket(blocks).mapInArrow(_counted(length + 1, least_pair), "ctx long, suf long, h long, n long" if length else "ctx long, suf long, n long")
         pairs = counted.join(known.select(F.col("h").alias("suf"), F.col("s").alias("above")), "suf").join(contexts.select(F.col("h").alias("ctx"), F.col("n").alias("sum")), "ctx")
         expected = F.col("sum") * F.pow(F.lit(10.0), F.col("above"))
         pairs = write_shared(pairs.where(F.col("n") * (F.ln(F.col("n") / expected) - 1) + expected >= LEAST_SURPRISE), "pairs")
@@ -333,10 +349,10 @@ def learn(texts: DataFrame, depth: int | None = None, least_context: int = LEAST
         _clean(spark)
         length += 1
         value = F.log10((F.col("n") + F.col("types") * F.pow(F.lit(10.0), F.col("above"))) / (F.col("sum") + F.col("types")))
-        known = pairs.join(retained.drop("sum"), "ctx").select("h", "n", value.alias("s"), (value - F.col("above") - F.col("back")).alias("gain"))
-        known = write_shared(known, "level")
+        known = pairs.join(retained.drop("sum"), "ctx").withColumns({"s": value, "gain": value - F.col("above") - F.col("back")})
+        known = write_shared(_keyed(known, "n", "s", "gain"), "level")
         longer = pairs.where(F.col("n") >= least_longer).join(retained.select(F.col("ctx").alias("suf")), "suf", "left_semi")
-        contexts = write_shared(longer.select("h", "n"), "candidates")
+        contexts = write_shared(_keyed(longer, "n"), "candidates")
         release_table(pairs)
         _clean(spark)
         gains = known.select("h", "n", F.col("gain").alias("weight"), zero)
