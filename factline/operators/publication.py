@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factline.sources.storage import write_shared
 
 #: Digits of a level of the snapshot's buckets, and rows of a bucket at most, on average.
 _DIGITS, _ROWS = 3, 4096
@@ -53,11 +54,20 @@ def not_expired(valid_through: Column, date_only: Column, as_of: Column) -> Colu
 
 
 def assign_buckets(rows: DataFrame, existing: DataFrame, key: str, group: str, buckets: int = 7) -> DataFrame:
-    """Append-only buckets: known keys keep theirs; new ones follow the last position of their group."""
+    """Append-only buckets: known keys keep theirs; new ones follow the last position of their group, in the order of keys.
+
+    New rows are dealt by ranges of (group, key), so that a large group spreads over many tasks, and written with their
+    range. A position is the number of the group's rows in earlier ranges and the rank within the own one.
+    """
     last = existing.groupBy(group).agg(F.max("position").alias("__last"))
     fresh = rows.select(key, group).join(existing.select(key), key, "left_anti")
-    position = F.coalesce("__last", F.lit(0)) + F.row_number().over(Window.partitionBy(group).orderBy(key))
-    fresh = fresh.join(last, group, "left").withColumn("position", position.cast("long")).drop("__last")
+    dealt = write_shared(fresh.repartitionByRange(group, key).select(key, group, F.spark_partition_id().alias("__range")), "positions")
+    earlier = F.sum("__n").over(Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = dealt.groupBy(group, "__range").agg(F.count(F.lit(1)).alias("__n")).withColumn("__earlier", F.coalesce(earlier, F.lit(0)))
+    starts = starts.join(last, group, "left").select(F.col(group).alias("__group"), F.col("__range").alias("__of"), (F.coalesce("__last", F.lit(0)) + F.col("__earlier")).alias("__start"))
+    ranked = dealt.withColumn("__rank", F.row_number().over(Window.partitionBy(group, "__range").orderBy(key)))
+    fresh = ranked.join(starts, (F.col("__range") == F.col("__of")) & F.col(group).eqNullSafe(F.col("__group")))
+    fresh = fresh.withColumn("position", (F.col("__start") + F.col("__rank")).cast("long"))
     start = F.conv(F.substring(F.md5(F.col(group).cast("string")), 1, 15), 16, 10).cast("long")
     fresh = fresh.withColumn("bucket", F.pmod(start + F.col("position"), F.lit(buckets)).cast("int"))
     return existing.select(key, group, "position", "bucket").unionByName(fresh.select(key, group, "position", "bucket"))

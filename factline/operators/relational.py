@@ -80,12 +80,22 @@ def phrase_match(texts: DataFrame, text_col: str, phrases: DataFrame, phrase_col
 
 
 def drop_contained(matches: DataFrame, key: list[str], phrase: str, code: str) -> DataFrame:
-    """Matches but those whose phrase lies within a longer matched phrase of another code."""
+    """Matches but those whose phrase lies within a longer matched phrase of another code.
+
+    A phrase can only lie in phrases that have all its words, so the distinct phrases of a key meet on the word that
+    fewest of them have: rows are dealt by (key, word), and a phrase with a word of its own meets none. A match with a
+    null key, phrase or code stays.
+    """
     pad = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
-    other = matches.select(*key, F.col(phrase).alias("__longer"), F.col(code).alias("__code"))
+    own = matches.select(*key, phrase, code).dropna().distinct()
+    words = own.withColumn("__word", F.explode(F.array_distinct(F.split(phrase, " "))))
+    counts = words.groupBy(*key, "__word").agg(F.count(F.lit(1)).alias("__n"))
+    rarest = words.join(counts, [*key, "__word"]).groupBy(*key, phrase, code).agg(F.min(F.struct("__n", "__word")).alias("__r"))
+    asked = rarest.where("__r.__n > 1").select(*key, phrase, code, F.col("__r.__word").alias("__word"))
+    longer = words.select(*key, "__word", F.col(phrase).alias("__longer"), F.col(code).alias("__code"))
     inside = (F.length("__longer") > F.length(phrase)) & (F.col("__code") != F.col(code)) & F.contains(pad(F.col("__longer")), pad(F.col(phrase)))
-    cond = reduce(lambda a, b: a & b, [matches[k] == other[k] for k in key]) & inside
-    return matches.join(other, cond, "left_anti")
+    contained = asked.join(longer, [*key, "__word"]).where(inside).select(*key, phrase, code)
+    return matches.join(contained, [*key, phrase, code], "left_anti").select(*matches.columns)
 
 
 def scoped_match(evidence: DataFrame, aliases: DataFrame, text: str, scope: str) -> DataFrame:

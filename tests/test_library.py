@@ -105,3 +105,31 @@ def test_stream_upsert(spark, tmp_path):
         spark.createDataFrame(batch, "k int, ts int, v string").write.mode("append").json(source)
         stream_upsert(spark.readStream.schema("k int, ts int, v string").json(source), target, check, ["k"], ["ts"]).awaitTermination(120)
     assert {(r.k, r.v) for r in incremental.load_snapshot(spark, target).collect()} == {(1, "c"), (2, "b")}
+
+
+def test_drop_contained_against_all_pairs(spark):
+    phrases = ["a", "b", "a b", "b a", "a b a", "a a", "c", "b c", "a b c", " a", "", "a  b", None]
+    data = [(k, p, c) for i, p in enumerate(phrases) for k in (1, 2, None) for c in ("X", "Y", None) if (i + (k or 0) + ord((c or "Z")[0])) % 3]
+    m = spark.createDataFrame(data + data[:5], "id int, phrase string, code string").withColumn("__n", F.lit(1))
+
+    def dropped(k, p, c):
+        return None not in (k, p, c) and any(k == k2 and q is not None and d is not None and d != c and len(q) > len(p) and f" {p} " in f" {q} " for k2, q, d in data)
+
+    want = [r for r in data + data[:5] if not dropped(*r)]
+    got = relational.drop_contained(m, ["id"], "phrase", "code")
+    assert got.columns == m.columns and 0 < len(want) < len(data)
+    assert sorted(map(repr, ((r.id, r.phrase, r.code) for r in got.collect()))) == sorted(map(repr, want))
+
+
+def test_positions_of_a_large_group_have_no_gap_and_follow_keys(spark):
+    rows = spark.range(3000).select(F.col("id").alias("k"), F.when(F.col("id") % 100 == 99, None).when(F.col("id") % 3 == 0, F.col("id") % 7).otherwise(50).alias("g"))
+    none = spark.createDataFrame([], "k long, g long, position long, bucket int")
+    old = publication.assign_buckets(rows.where("k % 2 = 0"), none, "k", "g")
+    got = {r.k: (r.g, r.position) for r in publication.assign_buckets(rows, old, "k", "g").collect()}
+    groups: dict = {}
+    for k, g in sorted(rows.collect(), key=lambda r: (r.k % 2, r.k)):
+        groups.setdefault(g, []).append(k)
+    want = {k: (g, i) for g, ks in groups.items() for i, k in enumerate(ks, 1)}
+    null_group = {k: (g, i) for g, ks in groups.items() if g is None for part in (0, 1) for i, k in enumerate([x for x in ks if x % 2 == part], 1)}
+    assert got == want | null_group
+    assert publication.assign_buckets(rows.limit(0), none, "k", "g").count() == 0
