@@ -12,7 +12,7 @@ corrected for the false positives that its plane's fill predicts; the largest co
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; training rows with null text or
 language don't count; ties go to the language that sorts first; without training data everything is ``und``;
-texts of any length are read whole; empty tables give empty results; other columns keep their values whatever their
+texts of any length are read whole, their n-grams in pieces; empty tables give empty results; other columns keep their values whatever their
 names, only those of the results are replaced.
 """
 
@@ -37,19 +37,29 @@ POSITIONS, HASHES = 1 << 19, 3
 MIN_SHARE, RELATIVE, DOUBTFUL = 2e-5, 0.3, 0.3
 _TABLE = bytes(c if chr(c).isalpha() or c >= 0x80 else 0x20 for c in range(256))
 _PAD, _HELD, _PIECE = b" " * N, 1 << 21, 1 << 20
+#: n-grams that are looked up at once.
+_LOOKED_UP = 1 << 17
+
+
+def pieces(texts: list[str], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """n-grams of texts as 32-bit numbers, those of spaces alone left out, and the place of the text that each begins in; of ``size`` bytes at a time.
+
+    A gram that reaches into the next text's spaces belongs to the text it begins in.
+    """
+    data = [_PAD + x.lower().encode("utf-8", "replace").translate(_TABLE) for x in texts]
+    ends = np.cumsum([len(x) for x in data])
+    joined = np.frombuffer(b"".join(data) + _PAD, np.uint8)
+    for at in range(0, len(joined) - N + 1, size):
+        own = joined[at : at + size + N - 1].astype(np.uint32)
+        codes = own[:-3] | own[1:-2] << np.uint32(8) | own[2:-1] << np.uint32(16) | own[3:] << np.uint32(24)
+        kept = np.flatnonzero(codes != 0x20202020)
+        yield codes[kept], np.searchsorted(ends, at + kept, "right")
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """n-grams of texts as 32-bit numbers, those of spaces alone left out, and how many come from each text."""
-    data = [_PAD + x.lower().encode("utf-8", "replace").translate(_TABLE) for x in texts]
-    joined = np.frombuffer(b"".join(data) + _PAD, np.uint8).astype(np.uint32)
-    codes = joined[:-3] | joined[1:-2] << np.uint32(8) | joined[2:-1] << np.uint32(16) | joined[3:] << np.uint32(24)
-    kept = codes != 0x20202020
-    total = np.concatenate(([0], np.cumsum(kept)))
-    cuts = np.concatenate(([0], np.cumsum([len(x) for x in data])))
-    # A gram that reaches into the next text's spaces belongs to the text it begins in.
-    counts = np.diff(total[np.minimum(cuts, len(codes))])
-    return codes[kept], counts
+    codes, own = (np.concatenate(x) for x in zip(*pieces(texts, _PIECE), strict=True))
+    return codes, np.bincount(own, minlength=len(texts))
 
 
 def positions(codes: np.ndarray, size: int = POSITIONS, hashes: int = HASHES) -> list[np.ndarray]:
@@ -71,25 +81,28 @@ class Filter:
 
     def shares(self, texts: list[str]) -> np.ndarray:
         """(texts, languages): corrected share of a text's n-grams that the language's plane holds."""
-        out = np.zeros((len(texts), len(self.languages)))
+        hits, counts = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
         at = 0
         while at < len(texts):
             to, size = at, 0
             while to < len(texts) and (to == at or size + len(texts[to]) <= _PIECE):
                 size += len(texts[to])
                 to += 1
-            codes, counts = grams(texts[at:to])
-            found = np.full((len(codes), self.words.shape[1]), ~np.uint64(0))
-            for place in positions(codes, len(self.words)):
-                found &= self.words[place]
-            some = np.flatnonzero(counts)
-            begins = (np.cumsum(counts) - counts)[some]
-            for i in range(len(self.languages)) if len(some) else ():
-                hits = np.add.reduceat(found[:, i // 64] >> np.uint64(i % 64) & np.uint64(1), begins).astype(float) / counts[some]
-                rate = self.false_positive[i]
-                out[at + some, i] = np.clip((hits - rate) / (1 - rate) if rate < 1 else 0.0, 0, 1)
+            for codes, own in pieces(texts[at:to], _LOOKED_UP):
+                if not len(codes):
+                    continue
+                found = np.full((len(codes), self.words.shape[1]), ~np.uint64(0))
+                for place in positions(codes, len(self.words)):
+                    found &= self.words[place]
+                begins = np.flatnonzero(np.diff(own, prepend=-1))
+                text = at + own[begins]
+                counts[text] += np.diff(np.append(begins, len(own)))
+                for i in range(len(self.languages)):
+                    hits[text, i] += np.add.reduceat(found[:, i // 64] >> np.uint64(i % 64) & np.uint64(1), begins)
             at = to
-        return out
+        rate = self.false_positive
+        shares = hits / np.maximum(counts, 1)[:, None]
+        return np.where((counts > 0)[:, None] & (rate < 1), np.clip((shares - rate) / np.where(rate < 1, 1 - rate, 1), 0, 1), 0.0)
 
 
 def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,18 +132,19 @@ def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 while texts and (not piece or n < _PIECE):
                     piece.append(texts.pop())
                     n += len(piece[-1])
-                codes = np.sort(grams(piece)[0])
-                begins = np.flatnonzero(np.diff(codes.astype(np.int64), prepend=-1))
-                counts = np.diff(np.append(begins, len(codes)))
-                held.setdefault(lang, []).append((codes[begins], counts))
-                size += len(begins)
-                if size > _HELD:
-                    for k in held:
-                        held[k] = [reduced(k)]
-                    size = sum(len(v[0][0]) for v in held.values())
-                    if size > _HELD // 2:
-                        yield from flush()
-                        held, size = {}, 0
+                for codes, _ in pieces(piece, _PIECE):
+                    codes = np.sort(codes)
+                    begins = np.flatnonzero(np.diff(codes.astype(np.int64), prepend=-1))
+                    counts = np.diff(np.append(begins, len(codes)))
+                    held.setdefault(lang, []).append((codes[begins], counts))
+                    size += len(begins)
+                    if size > _HELD:
+                        for k in held:
+                            held[k] = [reduced(k)]
+                        size = sum(len(v[0][0]) for v in held.values())
+                        if size > _HELD // 2:
+                            yield from flush()
+                            held, size = {}, 0
     yield from flush()
 
 
