@@ -177,8 +177,14 @@ def spanning_edges(group: np.ndarray, fps: np.ndarray, side: np.ndarray, radius:
     first = np.cumsum(words) - words
     asked = np.flatnonzero((side != 1) & (words[number] > 0))
     # All rows meet the first word of their group. In what is left, words are filled by component, and a row skips a
-    # word that its own component fills: a group of near copies takes one pass, not one for each word.
+    # word that its own component fills: a group of near copies takes one pass, not one for each word. Groups of one
+    # word are done after the first pass.
     for rest in (False, True):
+        if rest:
+            more = words > 1
+            stored, asked = stored[more[number[stored]]], asked[more[number[asked]]]
+            sizes, words = sizes * more, words * more
+            first = np.cumsum(words) - words
         stored = stored[np.lexsort((label[stored], number[stored]))]
         slot = first[number[stored]] * 64 + np.arange(len(stored)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         lanes, owner = np.zeros((words.sum() * 64, fps.shape[1]), np.uint64), np.full(words.sum() * 64, -1)
@@ -188,8 +194,6 @@ def spanning_edges(group: np.ndarray, fps: np.ndarray, side: np.ndarray, radius:
         valid = np.packbits((owner >= 0).reshape(-1, 64), axis=1, bitorder="little").view(np.uint64).ravel()
         of = np.where(owner >= 0, label[owner], label[np.maximum(owner.reshape(-1, 64)[:, :1], 0)].repeat(64)).reshape(-1, 64)
         filled = np.where((of == of[:, :1]).all(axis=1), of[:, 0], -1)
-        if rest:
-            asked = asked[words[number[asked]] > 1]
         each = words[number[asked]] if rest else np.ones(len(asked), np.int64)
         ends = np.cumsum(each)
         at = 0
