@@ -36,7 +36,7 @@ POSITIONS, HASHES = 1 << 19, 3
 #: Part of a language's median score below which a text isn't taken to be in it.
 MIN_SHARE, RELATIVE, DOUBTFUL = 2e-5, 0.3, 0.3
 _TABLE = bytes(c if chr(c).isalpha() or c >= 0x80 else 0x20 for c in range(256))
-_PAD, _HELD, _PIECE = b" " * N, 1 << 21, 1 << 20
+_PAD, _HELD, _PIECE = b" " * N, 1 << 20, 1 << 20
 #: n-grams that are looked up at once.
 _LOOKED_UP = 1 << 17
 
