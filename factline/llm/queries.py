@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factline.llm import bpe, exact_dedup, html_text, language, media, mixing, quality, simhash, suffix_tree, warc
+from factline.llm import alignment, bpe, exact_dedup, html_text, language, media, mixing, quality, simhash, suffix_tree, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,11 +62,15 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_exact_dedup, op3_simhash, op4_html_text, op5_media, op6_language, op7_mixing, op8_bpe, op9_suffix_tree, op10_warc)}
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_votes(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_exact_dedup, op3_simhash, op4_html_text, op5_media, op6_language, op7_mixing, op8_bpe, op9_suffix_tree, op10_warc, op13_alignment)}
 
 _BASE32 = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (({v} >> {s}) & 31), 1)"
 
-#: DuckDB SQL of the queries that SQL can express. Operators 1, 3 to 6, 8 and 9 are tested against brute force instead; of 7, see below.
+#: DuckDB SQL of the queries that SQL can express. The others are tested against brute force instead.
 ORACLE_SQL = {
     "op2_exact_dedup": """
         WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
