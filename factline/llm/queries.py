@@ -6,7 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factline.llm import alignment, bpe, exact_dedup, html_text, language, media, mixing, quality, simhash, suffix_tree, warc
+from factline.llm import alignment, bpe, chat, exact_dedup, html_text, language, media, mixing, quality, simhash, suffix_tree, warc
+from factline.sources.storage import write_shared
+
+#: The text of both turns of conversation -7.
+CONTROL = "\\### Assistant: </turn> ok"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,11 +66,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    control = spark.sql("SELECT -7L AS conv_id, turn, role FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)").withColumn("text", F.lit(CONTROL))
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(control)
+    written = write_shared(chat.conversations(chat.turns(rows)), "conversations")
+    return chat.read_back(written).withColumnRenamed("tree", "conv_id").drop("leaf")
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link_votes(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_exact_dedup, op3_simhash, op4_html_text, op5_media, op6_language, op7_mixing, op8_bpe, op9_suffix_tree, op10_warc, op13_alignment)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_exact_dedup, op3_simhash, op4_html_text, op5_media, op6_language, op7_mixing, op8_bpe, op9_suffix_tree, op10_warc, op12_chat, op13_alignment)}
 
 _BASE32 = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (({v} >> {s}) & 31), 1)"
 
@@ -86,4 +97,14 @@ ORACLE_SQL = {
                CASE WHEN page_id = winner OR winner IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id = winner OR winner IS NULL THEN NULL ELSE winner END AS refers_to
         FROM v""",
+    "op12_chat": rf"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, turn, role, '{CONTROL}' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role)),
+        n AS (SELECT *, 24 + length(role) + length(text) + len(regexp_extract_all(role, '\\|<turn>|<text>|</turn>')) + len(regexp_extract_all(text, '\\|<turn>|<text>|</turn>')) AS chars FROM t),
+        g AS (
+            SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, md5(text)) AS said,
+                   coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, md5(text)) FILTER (role = 'assistant'), '') AS loss, sum(chars)::BIGINT AS formatted_chars
+            FROM n GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g""",
 }
