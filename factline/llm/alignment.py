@@ -25,20 +25,24 @@ import hashlib
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructType
 
-from factline.llm.bpe import ByteBpe
+from factline.llm.bpe import PATTERN, ByteBpe
 from factline.sources.storage import write_shared
 
 #: Units in each half of a worker's cache, characters and most texts of a chunk, buckets of first ids, and chunks whose blocks of a bucket are in one task.
 CACHE, CHUNK, TEXTS, BUCKETS, SPREAD = 1 << 17, 1 << 21, 1 << 16, 64, 1024
+#: Characters of a unit from which merges go through a heap.
+LONG = 256
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 _ODD = re.compile(r"[^\S \n]|[ \n][ \n]|\x01|\x85")
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
@@ -88,6 +92,12 @@ class Aligner:
 
     def __init__(self, a_path: str, b_path: str):
         self.a = ByteBpe(a_path)
+        added = set(self.a.added.values())
+        made = [new for _, new in self.a.ranks.values()]  # last merges first
+        if any(x <= y for x, y in zip(made, made[1:], strict=False)):
+            raise ValueError("ids aren't in the order of merges")
+        self.merges = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks={t: i for i, t in self.a.bytes.items() if i not in added}, special_tokens={})
+        self.decimal = [str(i) for i in range(1 << 17)]
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         size = self.b.get_piece_size()
         pieces = [self.b.id_to_piece(i) for i in range(size)]
@@ -110,59 +120,60 @@ class Aligner:
             return _CUT.split(text)
         return text.replace(" ", "\x01 ").replace("\n", "\x01\n").split("\x01")[1:]
 
-    def encode_units(self, units: list[str]) -> tuple[list[np.ndarray], list[list[int]]]:
-        """Ids of each unit by both tokenizers."""
-        self.a.learn(set(units))
-        first = [np.frombuffer(self.a.known[u][0], np.int32) for u in units]
+    def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of units by both tokenizers, and how many of each unit."""
+        plain = [u for u in units if len(u) < LONG and not u[-1].isspace()]
+        a = self.merges.encode_to_numpy("".join(plain), disallowed_special=()).astype(np.int64)
+        ends = np.cumsum(np.fromiter(map(len, map(str.encode, plain)), np.int64, len(plain)))
+        places = np.searchsorted(np.cumsum(self.a.lengths[a]), ends) + 1 if len(a) else ends
+        n_a = np.diff(places, prepend=0)
+        if len(plain) < len(units):  # white space at the end would go with what follows, and long units take long
+            odd = [u for u in units if len(u) >= LONG or u[-1].isspace()]
+            self.a.learn(set(odd))
+            found = iter(np.split(a, places[:-1]) if plain else ())
+            each = [np.frombuffer(self.a.known[u][0], np.int32) if len(u) >= LONG or u[-1].isspace() else next(found) for u in units]
+            a, n_a = np.concatenate(each).astype(np.int64), np.fromiter(map(len, each), np.int64, len(each))
         second = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
         for i, u in enumerate(units):
-            if u == " ":
-                second[i] = [self.space]
-            elif u[0] != " ":  # without the space that is put before texts
+            if u[0] != " ":  # without the space that is put before texts
                 if second[i][0] != self.space:
                     raise ValueError("a unit merged with the space before it")
                 second[i] = second[i][1:]
-        return first, second
-
-    def learn(self, units: Iterable[str]) -> dict[str, tuple]:
-        """What is known of each unit: n_a, n_b, n_groups, n_links, groups as text, and links as packed pairs; None if the bytes differ."""
-        found = {}
-        fresh = []
-        for u in units:
-            if (x := self.known.get(u)) is None:
-                x = self.older.get(u)
-            if x is None:
-                fresh.append(u)
-            else:
-                found[u] = x
-        for at in range(0, len(fresh), CACHE // 2):
-            self._align(fresh[at : at + CACHE // 2], found)
-        if len(self.known) + len(fresh) > CACHE:
+            elif len(u) == 1:
+                second[i] = [self.space]
+        n_b = np.fromiter(map(len, second), np.int64, len(units))
+        return a, n_a, np.fromiter(chain.from_iterable(second), np.int64, int(n_b.sum())), n_b
+
+    def learn(self, units: dict[str, int]) -> list[tuple]:
+        """What is known of each unit: n_a, n_b, n_groups, n_links, groups as text, and links as packed pairs; n_a is None if the bytes differ."""
+        found = list(map(self.known.get, units))
+        gaps = [i for i, x in enumerate(found) if x is None]
+        if not gaps:
+            return found
+        names = list(units)
+        for i in gaps:
+            found[i] = self.older.get(names[i])
+        gaps = [i for i in gaps if found[i] is None]
+        for at in range(0, len(gaps), CACHE // 2):
+            part = gaps[at : at + CACHE // 2]
+            for i, x in zip(part, self._align([names[i] for i in part]), strict=True):
+                found[i] = x
+        if len(self.known) + len(units) > CACHE:
             self.older, self.known = self.known, {}
-        self.known.update((u, found[u]) for u in fresh[:CACHE])
+        self.known.update((names[i], found[i]) for i in range(min(len(names), CACHE)))
         return found
 
-    def _align(self, fresh: list[str], found: dict[str, tuple]) -> None:
-        a_ids, b_ids = self.encode_units(fresh)
-        raw = [u.encode() for u in fresh]
-        flat = np.fromiter((i for ids in b_ids for i in ids), np.int64)
-        sizes = self.b_lengths[flat]
-        of = np.repeat(np.arange(len(fresh)), [len(x) for x in b_ids])
-        letters = self.b_letters[_spread(self.b_starts[flat], sizes)]
-        lengths = np.array([len(x) for x in raw])
-        same = np.bincount(of, sizes, len(fresh)) == lengths
-        if not same.all() or not np.array_equal(letters, np.frombuffer(b"".join(raw), np.uint8)):
-            ends = np.cumsum(np.bincount(of, sizes, len(fresh)).astype(np.int64)).tolist()
-            begins = [0, *ends[:-1]]
-            same = np.array([letters[s:e].tobytes() == r for s, e, r in zip(begins, ends, raw, strict=True)])
-            found.update((fresh[i], (None, 0, 0, 0, "", b"")) for i in np.flatnonzero(~same).tolist())
-            keep = np.flatnonzero(same).tolist()
-            fresh, a_ids, b_ids = [fresh[i] for i in keep], [a_ids[i] for i in keep], [b_ids[i] for i in keep]
-        if not fresh:
-            return
-        a = np.concatenate(a_ids).astype(np.int64)
-        b = np.fromiter((i for ids in b_ids for i in ids), np.int64)
-        runs = np.array(list(diagonal_groups(np.cumsum(self.a.lengths[a]).tolist(), np.cumsum(self.b_lengths[b]).tolist())), np.int64)
+    def _align(self, fresh: list[str]) -> list[tuple]:
+        a, n_a, b, n_b = self.encode_units(fresh)
+        raw = list(map(str.encode, fresh))
+        sizes = self.b_lengths[b]
+        letters = self.b_letters[_spread(self.b_starts[b], sizes)]
+        if not np.array_equal(letters, np.frombuffer(b"".join(raw), np.uint8)) or not np.array_equal(np.cumsum(sizes)[np.cumsum(n_b) - 1], np.cumsum(list(map(len, raw)))):
+            ends = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(n_b)))].tolist()
+            same = [letters[s:e].tobytes() == r for s, e, r in zip(ends, ends[1:], raw, strict=False)]
+            good = iter(self._align([u for u, x in zip(fresh, same, strict=True) if x]) if any(same) else ())
+            return [next(good) if x else (None, 0, 0, 0, "", b"") for x in same]
+        runs = np.array(list(diagonal_groups(np.cumsum(self.a.lengths[a]).tolist(), np.cumsum(sizes).tolist())), np.int64)
         i, j, m, n = runs.T
         even = m == n
         times = np.where(even, m, 1)
@@ -172,20 +183,18 @@ class Aligner:
         links = a_size * b_size
         at = _spread(np.zeros_like(links), links)
         wide = np.repeat(b_size, links)
-        pairs = a[np.repeat(a_from, links) + at // wide] * self.n_b + b[np.repeat(b_from, links) + at % wide]
+        pairs = (a[np.repeat(a_from, links) + at // wide] * self.n_b + b[np.repeat(b_from, links) + at % wide]).tobytes()
         # Units begin and end with groups.
-        a_ends = np.cumsum([len(x) for x in a_ids])
-        g_ends = np.searchsorted(a_from, a_ends)
-        l_ends = np.concatenate(([0], np.cumsum(links)))[g_ends].tolist()
-        names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        g_ends = np.searchsorted(a_from, np.cumsum(n_a))
+        l_ends = np.concatenate(([0], np.cumsum(links)))[g_ends]
+        names_a, names_b = list(map(self.decimal.__getitem__, a.tolist())), list(map(self.decimal.__getitem__, b.tolist()))
         words = [
-            f"{names_a[s]}|{names_b[t]}" if k == 1 == o else ",".join(names_a[s : s + k]) + "|" + ",".join(names_b[t : t + o])
+            f"{names_a[s]}|{names_b[t]}" if k == 1 == o else f"{','.join(names_a[s : s + k])}|{','.join(names_b[t : t + o])}"
             for s, t, k, o in zip(a_from.tolist(), b_from.tolist(), a_size.tolist(), b_size.tolist(), strict=True)
         ]
-        g = p = 0
-        for u, x, y, g_end, l_end in zip(fresh, a_ids, b_ids, g_ends.tolist(), l_ends, strict=True):
-            found[u] = len(x), len(y), g_end - g, l_end - p, ";".join(words[g:g_end]), pairs[p:l_end].tobytes()
-            g, p = g_end, l_end
+        n_g, n_l = np.diff(g_ends, prepend=0), np.diff(l_ends, prepend=0)
+        counts = zip(n_a.tolist(), n_b.tolist(), n_g.tolist(), n_l.tolist(), g_ends.tolist(), l_ends.tolist(), strict=True)
+        return [(x, y, g, k, ";".join(words[g_end - g : g_end]), pairs[8 * (l_end - k) : 8 * l_end]) for x, y, g, k, g_end, l_end in counts]
 
     def align(self, texts: list[str]) -> Aligned:
         return Aligned(self, texts)
@@ -195,15 +204,13 @@ class Aligned:
     """A chunk of texts: ``counts`` by name, ``ok`` (texts that have tokens), and distinct units with their places."""
 
     def __init__(self, aligner: Aligner, texts: list[str]):
-        split = [aligner.into_units(t) for t in texts]
-        units = dict.fromkeys(u for x in split for u in x)
-        found = aligner.learn(units)
-        for at, u in enumerate(units):
-            units[u] = at
-        known = [found[u] for u in units]
-        sizes = np.array([len(x) for x in split], np.int64)
+        split = list(map(aligner.into_units, texts))
+        units = dict.fromkeys(chain.from_iterable(split))
+        known = aligner.learn(units)
+        units = dict(zip(units, range(len(units)), strict=True))
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
         self.of = np.repeat(np.arange(len(texts)), sizes)
-        self.unit = np.fromiter((units[u] for x in split for u in x), np.int64, int(sizes.sum()))
+        self.unit = np.fromiter(map(units.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
         bad = np.array([x[0] is None for x in known], bool)
         self.ok = (sizes > 0) & (np.bincount(self.of, bad[self.unit], len(texts)) == 0) if len(known) else sizes > 0
         self.known, self.sizes, self.n = known, sizes, len(texts)
