@@ -17,7 +17,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
 from factline.functions.text import fold_text, occurrences
-from factline.operators.relational import drop_contained, phrase_match, pick_first
+from factline.operators.relational import disjunctive_join, drop_contained, phrase_match, pick_first
 
 ID = "evidence_id"
 #: A code such as AB-12 between characters that aren't letters or digits; overlapping ones are all found.
@@ -67,11 +67,91 @@ def alias_table(entities: DataFrame, reviewed: DataFrame | None = None, code: st
     return found.where("code = __last").select("code", "alias", "cased_alias", "kind")
 
 
+def region_aliases(regions: DataFrame, code: str = "code", region: str = "region_code", name: str = "name") -> DataFrame:
+    """Names and codes of regions as aliases (code, alias, cased_alias, kind) of their countries; one that means several countries is left out, of equal ones the first region's stays."""
+    each = F.inline(F.array(F.struct(F.col(name).alias("text"), F.lit("phrase").alias("kind")), F.struct(F.col(region).alias("text"), F.lit("exact_code").alias("kind"))))
+    rows = regions.select(F.col(code).alias("code"), F.col(region).alias("__region"), F.col(name).alias("__name"), each).where("code IS NOT NULL AND TRIM(text) <> ''")
+    texts = rows.select("text").distinct().select("text", fold_text(F.col("text")).alias("alias"), cased_text(F.col("text")).alias("cased_alias"))
+    found = rows.join(texts, "text").where("alias <> ''").groupBy("alias", "kind").agg(F.min("code").alias("code"), F.max("code").alias("__last"), F.min_by("cased_alias", F.struct("code", "__region", "__name")).alias("cased_alias"))
+    return found.where("code = __last").select("code", "alias", "cased_alias", "kind")
+
+
+def group_aliases(groups: DataFrame) -> DataFrame:
+    """Aliases (group_code, alias, cased_alias, is_code) that mean one group, of rows (group_code, alias); codes are 2 to 8 capitals and digits."""
+    rows = groups.where("group_code IS NOT NULL AND TRIM(alias) <> ''").select("group_code", F.col("alias").alias("text")).distinct()
+    rows = rows.select("group_code", fold_text(F.col("text")).alias("alias"), cased_text(F.col("text")).alias("cased_alias"), F.col("text").rlike("^[A-Z0-9]{2,8}$").alias("is_code"))
+    found = rows.where("alias <> ''").groupBy("alias").agg(F.min("group_code").alias("group_code"), F.max("group_code").alias("__last"), F.min_by("cased_alias", F.struct("group_code", "cased_alias")).alias("cased_alias"), F.max("is_code").alias("is_code"))
+    return found.where("group_code = __last").select("group_code", "alias", "cased_alias", "is_code")
+
+
 def prepare_texts(evidence: DataFrame, raw: str = "raw_value", path: str = "path") -> DataFrame:
-    """``evidence`` with ``folded`` and ``cased`` text (null as empty) and ``object``, the path without the field of an address or a name at its end."""
-    text = F.coalesce(F.col(raw), F.lit(""))
+    """``evidence`` with ``folded``, ``written`` and ``cased`` text (null as empty) and ``object``, the path without the field of an address or a name at its end.
+
+    ``written`` has the words of ``folded``, before their case is folded. Only distinct texts are folded.
+    """
+    rows = evidence.withColumn("__text", F.coalesce(F.col(raw), F.lit("")))
+    texts = rows.select("__text").distinct()
+    words = F.trim(F.regexp_replace(_decomposed(F.col("__text")), r"[^\p{L}\p{N}]+", " "))
+    texts = texts.select("__text", fold_text(F.col("__text")).alias("folded"), words.alias("written"), cased_text(F.col("__text")).alias("cased"))
     parent = F.regexp_replace(F.lower(F.coalesce(F.col(path), F.lit(""))), _FIELD, "")
-    return evidence.withColumns({"folded": fold_text(text), "cased": cased_text(text), "object": parent})
+    return rows.join(texts, "__text").drop("__text").withColumn("object", parent)
+
+
+#: Roles that tell of a place; of these the ones that restrict if they are their own source; and platforms whose places restrict.
+LOCATION_ROLES = ("JOB_LOCATION", "PLATFORM_JOB_LOCATION", "BAMBOOHR_CAREERS_LIST", "BREEZY_META", "GREENHOUSE_REMIX", "JAZZHR_VISIBLE_HTML", "JOBVITE_PRELOADED_DATA", "NEXTJS", "PERSONIO_VISIBLE_HTML", "SMARTRECRUITERS_MICRODATA", "WORKABLE_WIDGET")
+PLATFORM_ROLES = LOCATION_ROLES[2:]
+PLATFORMS = ("ashby", "bamboohr", "breezy", "greenhouse", "jazzhr", "jobvite", "lever", "personio", "rippling", "smartrecruiters", "workable")
+REMOTE_PLATFORMS = ("lever", "workday")
+
+
+def flag_roles(evidence: DataFrame) -> DataFrame:
+    """``evidence`` with location_role (it tells of a place) and restricting (that place limits who may apply); null if nothing is known counts as not.
+
+    Needs role, source_system, platform, scope (of the subject), remote_scope and can_restrict.
+    """
+    platform = F.lower(F.coalesce("platform", F.lit("")))
+    place = F.col("role") == "JOB_LOCATION"
+    reviewed = ((F.col("role") == "PLATFORM_JOB_LOCATION") & platform.isin(*PLATFORMS)) | ((F.col("role") == F.col("source_system")) & F.col("role").isin(*PLATFORM_ROLES))
+    remote = place & F.col("remote_scope").isin("REMOTE", "HYBRID") & platform.isin(*REMOTE_PLATFORMS)
+    limits = (place & (F.col("remote_scope") == "ONSITE")) | (F.coalesce("can_restrict", F.lit(False)) & (F.coalesce(reviewed, F.lit(False)) | remote))
+    sure = lambda c: F.coalesce(c, F.lit(False))
+    return evidence.withColumns({"location_role": sure(F.col("role").isin(*LOCATION_ROLES)), "restricting": sure(~F.col("scope").isin("GLOBAL", "GLOBAL_EXCEPT") & limits)})
+
+
+#: What a whole text is looked up as, and the source that a match by it has.
+ATOMIC = {"COUNTRY": "ATOMIC_COUNTRY_ALIAS", "GROUP": "ATOMIC_COUNTRY_GROUP_ALIAS", "REVIEWED": "REVIEWED_LOCATION_COUNTRY_ALIAS", "GLOBAL": "REVIEWED_GLOBAL_LOCATION_ALIAS"}
+
+
+def atomic_aliases(aliases: DataFrame, groups: DataFrame, reviewed: DataFrame, worldwide: DataFrame) -> DataFrame:
+    """One table (target, alias, code, group_code, platform) of all that a whole text may mean.
+
+    ``reviewed`` has code, alias and platform (null: any), ``worldwide`` alias and platform; their aliases are folded here, blank ones and places of the world without a platform are none.
+    """
+    null = F.lit(None).cast("string")
+    folded = fold_text(F.col("alias")).alias("alias")
+    platform = F.nullif(F.lower(F.trim("platform")), F.lit("")).alias("platform")
+    of = lambda target: F.lit(target).alias("target")
+    own = aliases.select(of("COUNTRY"), "alias", "code", null.alias("group_code"), null.alias("platform"))
+    own = own.unionByName(groups.select(of("GROUP"), "alias", null.alias("code"), "group_code", null.alias("platform")))
+    own = own.unionByName(reviewed.select(of("REVIEWED"), folded, "code", null.alias("group_code"), platform))
+    own = own.unionByName(worldwide.select(of("GLOBAL"), folded, null.alias("code"), null.alias("group_code"), platform).where("platform IS NOT NULL"))
+    return own.where("alias <> ''").distinct()
+
+
+def atomic_match(evidence: DataFrame, known: DataFrame) -> DataFrame:
+    """What whole texts mean (evidence_id, target, alias, code, group_code, match_source), by one join on (target, text).
+
+    A text is looked up as a country or a group if ``mode`` or ``group_mode`` is ATOMIC, as a reviewed place if it is restricting, and as a place
+    of the whole world always; aliases of a platform hold there only. Evidence of the whole world has no other match.
+    """
+    ask = lambda when, target: F.when(when, F.lit(target))
+    asked = F.array_compact(F.array(ask(F.col("mode") == "ATOMIC", "COUNTRY"), ask(F.col("group_mode") == "ATOMIC", "GROUP"), ask(F.col("restricting"), "REVIEWED"), F.lit("GLOBAL")))
+    rows = evidence.where("folded <> ''").select(ID, F.col("folded").alias("alias"), F.lower(F.coalesce("platform", F.lit(""))).alias("__platform"), F.explode(asked).alias("target"))
+    met = rows.join(known, ["target", "alias"]).where(F.col("platform").isNull() | (F.col("platform") == F.col("__platform")))
+    source = F.create_map(*(F.lit(x) for kv in ATOMIC.items() for x in kv))[F.col("target")]
+    each = met.groupBy(ID).agg(F.collect_set(F.struct("target", "alias", "code", "group_code", source.alias("match_source"))).alias("__m"))
+    world = F.exists("__m", lambda m: m["target"] == "GLOBAL")
+    return each.select(ID, F.inline(F.filter("__m", lambda m: (m["target"] == "GLOBAL") | ~world)))
 
 
 #: What each role says of places (direction, how codes and groups are matched), and whether a global scope and ``can_restrict`` bear on it.
@@ -137,13 +217,29 @@ def accept_subdivisions(found: DataFrame, countries: DataFrame) -> DataFrame:
     return drop_contained(found, [ID], "alias", "code").join(context, key).where(certain).drop("__parent", "__holds")
 
 
+def _places(words: Column, phrase: Column) -> Column:
+    """Where a phrase's words begin among others, from 1."""
+    n = F.size(phrase)
+    at = F.filter(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.slice(words, i, n) == phrase)
+    return F.when(n <= F.size(words), at).otherwise(F.array().cast("array<int>"))
+
+
 def unexplained(countries: DataFrame, subdivisions: DataFrame) -> DataFrame:
-    """Country matches that also stand alone: more often than within names of other countries' regions."""
-    regions = subdivisions.select(ID, F.col("code").alias("__code"), F.col("alias").alias("__alias"), F.col("n_matches").alias("__n"))
+    """Country matches with a mention that lies within no name of another country's region.
+
+    Mentions and names are places among the words of ``folded``; a region's place counts if its words in ``written`` are those of ``cased_alias``.
+    """
+    words = lambda c: F.split(F.col(c), " ")
+    n = F.size(words("alias"))
+    as_written = lambda i: F.trim(F.regexp_replace(F.array_join(F.slice(words("written"), i, n), " "), "[^A-Za-z0-9]+", " ")) == F.col("cased_alias")
+    spans = F.transform(F.filter(_places(words("folded"), words("alias")), as_written), lambda i: F.struct(i.alias("begin"), (i + n).alias("end")))
+    regions = subdivisions.select(ID, F.col("code").alias("__code"), F.col("alias").alias("__alias"), spans.alias("__spans"))
     key = [ID, "code", "alias"]
     pairs = countries.select(*key).distinct().join(regions, ID).where((F.col("__code") != F.col("code")) & _within(F.col("__alias"), F.col("alias")))
-    inside = pairs.groupBy(*key).agg(F.sum("__n").alias("__inside"))
-    return drop_contained(countries, [ID], "alias", "code").join(inside, key, "left").where(F.coalesce("__inside", F.lit(0)) < F.col("n_matches")).drop("__inside")
+    inside = pairs.groupBy(*key).agg(F.flatten(F.collect_set("__spans")).alias("__inside"))
+    rest = drop_contained(countries, [ID], "alias", "code").join(inside, key, "left")
+    covered = lambda i: F.exists("__inside", lambda s: (s["begin"] <= i) & (i + n <= s["end"]))
+    return rest.where(F.col("__inside").isNull() | F.exists(_places(words("folded"), words("alias")), lambda i: ~covered(i))).drop("__inside")
 
 
 def structured_context(evidence: DataFrame, aliases: DataFrame, roles: tuple[str, ...], suffix: str = ".addresscountry") -> DataFrame:
@@ -171,13 +267,13 @@ def context_conflicts(candidates: DataFrame, conflicting: DataFrame, context: Da
     """
     kinds = conflicting.groupBy("code", "alias").agg(F.min("location_only").alias("location_only"))
     doubtful = candidates.join(kinds, ["code", "alias"]).where(~F.col("location_only") | F.col("location_role"))
-    c = context.select(F.col("subject").alias("__subject"), F.col("code").alias("__code"), F.col("object").alias("__object"))
-    supported = (F.col("subject") == F.col("__subject")) & (F.col("code") == F.col("__code")) & ((F.col("mode") == "TEXT") | (F.col("object") == F.col("__object")))
-    return doubtful.join(c, supported, "left_anti").select(ID, "code", "alias").distinct()
+    c = context.select(F.col("subject").alias("__subject"), F.col("code").alias("__code"), F.col("object").alias("__object")).distinct()
+    same = [("subject", "__subject"), ("code", "__code")]
+    return disjunctive_join(doubtful, c, [(same, F.col("mode") == "TEXT"), ([*same, ("object", "__object")], None)], "left_anti").select(ID, "code", "alias").distinct()
 
 
 def group_text_match(evidence: DataFrame, groups: DataFrame) -> DataFrame:
-    """Groups named in a text: phrases folded, codes as written. Groups have group_code, alias, cased_alias, is_code."""
+    """Groups named in a text: phrases folded, codes as written. Groups are those of :func:`group_aliases`."""
     cols = [*evidence.columns, "group_code"]
     phrases = phrase_match(evidence, "folded", groups.where("NOT is_code"), "alias", ID).select(*cols)
     return phrases.unionByName(phrase_match(evidence, "cased", groups.where("is_code"), "cased_alias", ID).select(*cols)).distinct()

@@ -104,6 +104,24 @@ def scoped_match(evidence: DataFrame, aliases: DataFrame, text: str, scope: str)
     return evidence.join(renamed, text).where(F.col("__scope").isNull() | (F.col("__scope") == F.col(scope))).drop("__scope")
 
 
+def disjunctive_join(left: DataFrame, right: DataFrame, branches: list[tuple[list[tuple[str, str]], Column | None]], how: str = "inner") -> DataFrame:
+    """Pairs that meet any of ``branches``, each pair once; or, for left_semi and left_anti, rows of ``left`` with or without such a pair.
+
+    A branch has pairs of columns that must be equal, and a further condition or none; the sides' column names must differ.
+    Each branch is a join by equality of its own that leaves out what earlier branches met, so there is neither a nested loop nor a
+    final distinct, and repeated rows stay. A condition that is null isn't met.
+    """
+    met = [reduce(lambda a, b: a & b, [F.col(a) == F.col(b) for a, b in equal], F.lit(True) if more is None else more) for equal, more in branches]
+    if how == "inner":
+        none = lambda k: [~F.coalesce(m, F.lit(False)) for m in met[:k]]
+        return reduce(DataFrame.unionByName, [left.join(right, reduce(lambda a, b: a & b, none(k), on)) for k, on in enumerate(met)])
+    rest, parts = left, []
+    for on in met:
+        parts.append(rest.join(right, on, "left_semi"))
+        rest = rest.join(right, on, "left_anti")
+    return reduce(DataFrame.unionByName, parts) if how == "left_semi" else rest
+
+
 def diff_tables(left: DataFrame, right: DataFrame, key: list[str], cols: list[str]) -> DataFrame:
     """Keys whose ``cols`` differ between two tables, or that one lacks; both must be unique by key."""
     a, b = left.select(*key, F.struct(*cols).alias("left")), right.select(*key, F.struct(*cols).alias("right"))

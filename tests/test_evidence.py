@@ -1,20 +1,25 @@
 """Golden cases of evidence resolution and current facts."""
 
-from factline.operators import evidence, facts
+from collections import Counter
 
-EVIDENCE = "evidence_id string, raw_value string, folded string, cased string, restricting boolean"
+from pyspark.sql import functions as F
+
+from factline.operators import evidence, facts, relational
+from factline.plans import eligibility, regions
+
+EVIDENCE = "evidence_id string, raw_value string, folded string, cased string, restricting boolean, written string"
 MATCH = "evidence_id string, code string, alias string, kind string, n_matches long"
 
 
 def place(i, text, restricting=True):
     cased = " ".join(text.replace(",", " ").replace("-", " ").split())
-    return i, text, cased.lower(), cased, restricting
+    return i, text, cased.lower(), cased, restricting, cased
 
 
 def test_regions_and_the_countries_inside_their_names(spark):
     rows = spark.createDataFrame([place("a", "Remote, New Jersey"), place("b", "Jersey and New Jersey"), place("c", "Office x-US-NJ"), place("d", "New Jersey", False), place("e", None or "")], EVIDENCE)
     regions = spark.createDataFrame([("US", "new jersey", "New Jersey", "phrase"), ("US", "us nj", "US NJ", "exact_code")], "code string, alias string, cased_alias string, kind string")
-    countries = spark.createDataFrame([("a", "JE", "jersey", "phrase", 1), ("b", "JE", "jersey", "phrase", 2)], MATCH)
+    countries = spark.createDataFrame([("a", "JE", "jersey", "phrase", 1), ("b", "JE", "jersey", "phrase", 2)], MATCH).join(rows, "evidence_id")
     found = evidence.subdivision_match(rows, regions)
     assert sorted((r.evidence_id, r.kind) for r in found.collect()) == [("a", "phrase"), ("b", "phrase"), ("c", "exact_code"), ("d", "phrase")]
     accepted = evidence.accept_subdivisions(found, countries)
@@ -22,6 +27,52 @@ def test_regions_and_the_countries_inside_their_names(spark):
     assert [r.evidence_id for r in evidence.unexplained(countries, accepted).collect()] == ["b"]
 
 
+def test_mentions_are_places_in_the_text(spark):
+    """Regions of two countries over one mention don't explain another, only names as written do, and a mention in part of a name is lone."""
+    cases = {
+        "both": ("Jersey, New Jersey City", True),  # two names cover the second mention
+        "lower": ("new jersey and New Jersey", True),  # the first isn't the region's name as written
+        "inside": ("New Jersey City", False),
+        "twice": ("New Jersey, New Jersey", False),
+        "beside": ("New Jersey Jersey", True),
+        "accents": ("Côte-Jersey New Jersey", True),
+    }
+    rows = evidence.prepare_texts(spark.createDataFrame([(k, v[0], None) for k, v in cases.items()], "evidence_id string, raw_value string, path string"))
+    regions = spark.createDataFrame([("US", "new jersey", "New Jersey", "phrase"), ("AU", "new jersey city", "New Jersey City", "phrase")], "code string, alias string, cased_alias string, kind string")
+    found = rows.crossJoin(regions).where("contains(concat(' ', cased, ' '), concat(' ', cased_alias, ' '))")
+    countries = rows.selectExpr("*", "'JE' AS code", "'jersey' AS alias", "'phrase' AS kind", "1 AS n_matches")
+    assert {r.evidence_id for r in evidence.unexplained(countries, found).collect()} == {k for k, v in cases.items() if v[1]}
+
+
+def test_disjunctive_join(spark):
+    left = spark.createDataFrame([(1, 1, 1), (1, 1, 1), (2, 1, 9), (3, 9, 2), (4, None, 2), (5, 9, 9), (6, None, None)], "id int, a int, b int")
+    right = spark.createDataFrame([(1, 1), (2, 2), (1, 2), (None, 1)], "x int, y int")
+    branches = [([("a", "x")], None), ([("b", "y")], F.col("id") != 3)]
+    met = lambda r, s: (r.a is not None and r.a == s.x) or (r.b is not None and r.b == s.y and r.id != 3)
+    pairs = [(r, s) for r in left.collect() for s in right.collect() if met(r, s)]
+    assert Counter(map(tuple, relational.disjunctive_join(left, right, branches).collect())) == Counter((*r, *s) for r, s in pairs)
+    with_any = Counter(tuple(r) for r in left.collect() if any(met(r, s) for s in right.collect()))
+    assert Counter(map(tuple, relational.disjunctive_join(left, right, branches, "left_semi").collect())) == with_any
+    assert Counter(map(tuple, relational.disjunctive_join(left, right, branches, "left_anti").collect())) == Counter(map(tuple, left.collect())) - with_any
+    assert "NestedLoop" not in relational.disjunctive_join(left, right, branches)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_part_of_the_subjects_gives_the_same(spark):
+    """Resolving changed subjects gives what all give, also where an alias lost trust."""
+    t = lambda name: spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+    raw, places = regions.raw_evidence(t).where("subject % 4 = 1"), regions.places(t)
+    whole = eligibility.resolve(raw, places)
+    rows = lambda df: Counter(str(tuple(r)) for r in df.collect())
+    some = eligibility.resolve(raw.where("subject % 8 = 1"), places, whole.distrusted).evidence
+    columns = ["evidence_id", "direction", "code", "group_code", "match_source"]
+    assert rows(some.select(columns)) == rows(whole.evidence.where("subject % 8 = 1").select(columns))
+    old = raw.where("evidence_id % 9 <> 0")
+    before = eligibility.resolve(old, places)
+    changed = raw.where("evidence_id % 9 = 0").select("subject")
+    now, distrusted = eligibility.refresh(raw, places, changed, evidence.rollup_eligibility(before.evidence, places.members), before.distrusted)
+    assert rows(now) == rows(evidence.rollup_eligibility(whole.evidence, places.members).select(now.columns)) and rows(distrusted.select("code", "alias")) == rows(whole.distrusted.select("code", "alias"))
+
+
 def test_distrusted_aliases_and_conflicts(spark):
     context = spark.createDataFrame([("s1", "JOB_LOCATION", "o", "US"), ("s2", "JOB_LOCATION", "o", "US"), ("s3", "JOB_LOCATION", "o", "GE")], "subject string, role string, object string, code string")
     seen = spark.createDataFrame([(f"e{i}", f"s{i}", "JOB_LOCATION", "o", "GE", "georgia", "TEXT", True) for i in (1, 2, 3)], "evidence_id string, subject string, role string, object string, code string, alias string, mode string, location_role boolean")

@@ -6,7 +6,8 @@ import os
 import duckdb
 import pytest
 
-from factline.plans import scenarios as registry
+import __spark_entry__  # noqa: F401  registers all queries
+from factline.plans import registry
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
