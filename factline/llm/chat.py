@@ -48,9 +48,9 @@ def turns(df: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_c
 
 def _jumps(replies: DataFrame) -> list[DataFrame]:
     """For each k, every reply with its 2^k-th ancestor (``up``, null beyond the root) and the sum of the scores before that one."""
-    known = replies.select(F.col("node").alias("parent"), F.lit(True).alias("known"))
-    own = replies.select("node", "parent", F.coalesce(F.col("score"), F.lit(0.0)).alias("total")).join(known, "parent", "left")
-    jumps = [write_shared(own.select("node", F.when(F.col("known"), F.col("parent")).alias("up"), "total"), "jumps")]
+    known = replies.select(F.col("node").alias("above"), F.lit(True).alias("known"))
+    own = replies.select("node", "parent", F.coalesce("parent", "node").alias("above"), F.coalesce(F.col("score"), F.lit(0.0)).alias("total"))  # roots look for themselves, so that nulls don't meet
+    jumps = [write_shared(own.join(known, "above", "left").select("node", F.when(F.col("known"), F.col("parent")).alias("up"), "total"), "jumps")]
     n = jumps[0].count()
     while jumps[-1].where("up IS NOT NULL").limit(1).count():
         if 1 << (len(jumps) - 1) > n:
@@ -67,9 +67,13 @@ def paths(replies: DataFrame, best: int | None = None) -> DataFrame:
     jumps = _jumps(replies)
     leaves = replies.select("tree", "node").join(replies.select(F.col("parent").alias("node")), "node", "left_anti")
     leaves = leaves.join(jumps[-1].select("node", F.col("total").alias("score")), "node")
-    ranked = leaves.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(F.col("score").desc(), "node")))
-    chosen = ranked if best is None else ranked.where(F.col("rank") <= best)
-    chosen = write_shared(chosen.select(F.col("node").alias("leaf"), "rank", "score"), "branches")
+    if best is None:  # all ranks, so that a tree with many branches isn't in one task
+        placed = write_shared(sums_before(leaves, [F.col("tree").asc_nulls_first(), F.col("score").desc(), F.col("node")], {"at": F.lit(1)}), "leaves")
+        first = placed.groupBy(F.col("tree").alias("of")).agg(F.min("at").alias("first"))
+        chosen = placed.join(first, F.col("tree").eqNullSafe(F.col("of"))).withColumn("rank", F.col("at") - F.col("first") + 1)
+    else:
+        chosen = leaves.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(F.col("score").desc(), "node"))).where(F.col("rank") <= best)
+    chosen = write_shared(chosen.select(F.col("node").alias("leaf"), F.col("rank").cast("int").alias("rank"), "score"), "branches")
     found = chosen.select("leaf", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("distance"))
     for k, jump in enumerate(jumps[:-1]):
         above = found.join(jump.where("up IS NOT NULL").select("node", "up"), "node")
