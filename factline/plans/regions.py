@@ -8,15 +8,15 @@ from factline.operators import evidence, relational
 from factline.plans import eligibility
 from factline.plans.registry import query
 
-_TEXT = """CASE o_orderkey % 12 WHEN 0 THEN n_name WHEN 1 THEN concat('Remote, NEW ', n_name) WHEN 2 THEN concat(n_name, ' or NEW ', n_name) WHEN 3 THEN concat('office x-C', (n_nationkey + 1) % 25, '-R', n_nationkey, ' only')
-    WHEN 4 THEN concat('in new ', lower(n_name)) WHEN 5 THEN r_name WHEN 6 THEN concat('teams in ', r_name, ', R', r_regionkey, ' and r', (r_regionkey + 1) % 5, ' or ', n_name) WHEN 7 THEN concat('Hub  ', n_name) WHEN 8 THEN 'Anywhere!' WHEN 9 THEN concat('NEW ', n_name, ', ', next_name) WHEN 11 THEN concat('c', n_nationkey) END"""
+_TEXT = """CASE o_orderkey % 12 WHEN 0 THEN n_name WHEN 1 THEN concat('Remote, NEW ', shown) WHEN 2 THEN concat(shown, ' or NEW ', shown) WHEN 3 THEN concat('office x-C', (n_nationkey + 1) % 25, '-R', n_nationkey, ' only')
+    WHEN 4 THEN concat('in new ', lower(shown)) WHEN 5 THEN r_name WHEN 6 THEN concat('teams in ', r_name, ', R', r_regionkey, ' and r', (r_regionkey + 1) % 5, ' or ', shown) WHEN 7 THEN concat('Hub  ', n_name) WHEN 8 THEN 'Anywhere!' WHEN 9 THEN concat('NEW ', shown, ', ', next_name) WHEN 11 THEN concat('c', n_nationkey) END"""
 _COLUMNS = f"""o_orderkey AS evidence_id, o_custkey AS subject, {_TEXT} AS raw_value, CASE WHEN o_orderkey % 17 < 6 THEN '$.jobLocation.address.addressCountry' ELSE '$.jobLocation.name' END AS path,
     CASE o_orderkey % 7 WHEN 0 THEN 'JOB_LOCATION' WHEN 1 THEN 'APPLICANT_LOCATION_REQUIREMENTS' WHEN 2 THEN 'NORMALIZED_TEXT' WHEN 3 THEN 'LLM_EXCLUDED_COUNTRY' WHEN 4 THEN 'LLM_INCLUDED_GROUP' WHEN 5 THEN 'PLATFORM_JOB_LOCATION' ELSE 'JOB_LOCATION' END AS role,
     CASE o_orderkey % 5 WHEN 0 THEN 'Lever' WHEN 1 THEN 'other' WHEN 2 THEN 'lever' END AS platform, CASE o_custkey % 3 WHEN 0 THEN 'ONSITE' WHEN 1 THEN 'REMOTE' END AS remote_scope, CASE o_custkey % 13 WHEN 0 THEN 'GLOBAL' WHEN 1 THEN NULL ELSE 'SPECIFIC' END AS scope,
     CASE o_orderkey % 11 WHEN 0 THEN false WHEN 1 THEN NULL ELSE true END AS can_restrict, CASE o_orderkey % 19 WHEN 0 THEN 'location_shaped_remote_label' END AS rule"""
 
 #: The same in SQL, step by step.
-_FLOW = f"""WITH n AS (SELECT n.*, r_name, r_regionkey, m.n_name AS next_name, replace(lower(n.n_name), '_', ' ') AS folded_name, replace(n.n_name, '_', ' ') AS cased_name FROM nation n JOIN region ON n_regionkey = r_regionkey JOIN nation m ON m.n_nationkey = (n.n_nationkey + 1) % 25),
+_FLOW = f"""WITH n AS (SELECT n.*, r_name, r_regionkey, m.n_name AS next_name, CASE WHEN n.n_nationkey % 4 = 2 THEN m.n_name ELSE n.n_name END AS shown, replace(lower(n.n_name), '_', ' ') AS folded_name, replace(n.n_name, '_', ' ') AS cased_name FROM nation n JOIN region ON n_regionkey = r_regionkey JOIN nation m ON m.n_nationkey = (n.n_nationkey + 1) % 25),
     raw AS (SELECT {_COLUMNS} FROM orders JOIN customer ON c_custkey = o_custkey JOIN n ON n_nationkey = c_nationkey),
     a AS (SELECT 'C' || n_nationkey AS code, folded_name AS alias, 'phrase' AS kind FROM n UNION ALL SELECT 'C' || n_nationkey, 'c' || n_nationkey, 'exact_code' FROM n),
     g AS (SELECT 'G' || r_regionkey AS group_code, replace(r_name, '_', ' ') AS text, false AS is_code FROM region UNION ALL SELECT 'GC' || r_regionkey, 'R' || r_regionkey, true FROM region UNION ALL SELECT 'GW', 'Anywhere', false),
@@ -53,7 +53,8 @@ _FLOW = f"""WITH n AS (SELECT n.*, r_name, r_regionkey, m.n_name AS next_name, r
 
 def _nations(t):
     later = t("nation").select(((F.col("n_nationkey") + 24) % 25).alias("n_nationkey"), F.col("n_name").alias("next_name"))
-    return t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).join(later, "n_nationkey")
+    nations = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).join(later, "n_nationkey")
+    return nations.withColumn("shown", F.when(F.col("n_nationkey") % 4 == 2, F.col("next_name")).otherwise(F.col("n_name")))  # some tell of their neighbour, whose name loses trust
 
 
 def places(t) -> eligibility.Places:
@@ -117,6 +118,11 @@ def group_mentions(t):
     return evidence.group_text_match(limited, p.groups).select("evidence_id", "group_code")
 
 
+@query(f"{_FLOW} SELECT code, alias FROM ds")
+def distrusted_names(t):
+    return eligibility.resolve(raw_evidence(t), places(t)).distrusted
+
+
 @query(f"{_FLOW} SELECT evidence_id, code, alias FROM cf")
 def vetoed_matches(t):
     return eligibility.resolve(raw_evidence(t), places(t)).conflicts
