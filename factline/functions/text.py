@@ -45,6 +45,22 @@ def join_values(items: Column, sep: str = ", ") -> Column:
     return F.nullif(F.array_join(F.array_distinct(cleaned), sep), F.lit(""))
 
 
+#: The reason that a status of selection stands for, where none is given, and that of any other status.
+SELECTION_REASONS = {
+    "SELECTED": "NEW_URL_SELECTED",
+    "SKIPPED_KNOWN_URL": "KNOWN_URL_IDENTITY",
+    "SKIPPED_DUPLICATE_URL_IDENTITY": "DUPLICATE_WITHIN_SOURCE_CRAWL",
+    "SKIPPED_SELECTION_LIMIT": "SELECTION_LIMIT_REACHED",
+}
+UNKNOWN_REASON = "UNKNOWN_SELECTION_STATUS"
+
+
+def stated_reason(reason: Column, status: Column, reasons: dict[str, str] = SELECTION_REASONS, unknown: str = UNKNOWN_REASON) -> Column:
+    """A reason in capitals, or else the one that the status stands for; a null or unlisted status has the reason ``unknown``."""
+    known = F.create_map(*(F.lit(x) for kv in reasons.items() for x in kv))
+    return F.coalesce(F.upper(F.trim(reason)), known[F.upper(F.trim(status))], F.lit(unknown))
+
+
 def tag_text(col: Column, taxonomy: dict[str, str]) -> Column:
     """Sorted codes of the patterns that a text matches. A small taxonomy becomes expressions, not a join."""
     tags = [F.when(col.rlike(pattern), F.lit(code)) for code, pattern in sorted(taxonomy.items())]

@@ -36,6 +36,18 @@ def json_fields(df: DataFrame, payload: str, fields: dict[str, tuple[str, str]])
     return parsed.withColumns({name: (scalar(path) if kind == "string" else scalar(path).try_cast(kind)) for name, (path, kind) in fields.items()}).drop("__parsed")
 
 
+def json_state(col: Column, path: str) -> Column:
+    """ABSENT, NULL or VALUE: what a path of JSON text leads to. In null and unreadable text all is absent."""
+    found = F.try_variant_get(F.try_parse_json(col), path, "variant")
+    return F.when(found.isNull(), "ABSENT").when(F.is_variant_null(found), "NULL").otherwise("VALUE")
+
+
+def json_guarded(col: Column, path: str, kind: str, default) -> Column:
+    """A typed field of JSON text: null if it is absent, ``default`` if it is there but null or unreadable as ``kind``."""
+    value = F.try_variant_get(F.try_parse_json(col), path, "string").try_cast(kind)
+    return F.when(json_state(col, path) != "ABSENT", F.coalesce(value, F.lit(default).cast(kind)))
+
+
 def json_array(col: Column, path: str) -> Column:
     """Elements, as JSON text, of an array within JSON text."""
     items = F.try_variant_get(F.try_parse_json(col), path, "array<variant>")

@@ -67,6 +67,53 @@ def bridge_mart(bridge: DataFrame, served: DataFrame, subject: str = "subject",
     return bridge.join(active, subject, "left_semi").withColumn("row_hash", row_hash(*bridge.columns))
 
 
+#: The rule that companies are told apart by, and how many digits of the key's hash name one.
+IDENTITY, DIGITS = "company_source_domain_v1", 32
+
+
+def with_company(rows: DataFrame, name: str = "company_name", domain: str = "source_domain") -> DataFrame:
+    """``rows`` with normalized_company_name, company_identity_source_domain, and, where both are there, company_identity_basis, company_identity_key and company_id.
+
+    Names are lower-cased with runs of white space as one space, domains lower-cased. The key is JSON of the rule, the domain and the name.
+    """
+    folded = F.nullif(F.regexp_replace(F.lower(F.trim(F.col(name))), r"\s+", " "), F.lit(""))
+    place = F.nullif(F.lower(F.trim(F.col(domain))), F.lit(""))
+    key = F.to_json(F.struct(F.lit(IDENTITY).alias("identity_version"), F.col("company_identity_source_domain").alias("source_domain"), F.col("normalized_company_name").alias("company_name")))
+    both = F.col("normalized_company_name").isNotNull() & F.col("company_identity_source_domain").isNotNull()
+    named = rows.withColumns({"normalized_company_name": folded, "company_identity_source_domain": place})
+    keyed = named.withColumns({"company_identity_basis": F.when(both, IDENTITY), "company_identity_key": F.when(both, key)})
+    return keyed.withColumn("company_id", F.concat(F.lit("company_"), F.left(F.sha2("company_identity_key", 256), F.lit(DIGITS))))
+
+
+def companies(serving: DataFrame) -> DataFrame:
+    """One row per company with an active job, from serving rows.
+
+    Name, basis and domain are those of the job observed last (of equal times the greatest job_id); ``written_at`` is the last change of any of the company's rows,
+    deleted ones too, so that a deletion is seen. ``row_hash`` covers all of it.
+    """
+    active = ~F.coalesce("is_deleted", F.lit(False))
+    if_active = lambda c: F.when(active, F.col(c))
+    last = F.max_by(F.struct("company_name", "company_identity_basis", F.col("company_identity_source_domain").alias("source_domain")), F.when(active, F.struct("latest_observed_at", "job_id")))
+    found = serving.where("company_id IS NOT NULL").groupBy("company_id").agg(
+        last.alias("last"),
+        F.count_if(active).alias("open_job_count"),
+        F.min(if_active("source_publication_at")).alias("first_source_publication_at"),
+        F.min(if_active("latest_observed_at")).alias("first_observed_at"),
+        F.max(if_active("latest_observed_at")).alias("latest_observed_at"),
+        F.max(if_active("source_updated_at")).alias("source_updated_at"),
+        F.max("written_at").alias("written_at"),
+    )
+    out = found.where("open_job_count > 0").select("company_id", "last.*", "open_job_count", "first_source_publication_at", "first_observed_at", "latest_observed_at", "source_updated_at", "written_at")
+    return out.withColumn("row_hash", row_hash(*(F.col(c).cast("string").alias(c) for c in out.columns)))
+
+
+def eligibility_mart(bridge: DataFrame, serving: DataFrame, subject: str = "job_id") -> DataFrame:
+    """Codes of each active subject (code, relation) beside its scope and times, with the row's hash."""
+    active = serving.where(~F.coalesce("is_deleted", F.lit(False))).select(subject, "scope", "source_updated_at", "written_at")
+    out = bridge.join(active, subject).select(subject, "code", "relation", "scope", "source_updated_at", "written_at")
+    return out.withColumn("row_hash", row_hash(*(F.col(c).cast("string").alias(c) for c in out.columns)))
+
+
 def facets(subjects: DataFrame, employment: list[str], texts: list[str], taxonomy: dict[str, str], subject: str = "subject") -> DataFrame:
     """(subject, employment_types, search_tags): sorted sets, empty where nothing is found.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from factline.sources.storage import delete_folder, list_files
+from factline.sources.storage import create_file, delete_folder, list_files
 
 
 def _recent_first(order: list[str]) -> list[Column]:
@@ -64,9 +64,9 @@ def changed_rows(new: DataFrame, old: DataFrame, key: list[str], cols: list[str]
 
 
 def suppress(previous: DataFrame, status: DataFrame, key: list[str], deleted="is_deleted", updated="source_updated_at") -> DataFrame:
-    """Tombstones of rows that were served and are no longer publishable: old fields, the later of both update times (null if either is)."""
+    """Tombstones of rows that were served and are no longer publishable: old fields, the later of both update times. A status without a time keeps the row's; a row without one has none."""
     off = status.where(F.col("publication_status") == "NOT_PUBLISHABLE").select(*key, F.col("status_updated_at").alias("__at"))
-    later = F.when(F.col(updated).isNotNull() & F.col("__at").isNotNull(), F.greatest(updated, "__at"))
+    later = F.when(F.col(updated).isNotNull(), F.greatest(updated, F.coalesce("__at", updated)))
     return previous.where(~F.col(deleted)).join(off, key).withColumns({deleted: F.lit(True), updated: later}).drop("__at")
 
 
@@ -123,10 +123,21 @@ def current_parts(spark: SparkSession, path: str) -> list[tuple[int | None, str]
 
 
 def commit_parts(spark: SparkSession, path: str, parts: list[tuple[int | None, str]]) -> None:
-    """Point a table to other parts: a new version next to the old ones, which readers find once it is complete. Of two writers at once the second fails."""
+    """Point a table to other parts: a new version next to the old ones, which readers find once it is complete.
+
+    A version is claimed by a file that only one writer can create, so of two writers at once the second fails. The claim of a writer that
+    was lost before its version was complete must be taken back (:func:`drop_claims`).
+    """
     known = _versions(spark, path)
     number = int(known[-1][2:]) + 1 if known else 0
-    spark.createDataFrame(parts, "bucket int, name string").coalesce(1).write.parquet(f"{path}/_versions/v={number:012d}")
+    if not create_file(spark, f"{path}/_claims/v={number:012d}"):
+        raise ValueError(f"another writer has claimed version {number} of {path}")
+    spark.createDataFrame(parts, "bucket int, name string").coalesce(1).write.mode("overwrite").parquet(f"{path}/_versions/v={number:012d}")
+
+
+def drop_claims(spark: SparkSession, path: str) -> None:
+    """Take back claims of writers that are known to be gone."""
+    delete_folder(spark, f"{path}/_claims")
 
 
 def save_snapshot(df: DataFrame, path: str, protected: bool = False, full_refresh: bool = False) -> str:

@@ -109,15 +109,20 @@ def confirmed_closure(status: Column, previous: Column) -> Column:
     return F.coalesce((status == "CLOSED") | ((status == "TERMINAL") & (previous == "TERMINAL")), F.lit(False))
 
 
+def closure_reason(status: Column, previous: Column) -> Column:
+    """Why a lifecycle is over, null if it isn't: LIFECYCLE_CLOSED, or LIFECYCLE_TERMINAL_CONFIRMED if it was terminal twice in a row."""
+    return F.when(confirmed_closure(status, previous), F.when(status == "CLOSED", "LIFECYCLE_CLOSED").otherwise("LIFECYCLE_TERMINAL_CONFIRMED"))
+
+
 def apply_reviews(rows: DataFrame, reviews: DataFrame, key: str, content: list[tuple[str, Column]], closed: Column, expired: Column, updated: str = "review_updated_at", holds=("pending", "held")) -> DataFrame:
     """``rows`` with review_status, publication_status and the reason of the first rule that decides.
 
-    In order: a rule of ``content`` that fails or is null makes a row NOT_PUBLISHABLE, a confirmed closure CLOSED, then an
+    In order: a rule of ``content`` that fails or is null makes a row NOT_PUBLISHABLE, a confirmed closure (``closed``, its reason or null) CLOSED, then an
     ended validity and a review that holds NOT_PUBLISHABLE; all others are PUBLISHABLE.
     """
     joined = rows.join(latest_reviews(reviews, key, updated).select(key, "review_status"), key, "left")
     steps = [(name, ~F.coalesce(holds_, F.lit(False)), "NOT_PUBLISHABLE") for name, holds_ in content]
-    steps += [("LIFECYCLE_CLOSED", closed, "CLOSED"), ("EXPIRED_VALID_THROUGH", expired, "NOT_PUBLISHABLE"), ("PUBLICATION_REVIEW_HELD", F.col("review_status").isin(*holds), "NOT_PUBLISHABLE")]
+    steps += [(closed, closed.isNotNull(), "CLOSED"), ("EXPIRED_VALID_THROUGH", expired, "NOT_PUBLISHABLE"), ("PUBLICATION_REVIEW_HELD", F.col("review_status").isin(*holds), "NOT_PUBLISHABLE")]
     reason, status = F.lit("PUBLICATION_READY"), F.lit("PUBLISHABLE")
     for name, hit, outcome in reversed(steps):
         reason, status = F.when(F.coalesce(hit, F.lit(False)), name).otherwise(reason), F.when(F.coalesce(hit, F.lit(False)), outcome).otherwise(status)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from factline.operators import evidence, relational
 from factline.plans import eligibility
-from factline.plans.registry import query
+from factline.plans.registry import query, split_columns
 
 _TEXT = """CASE o_orderkey % 12 WHEN 0 THEN n_name WHEN 1 THEN concat('Remote, NEW ', shown) WHEN 2 THEN concat(shown, ' or NEW ', shown) WHEN 3 THEN concat('office x-C', (n_nationkey + 1) % 25, '-R', n_nationkey, ' only')
     WHEN 4 THEN concat('in new ', lower(shown)) WHEN 5 THEN r_name WHEN 6 THEN concat('teams in ', r_name, ', R', r_regionkey, ' and r', (r_regionkey + 1) % 5, ' or ', shown) WHEN 7 THEN concat('Hub  ', n_name) WHEN 8 THEN 'Anywhere!' WHEN 9 THEN concat('NEW ', shown, ', ', next_name) WHEN 11 THEN concat('c', n_nationkey) END"""
@@ -72,19 +72,7 @@ def places(t) -> eligibility.Places:
 
 def raw_evidence(t):
     rows = t("orders").join(t("customer"), F.col("c_custkey") == F.col("o_custkey")).join(_nations(t), F.col("n_nationkey") == F.col("c_nationkey"))
-    return rows.selectExpr(*(x.strip() for x in _split(_COLUMNS))).withColumn("source_system", F.lit(None).cast("string"))
-
-
-def _split(columns: str) -> list[str]:
-    """Column expressions between commas outside parentheses."""
-    out, depth = [""], 0
-    for c in columns:
-        depth += {"(": 1, ")": -1}.get(c, 0)
-        if c == "," and not depth:
-            out.append("")
-        else:
-            out[-1] += c
-    return out
+    return rows.selectExpr(*split_columns(_COLUMNS)).withColumn("source_system", F.lit(None).cast("string"))
 
 
 def _prepared(t):

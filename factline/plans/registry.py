@@ -38,6 +38,18 @@ def real(col, name):
     return F.col(col).cast("double").alias(name)
 
 
+def split_columns(columns: str) -> list[str]:
+    """Column expressions between commas outside parentheses."""
+    out, depth = [""], 0
+    for c in columns:
+        depth += {"(": 1, ")": -1}.get(c, 0)
+        if c == "," and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return [x.strip() for x in out]
+
+
 # Current state
 
 _LATEST = "SELECT event_id, user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS r FROM events WHERE user_id IS NOT NULL) WHERE r = 1"

@@ -189,14 +189,14 @@ _FACTS = "SELECT o_orderkey AS id, ' ' || o_orderpriority || ' ' AS url, CASE o_
 _REVIEWS = "SELECT l_orderkey AS id, l_linenumber AS seen, CASE WHEN l_quantity < 10 THEN 'held' WHEN l_quantity < 20 THEN 'pending' ELSE 'approved' END AS review_status FROM lineitem WHERE l_linenumber < 4"
 _STATUS = f"""WITH f AS ({_FACTS}), r AS (SELECT id, arg_max(review_status, struct_pack(a := seen, b := review_status)) AS review_status FROM ({_REVIEWS}) GROUP BY 1),
     e AS (SELECT f.*, review_status, price > 50000 AS good, coalesce(lifecycle = 'CLOSED' OR lifecycle = 'TERMINAL' AND previous = 'TERMINAL', false) AS closed, until < TIMESTAMP '1994-01-01' AS expired FROM f LEFT JOIN r USING (id)),
-    s AS (SELECT *, CASE WHEN NOT good THEN 'TOO_SMALL' WHEN closed THEN 'LIFECYCLE_CLOSED' WHEN expired THEN 'EXPIRED_VALID_THROUGH' WHEN review_status IN ('pending', 'held') THEN 'PUBLICATION_REVIEW_HELD' ELSE 'PUBLICATION_READY' END AS reason,
+    s AS (SELECT *, CASE WHEN NOT good THEN 'TOO_SMALL' WHEN closed AND lifecycle = 'CLOSED' THEN 'LIFECYCLE_CLOSED' WHEN closed THEN 'LIFECYCLE_TERMINAL_CONFIRMED' WHEN expired THEN 'EXPIRED_VALID_THROUGH' WHEN review_status IN ('pending', 'held') THEN 'PUBLICATION_REVIEW_HELD' ELSE 'PUBLICATION_READY' END AS reason,
     CASE WHEN NOT good THEN 'NOT_PUBLISHABLE' WHEN closed THEN 'CLOSED' WHEN expired OR review_status IN ('pending', 'held') THEN 'NOT_PUBLISHABLE' ELSE 'PUBLISHABLE' END AS publication_status FROM e)"""
 
 
 def _status(t):
     rows = t("orders").selectExpr("o_orderkey AS id", "CONCAT(' ', o_orderpriority, ' ') AS url", "CASE o_orderkey % 3 WHEN 0 THEN CONCAT(' id', o_orderkey) WHEN 1 THEN '  ' END AS identity_url", "CASE o_orderkey % 5 WHEN 0 THEN 'CLOSED' WHEN 1 THEN 'TERMINAL' WHEN 2 THEN 'REACHABLE' END AS lifecycle", "IF(o_orderkey % 2 = 0, 'TERMINAL', 'UNKNOWN') AS previous", "o_totalprice AS price", "o_orderdate AS until", "REPEAT(o_orderpriority, 200) AS snippet")
     reviews = t("lineitem").where("l_linenumber < 4").selectExpr("l_orderkey AS id", "l_linenumber AS seen", "CASE WHEN l_quantity < 10 THEN 'held' WHEN l_quantity < 20 THEN 'pending' ELSE 'approved' END AS review_status")
-    closed = publication.confirmed_closure(F.col("lifecycle"), F.col("previous"))
+    closed = publication.closure_reason(F.col("lifecycle"), F.col("previous"))
     return publication.apply_reviews(rows, reviews, "id", [("TOO_SMALL", F.col("price") > 50000)], closed, F.col("until") < F.lit("1994-01-01").cast("timestamp_ntz"), updated="seen")
 
 

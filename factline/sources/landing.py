@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from factline.sources.storage import list_files
 
@@ -69,13 +71,42 @@ def table_path(root: str, env: str, layer: str, name: str) -> str:
     return f"{root}/{layer}/{name}" if env == "prod" else f"{root}/{env}_{layer}/{name}"
 
 
-def validate_contract(df: DataFrame, contract: dict[str, tuple[str, bool]], fail_on_reject: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) rows of text columns by {name: (type, required)}; blank rows are dropped, errors named in ``_errors``."""
+def read_numbered(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of text files (file, line, text), numbered from 1 in each file.
+
+    A task reads a block of a file, in order: a line's number is that of the block's earlier lines, from the order in which they were read, and of
+    the lines of the file's earlier blocks, a sum over a row for each block. Nothing but blocks' counts is shuffled.
+    """
+    at = F.monotonically_increasing_id().alias("__at")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("__block"), at)
+    blocks = lines.groupBy("file", "__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+    earlier = F.coalesce(F.sum("__n").over(Window.partitionBy("file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = blocks.select("file", "__block", "__first", earlier.alias("__earlier"))
+    return lines.join(starts, ["file", "__block"]).select("file", (F.col("__earlier") + F.col("__at") - F.col("__first") + 1).alias("line"), F.col("value").alias("text"))
+
+
+def read_csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of CSV files whose first line names the columns, as text, with the ``_file`` and ``_line`` they stand in. A value may not hold a line feed; all files must have the same columns, and missing values are null."""
+    lines = read_numbered(spark, path)
+    heads = [r.text for r in lines.where("line = 1").select("text").distinct().limit(2).collect()]
+    if len(heads) != 1:
+        raise ValueError(f"files of {path} have {len(heads) or 'no'} kinds of columns")
+    names = [x.strip() for x in next(csv.reader([heads[0]]))]
+    schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))])
+    rows = lines.where("line > 1").withColumn("__row", F.from_csv("text", schema.simpleString()[7:-1].replace(":", " ")))
+    return rows.select(F.col("file").alias("_file"), F.col("line").alias("_line"), *(F.col(f"__row.c{i}").alias(n) for i, n in enumerate(names) if n))
+
+
+def validate_contract(df: DataFrame, contract: dict[str, tuple[str, bool]], fail_on_reject: bool = True, at: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected) rows of text columns by {name: (type, required)}; blank rows are dropped, errors named in ``_errors``.
+
+    ``at`` are columns that say where a row stands: both results keep them, and a refusal names the first rejected row by them.
+    """
     missing = set(contract) - set(df.columns)
     if missing:
         raise ValueError(f"columns are missing: {sorted(missing)}")
     blank = {c: F.nullif(F.trim(F.col(c)), F.lit("")) for c in contract}
-    rows = df.select(*(v.alias(c) for c, v in blank.items())).dropna("all")
+    rows = df.select(*at, *(v.alias(c) for c, v in blank.items())).dropna("all", subset=list(contract))
     typed, errors = {}, []
     for c, (kind, required) in contract.items():
         text = F.col(c)
@@ -84,8 +115,9 @@ def validate_contract(df: DataFrame, contract: dict[str, tuple[str, bool]], fail
         else:
             typed[c] = text.try_cast(kind)
         errors.append(F.when(text.isNull() & F.lit(required), f"{c} is required").when(text.isNotNull() & typed[c].isNull(), f"{c} is no {kind}"))
-    checked = rows.select(F.array_compact(F.array(*errors)).alias("_errors"), F.struct(*contract).alias("_raw"), *(v.alias(c) for c, v in typed.items()))
-    rejected = checked.where("size(_errors) > 0").select("_errors", "_raw.*")
-    if fail_on_reject and (first := rejected.head(1)):
-        raise ValueError(f"a row breaks its contract: {first[0]['_errors']}")
-    return checked.where("size(_errors) = 0").select(*contract), rejected
+    checked = rows.select(*at, F.array_compact(F.array(*errors)).alias("_errors"), F.struct(*contract).alias("_raw"), *(v.alias(c) for c, v in typed.items()))
+    rejected = checked.where("size(_errors) > 0").select(*at, "_errors", "_raw.*")
+    if fail_on_reject and (first := (rejected.orderBy(*at) if at else rejected).head(1)):
+        place = ", ".join(f"{c} {first[0][c]}" for c in at)
+        raise ValueError(f"a row breaks its contract{' at ' + place if at else ''}: {first[0]['_errors']}")
+    return checked.where("size(_errors) = 0").select(*at, *contract), rejected

@@ -40,6 +40,12 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
 
 
+def create_file(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false if it is there already."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(at)
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

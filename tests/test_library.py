@@ -133,3 +133,39 @@ def test_positions_of_a_large_group_have_no_gap_and_follow_keys(spark):
     null_group = {k: (g, i) for g, ks in groups.items() if g is None for part in (0, 1) for i, k in enumerate([x for x in ks if x % 2 == part], 1)}
     assert got == want | null_group
     assert publication.assign_buckets(rows.limit(0), none, "k", "g").count() == 0
+
+
+def test_lines_are_numbered_over_blocks(spark, tmp_path):
+    """Files of several blocks and tasks, with blank lines, against reading them whole."""
+    files = {}
+    for i in range(4):
+        lines = [f"line {j} " + "x" * (j * 7 % 90) if j % 5 else "" for j in range(200 * i)]
+        (tmp_path / f"f{i}.txt").write_text("".join(x + "\n" for x in lines))
+        files[f"f{i}.txt"] = lines
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        got = {(r.file.rsplit("/", 1)[-1], r.line): r.text for r in landing.read_numbered(spark, f"file://{tmp_path}").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {(f, n): x for f, lines in files.items() for n, x in enumerate(lines, 1)}
+
+
+def test_a_broken_contract_names_file_and_line(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,amount\n1,2\n\n2,"x, y"\n3,many\n')
+    rows = landing.read_csv_lines(spark, f"file://{tmp_path}")
+    contract = {"id": ("int", True), "amount": ("double", False)}
+    with pytest.raises(ValueError, match=r"_file file:.*a.csv, _line 4: \['amount is no double'\]"):
+        landing.validate_contract(rows, contract, at=("_file", "_line"))
+    valid, rejected = landing.validate_contract(rows, contract, fail_on_reject=False, at=("_line",))
+    assert [tuple(r) for r in valid.collect()] == [(2, 1, 2.0)] and {r._line for r in rejected.collect()} == {4, 5}
+    (tmp_path / "b.csv").write_text("id,other\n")
+    with pytest.raises(ValueError, match="kinds of columns"):
+        landing.read_csv_lines(spark, f"file://{tmp_path}")
+
+
+def test_closures_and_job_scopes(spark):
+    rows = [("CLOSED", "UNKNOWN"), ("TERMINAL", "TERMINAL"), ("TERMINAL", "CLOSED"), (None, None), ("CLOSED", None)]
+    got = spark.createDataFrame(rows, "a string, b string").select(publication.closure_reason(F.col("a"), F.col("b"))).collect()
+    assert [r[0] for r in got] == ["LIFECYCLE_CLOSED", "LIFECYCLE_TERMINAL_CONFIRMED", None, None, "LIFECYCLE_CLOSED"]
+    assert incremental.target_ready(spark.range(1), ["id"]) and not incremental.target_ready(spark.range(1), ["id", "x"])
