@@ -176,6 +176,10 @@ class ByteBpe:
             self.known[unit] = packed[4 * begin : 4 * end], ",".join(names[begin:end])
             begin = end
 
+    def forget(self) -> None:
+        """Empty the cache."""
+        self.known, self.older = {}, {}
+
     def into_units(self, text: str) -> list[str]:
         if not text:
             return []
@@ -272,6 +276,7 @@ def encode_checked(df: DataFrame, path: str, keep: list[str], text_col: str = "t
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays([*(c.slice(begin, end - begin) for c in kept), lists, pa.array(ok)], names=names)
                 begin = end
+        own.forget()  # a worker may go on with other work
 
     return df.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("__text")).mapInArrow(run, schema)
 

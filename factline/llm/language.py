@@ -200,9 +200,14 @@ def held_out(id_col: str = "doc_id"):
 
 
 def keep_identified(df: DataFrame, model: Filter, text_col: str = "text", doubtful: float = DOUBTFUL) -> DataFrame:
-    """The rows of ``df`` whose text has a language: not those without a letter, nor those with a score below ``doubtful`` times the median score, over all rows, of the language that fits best."""
-    found = _predicted(model, df, text_col).alias("found")
-    middle = df.select(found).select("found.*").where("lang <> 'und'").groupBy("lang").agg(F.percentile_approx("score", 0.5, 10000).alias("middle")).collect()  # a row for each language
+    """The rows of ``df`` whose text has a language: not those without a letter, nor those with a score below ``doubtful`` times the median score, over all rows, of the language that fits best.
+
+    Texts are scored once, beside two hashes of them alone; rows are read again and meet only the hashes of texts that go.
+    """
+    key = [F.xxhash64(F.lit(i), F.col(text_col).isNull(), F.col(text_col)).alias(f"k{i}") for i in (1, 2)]
+    scored = write_shared(df.select(*key, _predicted(model, df, text_col).alias("found")).select("k1", "k2", "found.*"), "scores")
+    middle = scored.where("lang <> 'und'").groupBy("lang").agg(F.percentile_approx("score", 0.5, 10000).alias("middle")).collect()  # a row for each language
     least = F.create_map(*(F.lit(x) for r in middle for x in (r.lang, doubtful * r.middle))) if middle else F.create_map(F.lit("und"), F.lit(2.0))
-    scored = df.select(F.struct("*").alias("row"), found)
-    return scored.where((F.col("found.lang") != "und") & (F.col("found.score") > 0) & (F.col("found.score") >= least[F.col("found.lang")])).select("row.*")
+    stays = (F.col("lang") != "und") & (F.col("score") > 0) & (F.col("score") >= least[F.col("lang")])
+    gone = scored.where(~F.coalesce(stays, F.lit(False))).select("k1", "k2").distinct()
+    return df.select(F.struct("*").alias("row"), *key).join(gone, ["k1", "k2"], "left_anti").select("row.*")
