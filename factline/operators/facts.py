@@ -38,20 +38,52 @@ def resolve_title(pages: DataFrame, links: DataFrame, priority: list[str], subje
     return subjects.join(best, subject, "left").select(subject, "best.title", "best.title_source")
 
 
-def current_facts(parts: dict[str, DataFrame], subject: str = "subject", observed: str = "observed_at") -> DataFrame:
-    """One row per subject of any part: each part's columns as ``<part>_<column>``, ``has_<part>``, and ``latest_observed_at``.
+def current_facts(parts: dict[str, DataFrame], subject: str = "subject", observed: str = "observed_at", of: tuple[str, ...] = ()) -> DataFrame:
+    """One row per subject of any part, or of the parts named in ``of``: each part's columns as ``<part>_<column>``, ``has_<part>``, and ``latest_observed_at``, the last of the parts' ``observed`` times.
 
     Parts are unique by subject. The subjects are the union of the parts' keys, already dealt by the subject when the
     parts join, so that every join shuffles its own part once and never the wide side. Null subjects are none.
     """
-    keys = reduce(lambda a, b: a.union(b), [df.select(subject) for df in parts.values()]).dropna().distinct()
+    keys = reduce(lambda a, b: a.union(b), [df.select(subject) for name, df in parts.items() if not of or name in of]).dropna().distinct()
     named = [df.select(subject, F.lit(True).alias(f"has_{name}"), *(F.col(c).alias(f"{name}_{c}") for c in df.columns if c != subject)) for name, df in parts.items()]
     wide = reduce(lambda a, b: a.join(b, subject, "left"), named, keys)
-    times = [F.col(f"{name}_{observed}") for name in parts]
+    times = [F.col(f"{name}_{observed}") for name, df in parts.items() if observed in df.columns]
     flags = {f"has_{name}": F.coalesce(f"has_{name}", F.lit(False)) for name in parts}
     return wide.withColumns(flags | {"latest_observed_at": F.greatest(*times) if len(times) > 1 else times[0]})
 
 
+#: The status of an identity that no page has confirmed.
+UNCONFIRMED = "SELECTED_JOB_URL_FALLBACK"
+
+
+def posting_facts(selection: DataFrame, fact: DataFrame, title: DataFrame, page: DataFrame, classification: DataFrame, recheck: DataFrame, eligibility: DataFrame, subject: str = "subject") -> DataFrame:
+    """What is known of each posting that was selected or has facts, from the latest row of each kind.
+
+    All columns of the parts stay, as :func:`current_facts` names them. Beside them: ``url``, ``source_domain`` and ``final_url`` of the part that knows best,
+    ``job_identity_url`` and its status, ``company_name`` and ``location_text`` without blanks, ``publication_at``, attribution, ``snippet``, ``title`` and its source, sets of codes
+    and groups that are empty where there is no evidence, and ``latest_observed_at``, the last of all times. Facts are observed by any of their times.
+    """
+    times = [c for c in ("date_posted_at", "retrieved_at", "extracted_at", "record_updated_at") if c in fact.columns]
+    seen = fact.withColumn("observed_at", F.greatest(*times) if len(times) > 1 else F.col(times[0]))
+    parts = {"selection": selection, "fact": seen, "page": page, "classification": classification, "recheck": recheck, "eligibility": eligibility}
+    rows = current_facts(parts, subject, of=("selection", "fact")).join(title.select(subject, "title", "title_source"), subject, "left")
+    trimmed = lambda c: F.nullif(F.trim(c), F.lit(""))
+    sets = {c: F.coalesce(f"eligibility_{c}", F.array().cast("array<string>")) for c in ("eligible", "excluded", "included_groups", "excluded_groups")}
+    return rows.withColumns(sets | {
+        "url": F.coalesce("fact_url", "selection_url"),
+        "source_domain": F.coalesce("page_source_domain", "fact_source_domain", "selection_source_domain"),
+        "final_url": F.coalesce("page_final_url", "fact_final_url"),
+        "job_identity_url": F.col("page_job_identity_url"),
+        "final_url_identity_status": F.coalesce("page_final_url_identity_status", F.lit(UNCONFIRMED)),
+        "company_name": trimmed("fact_company_name"),
+        "location_text": trimmed("fact_location_text"),
+        "publication_at": F.col("fact_date_posted_at"),
+        "attribution_name": F.col("selection_source_domain"),
+        "attribution_url": F.col("selection_source_url"),
+        "snippet": F.col("selection_link_text"),
+    })
+
+
 def active_groups(rows: DataFrame, group: str, order: list[str], latest: list[str], updated: str, deleted: str = "is_deleted") -> DataFrame:
     """One row per group with an active row: the ``latest`` columns of its last active row, their count, and a watermark that counts deleted rows too."""
     active = ~F.coalesce(F.col(deleted), F.lit(False))

@@ -111,6 +111,11 @@ def reconcile_schema(existing: StructType, desired: StructType) -> StructType:
     return result
 
 
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` with the columns of a reconciled schema, null where it has none."""
+    return df.select(*(F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema))
+
+
 def _versions(spark: SparkSession, path: str) -> list[str]:
     """Committed versions of a table's pointer, oldest first."""
     return [v for v in sorted(x for x in list_files(spark, f"{path}/_versions") if x.startswith("v=")) if "_SUCCESS" in list_files(spark, f"{path}/_versions/{v}")]

@@ -163,3 +163,45 @@ def materialized_twice(t):
     some = t("orders").where("o_custkey % 2 = 0").select("o_orderkey", F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("priority"))
     incremental.materialize(some, "incremental", path, ["o_orderkey"])
     return incremental.materialize(some, "incremental", path, ["o_orderkey"]).select("o_orderkey", real("price", "price"), "priority")
+
+
+@query("SELECT c_custkey AS id, c_name AS name, NULL::VARCHAR AS segment FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, NULL, c_mktsegment FROM customer WHERE c_custkey % 2 = 1")
+def conformed_customers(t):
+    """Two loads of a table, of which the later one has a new column and lacks an old one."""
+    first = t("customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    later = t("customer").where("c_custkey % 2 = 1").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment"))
+    schema = incremental.reconcile_schema(first.schema, later.schema)
+    return incremental.conform(first, schema).unionByName(incremental.conform(later, schema))
+
+
+# Current facts of postings: customers are postings
+
+_LINKED = "CASE WHEN turn % 3 = 0 THEN '' WHEN turn % 3 = 1 THEN concat(' ', left(text, 40), ' ') ELSE repeat('x', 501) END"
+
+
+@query(f"""WITH c AS (SELECT conv_id, turn, text, role FROM conversations), p AS (SELECT conv_id, trim(text, ' ') AS title, 'SYSTEM' AS title_source, 0 AS k, turn, 0 AS place FROM c WHERE role = 'system' AND length(trim(text, ' ')) BETWEEN 1 AND 500),
+    l AS (SELECT conv_id, trim({_LINKED}, ' ') AS title, role AS title_source, 1 AS k, turn, 0 AS place FROM c WHERE turn % 3 = 1), b AS (SELECT * FROM p UNION ALL SELECT * FROM l WHERE length(title) BETWEEN 1 AND 500)
+    SELECT i.conv_id, title, title_source FROM (SELECT DISTINCT conv_id FROM c) i LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY k, turn, title) AS r FROM b) b ON b.conv_id = i.conv_id AND r = 1""")
+def linked_titles(t):
+    rows = t("conversations").select(F.col("conv_id").alias("subject"), "turn", "role", "text")
+    pages = rows.select("subject", "turn", F.array(F.struct(F.col("role").alias("source"), F.col("text").alias("value"))).alias("titles"))
+    links = rows.select("subject", "turn", F.array(F.struct(F.col("role").alias("source"), F.expr(_LINKED).alias("value"))).alias("titles"))
+    return facts.resolve_title(pages, links, ["SYSTEM"], order="turn").withColumnRenamed("subject", "conv_id")
+
+
+@query("""WITH s AS (SELECT o_custkey AS id, max(o_orderkey) AS n, max(o_orderdate) AS at FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1), f AS (SELECT o_custkey AS id, max(o_orderkey) AS n, max(o_orderdate) AS at, min(o_orderdate) AS posted FROM orders WHERE o_orderkey % 5 = 0 GROUP BY 1),
+    p AS (SELECT o_custkey AS id, max(o_orderdate) AS at FROM orders WHERE o_orderkey % 7 = 0 GROUP BY 1), r AS (SELECT o_custkey AS id, max(o_orderdate) AS at FROM orders WHERE o_orderkey % 11 = 0 GROUP BY 1)
+    SELECT c_custkey AS subject, coalesce('fact' || f.n, 'selected' || s.n) AS url, CASE WHEN p.id IS NOT NULL THEN 'page.example' WHEN f.id IS NOT NULL AND f.n % 2 = 0 THEN 'fact.example' WHEN s.id IS NOT NULL THEN 'selected.example' END AS source_domain,
+    CASE WHEN p.id IS NOT NULL AND c_custkey % 2 = 0 THEN 'MATCHED' ELSE 'SELECTED_JOB_URL_FALLBACK' END AS final_url_identity_status, CASE WHEN f.n % 4 > 0 THEN c_name END AS company_name, f.posted AS publication_at, CASE WHEN s.id IS NOT NULL THEN 'selected.example' END AS attribution_name,
+    c_name AS title, CASE WHEN c_custkey % 3 = 0 AND r.id IS NOT NULL THEN ['X'] ELSE [] END AS eligible, s.id IS NOT NULL AS has_selection, f.id IS NOT NULL AS has_fact, p.id IS NOT NULL AS has_page, r.id IS NOT NULL AS has_recheck, greatest(s.at, f.at, p.at, r.at) AS latest_observed_at
+    FROM customer LEFT JOIN s ON s.id = c_custkey LEFT JOIN f ON f.id = c_custkey LEFT JOIN p ON p.id = c_custkey LEFT JOIN r ON r.id = c_custkey WHERE s.id IS NOT NULL OR f.id IS NOT NULL""")
+def current_postings(t):
+    of = lambda n: t("orders").where(F.col("o_orderkey") % n == 0).groupBy(F.col("o_custkey").alias("subject")).agg(F.max("o_orderkey").alias("n"), F.max("o_orderdate").alias("at"), F.min("o_orderdate").alias("posted"))
+    selection = of(3).selectExpr("subject", "CONCAT('selected', n) AS url", "'selected.example' AS source_domain", "CONCAT('list', n) AS source_url", "'text' AS link_text", "at AS observed_at")
+    fact = of(5).join(t("customer").select(F.col("c_custkey").alias("subject"), "c_name"), "subject").selectExpr("subject", "CONCAT('fact', n) AS url", "CONCAT('end', n) AS final_url", "IF(n % 2 = 0, 'fact.example', NULL) AS source_domain", "IF(n % 4 > 0, CONCAT(' ', c_name, ' '), ' ') AS company_name", "'' AS location_text", "posted AS date_posted_at", "at AS retrieved_at")
+    page = of(7).selectExpr("subject", "CONCAT('page', n) AS final_url", "CONCAT('id', n) AS job_identity_url", "IF(subject % 2 = 0, 'MATCHED', NULL) AS final_url_identity_status", "'page.example' AS source_domain", "at AS observed_at")
+    recheck = of(11).select("subject", F.col("at").alias("observed_at"))
+    codes = of(11).where("subject % 3 = 0").selectExpr("subject", "ARRAY('X') AS eligible", *(f"CAST(ARRAY() AS ARRAY<STRING>) AS {c}" for c in ("excluded", "included_groups", "excluded_groups")))
+    title = t("customer").selectExpr("c_custkey AS subject", "c_name AS title", "'NAME' AS title_source")
+    found = facts.posting_facts(selection, fact, title, page, recheck.limit(0), recheck, codes)
+    return found.select("subject", "url", "source_domain", "final_url_identity_status", "company_name", "publication_at", "attribution_name", "title", "eligible", "has_selection", "has_fact", "has_page", "has_recheck", "latest_observed_at")
