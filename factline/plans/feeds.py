@@ -12,6 +12,8 @@ from factline.plans import usage
 from factline.plans.registry import query, real, split_columns
 from factline.sources import landing
 from factline.sources.storage import shared_dir
+from factline.streaming.receipts import received, stream_receipts
+from factline.streaming.upserts import stream_upsert
 
 # Landed files
 
@@ -205,3 +207,39 @@ def current_postings(t):
     title = t("customer").selectExpr("c_custkey AS subject", "c_name AS title", "'NAME' AS title_source")
     found = facts.posting_facts(selection, fact, title, page, recheck.limit(0), recheck, codes)
     return found.select("subject", "url", "source_domain", "final_url_identity_status", "company_name", "publication_at", "attribution_name", "title", "eligible", "has_selection", "has_fact", "has_page", "has_recheck", "latest_observed_at")
+
+
+# Streams over landed rows
+
+def _landings(rows, label: str, parts: int):
+    """A folder, and a function that lands the next part of ``rows`` there."""
+    root = f"{shared_dir(rows.sparkSession)}/{label}-{uuid.uuid4().hex}"
+
+    def land(part: int) -> None:
+        rows.where(F.pmod(F.xxhash64(*rows.columns), F.lit(parts)) == part).write.mode("append").parquet(f"{root}/in")
+
+    return root, land
+
+
+@query("SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS r FROM events WHERE user_id IS NOT NULL) WHERE r = 1")
+def streamed_latest_events(t):
+    """The newest event of each user, kept by a stream over three landings, of which the first is landed again at the end."""
+    rows = t("events").select("event_id", "ts", "user_id", "event_type")
+    root, land = _landings(rows, "events", 3)
+    for part in (0, 1, 2, 0):
+        land(part)
+        source = rows.sparkSession.readStream.schema(rows.schema).parquet(f"{root}/in")
+        stream_upsert(source, f"{root}/table", f"{root}/checkpoint", ["user_id"], ["ts", "event_id"], part_rows=100_000).awaitTermination()
+    return incremental.load_snapshot(rows.sparkSession, f"{root}/table").select("event_id", "user_id", "event_type")
+
+
+@query("SELECT l_orderkey AS publication_id, max(l_shipdate) AS received_at, arg_max(l_returnflag, struct_pack(a := l_shipdate, b := l_returnflag)) AS status FROM lineitem GROUP BY 1")
+def streamed_receipts(t):
+    """The latest receipt of each publication, kept by a stream over two landings in no order."""
+    rows = t("lineitem").select(F.col("l_orderkey").alias("publication_id"), F.col("l_returnflag").alias("status"), F.col("l_shipdate").cast("timestamp").alias("received_at"))
+    root, land = _landings(rows, "receipts", 2)
+    for part in (0, 1):
+        land(part)
+        source = rows.sparkSession.readStream.schema(rows.schema).parquet(f"{root}/in")
+        stream_receipts(source, f"{root}/table", f"{root}/checkpoint", "10000 days", "1000 days").awaitTermination()
+    return received(rows.sparkSession, f"{root}/table").select("publication_id", F.col("received_at").cast("timestamp_ntz").alias("received_at"), "status")
