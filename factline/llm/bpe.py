@@ -39,6 +39,8 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructType
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Units in each half of a worker's cache, characters of texts that are cut at once, and most bytes of a fragment that is merged with others.
 CACHE, _PIECE, _LONG = 1 << 17, 1 << 20, 64
+#: The same where ids are kept beside their texts.
+_CHECKED = 1 << 18
 #: White space other than single spaces and line feeds, or the sign that cuts are marked with.
 _ODD = re.compile(r"[^\S \n]|[ \n][ \n]|\x01|\x85")
 
@@ -198,7 +200,7 @@ class ByteBpe:
             at = hit.end()
         return out + self.into_units(text[at:] if at else text)
 
-    def encode_all(self, texts) -> Iterator[tuple[np.ndarray, str]]:
+    def encode_all(self, texts, piece: int = _PIECE) -> Iterator[tuple[np.ndarray, str]]:
         """Ids of each text, and the same in decimal, joined by commas."""
         held: list = []
         size = 0
@@ -207,7 +209,7 @@ class ByteBpe:
                 parts = self.parts(text)
                 held.append((parts, list(map(self.known.get, parts))))
                 size += len(text)
-            if text is None or size > _PIECE:
+            if text is None or size > piece:
                 self.learn({u for parts, found in held if None in found for u, f in zip(parts, found, strict=True) if f is None and type(u) is str})
                 for parts, found in held:
                     if None in found:
@@ -253,7 +255,7 @@ def decode_ids(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "
 def encode_checked(df: DataFrame, path: str, keep: list[str], text_col: str = "text", ids_col: str = "ids", ok_col: str = "round_trip") -> DataFrame:
     """Columns ``keep`` of ``df``, the ids of each text, and whether they decode to it, from one encoding; these replace kept ones of their names.
 
-    A task holds the ids of about ``_PIECE`` characters at once, however many rows a batch has.
+    A task holds the ids of about ``_CHECKED`` characters at once, however many rows a batch has.
     """
     keep = [c for c in keep if c not in (ids_col, ok_col)]
     schema = StructType(df.select(*keep).schema.fields).add(ids_col, ArrayType(IntegerType(), False), False).add(ok_col, BooleanType(), False)
@@ -266,10 +268,10 @@ def encode_checked(df: DataFrame, path: str, keep: list[str], text_col: str = "t
             ends = np.cumsum(pc.utf8_length(column).to_numpy(zero_copy_only=False))
             begin = 0
             while begin < len(batch):
-                end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + _PIECE, "right")))
+                end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + _CHECKED, "right")))
                 texts = column.slice(begin, end - begin).to_pylist()
                 ids, ok = [], []
-                for text, (found, _) in zip(texts, own.encode_all(texts), strict=True):
+                for text, (found, _) in zip(texts, own.encode_all(texts, _CHECKED), strict=True):
                     ids.append(found)
                     ok.append(own.decode(found) == text)
                 offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)

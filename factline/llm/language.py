@@ -24,6 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -205,7 +206,26 @@ def keep_identified(df: DataFrame, model: Filter, text_col: str = "text", doubtf
     Texts are scored once, beside two hashes of them alone; rows are read again and meet only the hashes of texts that go.
     """
     key = [F.xxhash64(F.lit(i), F.col(text_col).isNull(), F.col(text_col)).alias(f"k{i}") for i in (1, 2)]
-    scored = write_shared(df.select(*key, _predicted(model, df, text_col).alias("found")).select("k1", "k2", "found.*"), "scores")
+    held = df.sparkSession.sparkContext.broadcast(model)  # of fixed size for each 64 languages
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = held.value
+        for batch in batches:
+            column, letters = batch.column(2), batch.column(3).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(pc.utf8_length(column).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < len(batch):  # about as many characters at once, however many rows a batch has
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _PIECE, "right")))
+                shares = None if not own.languages else own.shares([x if ok else "" for x, ok in zip(column.slice(at, to - at).to_pylist(), letters[at:to], strict=True)])
+                best = shares.argmax(axis=1) if own.languages else np.zeros(to - at, np.int64)
+                lang = [own.languages[b] if ok and own.languages else "und" for b, ok in zip(best.tolist(), letters[at:to], strict=True)]
+                most = np.where(letters[at:to], shares[np.arange(to - at), best], 0.0) if own.languages else np.zeros(to - at)
+                yield pa.RecordBatch.from_arrays([*(c.slice(at, to - at) for c in batch.columns[:2]), pa.array(lang, pa.string()), pa.array(most)], names=["k1", "k2", "lang", "score"])
+                at = to
+
+    letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+    rows = df.select(*key, F.coalesce(F.col(text_col), F.lit("")).alias("text"), letters.alias("letters"))
+    scored = write_shared(rows.mapInArrow(score, "k1 long, k2 long, lang string, score double"), "scores")
     middle = scored.where("lang <> 'und'").groupBy("lang").agg(F.percentile_approx("score", 0.5, 10000).alias("middle")).collect()  # a row for each language
     least = F.create_map(*(F.lit(x) for r in middle for x in (r.lang, doubtful * r.middle))) if middle else F.create_map(F.lit("und"), F.lit(2.0))
     stays = (F.col("lang") != "und") & (F.col("score") > 0) & (F.col("score") >= least[F.col("lang")])

@@ -13,8 +13,8 @@ Keys with over ``chunk`` fingerprints are cut into chunks, and each pair of chun
 :func:`drop_near_duplicates` is for a similarity: texts whose sets of five-word shingles have a Jaccard index of 0.8 or
 more. Such texts differ in about a seventh of their bits, too many for runs of 64 bits as keys. So fingerprints have
 256 bits there, texts are compared if they share one of ``KEYS`` pairs of least shingle hashes (0.998 of texts at 0.8 do),
-and they link within ``WIDE_RADIUS`` bits, an estimate of the index with a deviation of about 0.04. Comparison is the
-same, over more planes.
+and those within ``WIDE_RADIUS`` bits are candidates. Comparison is the same, over more planes. The radius is that of an index of about 0.7, four
+deviations of the estimate from 0.8; whether a candidate links is decided by the exact index (:mod:`factline.llm.similarity`).
 
 Defined results: null texts are empty; a text without words has fingerprint zero and links like any other;
 null ids count as no id for the smallest id of a component; repeated rows give repeated results, and one of them
@@ -33,14 +33,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import LongType
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from factline.llm.components import connected_components
+from factline.llm.similarity import shingle_sets, verified_components
 from factline.sources.storage import write_shared
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
-#: For a similarity of 0.8: words of a shingle, words of a fingerprint, bits within which texts link, and keys.
-WIDE_SHINGLE, WIDE_WORDS, WIDE_RADIUS, KEYS = 5, 4, 42, 6
+#: For a similarity of 0.8: words of a shingle, words of a fingerprint, bits within which texts are candidates, and keys.
+WIDE_SHINGLE, WIDE_WORDS, WIDE_RADIUS, KEYS = 5, 4, 58, 6
 #: Fingerprints of a unit of comparison, and expected fingerprints of a key beyond which keys get longer.
 CHUNK, PER_KEY = 4096, 512
 #: Shingles whose bits are counted, words of planes that are compared, and rows that are gathered at once.
@@ -100,6 +101,12 @@ def wide_sketch(data: bytes, shingle: int = WIDE_SHINGLE, words: int = WIDE_WORD
     return fingerprint, _remixed(least[::2] ^ _remixed(least[1::2], 1), 2)
 
 
+def shingle_set(data: bytes, shingle: int = WIDE_SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes, of 32 bits, of a text's shingles."""
+    pieces = [np.unique((h >> np.uint64(32)).astype(np.uint32)) for h in shingle_hashes(data, shingle)]
+    return np.unique(np.concatenate(pieces)) if pieces else np.zeros(0, np.uint32)
+
+
 @pandas_udf(LongType())
 def simhash(text: pd.Series) -> pd.Series:
     """Fingerprint, as a signed long, of a binary column of UTF-8 text."""
@@ -292,27 +299,35 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def _sketches(df: DataFrame, id_col: str, text_col: str, shingle: int, words: int, keys: int) -> DataFrame:
     """(id, k1, k2, keys, f0, f1, ...): hashes of a row's id and text, keys, and words of the fingerprint."""
 
-    def run(text: pd.Series) -> pd.DataFrame:
-        found = [wide_sketch(x, shingle, words, keys) for x in text]
-        columns = {f"f{i}": np.array([f[i] for f, _ in found], np.uint64).view(np.int64) for i in range(words)}
-        return pd.DataFrame(columns | {"keys": [k.view(np.int64) for _, k in found]})
+    rows = df.select(F.col(id_col).alias("id"), *_row_keys(id_col, text_col), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    names = [*(f"f{i}" for i in range(words)), "keys"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [wide_sketch(x.as_py(), shingle, words, keys) for x in batch.column(3)]
+            fps = np.array([f for f, _ in found], np.uint64).reshape(len(found), words).view(np.int64)
+            held = pa.array(np.array([k for _, k in found], np.uint64).view(np.int64).ravel())
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * keys), held)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(fps[:, i].copy()) for i in range(words)), lists], names=["id", "k1", "k2", *names])
 
-    kinds = ", ".join([*(f"f{i} long" for i in range(words)), "keys array<long>"])
-    sketch = pandas_udf(run, kinds)(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
-    return df.select(F.col(id_col).alias("id"), *_row_keys(id_col, text_col), sketch.alias("s")).select("id", "k1", "k2", "s.*")
+    schema = StructType(rows.select("id", "k1", "k2").schema.fields)
+    for name in names[:-1]:
+        schema.add(name, LongType())
+    return rows.mapInArrow(run, schema.add("keys", ArrayType(LongType())))
 
 
 def _row_keys(id_col: str, text_col: str) -> list:
     return [F.xxhash64(F.lit(i), F.col(id_col), F.col(text_col).isNull(), F.col(text_col)).alias(f"k{i}") for i in (1, 2)]
 
 
-def similar_components(sketches: DataFrame, words: int = WIDE_WORDS, radius: int = WIDE_RADIUS, chunk: int = CHUNK) -> DataFrame:
-    """(node, root) of the fingerprints that link with another; ``node`` is a hash of the fingerprint."""
+def similar_components(sketches: DataFrame, sets, words: int = WIDE_WORDS, radius: int = WIDE_RADIUS, chunk: int = CHUNK) -> DataFrame:
+    """(node, root) of the fingerprints that link with another; ``node`` is a hash of the fingerprint, and ``sets`` gives shingle sets of (k1, k2, node)."""
     columns = [f"f{i}" for i in range(words)]
     # Equal fingerprints have equal nodes; they meet under a key only if they share one, so all keys of one row stand for them.
-    nodes = sketches.groupBy("node", *columns).agg(F.min_by("keys", F.struct("k1", "k2")).alias("keys"))
+    nodes = write_shared(sketches.groupBy("node", *columns).agg(F.min_by(F.struct("k1", "k2", "keys"), F.struct("k1", "k2")).alias("r")).select("node", *columns, "r.*"), "nodes")
     keyed = nodes.select("node", *columns, F.posexplode("keys").alias("combo", "key"))
-    return connected_components(link_under_keys(keyed, columns, radius, chunk))
+    own = lambda some: sets(nodes.join(some, "node", "left_semi").select("k1", "k2", "node"))
+    return verified_components(link_under_keys(keyed, columns, radius, chunk), nodes.select("node", *columns), own, columns, radius, chunk=min(chunk, 2048))
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = WIDE_SHINGLE, words: int = WIDE_WORDS, radius: int = WIDE_RADIUS, keys: int = KEYS, chunk: int = CHUNK) -> DataFrame:
@@ -322,7 +337,9 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     node = F.xxhash64(*(f"f{i}" for i in range(words))).alias("node")
     rows = write_shared(_sketches(df, id_col, text_col, shingle, words, keys).select("*", node), "sketches")
-    roots = write_shared(similar_components(rows, words, radius, chunk), "roots")
+    text = [*_row_keys(id_col, text_col), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")]
+    sets = lambda wanted: shingle_sets(df, text, wanted, lambda data: shingle_set(data, shingle))
+    roots = write_shared(similar_components(rows, sets, words, radius, chunk), "roots")
     grouped = rows.select("id", "k1", "k2", "node").join(roots, "node", "left").select("id", "k1", "k2", F.coalesce("root", "node").alias("root"))
     best = grouped.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")).alias("best"))
     marked = grouped.join(best, "root").withColumn("stays", (F.col("k1") == F.col("best.k1")) & (F.col("k2") == F.col("best.k2")))
