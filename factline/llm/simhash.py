@@ -45,7 +45,7 @@ WIDE_SHINGLE, WIDE_WORDS, WIDE_RADIUS, KEYS = 5, 4, 58, 6
 #: Fingerprints of a unit of comparison, and expected fingerprints of a key beyond which keys get longer.
 CHUNK, PER_KEY = 4096, 512
 #: Shingles whose bits are counted, words of planes that are compared, and rows that are gathered at once.
-_PIECE, _WORDS, _ROWS = 1 << 15, 1 << 16, 1 << 17
+_PIECE, _WORDS, _ROWS = 1 << 15, 1 << 16, 1 << 15
 
 
 def shingle_hashes(data: bytes, shingle: int, seed: int = SEED) -> Iterator[np.ndarray]:
@@ -230,8 +230,10 @@ def _compare(radius: int):
             group = np.concatenate(([0], np.cumsum(change)))
             end = len(group) if last else int(np.searchsorted(group, group[-1]))
             held, rows = [[x[end:] for x in table]], len(group) - end
-            if end:
-                a, b = spanning_edges(group[:end], np.stack([f[:end].view(np.uint64) for f in fp], axis=1), side[:end], radius)
+            own = np.flatnonzero(np.bincount(group[:end])[group[:end]] > 1) if end else group[:0]  # a row that is alone under its key takes no lanes
+            if len(own):
+                node = node[own]
+                a, b = spanning_edges(group[own], np.stack([f[own].view(np.uint64) for f in fp], axis=1), side[own], radius)
                 yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
         for batch in batches:
