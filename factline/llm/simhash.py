@@ -128,7 +128,8 @@ def _exceeds(counts: list, over: np.ndarray, radius: int) -> np.ndarray:
 def _planes(lanes: np.ndarray) -> np.ndarray:
     """(bits, words) bit planes of fingerprints given as (words, 64, words of a fingerprint)."""
     bits = np.unpackbits(lanes.view(np.uint8).reshape(len(lanes), 64, -1), axis=2, bitorder="little")
-    return np.packbits(bits.transpose(2, 0, 1), axis=2, bitorder="little").view(np.uint64).reshape(bits.shape[2], -1)
+    packed = np.packbits(bits.transpose(2, 0, 1), axis=2, bitorder="little")
+    return np.ascontiguousarray(packed).view(np.uint64).reshape(bits.shape[2], -1)
 
 
 def _links(planes, valid, fps, query, word, radius):
