@@ -10,10 +10,20 @@ from factline.llm import bpe, exact_dedup, language, mixing, simhash
 from factline.sources.storage import write_shared
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: Most rows of an Arrow batch, which hold whole texts here.
+BATCH = 1024
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's rows of an Arrow batch to ``BATCH``, so that neither a worker nor its executor holds many texts at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH:
+        spark.conf.set(name, BATCH)
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is in a language that documents state, as learned from all that do."""
+    small_batches(spark)
     return language.keep_identified(docs, language.train(docs))
 
 
@@ -24,6 +34,7 @@ def dedup_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts with a similarity of 0.8 or more by five-word shingles, the document with the smallest id."""
+    small_batches(spark)
     return simhash.drop_near_duplicates(docs)
 
 
@@ -34,6 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each document, and whether they decode to its text."""
+    small_batches(spark)
     encoded = bpe.encode_checked(docs, TOKENIZER, ["doc_id", "lang", "source"])
     return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
 

@@ -39,8 +39,8 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructType
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Units in each half of a worker's cache, characters of texts that are cut at once, and most bytes of a fragment that is merged with others.
 CACHE, _PIECE, _LONG = 1 << 17, 1 << 20, 64
-#: The same where ids are kept beside their texts.
-_CHECKED = 1 << 18
+#: The same two where ids are kept beside their texts, in workers that have other work before and after.
+_SMALL, _CHECKED = 1 << 15, 1 << 18
 #: White space other than single spaces and line feeds, or the sign that cuts are marked with.
 _ODD = re.compile(r"[^\S \n]|[ \n][ \n]|\x01|\x85")
 
@@ -53,7 +53,10 @@ def byte_letters() -> dict[str, int]:
 
 
 class ByteBpe:
-    def __init__(self, path: str):
+    """``cache`` is the number of units in each half of the cache; without ``names`` no decimal ids are kept."""
+
+    def __init__(self, path: str, cache: int = CACHE, names: bool = True):
+        self.cache, self.names = cache, names
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, pre = spec["model"], spec["pre_tokenizer"]
@@ -140,7 +143,7 @@ class ByteBpe:
 
     def learn(self, units: set[str]) -> None:
         """Put units into the cache; when it is full, what is there becomes the older half."""
-        if len(self.known) + len(units) > CACHE:
+        if len(self.known) + len(units) > self.cache:
             self.older, self.known = self.known, {}
         fresh = []
         for unit in units:
@@ -172,15 +175,16 @@ class ByteBpe:
         kept = ids >= 0
         of = np.repeat(np.array(owner), sizes)[kept]
         ends = np.cumsum(np.bincount(of, minlength=len(fresh))).tolist()
-        packed, names = ids[kept].astype(np.int32).tobytes(), [self.decimal[i] for i in ids[kept].tolist()]
+        packed, names = ids[kept].astype(np.int32).tobytes(), [self.decimal[i] for i in ids[kept].tolist()] if self.names else []
         begin = 0
         for unit, end in zip(fresh, ends, strict=True):
             self.known[unit] = packed[4 * begin : 4 * end], ",".join(names[begin:end])
             begin = end
 
     def forget(self) -> None:
-        """Empty the cache."""
+        """Empty the cache, and give back what Arrow holds unused."""
         self.known, self.older = {}, {}
+        pa.default_memory_pool().release_unused()
 
     def into_units(self, text: str) -> list[str]:
         if not text:
@@ -201,7 +205,7 @@ class ByteBpe:
         return out + self.into_units(text[at:] if at else text)
 
     def encode_all(self, texts, piece: int = _PIECE) -> Iterator[tuple[np.ndarray, str]]:
-        """Ids of each text, and the same in decimal, joined by commas."""
+        """Ids of each text, and the same in decimal, joined by commas (empty if none are kept)."""
         held: list = []
         size = 0
         for text in chain(texts, [None]):
@@ -214,7 +218,7 @@ class ByteBpe:
                 for parts, found in held:
                     if None in found:
                         found = [f or self.known.get(u) or (np.int32(u).tobytes(), str(u)) for u, f in zip(parts, found, strict=True)]
-                    yield np.frombuffer(b"".join([f[0] for f in found]), np.int32), ",".join([f[1] for f in found])
+                    yield np.frombuffer(b"".join([f[0] for f in found]), np.int32), ",".join([f[1] for f in found]) if self.names else ""
                 held, size = [], 0
 
     def encode(self, text: str) -> list[int]:
@@ -230,8 +234,8 @@ class ByteBpe:
 
 
 @lru_cache(maxsize=4)
-def tokenizer(path: str) -> ByteBpe:
-    return ByteBpe(path)
+def tokenizer(path: str, cache: int = CACHE, names: bool = True) -> ByteBpe:
+    return ByteBpe(path, cache, names)
 
 
 def encode_texts(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
@@ -262,7 +266,7 @@ def encode_checked(df: DataFrame, path: str, keep: list[str], text_col: str = "t
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = tokenizer(path)
+        own = tokenizer(path, _SMALL, False)
         for batch in batches:
             *kept, column = batch.columns
             ends = np.cumsum(pc.utf8_length(column).to_numpy(zero_copy_only=False))
