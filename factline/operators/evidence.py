@@ -17,7 +17,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
 from factline.functions.text import fold_text, occurrences
-from factline.operators.relational import disjunctive_join, drop_contained, phrase_match, pick_first
+from factline.operators.relational import disjunctive_join, drop_contained, hashed, merged, phrase_match, pick_first
 
 ID = "evidence_id"
 #: A code such as AB-12 between characters that aren't letters or digits; overlapping ones are all found.
@@ -48,7 +48,7 @@ def cased_text(col: Column) -> Column:
 
 def current_evidence(raw: DataFrame, latest: DataFrame, key: list[str]) -> DataFrame:
     """Evidence of each subject's latest run: ``latest`` is unique by ``key``, the subject and its run's ids; null keys match nothing."""
-    return raw.join(latest.select(*key), key, "left_semi")
+    return raw.join(merged(latest.select(*key)), key, "left_semi")
 
 
 def alias_table(entities: DataFrame, reviewed: DataFrame | None = None, code: str = "code", name: str = "name", codes: tuple[str, ...] = ()) -> DataFrame:
@@ -94,7 +94,7 @@ def prepare_texts(evidence: DataFrame, raw: str = "raw_value", path: str = "path
     words = F.trim(F.regexp_replace(_decomposed(F.col("__text")), r"[^\p{L}\p{N}]+", " "))
     texts = texts.select("__text", fold_text(F.col("__text")).alias("folded"), words.alias("written"), cased_text(F.col("__text")).alias("cased"))
     parent = F.regexp_replace(F.lower(F.coalesce(F.col(path), F.lit(""))), _FIELD, "")
-    return rows.join(texts, "__text").drop("__text").withColumn("object", parent)
+    return rows.join(merged(texts), "__text").drop("__text").withColumn("object", parent)
 
 
 #: Roles that tell of a place; of these the ones that restrict if they are their own source; and platforms whose places restrict.
@@ -147,7 +147,7 @@ def atomic_match(evidence: DataFrame, known: DataFrame) -> DataFrame:
     ask = lambda when, target: F.when(when, F.lit(target))
     asked = F.array_compact(F.array(ask(F.col("mode") == "ATOMIC", "COUNTRY"), ask(F.col("group_mode") == "ATOMIC", "GROUP"), ask(F.col("restricting"), "REVIEWED"), F.lit("GLOBAL")))
     rows = evidence.where("folded <> ''").select(ID, F.col("folded").alias("alias"), F.lower(F.coalesce("platform", F.lit(""))).alias("__platform"), F.explode(asked).alias("target"))
-    met = rows.join(known, ["target", "alias"]).where(F.col("platform").isNull() | (F.col("platform") == F.col("__platform")))
+    met = rows.join(hashed(known), ["target", "alias"]).where(F.col("platform").isNull() | (F.col("platform") == F.col("__platform")))
     source = F.create_map(*(F.lit(x) for kv in ATOMIC.items() for x in kv))[F.col("target")]
     each = met.groupBy(ID).agg(F.collect_set(F.struct("target", "alias", "code", "group_code", source.alias("match_source"))).alias("__m"))
     world = F.exists("__m", lambda m: m["target"] == "GLOBAL")
@@ -195,7 +195,7 @@ def subdivision_match(evidence: DataFrame, subdivisions: DataFrame, raw: str = "
     phrases = phrase_match(evidence, "cased", subdivisions.where("kind = 'phrase'"), "cased_alias", ID)
     coded = subdivisions.where("kind = 'exact_code'").withColumn("__found", F.replace("cased_alias", F.lit(" "), F.lit("-")))
     named = evidence.withColumn("__found", F.explode(F.array_distinct(F.regexp_extract_all(_decomposed(F.col(raw)), F.lit(_CODE), F.lit(1)))))
-    codes = named.join(coded, "__found").drop("__found")
+    codes = named.join(hashed(coded), "__found").drop("__found")
     pad = lambda c: _padded(F.replace(F.col(c), F.lit(" "), F.lit("  ")))
     return phrases.unionByName(codes.withColumn("n_matches", occurrences(pad("cased"), pad("cased_alias"))))
 
@@ -208,13 +208,13 @@ def accept_subdivisions(found: DataFrame, countries: DataFrame) -> DataFrame:
     named = countries.where("kind = 'phrase'").select(ID, F.col("code").alias("__code"), F.col("alias").alias("__alias"))
     key = [ID, "code", "alias", "kind"]
     own = F.col("__code") == F.col("code")
-    context = found.select(*key).distinct().join(named, ID, "left").groupBy(*key).agg(
+    context = found.select(*key).distinct().join(merged(named), ID, "left").groupBy(*key).agg(
         F.coalesce(F.max(own), F.lit(False)).alias("__parent"),
         F.coalesce(F.max(~own & _within(F.col("alias"), F.col("__alias"))), F.lit(False)).alias("__holds"),
     )
     ends = (F.col("kind") == "phrase") & F.col("restricting") & (F.col("cased") != F.col("cased_alias")) & F.endswith(F.col("cased"), F.concat(F.lit(" "), F.col("cased_alias")))
     certain = (F.col("kind") == "exact_code") | F.col("__parent") | F.col("__holds") | F.coalesce(ends, F.lit(False))
-    return drop_contained(found, [ID], "alias", "code").join(context, key).where(certain).drop("__parent", "__holds")
+    return drop_contained(found, [ID], "alias", "code").join(merged(context), key).where(certain).drop("__parent", "__holds")
 
 
 def _places(words: Column, phrase: Column) -> Column:
@@ -235,9 +235,9 @@ def unexplained(countries: DataFrame, subdivisions: DataFrame) -> DataFrame:
     spans = F.transform(F.filter(_places(words("folded"), words("alias")), as_written), lambda i: F.struct(i.alias("begin"), (i + n).alias("end")))
     regions = subdivisions.select(ID, F.col("code").alias("__code"), F.col("alias").alias("__alias"), spans.alias("__spans"))
     key = [ID, "code", "alias"]
-    pairs = countries.select(*key).distinct().join(regions, ID).where((F.col("__code") != F.col("code")) & _within(F.col("__alias"), F.col("alias")))
+    pairs = countries.select(*key).distinct().join(merged(regions), ID).where((F.col("__code") != F.col("code")) & _within(F.col("__alias"), F.col("alias")))
     inside = pairs.groupBy(*key).agg(F.flatten(F.collect_set("__spans")).alias("__inside"))
-    rest = drop_contained(countries, [ID], "alias", "code").join(inside, key, "left")
+    rest = drop_contained(countries, [ID], "alias", "code").join(merged(inside), key, "left")
     covered = lambda i: F.exists("__inside", lambda s: (s["begin"] <= i) & (i + n <= s["end"]))
     return rest.where(F.col("__inside").isNull() | F.exists(_places(words("folded"), words("alias")), lambda i: ~covered(i))).drop("__inside")
 
@@ -245,7 +245,7 @@ def unexplained(countries: DataFrame, subdivisions: DataFrame) -> DataFrame:
 def structured_context(evidence: DataFrame, aliases: DataFrame, roles: tuple[str, ...], suffix: str = ".addresscountry") -> DataFrame:
     """Codes (subject, role, object, code) that structured fields of an object state outright."""
     stated = evidence.where(F.col("role").isin(*roles) & F.endswith(F.lower("path"), F.lit(suffix)))
-    return stated.join(aliases.select("code", F.col("alias").alias("folded")), "folded").select("subject", "role", "object", "code").distinct()
+    return stated.join(hashed(aliases.select("code", F.col("alias").alias("folded"))), "folded").select("subject", "role", "object", "code").distinct()
 
 
 def distrusted_aliases(observed: DataFrame, context: DataFrame) -> DataFrame:
@@ -253,7 +253,7 @@ def distrusted_aliases(observed: DataFrame, context: DataFrame) -> DataFrame:
 
     This depends on all rows: new ones can change old matches. Subjects are first reduced to a row for each alias.
     """
-    beside = observed.select("subject", "role", "object", "code", "alias").join(context.withColumnRenamed("code", "__context"), ["subject", "role", "object"])
+    beside = observed.select("subject", "role", "object", "code", "alias").join(merged(context.withColumnRenamed("code", "__context")), ["subject", "role", "object"])
     own = F.col("__context") == F.col("code")
     subjects = beside.groupBy("code", "alias", "subject").agg(F.max(own).alias("own"), F.max(~own).alias("other"))
     return subjects.groupBy("code", "alias").agg(F.count_if("own").alias("own"), F.count_if("other").alias("other")).where("other > own").select("code", "alias")
@@ -266,8 +266,8 @@ def context_conflicts(candidates: DataFrame, conflicting: DataFrame, context: Da
     anywhere in the subject, others from the same object.
     """
     kinds = conflicting.groupBy("code", "alias").agg(F.min("location_only").alias("location_only"))
-    doubtful = candidates.join(kinds, ["code", "alias"]).where(~F.col("location_only") | F.col("location_role"))
-    c = context.select(F.col("subject").alias("__subject"), F.col("code").alias("__code"), F.col("object").alias("__object")).distinct()
+    doubtful = candidates.join(hashed(kinds), ["code", "alias"]).where(~F.col("location_only") | F.col("location_role"))
+    c = merged(context.select(F.col("subject").alias("__subject"), F.col("code").alias("__code"), F.col("object").alias("__object")).distinct())
     same = [("subject", "__subject"), ("code", "__code")]
     return disjunctive_join(doubtful, c, [(same, F.col("mode") == "TEXT"), ([*same, ("object", "__object")], None)], "left_anti").select(ID, "code", "alias").distinct()
 
@@ -281,8 +281,8 @@ def group_text_match(evidence: DataFrame, groups: DataFrame) -> DataFrame:
 
 def unmatched(evidence: DataFrame, matched: DataFrame, conflicts: DataFrame) -> DataFrame:
     """Restrictive evidence without a match, with ``match_source`` as the reason; what isn't ambiguous and may be a mere label becomes UNKNOWN."""
-    rest = evidence.where(F.col("direction").isin("INCLUDED", "EXCLUDED")).join(matched.select(ID), ID, "left_anti")
-    rest = rest.join(conflicts.select(ID).distinct().withColumn("__conflict", F.lit(True)), ID, "left")
+    rest = evidence.where(F.col("direction").isin("INCLUDED", "EXCLUDED")).join(merged(matched.select(ID)), ID, "left_anti")
+    rest = rest.join(merged(conflicts.select(ID).distinct().withColumn("__conflict", F.lit(True))), ID, "left")
     located = F.coalesce(F.col("role") == "JOB_LOCATION", F.lit(False))
     labelled = F.coalesce(F.col("rule") == "location_shaped_remote_label", F.lit(False))
     reason = F.when(F.col("__conflict"), "AMBIGUOUS_COUNTRY_ALIAS").when(located, "UNKNOWN_OR_INVALID").when(labelled, "UNMATCHED_LOCATION_LABEL").otherwise("UNMATCHED_RESTRICTIVE_EVIDENCE")
@@ -300,7 +300,7 @@ def null_ambiguous(matches: DataFrame) -> DataFrame:
     """Matches with the codes of evidence that has several taken away."""
     several = matches.groupBy(ID).agg((F.min("code") < F.max("code")).alias("__several"))
     code = F.when(~F.coalesce("__several", F.lit(False)), F.col("code"))
-    return matches.join(several, ID, "left").withColumn("code", code).drop("__several").distinct()
+    return matches.join(merged(several), ID, "left").withColumn("code", code).drop("__several").distinct()
 
 
 def rollup_eligibility(evidence: DataFrame, memberships: DataFrame, subject: str = "subject") -> DataFrame:
@@ -321,10 +321,10 @@ def rollup_eligibility(evidence: DataFrame, memberships: DataFrame, subject: str
         named(is_out, "group_code").alias("excluded_groups"),
     )
     direct = evidence.where("code IS NOT NULL").select(subject, "direction", "code")
-    members = evidence.where("group_code IS NOT NULL").select(subject, "direction", "group_code").join(memberships.select("group_code", "code"), "group_code").select(subject, "direction", "code")
+    members = evidence.where("group_code IS NOT NULL").select(subject, "direction", "group_code").join(hashed(memberships.select("group_code", "code")), "group_code").select(subject, "direction", "code")
     codes = direct.unionByName(members).groupBy(subject).agg(named(is_in, "code").alias("__in"), named(is_out, "code").alias("excluded"))
     none = F.array().cast("array<string>")
-    out = stats.join(codes, subject, "left").withColumns({"__in": F.coalesce("__in", none), "excluded": F.coalesce("excluded", none)})
+    out = stats.join(merged(codes), subject, "left").withColumns({"__in": F.coalesce("__in", none), "excluded": F.coalesce("excluded", none)})
     scope = F.when(F.size("__in") > 0, "SPECIFIC").when(F.col("has_global") & (F.size("excluded") > 0), "GLOBAL_EXCEPT").when(F.col("has_global"), "GLOBAL").otherwise("UNKNOWN")
     return out.withColumns({"scope": scope, "eligible": F.array_except("__in", "excluded")}).drop("__in")
 

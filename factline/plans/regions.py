@@ -71,7 +71,7 @@ def places(t) -> eligibility.Places:
 
 
 def raw_evidence(t):
-    rows = t("orders").join(t("customer"), F.col("c_custkey") == F.col("o_custkey")).join(_nations(t), F.col("n_nationkey") == F.col("c_nationkey"))
+    rows = t("orders").join(relational.merged(t("customer")), F.col("c_custkey") == F.col("o_custkey")).join(F.broadcast(_nations(t)), F.col("n_nationkey") == F.col("c_nationkey"))
     return rows.selectExpr(*split_columns(_COLUMNS)).withColumn("source_system", F.lit(None).cast("string"))
 
 
