@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factline.operators import evidence as ev
-from factline.operators.relational import phrase_match
+from factline.operators.relational import merged, phrase_match
 from factline.sources.storage import write_shared
 
 #: The roles whose structured fields are context.
@@ -50,7 +50,7 @@ def prepare(raw: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = write_shared(rows, "evidence")
     atomic = write_shared(ev.atomic_match(rows, known), "atomic")
     world = atomic.where("target = 'GLOBAL'").select(ev.ID, F.lit(True).alias("__world")).distinct()
-    placed = rows.join(world, ev.ID, "left").withColumn("global_place", F.coalesce("__world", F.lit(False))).drop("__world")
+    placed = rows.join(merged(world), ev.ID, "left").withColumn("global_place", F.coalesce("__world", F.lit(False))).drop("__world")
     return write_shared(placed.withColumn("direction", F.when(F.col("global_place"), "GLOBAL").otherwise(F.col("direction"))), "evidence"), atomic
 
 
@@ -75,14 +75,14 @@ def resolve(raw: DataFrame, places: Places, distrusted: DataFrame | None = None)
     distrusted = write_shared(distrusted, "distrusted")
 
     texts = write_shared(phrase_match(limited.where("mode = 'TEXT'"), "folded", phrases, "alias", ev.ID), "named")
-    exact = limited.where("mode = 'ATOMIC'").join(atomic.where("target = 'COUNTRY'").select(ev.ID, "alias", "code", "match_source"), ev.ID)
+    exact = limited.where("mode = 'ATOMIC'").join(merged(atomic.where("target = 'COUNTRY'").select(ev.ID, "alias", "code", "match_source")), ev.ID)
     collisions = phrases.join(places.regions.where("kind = 'phrase'").select("alias", F.col("code").alias("__code")), "alias").where("code <> __code").select("code", "alias").distinct()
     doubtful = distrusted.withColumn("location_only", F.lit(False)).unionByName(collisions.withColumn("location_only", F.lit(True)))
     candidates = [x.select(ev.ID, "subject", "object", "mode", "location_role", "code", "alias") for x in (exact, texts)]
     conflicts = write_shared(ev.context_conflicts(candidates[0].unionByName(candidates[1]), doubtful, context), "conflicts")
 
     key = [ev.ID, "code", "alias"]
-    texts = write_shared(texts.join(conflicts, key, "left_anti"), "named")
+    texts = write_shared(texts.join(merged(conflicts), key, "left_anti"), "named")
     usable = places.regions.join(places.aliases.select("alias", "kind"), ["alias", "kind"], "left_anti")
     regions = write_shared(ev.accept_subdivisions(write_shared(ev.subdivision_match(limited.where("mode = 'TEXT'"), usable), "regions"), texts), "regions")
     countries = ev.unexplained(texts, regions)
@@ -92,9 +92,9 @@ def resolve(raw: DataFrame, places: Places, distrusted: DataFrame | None = None)
     null = F.lit(None).cast("string")
     sourced = lambda df, code, group, source: df.select(*cols, code.alias("code"), group.alias("group_code"), source.alias("match_source"))
     code, group, source = F.col("code"), F.col("group_code"), F.col("match_source")
-    whole = limited.join(atomic.where("target IN ('GROUP', 'REVIEWED')"), ev.ID)
+    whole = limited.join(merged(atomic.where("target IN ('GROUP', 'REVIEWED')")), ev.ID)
     matched = [
-        sourced(exact.join(conflicts, key, "left_anti"), code, null, source),
+        sourced(exact.join(merged(conflicts), key, "left_anti"), code, null, source),
         sourced(countries, code, null, F.lit("COUNTRY_TEXT_ALIAS")),
         sourced(regions, code, null, F.lit("COUNTRY_SUBDIVISION_TEXT_ALIAS")),
         sourced(whole, code, group, source),
@@ -125,5 +125,5 @@ def refresh(raw: DataFrame, places: Places, changed: DataFrame, previous: DataFr
     turned = distrusted.join(before, ["code", "alias"], "left_anti").unionByName(before.join(distrusted, ["code", "alias"], "left_anti"))
     naming = phrase_match(prepared.select(ev.ID, "subject", "folded"), "folded", turned.select("alias").distinct(), "alias", ev.ID).select("subject")
     due = write_shared(changed.select("subject").unionByName(naming).distinct(), "due")
-    fresh = eligibility(raw.join(due, "subject", "left_semi"), places, distrusted)
-    return previous.join(due, "subject", "left_anti").unionByName(fresh), distrusted
+    fresh = eligibility(raw.join(merged(due), "subject", "left_semi"), places, distrusted)
+    return previous.join(merged(due), "subject", "left_anti").unionByName(fresh), distrusted

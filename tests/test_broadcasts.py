@@ -6,7 +6,7 @@ import pytest
 
 from factline.operators import evidence
 from factline.operators.relational import drop_contained, phrase_match
-from factline.plans import regions
+from factline.plans import eligibility, regions
 from tests.test_eligibility import RAW, places, row
 
 DATA = "/root/testdata/sf0.001"
@@ -42,6 +42,27 @@ def test_group_mentions(spark, tmp_path):
     assert {tuple(r) for r in found.collect()} == {("union", "EU"), ("union", "LATAM")}
 
 
+def test_every_step_of_a_resolution(spark, tmp_path, monkeypatch):
+    onsite = {"role": "JOB_LOCATION", "remote": "ONSITE", "can": None, "subject": "u"}
+    cases = [row("je", "JE", path="$.jobLocation.address.addressCountry", **onsite), row("helped", "St Helier, Jersey", subject="u"), row("anywhere", "Anywhere", platform="LEVER", path="$.jobLocation.name", **onsite)]
+    raw = stored(spark, tmp_path, cases, RAW)
+    seen = {}
+    write = eligibility.write_shared
+
+    def spied(df, label):
+        seen.setdefault(label, []).append(plan(df))
+        return write(df, label)
+
+    monkeypatch.setattr(eligibility, "write_shared", spied)
+    p = places(spark)
+    found = eligibility.resolve(raw, p)
+    for name in ("distrusted", "conflicts", "regions", "countries", "groups", "evidence"):
+        seen.setdefault(name, []).append(plan(getattr(found, name)))
+    seen["eligibility"] = [plan(evidence.rollup_eligibility(found.evidence, p.members))]
+    assert {"evidence", "atomic", "context", "distrusted", "named", "conflicts", "regions", "countries", "groups", "matched", "eligibility"} == set(seen)
+    assert [name for name, plans in seen.items() if any("BroadcastExchange" in x for x in plans)] == []
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
 def test_customers_of_the_queries(spark):
     made = plan(regions.raw_evidence(lambda name: spark.read.parquet(f"{DATA}/{name}.parquet")))
