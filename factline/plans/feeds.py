@@ -25,7 +25,9 @@ def _landed(t):
     rows = t("orders").selectExpr("o_orderkey", "CAST(FLOOR(o_orderkey / 1000) AS INT) AS file", f"IF(o_orderkey % 40 = 7, ' ', CONCAT(o_orderkey, ',', {_AMOUNT}, ',', o_orderpriority)) AS value")
     head = rows.select("file").distinct().selectExpr("CAST(-1 AS BIGINT) AS o_orderkey", "file", "'id,amount, note ' AS value")
     path = f"{shared_dir(rows.sparkSession)}/orders-{uuid.uuid4().hex}"
-    rows.unionByName(head).repartition("file").sortWithinPartitions("file", "o_orderkey").select("file", "value").write.partitionBy("file").text(path)
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # files are many and small: by their size they would come to a few tasks
+    dealt = rows.unionByName(head).repartition(tasks, "file").sortWithinPartitions("file", "o_orderkey").select("file", "value")
+    dealt.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("file").text(path)  # tasks move their files themselves; nobody reads before the end
     return landing.read_csv_lines(rows.sparkSession, path).withColumn("file", F.regexp_extract("_file", r"file=(\d+)/", 1).cast("int"))
 
 

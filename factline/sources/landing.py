@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from factline.sources.storage import list_files
+from factline.operators.relational import hashed
+from factline.sources.storage import list_files, write_shared
 
 
 def run_path(path: str, run_id: str) -> str:
@@ -75,26 +76,36 @@ def read_numbered(spark: SparkSession, path: str) -> DataFrame:
     """Lines of text files (file, line, text), numbered from 1 in each file.
 
     A task reads a block of a file, in order: a line's number is that of the block's earlier lines, from the order in which they were read, and of
-    the lines of the file's earlier blocks, a sum over a row for each block. Nothing but blocks' counts is shuffled.
+    the lines of the file's earlier blocks, a sum over a row for each block. The blocks' counts are taken in one pass and written.
     """
+    return _numbered(spark, path)[0]
+
+
+def _numbered(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The lines of :func:`read_numbered`, and the blocks that they stand in, with the first line of each (``__head``)."""
     at = F.monotonically_increasing_id().alias("__at")
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("__block"), at)
-    blocks = lines.groupBy("file", "__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"))
+    blocks = lines.groupBy("file", "__block").agg(F.count(F.lit(1)).alias("__n"), F.min("__at").alias("__first"), F.min_by("value", "__at").alias("__head"))
+    blocks = write_shared(blocks, "blocks")
     earlier = F.coalesce(F.sum("__n").over(Window.partitionBy("file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = blocks.select("file", "__block", "__first", earlier.alias("__earlier"))
-    return lines.join(starts, ["file", "__block"]).select("file", (F.col("__earlier") + F.col("__at") - F.col("__first") + 1).alias("line"), F.col("value").alias("text"))
+    numbered = lines.join(hashed(starts), ["file", "__block"]).select("file", (F.col("__earlier") + F.col("__at") - F.col("__first") + 1).alias("line"), F.col("value").alias("text"))
+    return numbered, blocks
 
 
 def read_csv_lines(spark: SparkSession, path: str) -> DataFrame:
     """Rows of CSV files whose first line names the columns, as text, with the ``_file`` and ``_line`` they stand in. A value may not hold a line feed; all files must have the same columns, and missing values are null."""
-    lines = read_numbered(spark, path)
-    heads = [r.text for r in lines.where("line = 1").select("text").distinct().limit(2).collect()]
+    lines, blocks = _numbered(spark, path)
+    first = blocks.groupBy("file").agg(F.min_by("__head", "__block").alias("text"))
+    heads = [r.text for r in first.select("text").distinct().limit(2).collect()]
     if len(heads) != 1:
         raise ValueError(f"files of {path} have {len(heads) or 'no'} kinds of columns")
     names = [x.strip() for x in next(csv.reader([heads[0]]))]
     schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))])
-    rows = lines.where("line > 1").withColumn("__row", F.from_csv("text", schema.simpleString()[7:-1].replace(":", " ")))
-    return rows.select(F.col("file").alias("_file"), F.col("line").alias("_line"), *(F.col(f"__row.c{i}").alias(n) for i, n in enumerate(names) if n))
+    # A line is parsed by a generator, once: what filters ask of its columns isn't turned into parsing it for each of them.
+    parsed = F.inline(F.array(F.from_csv("text", schema.simpleString()[7:-1].replace(":", " "))))
+    rows = lines.where("line > 1").select(F.col("file").alias("_file"), F.col("line").alias("_line"), parsed)
+    return rows.select("_file", "_line", *(F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n))
 
 
 def validate_contract(df: DataFrame, contract: dict[str, tuple[str, bool]], fail_on_reject: bool = True, at: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
