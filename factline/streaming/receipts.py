@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from factline.operators.incremental import commit_parts, current_parts, expire_snapshots, read_parts
 from factline.operators.publication import verify_receipts
+from factline.sources.storage import release_table, write_shared
 
 
 def latest_receipts(receipts: DataFrame, lateness: str, horizon: str = "30 days") -> DataFrame:
@@ -36,8 +37,10 @@ def stream_receipts(source: DataFrame, target: str, checkpoint: str, lateness: s
         spark = batch.sparkSession
         # A period's part is named by its first day; few periods are open at once.
         rows = batch.withColumn("bucket", F.date_diff(F.col("opened").cast("date"), F.lit("1970-01-01").cast("date")))
+        rows = write_shared(rows, "receipts")  # the stream's state is gone through once
         touched = {r.bucket for r in rows.select("bucket").distinct().collect()}
         if not touched:
+            release_table(rows)
             return
         parts = current_parts(spark, target)
         known = [p for p in parts if p[0] in touched]
@@ -51,6 +54,7 @@ def stream_receipts(source: DataFrame, target: str, checkpoint: str, lateness: s
         newest.write.partitionBy("bucket").parquet(f"{target}/snapshot={name}")
         commit_parts(spark, target, [p for p in parts if p[0] not in touched] + [(b, name) for b in sorted(touched)])
         expire_snapshots(spark, target, keep)
+        release_table(rows)
 
     return latest_receipts(source, lateness, horizon).writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -1,6 +1,9 @@
-"""Lines are parsed once."""
+"""Lines are parsed once, and streams read what was landed once."""
+
+import datetime as dt
 
 from factline.sources import landing
+from factline.streaming import receipts
 
 
 def test_a_line_is_parsed_once(spark, tmp_path):
@@ -12,3 +15,15 @@ def test_a_line_is_parsed_once(spark, tmp_path):
     assert valid._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
     assert [tuple(r) for r in valid.collect()] == [(2, 1, 2, "x")]
     assert sorted((r._line, r._errors) for r in rejected.collect()) == [(4, ["amount is no bigint"]), (5, ["amount is required"])]
+
+
+def _read(query):
+    query.awaitTermination(300)
+    return sum(p["numInputRows"] for p in query.recentProgress)
+
+
+def test_streams_read_rows_once(spark, tmp_path):
+    at = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([(i % 5, str(i % 3), at + dt.timedelta(hours=i)) for i in range(40)], "publication_id long, status string, received_at timestamp").write.parquet(f"file://{tmp_path}/in")
+    source = lambda: spark.readStream.schema("publication_id long, status string, received_at timestamp").parquet(f"file://{tmp_path}/in")
+    assert _read(receipts.stream_receipts(source(), f"file://{tmp_path}/r", f"file://{tmp_path}/rc", "10 days")) == 40
