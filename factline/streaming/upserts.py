@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from factline.operators.incremental import commit_parts, current_parts, expire_snapshots, latest_per_key, read_parts
-from factline.sources.storage import list_files
+from factline.sources.storage import list_files, release_table, write_shared
 
 #: Rows of a part from which it is cut in two, or more; the most cuts of a part.
 PART_ROWS, DEEPEST = 4_000_000, 30
@@ -42,9 +42,11 @@ def stream_upsert(source: DataFrame, target: str, checkpoint: str, key: list[str
         rows = batch.dropna(subset=key).withColumn("__hash", F.xxhash64(*key).bitwiseAND(F.lit((1 << DEEPEST) - 1)))
         parts = current_parts(spark, target)
         known = [b for b, _ in parts] or [1]
-        rows = _dealt(rows, known)
+        rows = write_shared(_dealt(rows, known), "upserts")  # a batch is read once, and its newest rows are looked for once
+        landed = rows
         counts = {r.bucket: r["count"] for r in rows.groupBy("bucket").count().collect()}  # a row for each part that the batch touches
         if not counts:
+            release_table(landed)
             return
         touched = [p for p in parts if p[0] in counts]
         if touched:
@@ -52,7 +54,7 @@ def stream_upsert(source: DataFrame, target: str, checkpoint: str, key: list[str
             rows = _dealt(old, known).unionByName(rows, allowMissingColumns=True)
         columns = [c for c in rows.columns if c not in ("__hash", "bucket")]
         tie = F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
-        merged = latest_per_key(rows.withColumn("__tie", tie), key, [*order, "__tie"]).drop("__tie")
+        merged = write_shared(latest_per_key(rows.withColumn("__tie", tie), key, [*order, "__tie"]).drop("__tie"), "merged")
         sizes = {r.bucket: r["count"] for r in merged.groupBy("bucket").count().collect()}
         cuts = [(b, min(DEEPEST, b.bit_length() - 1 + (-(-n // part_rows) - 1).bit_length())) for b, n in sizes.items()]
         levels = spark.createDataFrame(cuts, "bucket int, __level int")
@@ -66,6 +68,8 @@ def stream_upsert(source: DataFrame, target: str, checkpoint: str, key: list[str
             empty.write.parquet(f"{target}/snapshot={name}/bucket={b}")
         commit_parts(spark, target, [p for p in parts if p[0] not in counts] + [(b, name) for b in sorted(fresh)])
         expire_snapshots(spark, target, keep)
+        for table in (landed, merged):
+            release_table(table)
 
     return source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -3,7 +3,7 @@
 import datetime as dt
 
 from factline.sources import landing
-from factline.streaming import receipts
+from factline.streaming import receipts, upserts
 
 
 def test_a_line_is_parsed_once(spark, tmp_path):
@@ -26,4 +26,5 @@ def test_streams_read_rows_once(spark, tmp_path):
     at = dt.datetime(2024, 1, 1)
     spark.createDataFrame([(i % 5, str(i % 3), at + dt.timedelta(hours=i)) for i in range(40)], "publication_id long, status string, received_at timestamp").write.parquet(f"file://{tmp_path}/in")
     source = lambda: spark.readStream.schema("publication_id long, status string, received_at timestamp").parquet(f"file://{tmp_path}/in")
+    assert _read(upserts.stream_upsert(source(), f"file://{tmp_path}/u", f"file://{tmp_path}/uc", ["publication_id"], ["received_at"])) == 40
     assert _read(receipts.stream_receipts(source(), f"file://{tmp_path}/r", f"file://{tmp_path}/rc", "10 days")) == 40
