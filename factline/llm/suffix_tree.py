@@ -17,7 +17,8 @@ sequence of words has one weight: of its words but the last as a state, of what
 shorter state, and of itself as a state that its next symbol may not be known in. A text's score is the sum of the
 weights of all its sequences, so it is scored by a join.
 
-Texts are tokenised once, to a table of their words' hashes. What tasks count or look up then goes to buckets by
+Texts are tokenised once, to a table of their words' hashes. From contexts of three words on, only the parts of texts
+around a candidate are read, as longer sequences that count hold one. What tasks count or look up then goes to buckets by
 hash, as one block of packed numbers per task and bucket instead of rows; the number of buckets follows the corpus, so
 a bucket fits a worker. Sequences that make up at least ``min_word`` of the tokens, at most 1 / min_word of each
 length, are broadcast for scoring, so that no bucket is hot. Bit filters, of a size that follows their keys up to a
@@ -56,7 +57,8 @@ _BITS = 16, 27
 #: Tokens for each bucket, tokens that are read at once, sequences that a task holds, and bytes that are split at once.
 _BUCKET, _TOKENS, _HELD, _PIECE = 1 << 20, 1 << 19, 1 << 21, 1 << 22
 _GAP = re.compile(rb"[\x20\t-\r]")
-_END = xxhash.xxh3_64_intdigest(b"")
+#: Bytes from which a word is long, and masks of the first bytes of eight.
+_LONG_WORD, _MASKS = 128, np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _BLOCK = "bucket int, kind int, data binary"
 
 
@@ -65,29 +67,61 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
-def token_hashes(data: bytes) -> np.ndarray:
-    """Hashes of the words of a text in UTF-8, and of the end."""
-    parts, at = [], 0
+def _mixed(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    x = before * np.uint64(0x9E3779B97F4A7C15) + words
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x ^= x >> np.uint64(shift)
+        x *= np.uint64(factor)
+    return x ^ x >> np.uint64(31)
+
+
+#: The hash of the end of a text, an empty word.
+_END = _mixed(np.ones(1, np.uint64), np.zeros(1, np.uint64))[0]
+
+
+def _hashed(texts: pa.Array) -> list[np.ndarray]:
+    """Hashes of the words of each text: of their lengths and their bytes, eight at a time for all words; long words one by one."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    words = lists.flatten()
+    begins = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, 4 * words.offset).astype(np.int64)
+    sizes, begins, end = np.diff(begins), begins[:-1], int(begins[-1])
+    data = np.zeros(end + 8, np.uint8)
+    if end:
+        data[:end] = np.frombuffer(words.buffers()[2], np.uint8, end)
+    eights = np.ndarray(end + 1, "<u8", data, strides=(1,))
+    hashes = _mixed((sizes + 1).astype(np.uint64), eights[begins] & _MASKS[np.minimum(sizes, 8)])
+    at, done = np.flatnonzero((sizes > 8) & (sizes <= _LONG_WORD)), 8
+    while len(at):
+        hashes[at] = _mixed(hashes[at], eights[begins[at] + done] & _MASKS[np.minimum(sizes[at] - done, 8)])
+        done += 8
+        at = at[sizes[at] > done]
+    for i in np.flatnonzero(sizes > _LONG_WORD).tolist():
+        hashes[i] = xxhash.xxh3_64_intdigest(data[begins[i] : begins[i] + sizes[i]])
+    own = np.split(hashes, np.cumsum(pc.list_value_length(lists).to_numpy())[:-1])
+    return [x[x != _END] for x in own]  # white space at an edge makes an empty word
+
+
+def token_hashes(texts: pa.Array) -> list[np.ndarray]:
+    """Hashes of the words of texts in UTF-8, as binary, and of the end of each."""
+    if len(texts) > 1:
+        return [np.append(x, _END) for x in _hashed(texts)]
+    data, parts, at = texts[0].as_py(), [], 0
     while at < len(data):
         gap = _GAP.search(data, min(at + _PIECE, len(data)))
-        end = gap.start() if gap else len(data)
-        words = data[at:end].lower().split()
-        parts.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
-        at = end
-    return np.concatenate([*parts, np.array([_END], np.uint64)])
+        to = gap.start() if gap else len(data)
+        parts += _hashed(pa.array([data[at:to]], pa.binary()))
+        at = to
+    return [np.append(np.concatenate(parts) if parts else np.zeros(0, np.uint64), _END)]
 
 
 def _tokenise(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
-            at = 0
+            ends, at = np.cumsum(pc.binary_length(batch.column(2)).to_numpy().astype(np.int64)), 0
             while at < len(batch):
-                begin, held, size = at, [], 0
-                while at < len(batch) and size < _TOKENS:
-                    held.append(token_hashes(batch.column(2)[at].as_py()))
-                    size += len(held[-1])
-                    at += 1
+                begin, at = at, max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _PIECE, "right")))
+                held = token_hashes(batch.column(2).slice(begin, at - begin))
                 own = [batch.column(c).slice(begin, len(held)) for c in (0, 1)]
                 sizes, data = pa.array([len(x) for x in held]), pa.array([x.tobytes() for x in held], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(uid, uid + len(held))), *own, sizes, data], names=names)
@@ -126,14 +160,6 @@ def _longer(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
     return _mixed(x, words)
 
 
-def _mixed(before: np.ndarray, words: np.ndarray) -> np.ndarray:
-    x = before * np.uint64(0x9E3779B97F4A7C15) + words
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        x ^= x >> np.uint64(shift)
-        x *= np.uint64(factor)
-    return x ^ x >> np.uint64(31)
-
-
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
 
@@ -157,12 +183,43 @@ def _by_bucket(blocks: DataFrame) -> DataFrame:
     return blocks.repartition("bucket").sortWithinPartitions("bucket", "kind")
 
 
-def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Places of ``wanted`` in sorted ``keys``, or -1."""
-    if not len(keys):
-        return np.full(len(wanted), -1)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
+def _order(keys: np.ndarray) -> np.ndarray:
+    """An order of hashes, or of numbers in the highest bits. Numbers with places in their lowest bits sort several times faster than places do."""
+    bits = np.uint64(len(keys).bit_length())
+    x = keys >> bits << bits | np.arange(len(keys), dtype=np.uint64)
+    x.sort()
+    order = (x & np.uint64((1 << int(bits)) - 1)).astype(np.int64)
+    found = keys[order]
+    return np.argsort(keys) if (found[1:] < found[:-1]).any() else order
+
+
+class Places:
+    """Where distinct hashes are in ``keys``. Each has a slot in a table; those whose slot another one took have one in the next table."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, self.tables = keys, []
+        rest = np.arange(len(keys), dtype=np.int32)
+        while len(rest):
+            table = np.full(1 << (2 * len(rest)).bit_length() + len(self.tables), -1, np.int32)
+            slot = self._slot(keys[rest], len(self.tables), table)
+            table[slot] = rest
+            self.tables.append(table)
+            rest = rest[table[slot] != rest]
+
+    @staticmethod
+    def _slot(hashes: np.ndarray, turn: int, table: np.ndarray) -> np.ndarray:
+        return hashes * np.uint64(0x9E3779B97F4A7C15 + 2 * turn * 0x61C8864F) >> np.uint64(65 - len(table).bit_length())
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """Places of ``wanted``, or -1."""
+        out = np.full(len(wanted), -1)
+        rest = slice(None)
+        for turn, table in enumerate(self.tables):
+            at = table[self._slot(wanted[rest], turn, table)]
+            same = self.keys[at] == wanted[rest]
+            out[rest] = np.where(same, at, -1)
+            rest = np.arange(len(wanted))[rest][~same & (at >= 0)]
+        return out
 
 
 def _runs(values: np.ndarray) -> np.ndarray:
@@ -203,22 +260,39 @@ def _passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return bits[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1) > 0
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list = []
-    size = 0
+def _count_words(buckets: int):
+    """Blocks (kind 0) of words and how often they occur."""
 
-    def flush():
-        h, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []
+        size = 0
+
+        def flush():
+            h = np.sort(np.concatenate(held))
+            first = _runs(h)
+            n, h = np.diff(np.append(first, len(h))).astype(np.uint32), h[first]
+            bucket = _bucket(h, buckets)
+            order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+            return _blocks(bucket[order], [h[order], n[order]], 0)
 
-    for _, _, words, _, _ in _chunks(batches, 0):
-        held.append(words)
-        size += len(words)
-        if size >= _HELD:
+        for _, _, words, _, _ in _chunks(batches, 0):
+            held.append(words)
+            size += len(words)
+            if size >= _HELD:
+                yield flush()
+                held, size = [], 0
+        if size:
             yield flush()
-            held, size = [], 0
-    if size:
-        yield flush()
+
+    return run
+
+
+def _counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for blocks in _buckets_of(batches):
+        h, n = (np.concatenate(x) for x in zip(*(_unpacked(b, ("u8", "u4")) for b in blocks), strict=True))
+        order = _order(h)
+        first = _runs(h[order])
+        yield pa.RecordBatch.from_arrays([pa.array(h[order[first]].view(np.int64)), pa.array(np.add.reduceat(n[order].astype(np.int64), first))], names=["h", "n"])
 
 
 def _count(length: int, buckets: int, shared):
@@ -233,12 +307,13 @@ def _count(length: int, buckets: int, shared):
 
         def flush():
             h, ctx, suf = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.argsort(h)
+            order = _order(h)
             first = _runs(h[order])
             n = np.diff(np.append(first, len(h))).astype(np.uint32)
             h, ctx, suf = (x[order[first]] for x in (h, ctx, suf))
             bucket = _bucket(h, buckets)
-            order = np.lexsort((ctx, bucket))
+            width = np.uint64(buckets.bit_length())
+            order = _order(bucket.astype(np.uint64) << np.uint64(64) - width | ctx >> width)
             return _blocks(bucket[order], [x[order] for x in (ctx, suf, n, h)[: 4 if length > 1 else 3]], 0)
 
         contexts, often = shared.value
@@ -260,6 +335,35 @@ def _count(length: int, buckets: int, shared):
     return run
 
 
+def _spans(length: int, shared):
+    """Parts of texts around candidates of ``length`` words, each with the word after it: sequences that hold one are nowhere else.
+
+    The parts of some texts come as one, with a word that no text has before each.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        contexts, _ = shared.value
+        for batch in batches:
+            cut = pc.greater(pc.binary_length(batch.column(1)), 8 * _TOKENS)  # these come in parts, so they stay whole
+            yield batch.filter(cut)
+            for uids, _, words, place, _ in _chunks(iter([batch.filter(pc.invert(cut))]), length):
+                before = words
+                for _ in range(length - 1):
+                    before = _longer(before, words)
+                at = np.flatnonzero(place >= length)
+                at = at[_passes(contexts, before[at - 1])]
+                steps = np.zeros(len(words) + 1, np.int64)
+                steps[at - length] += 1
+                steps[at + 1] -= 1
+                inside = np.cumsum(steps[:-1]) > 0
+                first = inside & ((place == 0) | ~np.concatenate(([False], inside[:-1])))
+                held = np.insert(words[inside], np.flatnonzero(first[inside]), np.uint64(0))
+                if len(held):
+                    yield pa.RecordBatch.from_arrays([pa.array(uids[:1]), pa.array([held.tobytes()], pa.binary())], names=["uid", "words"])
+
+    return run
+
+
 def _buckets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
     """The blocks of each bucket; rows come in the order of buckets."""
     own, blocks = None, []
@@ -280,7 +384,7 @@ def _counted(length: int, least: int):
         for blocks in _buckets_of(batches):
             ctx, suf, n, *h = (np.concatenate(x) for x in zip(*(_unpacked(b, types) for b in blocks), strict=True))
             h = h[0] if h else _mixed(ctx, suf)
-            order = np.argsort(h)
+            order = _order(h)
             first = _runs(h[order])
             n = np.add.reduceat(n[order].astype(np.int64), first)
             keep = n >= least
@@ -321,22 +425,25 @@ def _clean(spark) -> None:
 
 
 def learn(texts: DataFrame, depth: int | None = None, least_context: int = LEAST_CONTEXT, least_longer: int = LEAST_LONGER, least_pair: int = LEAST_PAIR) -> Model:
-    """The tree of ``texts``: uid, and words as a binary column of hashes. ``depth``: most words of a context, if any."""
+    """The tree of ``texts``: uid, n_tokens, and words as a binary column of hashes. ``depth``: most words of a context, if any."""
     spark = texts.sparkSession
-    texts = texts.select("uid", "words")
-    counts = write_shared(texts.mapInArrow(_count_words, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "words")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    total = texts.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     buckets = max(64, -(-total // _BUCKET))
+    texts = texts.select("uid", "words")
+    counts = write_shared(_by_bucket(texts.mapInArrow(_count_words(buckets), _BLOCK)).mapInArrow(_counted_words, "h long, n long"), "words")
+    distinct = counts.count()
     words = counts.select("h", "n", F.log10((F.col("n") + 0.5) / F.lit(total + 0.5 * (distinct + 1))).alias("s"))
     weights = words.select("h", "n", F.col("s").alias("weight"), F.col("s").alias("base"))
     zero = F.lit(0.0).alias("base")
     contexts, known = counts.where(F.col("n") >= least_context), words.where(F.col("n") >= least_pair)
-    length = 0
+    length, spans = 0, None
     while depth is None or length < depth:
         bits = _filter(contexts), _filter(known)
         if not bits[0].any():
             break
         shared = spark.sparkContext.broadcast(bits)
+        if length == 2:  # few words are near a candidate of three or more, and each length reads the words again
+            texts = spans = write_shared(texts.mapInArrow(_spans(length + 1, shared), "uid long, words binary"), "spans", compression="zstd")
         blocks = texts.mapInArrow(_count(length + 1, buckets, shared), _BLOCK)
         counted = _by_bucket(blocks).mapInArrow(_counted(length + 1, least_pair), "ctx long, suf long, h long, n long" if length else "ctx long, suf long, n long")
         pairs = counted.join(known.select(F.col("h").alias("suf"), F.col("s").alias("above")), "suf").join(contexts.select(F.col("h").alias("ctx"), F.col("n").alias("sum")), "ctx")
@@ -358,6 +465,8 @@ def learn(texts: DataFrame, depth: int | None = None, least_context: int = LEAST
         gains = known.select("h", "n", F.col("gain").alias("weight"), zero)
         states = retained.select(F.col("ctx").alias("h"), F.col("sum").alias("n"), F.col("back").alias("weight"), zero)
         weights = weights.unionByName(gains).unionByName(states)
+    if spans:
+        release_table(spans)
     return Model(weights, length + 1, total, distinct, buckets)
 
 
@@ -391,6 +500,7 @@ def _asked(longest: int, unseen: float, buckets: int, shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, weight, base, bits = shared.value
+        places = Places(keys)
         for number, (uids, sizes, words, place, lead) in enumerate(_chunks(batches, longest - 1)):
             sums = np.zeros((3, len(words)))
             text = np.repeat(np.arange(len(sizes)), sizes)
@@ -404,7 +514,7 @@ def _asked(longest: int, unseen: float, buckets: int, shared):
                 if length == 1:
                     sums[:2, at[~may]] = unseen
                 at = at[may]  # a sequence with a weight has a suffix with one
-                found = find(keys, h[at])
+                found = places.find(h[at])
                 hit, has = at[found >= 0], found[found >= 0]
                 sums[0, hit] += weight[has]
                 if length == 1:
@@ -413,7 +523,8 @@ def _asked(longest: int, unseen: float, buckets: int, shared):
             for kind, parts in rest.items():
                 own, h = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (text[:0], words[:0])
                 bucket = _bucket(h, buckets)
-                order = np.lexsort((own, bucket))
+                width, wide = np.uint64(buckets.bit_length()), np.uint64(len(sizes).bit_length())
+                order = _order((bucket.astype(np.uint64) << wide | own.astype(np.uint64)) << np.uint64(64) - width - wide)
                 bucket, own, h = bucket[order], uids[own[order]], h[order]
                 # Steps between the uids of a task's rows are small: most have one byte that isn't zero.
                 first = _runs(bucket.astype(np.int64) << 24 | own >> 40)
@@ -439,7 +550,8 @@ def _answered(unseen: float, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
-        size, own, table, parts = 0, None, None, []
+        asked: list = []
+        size, waiting, own, table, parts = 0, 0, None, None, []
 
         def flush():
             uid, *values = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -448,8 +560,24 @@ def _answered(unseen: float, buckets: int):
             order = np.argsort(home, kind="stable")
             return _blocks(home[order], [x[order] for x in (uid, *values)], 0)
 
+        def look_up():
+            """Answers what was asked of the bucket so far."""
+            uid, h = (np.concatenate(x) for x in list(zip(*asked, strict=True))[:2])
+            places, (weight, base) = table
+            at, missed = places.find(h), np.repeat([m for _, _, m in asked], [len(x) for x, _, _ in asked])
+            hit = at >= 0
+            values = [missed, missed.copy(), np.zeros(len(h))]
+            values[0][hit], values[1][hit] = weight[at[hit]], base[at[hit]]
+            values[2][hit] = base[at[hit]] < 0
+            first = _runs(uid)
+            held.append([uid[first], *(np.add.reduceat(v, first) for v in values)])
+            return len(first)
+
         for batch in batches:
             for bucket, kind, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if asked and (bucket != own or waiting >= _TOKENS):
+                    size += look_up()
+                    asked, waiting = [], 0
                 if bucket != own:
                     own, table, parts = bucket, None, []
                 data = block.as_py()
@@ -458,23 +586,20 @@ def _answered(unseen: float, buckets: int):
                     continue
                 if kind == 3:
                     held.append(_unpacked(data, ("i8", "f8", "f8", "f8")))
+                    size += len(held[-1][0])
                 else:
                     if table is None:
                         keys, *values = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
-                        table, parts = _summed(keys, values), []
-                    keys, (weight, base) = table
+                        keys, values = _summed(keys, values)
+                        table, parts = (Places(keys), values), []
                     h, low, middle, high = _unpacked(data, ("u8", "u1", "u1", "i8"))
-                    uid, at = np.cumsum(high << 16 | middle.astype(np.int64) << 8 | low), find(keys, h)
-                    hit, missed = at >= 0, unseen if kind == 1 else 0.0
-                    values = [np.full(len(h), missed), np.full(len(h), missed), np.zeros(len(h))]
-                    values[0][hit], values[1][hit] = weight[at[hit]], base[at[hit]]
-                    values[2][hit] = base[at[hit]] < 0
-                    first = _runs(uid)
-                    held.append([uid[first], *(np.add.reduceat(v, first) for v in values)])
-                size += len(held[-1][0])
+                    asked.append((np.cumsum(high << 16 | middle.astype(np.int64) << 8 | low), h, unseen if kind == 1 else 0.0))
+                    waiting += len(h)
                 if size >= _HELD // 2:
                     yield flush()
                     held, size = [], 0
+        if asked:
+            size += look_up()
         if size:
             yield flush()
 
@@ -500,11 +625,9 @@ def score(df: DataFrame, train_on, id_col: str = "doc_id", text_col: str = "text
     texts = write_shared(rows.mapInArrow(_tokenise(kinds.names), kinds), "tokens", compression="zstd")
     model = learn(texts.where("NOT held_out"), **options)
     unseen = float(np.log10(0.5 / (model.total + 0.5 * (model.distinct + 1))))
-    hot = model.weights.where(F.col("n") >= max(min_word * model.total, 1)).groupBy("h").agg(F.sum("weight").alias("weight"), F.sum("base").alias("base")).toArrow().sort_by("h")
-    keys = hot["h"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
+    hot = model.weights.where(F.col("n") >= max(min_word * model.total, 1)).groupBy("h").agg(F.sum("weight").alias("weight"), F.sum("base").alias("base")).toArrow()
     bits = _filter(model.weights)
-    shared = spark.sparkContext.broadcast((keys[order], hot["weight"].to_numpy()[order], hot["base"].to_numpy()[order], bits))
+    shared = spark.sparkContext.broadcast((hot["h"].to_numpy().view(np.uint64), hot["weight"].to_numpy(), hot["base"].to_numpy(), bits))
     _clean(spark)
     asked = texts.select("uid", "words").mapInArrow(_asked(model.longest, unseen, model.buckets, shared), _BLOCK)
     table = model.weights.select("h", "weight", "base").mapInArrow(_pack_weights(model.buckets), _BLOCK)

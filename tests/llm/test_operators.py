@@ -599,6 +599,23 @@ def test_scores_equal_a_whole_tree_in_memory(spark, monkeypatch, min_word, token
         assert math.isclose(x.score, sum(math.log10(p) for p in brute(want[x.doc_id].encode().split() + [b""])), rel_tol=1e-9, abs_tol=1e-9)
 
 
+def test_longer_contexts_read_only_parts_of_texts(spark, monkeypatch):
+    """From contexts of three words on, words that are near no candidate aren't read again."""
+    written = {}
+
+    def write(df, label, **options):
+        out = suffix_tree_write(df, label, **options)
+        if label in ("tokens", "spans"):
+            written[label] = out.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+        return out
+
+    suffix_tree_write = suffix_tree.write_shared
+    monkeypatch.setattr(suffix_tree, "write_shared", write)
+    rows = chain_texts() + [(2000 + i, " ".join(f"once{i}x{j}" for j in range(200))) for i in range(100)]
+    suffix_tree.score(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(True)).collect()
+    assert 0 < written["spans"] < written["tokens"] / 2
+
+
 def test_probabilities_of_next_words_sum_to_one():
     rows = chain_texts()
     learned = [t.encode().split() + [b""] for _, t in rows]
